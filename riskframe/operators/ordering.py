@@ -9,7 +9,10 @@ used instead:
 3. a per-(partition, group) summary (at most partitions x groups rows) gives each range its offset;
 4. the summary is broadcast back — its size is bounded by the partition count, not by the data.
 
-The order must be total (end with a unique column) for the numbering to be repeatable after a task retry.
+The range bounds come from a sample taken when the exchange is planned, so two plans over the same input may
+cut the ranges differently. The ranged rows, with their range id and in-range number, are therefore
+checkpointed once (reliable checkpoint in ``spark.checkpoint.dir``): the summary and the numbering read the
+same materialised rows, and a lost executor cannot change them.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.session import ensure_checkpoint_dir
+
 _PID, _MID = "_rf_pid", "_rf_mid"
 
 
@@ -34,12 +39,14 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
 
 def _ranged(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], partitions: int | None) -> DataFrame:
     keys = _cols(by) + _cols(order)
-    return (
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = (
         df.repartitionByRange(_partitions(df, partitions), *keys)
         .sortWithinPartitions(*keys)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_MID, F.monotonically_increasing_id())
     )
+    return ranged.checkpoint(eager=True)
 
 
 def row_index(

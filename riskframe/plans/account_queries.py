@@ -405,7 +405,7 @@ WITH acc AS ({osql.account_cte()}),
    count(DISTINCT CHANNEL_CODE) AS UNIQUE_CHANNELS, count(DISTINCT TRN_CODE) AS UNIQUE_TRN_CODES,
    CAST(sum(mb_check) AS BIGINT) AS SUM_MB_CHECK, CAST(sum(eb_check) AS BIGINT) AS SUM_EB_CHECK,
    max(SAME_NUMBER_IP) AS FLAG_SAME_IP, max(SAME_NUMBER_UUID) AS FLAG_SAME_UUID,
-   avg(CASE WHEN DAY_OF_WEEK IN ('Saturday', 'Sunday') THEN 1.0 ELSE 0.0 END) AS IS_WEEKEND
+   avg(CASE WHEN DAY_OF_WEEK IN ('Saturday', 'Sunday') THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS IS_WEEKEND
    FROM raw GROUP BY ACCT_NBR)
 SELECT acc.ACCT_NBR, acc.CANCEL_NO_CONTACT, acc.IS_DIGITAL, round(acc.AUM_AMT, 6) AS AUM_AMT, acc.YEARLYINCOMELEVEL,
   COALESCE(t.TX_COUNT, 0) AS TX_COUNT, round(COALESCE(t.TX_SUM, 0), 6) AS TX_SUM, round(COALESCE(t.TX_MEAN, 0), 6) AS TX_MEAN,
@@ -433,8 +433,15 @@ def account_profile(spark, sf):
 _SCALE_COLS = ["TX_COUNT", "TX_MEAN", "TX_STD", "MODE_TX_TIME", "UNIQUE_CHANNELS", "UNIQUE_TRN_CODES", "AUM_AMT", "AGE"]
 
 
+def unrounded_profile_sql() -> str:
+    """The profile oracle text without the final rounding (input of derived computations)."""
+    import re
+
+    return re.sub(r"round\((.*?), 6\) AS", r"\1 AS", _PROFILE_SQL.strip())
+
+
 def _minmax_sql() -> str:
-    body = _PROFILE_SQL.strip()
+    body = unrounded_profile_sql()
     last = body.rfind("SELECT acc.ACCT_NBR")
     ctes, final = body[: last].rstrip(), body[last:]
     stats = ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in _SCALE_COLS)
