@@ -1 +1,216 @@
-"""Registered queries (filled in progressively)."""
+"""Registered queries: Spark ML training, search and scoring.
+
+Model outputs cannot equal another learner's, so apart from the fitted scaler (K1) these keys have no SQL
+oracle; tests check invariants instead (probabilities in [0, 1], row counts, folds, save/load equality).
+Fits use a small round budget (``TEST_ROUNDS``); the library defaults keep the original budget.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskframe.defaults import SEED
+from riskframe.functions.hashing import sql_hash_order
+from riskframe.operators import clean, features, joins, models, sampling, scoring
+from riskframe.plans import oracle_sql as osql
+from riskframe.plans.common import rounded
+from riskframe.plans.registry import register
+from riskframe.session import scratch_path
+from riskframe.sources import fixtures as fx
+from riskframe.sources.fixtures import FIXTURE_CUTS, FIXTURE_TODAY, with_views
+
+KEY = "ACCT_NBR"
+TEST_ROUNDS = 10
+_CACHE: dict = {}
+
+
+def _ml_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """Labelled feature table, band columns imputed with flags, stratified split; checkpointed once."""
+    ck = ("table", id(spark), sf)
+    if ck not in _CACHE:
+        ft = features.feature_table(
+            fx.accounts(spark, sf), fx.identity(spark, sf), fx.transactions(spark, sf), fx.notices(spark, sf),
+            today=FIXTURE_TODAY, cuts=FIXTURE_CUTS,
+        )
+        bands = list(features.BAND_COUNT_COLS + features.BAND_RATIO_COLS)
+        ml = models.impute_with_flags(ft, bands)
+        ml = sampling.split_stratified(ml)
+        ml = ml.checkpoint(eager=True)
+        feats = models.feature_columns(ml, exclude=[KEY, "LABEL", "SPLIT"])
+        _CACHE[ck] = (ml, feats)
+    return _CACHE[ck]
+
+
+def _gbt_model(spark, sf):
+    ck = ("gbt", id(spark), sf)
+    if ck not in _CACHE:
+        ml, feats = _ml_table(spark, sf)
+        train = models.with_class_weight(ml.where("SPLIT = 'train'"))
+        _CACHE[ck] = models.fit(train, feats, models.gbt({"maxIter": TEST_ROUNDS}))
+    return _CACHE[ck]
+
+
+# ------------------------------------------------------------------------------------------- K1 (exact)
+_K1_COLS = ["TX_COUNT", "TX_MEAN", "TX_STD", "AVG_PB_BAL", "UNIQUE_CHANNELS", "AUM_AMT", "AGE"]
+
+
+def _k1_sql() -> str:
+    from riskframe.plans.account_queries import unrounded_profile_sql
+
+    body = unrounded_profile_sql()
+    last = body.rfind("SELECT acc.ACCT_NBR")
+    ctes, prof = body[:last].rstrip(), body[last:]
+    h = sql_hash_order("ACCT_NBR", SEED)
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _K1_COLS)
+    z = ", ".join(f"round((p.{c} - st.m_{c}) / CASE WHEN st.s_{c} = 0 THEN 1.0 ELSE st.s_{c} END, 6) AS {c}" for c in _K1_COLS)
+    return (
+        f"{ctes}, prof AS ({prof}), r AS (SELECT ACCT_NBR, row_number() OVER (ORDER BY {h}, ACCT_NBR) AS rn, count(*) OVER () AS n FROM prof), "
+        "sp AS (SELECT ACCT_NBR, CASE WHEN rn <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS SPLIT FROM r), "
+        "p AS (SELECT prof.*, sp.SPLIT FROM prof JOIN sp ON prof.ACCT_NBR = sp.ACCT_NBR), "
+        f"st AS (SELECT {stats} FROM p WHERE SPLIT = 'train') SELECT p.ACCT_NBR, p.SPLIT, {z} FROM p, st"
+    )
+
+
+@register("standard_scale", with_views(_k1_sql(), "v_accounts", "v_identity", "v_txn"))
+def standard_scale(spark, sf):
+    """K1: population mean/std fitted on the training split, applied to every row."""
+    from riskframe.plans.account_queries import _profile
+
+    prof = sampling.split_random(_profile(spark, sf).select(KEY, *_K1_COLS))
+    scaler = models.StandardScale.fit(prof.where("SPLIT = 'train'"), _K1_COLS)
+    return rounded(scaler.transform(prof).select(KEY, "SPLIT", *_K1_COLS))
+
+
+# ------------------------------------------------------------------------------------------- K: models (rows-only)
+@register("assemble_features")
+def assemble_features(spark, sf):
+    """Feature table -> vector in feature-list order (shown as an array)."""
+    from pyspark.ml.functions import vector_to_array
+
+    ml, feats = _ml_table(spark, sf)
+    v = models.assembler(feats).transform(ml)
+    return v.select(KEY, "LABEL", vector_to_array("features").alias("FEATURES"))
+
+
+@register("train_gbt")
+def train_gbt(spark, sf):
+    """K2: boosted trees on the training split (class-weighted), test split scored."""
+    ml, _ = _ml_table(spark, sf)
+    return models.score(_gbt_model(spark, sf), ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"])
+
+
+@register("train_gbt_early_stop")
+def train_gbt_early_stop(spark, sf):
+    """K3: boosting with a validation indicator: rounds stop when validation error stops improving."""
+    ml, feats = _ml_table(spark, sf)
+    fit_rows = models.with_class_weight(ml.where("SPLIT = 'train'"))
+    fit_rows = sampling.split_stratified(fit_rows.drop("SPLIT"), share=0.2, seed=SEED + 1, name="VSPLIT")
+    fit_rows = fit_rows.withColumn("IS_VALID", F.col("VSPLIT") == "test")
+    m = models.fit(fit_rows, feats, models.gbt({"maxIter": 3 * TEST_ROUNDS}, validation="IS_VALID"))
+    trees = m.stages[-1].getNumTrees
+    return models.score(m, ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"]).withColumn("N_TREES", F.lit(trees))
+
+
+@register("train_forest_account")
+def train_forest_account(spark, sf):
+    """K4: 100-tree forest on the account table; test split scored."""
+    ml, feats = _ml_table(spark, sf)
+    m = models.fit(ml.where("SPLIT = 'train'"), feats, models.forest(100))
+    return models.score(m, ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"])
+
+
+@register("train_forest_txn")
+def train_forest_txn(spark, sf):
+    """K5: forest on transactions (account attributes joined on), then per-account votes of truth and
+    prediction (D9) side by side."""
+    from riskframe.plans.account_queries import _acc, _txn
+
+    acc = _acc(spark, sf)
+    lab = joins.label_accounts(acc, fx.notices(spark, sf))
+    rows = joins.txn_with_account(_txn(spark, sf, acc), lab)
+    rows = sampling.split_stratified(rows.select(KEY, "LABEL").distinct()).join(rows, [KEY, "LABEL"])
+    feats = models.feature_columns(rows, exclude=[KEY, "LABEL", "SPLIT"])
+    m = models.fit(rows.where("SPLIT = 'train'"), feats, models.forest(100))
+    test = rows.where("SPLIT = 'test'")
+    s = models.score(m, test, KEY, keep=["LABEL"])
+    accounts = test.select(KEY).distinct()
+    truth = scoring.vote_by_account(s.select(KEY, F.col("LABEL").alias("PRED")), accounts, name="VOTE_TRUTH")
+    pred = scoring.vote_by_account(s.select(KEY, F.col("PREDICTION").alias("PRED")), accounts, name="VOTE_PRED")
+    return truth.join(pred, KEY)
+
+
+@register("cross_validate")
+def cross_validate(spark, sf):
+    """K6: 5 stratified folds; per-fold precision/recall/F1 at 0.5 and their mean (FOLD -1)."""
+    ml, feats = _ml_table(spark, sf)
+    folded = sampling.stratified_folds(ml.drop("SPLIT"))
+    return models.cross_validate(folded, feats, params={"maxIter": TEST_ROUNDS})
+
+
+_SPACE = {"stepSize": (0.1, 0.7), "subsamplingRate": (0.75, 0.95), "maxDepth": (3, 6), "maxIter": (5, TEST_ROUNDS)}
+
+
+def _trials(spark, sf):
+    ck = ("trials", id(spark), sf)
+    if ck not in _CACHE:
+        ml, feats = _ml_table(spark, sf)
+        three = sampling.split_three_way(ml.drop("SPLIT"))
+        maps = models.random_param_maps(4, _SPACE, ints=["maxDepth", "maxIter"])
+        _CACHE[ck] = models.tune(three.where("SPLIT = 'train'"), three.where("SPLIT = 'validation'"), feats, maps, parallelism=2)
+    return _CACHE[ck]
+
+
+@register("tune")
+def tune(spark, sf):
+    """K7: seeded random search over step size, subsampling, depth and rounds; validation F1 as objective."""
+    return _trials(spark, sf)
+
+
+@register("rank_trials")
+def rank_trials(spark, sf):
+    """G4 (+B10): finite trials by objective, highest first."""
+    return scoring.rank_trials(clean.filter_known(_trials(spark, sf), "OBJECTIVE"))
+
+
+@register("predict_accounts")
+def predict_accounts(spark, sf):
+    """K8: new accounts -> align -> score -> threshold 0.5 -> risk level."""
+    ml, feats = _ml_table(spark, sf)
+    return models.predict_accounts(_gbt_model(spark, sf), ml.where("SPLIT = 'test'"), feats)
+
+
+@register("predict_to_sheet")
+def predict_to_sheet(spark, sf):
+    """K9: score with threshold 0.6 and fill the answer sheet (accounts of the notice list)."""
+    from riskframe.sources import files
+
+    ml, feats = _ml_table(spark, sf)
+    pred = models.predict_accounts(_gbt_model(spark, sf), ml, feats, threshold=0.6)
+    sheet = fx.notices(spark, sf).select(KEY).withColumn("Y", F.lit(""))
+    return files.fill_answer_sheet(sheet, pred.select(F.col("account_id").alias(KEY), F.col("fraud_prediction").alias("PRED")))
+
+
+@register("feature_importance")
+def feature_importance(spark, sf):
+    """Importance per feature, largest first."""
+    _, feats = _ml_table(spark, sf)
+    return models.feature_importance(spark, _gbt_model(spark, sf), feats)
+
+
+@register("top_features")
+def top_features(spark, sf):
+    """The ten most important features."""
+    return scoring.top_k(feature_importance(spark, sf), "IMPORTANCE", 10, "FEATURE")
+
+
+@register("model_save_load")
+def model_save_load(spark, sf):
+    """Save, reload, and score the test split with both; the two probabilities must be equal."""
+    ml, _ = _ml_table(spark, sf)
+    m = _gbt_model(spark, sf)
+    loaded = models.save_load(m, scratch_path(spark, "model"))
+    test = ml.where("SPLIT = 'test'")
+    a = models.score(m, test, KEY).select(KEY, F.col("PROBABILITY").alias("PROBABILITY_SAVED"))
+    b = models.score(loaded, test, KEY).select(KEY, F.col("PROBABILITY").alias("PROBABILITY_LOADED"))
+    return a.join(b, KEY)
