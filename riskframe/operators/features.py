@@ -70,16 +70,18 @@ def fit_txn_policy(txn: DataFrame, policy: ColumnPolicy | None = None) -> Fitted
 
 def transaction_table(
     txn: DataFrame,
-    known_accounts: DataFrame,
+    known_accounts: DataFrame | None,
     policy: ColumnPolicy | FittedPolicy | None = None,
     key: str = KEY,
 ) -> DataFrame:
-    """dedup over all raw columns -> policy -> fill 0 -> keep rows of known accounts."""
+    """dedup over all raw columns -> policy -> fill 0 -> keep rows of known accounts.
+
+    With ``known_accounts=None`` the key restriction is left to the caller (see :func:`feature_table`)."""
     policy = policy or txn_policy()
     deduped = clean.distinct_rows(txn)
     shaped = policy.apply(deduped) if isinstance(policy, ColumnPolicy) else policy.transform(deduped)
-    filled = clean.fill_all_zero(shaped, exclude=[key])
-    return joins.restrict_to_known(clean.drop_null_key(filled, key), known_accounts, key)
+    filled = clean.drop_null_key(clean.fill_all_zero(shaped, exclude=[key]), key)
+    return filled if known_accounts is None else joins.restrict_to_known(filled, known_accounts, key)
 
 
 # ---------------------------------------------------------------------------------------------- aggregates
@@ -206,6 +208,11 @@ def feature_table(
 ) -> DataFrame:
     """Whole account path: account table, transaction table, C5 and, with notices, the LABEL column (C4)."""
     acc = account_table(accounts, identity, account_policy(today), key=key)
-    tx = transaction_table(txn, acc, txn_fitted or txn_policy(today), key=key)
+    tx = transaction_table(txn, None, txn_fitted or txn_policy(today), key=key)
+    if any(isinstance(f.dataType, T.StringType) for f in tx.schema.fields if f.name != key):
+        # text columns are label-encoded on the top-k rows of known accounts only: restrict first
+        tx = joins.restrict_to_known(tx, acc, key)
+    # Otherwise the restriction to known accounts (C2) happens in C5's left join from the account table, on
+    # one aggregated row per account instead of on every transaction (no semi-join over the raw rows).
     feats = account_features(acc, tx, key, cuts=cuts)
     return joins.label_accounts(feats, notices, key) if notices is not None else feats

@@ -2,7 +2,7 @@
 
 A sequence is kept as rows (ACCT_NBR, POS, values...) rather than one array per account: an account with
 a huge history stays spread over many tasks (positions come from the range-partitioned numbering), and
-padding and masks are rows too. :func:`as_arrays` folds the long form into arrays when a consumer needs them.
+padding and masks are rows too. No account's history is ever gathered into one array or one task.
 """
 
 from __future__ import annotations
@@ -35,15 +35,6 @@ def txn_sequence(txn: DataFrame, order: Sequence[Column], key: str = KEY, name:
     return row_index(txn, order, by=[key], name=name)
 
 
-def as_arrays(seq: DataFrame, cols: Sequence[str], key: str = KEY, pos: str = "POS") -> DataFrame:
-    """Fold a long-form sequence into one array per account (value columns in name order). Use for bounded
-    histories only: the whole account becomes one row."""
-    names = sorted(cols)
-    return seq.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(pos), *[F.col(c) for c in names]))).alias("_rf_s")
-    ).select(key, F.transform("_rf_s", lambda s: F.array(*[s[c].cast("double") for c in names])).alias("SEQUENCE"))
-
-
 def pad_and_mask(
     seq: DataFrame, batches: DataFrame, cols: Sequence[str], key: str = KEY, pos: str = "POS", batch: str = "BATCH"
 ) -> DataFrame:
