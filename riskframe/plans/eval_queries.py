@@ -46,7 +46,7 @@ _PR = f"{_d('TP', 'TP + FP')} AS P, {_d('TP', 'TP + FN')} AS R"
 @register(
     "binary_metrics",
     with_views(
-        f"WITH c AS ({_cm()}), m AS (SELECT {_PR} FROM c) SELECT 0.5 AS THRESHOLD, round(P, 6) AS PRECISION, round(R, 6) AS RECALL, "
+        f"WITH c AS ({_cm()}), m AS (SELECT {_PR} FROM c) SELECT CAST(0.5 AS DOUBLE) AS THRESHOLD, round(P, 6) AS PRECISION, round(R, 6) AS RECALL, "
         f"round({_d('2 * P * R', 'P + R')}, 6) AS F1 FROM m",
         "v_scored",
     ),
