@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskframe.functions.bands import risk_band_score
 from riskframe.plans.common import rounded
 from riskframe.plans.registry import register
 from riskframe.session import scratch_path
@@ -25,7 +24,7 @@ _SLICES = 3
 def score_events(rows):
     """Score = amount / (amount + 100); events of type 'error' fail to score (null)."""
     s = F.when(F.col("CHANNEL") == "error", F.lit(None).cast("double")).otherwise(F.col("TX_AMT") / (F.col("TX_AMT") + 100.0))
-    return rows.withColumn("SCORE", s).withColumn("LEVEL", risk_band_score("SCORE"))
+    return rows.withColumn("SCORE", s)
 
 
 def _run(spark, sf):
@@ -35,8 +34,8 @@ def _run(spark, sf):
         e.where(F.col("SEQ") % _SLICES == i).write.parquet(f"{src}/slice={i}")
     sink = scratch_path(spark, "stream-sink")
     ck = scratch_path(spark, "stream-ckpt")
-    state = upsert.run_upsert_stream(spark, f"{src}/slice=*", _SCHEMA, sink, ck, score_events, keep=["LEVEL"])
-    return state, sink
+    upsert.run_upsert_stream(spark, f"{src}/slice=*", _SCHEMA, sink, ck, score_events)
+    return sink
 
 
 _LATEST = (
@@ -50,8 +49,8 @@ _LEVEL = "CASE WHEN SCORE >= 0.75 THEN 'high' WHEN SCORE >= 0.5 THEN 'medium' EL
 @register("stream_scored_upsert", with_views(_LATEST + f"SELECT ACCT_NBR, SEQ, round(SCORE, 6) AS SCORE, {_LEVEL} AS LEVEL FROM l", "v_etxn"))
 def stream_scored_upsert(spark, sf):
     """M1: latest scored event per account after streaming all files."""
-    state, _ = _run(spark, sf)
-    return rounded(state.select(KEY, "SEQ", "SCORE", "LEVEL"))
+    sink = _run(spark, sf)
+    return rounded(upsert.current_table(spark, sink).select(KEY, "SEQ", "SCORE", "LEVEL"))
 
 
 @register(
@@ -69,6 +68,6 @@ def stream_scored_upsert(spark, sf):
     ),
 )
 def stream_risk_counts(spark, sf):
-    """M2: counts by level, stored, flagged and processed rows as written by the last micro-batch."""
-    _, sink = _run(spark, sf)
+    """M2: counts by level, stored, flagged and processed rows, as kept current by the last micro-batch."""
+    sink = _run(spark, sf)
     return upsert.latest_counts(spark, sink)

@@ -1,35 +1,101 @@
 """Structured Streaming: scored rows upserted per account, with running risk counts (M1, M2).
 
-Rows arrive as files; each micro-batch is merged into a versioned parquet table inside ``foreachBatch``:
-
-    new version = latest row per account over (previous version UNION batch rows)   [max_by on SEQ]
-
-so an account scored again replaces its earlier row, and a late (lower SEQ) arrival never overwrites a newer
-one. Failed rows (null score) are counted as processed but not stored. Each batch writes
-``<sink>/v=<batch id>`` and a one-row stats file; a retried batch rewrites the same version from the same
-inputs, which makes the sink exactly-once. Risk counts (M2) are recomputed from the new version every batch.
-All state lives in files under the shared checkpoint folder, partitioned by account through the merge's
-aggregate — nothing is collected to the driver.
+Per-micro-batch work is proportional to the batch, not to the number of accounts seen so far:
+
+* the latest scored row of every account lives in Spark's **state store**, keyed and partitioned by account
+  (``applyInPandasWithState``, update mode). For each account present in a micro-batch the state function keeps
+  the newest successfully scored row (largest SEQ; a late, lower SEQ never overwrites) and emits a change record
+  (new row, previous level / score) only when the account's row changed, plus the number of rows it processed;
+* ``foreachBatch`` appends the change records to ``<sink>/changes/batch=<id>`` and writes the running counts
+  ``<sink>/counts/batch=<id>`` = previous counts + (new levels - previous levels) + processed rows.
+  Both writes are keyed by the batch id and overwrite on a retry, so the sink is exactly-once;
+* the current table (M1) is the latest change per account (``max_by`` on SEQ, a combinable aggregate).
+
+Failed rows (null or NaN score) count as processed but are never stored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from riskframe.defaults import SCORE_MEDIUM
-from riskframe.functions.bands import risk_band_score
+from riskframe.defaults import SCORE_HIGH, SCORE_MEDIUM
 
 KEY = "ACCT_NBR"
 LEVELS = ("high", "medium", "low")
+COUNT_NAMES = (*LEVELS, "stored", "flagged", "processed")
+
+CHANGE_SCHEMA = (
+    f"{KEY} long, SEQ long, SCORE double, LEVEL string, PREV_LEVEL string, PREV_SCORE double, CHANGED boolean, N_ROWS long"
+)
+STATE_SCHEMA = "SEQ long, SCORE double, LEVEL string"
+
+
+def _level(score: float) -> str:
+    """Dashboard level; same rule as :func:`riskframe.functions.bands.risk_band_score`."""
+    if score >= SCORE_HIGH:
+        return "high"
+    if score >= SCORE_MEDIUM:
+        return "medium"
+    return "low"
+
+
+def _latest_per_account(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """State function: newest successfully scored row per account; a change record when it changes."""
+    n_rows = 0
+    best_seq, best_score = None, None
+    for pdf in pdfs:
+        n_rows += len(pdf)
+        seq = pdf["SEQ"].to_numpy()
+        score = pdf["SCORE"].to_numpy(dtype="float64", na_value=np.nan)
+        ok = ~np.isnan(score)
+        if ok.any():
+            i = int(np.argmax(np.where(ok, seq, np.iinfo(np.int64).min)))
+            if best_seq is None or seq[i] > best_seq:
+                best_seq, best_score = int(seq[i]), float(score[i])
+    prev = state.get if state.exists else None
+    changed = best_seq is not None and (prev is None or best_seq > prev[0])
+    if changed:
+        cur = (best_seq, best_score, _level(best_score))
+        state.update(cur)
+    else:
+        cur = prev if prev is not None else (None, None, None)
+    had = changed and prev is not None
+    yield pd.DataFrame(
+        {
+            KEY: [key[0]], "SEQ": [cur[0]], "SCORE": [cur[1]], "LEVEL": [cur[2]],
+            "PREV_LEVEL": [prev[2] if had else None], "PREV_SCORE": [prev[1] if had else None],
+            "CHANGED": [bool(changed)], "N_ROWS": [n_rows],
+        }
+    )
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions (``v=<n>`` folders holding ``_SUCCESS``), listed through the Hadoop file system of
-    the path (shared storage on a cluster)."""
+def _count_deltas(changes: DataFrame) -> DataFrame:
+    """One row of count changes for a micro-batch (combinable aggregate over the change records)."""
+    ch = F.col("CHANGED")
+    aggs = [
+        (F.count(F.when(ch & (F.col("LEVEL") == lv), 1)) - F.count(F.when(ch & (F.col("PREV_LEVEL") == lv), 1))).alias(lv)
+        for lv in LEVELS
+    ]
+    aggs += [
+        F.count(F.when(ch & F.col("PREV_LEVEL").isNull(), 1)).alias("stored"),
+        (F.count(F.when(ch & (F.col("SCORE") >= SCORE_MEDIUM), 1))
+         - F.count(F.when(ch & (F.col("PREV_SCORE") >= SCORE_MEDIUM), 1))).alias("flagged"),
+        F.coalesce(F.sum("N_ROWS"), F.lit(0)).alias("processed"),
+    ]
+    return changes.agg(*aggs)
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Committed batch folders (``batch=<n>`` holding ``_SUCCESS``), listed through the path's Hadoop file
+    system (shared storage on a cluster)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -38,37 +104,29 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
+        if name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[len("batch="):]))
     return sorted(out)
 
 
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    v = _versions(spark, path)
-    return v[-1] if v else None
-
-
-def merge_batch(batch: DataFrame, sink: str, epoch: int, key: str = KEY, seq: str = "SEQ", score: str = "SCORE",
-                keep: Sequence[str] = ()) -> None:
-    """Upsert one micro-batch into ``sink`` as version ``epoch`` and write its stats."""
-    spark = batch.sparkSession
-    prev_v = max([v for v in _versions(spark, sink) if v < epoch], default=None)
-    cols = [key, seq, score, *keep]
-    ok = batch.where(F.col(score).isNotNull() & ~F.isnan(F.col(score))).select(*cols)
-    if prev_v is not None:
-        ok = ok.unionByName(spark.read.parquet(f"{sink}/v={prev_v}").select(*cols))
-    others = [c for c in cols if c != key]
-    latest = ok.groupBy(key).agg(F.max_by(F.struct(*others), F.col(seq)).alias("_rf_row")).select(
-        key, *[F.col(f"_rf_row.{c}").alias(c) for c in others]
-    )
-    latest.write.mode("overwrite").parquet(f"{sink}/v={epoch}")
-    # M2: counts refreshed every micro-batch from the new version; processed rows accumulate (failures too).
-    processed = batch.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    if prev_v is not None:
-        prev = spark.read.parquet(f"{sink}_counts/v={prev_v}").where("NAME = 'processed'").first()
-        processed += int(prev["N"]) if prev else 0
-    counts = risk_counts(spark.read.parquet(f"{sink}/v={epoch}"), processed, score)
-    counts.coalesce(1).write.mode("overwrite").parquet(f"{sink}_counts/v={epoch}")
+def write_batch(changes: DataFrame, sink: str, batch_id: int) -> None:
+    """foreachBatch body: the change records, then the running counts for this batch id (7 numbers carried
+    from the previous batch's counts)."""
+    spark = changes.sparkSession
+    # the batch output feeds two writes: keep it (size of one micro-batch) so the state function runs once
+    changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        changes.where("CHANGED").select(KEY, "SEQ", "SCORE", "LEVEL").write.mode("overwrite").parquet(
+            f"{sink}/changes/batch={batch_id}"
+        )
+        prev_ids = [b for b in _batches(spark, f"{sink}/counts") if b < batch_id]
+        prev = spark.read.parquet(f"{sink}/counts/batch={prev_ids[-1]}").first().asDict() if prev_ids else {}
+        delta = _count_deltas(changes)
+        delta.select(*[(F.col(n) + F.lit(int(prev.get(n, 0)))).cast("bigint").alias(n) for n in COUNT_NAMES]).coalesce(
+            1
+        ).write.mode("overwrite").parquet(f"{sink}/counts/batch={batch_id}")
+    finally:
+        changes.unpersist()
 
 
 def run_upsert_stream(
@@ -78,46 +136,41 @@ def run_upsert_stream(
     sink: str,
     checkpoint: str,
     score_fn,
-    key: str = KEY,
-    seq: str = "SEQ",
-    keep: Sequence[str] = (),
     files_per_trigger: int = 1,
-) -> DataFrame:
-    """M1: stream the files under ``source`` (availableNow, ``files_per_trigger`` per micro-batch), score each
-    row with ``score_fn`` (DataFrame -> DataFrame adding SCORE) and upsert into ``sink``. Returns the final
-    version as a DataFrame."""
+) -> None:
+    """M1 + M2: stream the files under ``source`` (``availableNow``, ``files_per_trigger`` per micro-batch),
+    score each row with ``score_fn`` (DataFrame -> DataFrame adding SCORE, null on failure) and keep the latest
+    scored row per account in the state store; change records and running counts go to ``sink``."""
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
-    scored = score_fn(rows)
+    s = score_fn(rows)
+    scored = s.select(KEY, "SEQ", F.when(F.isnan("SCORE"), F.lit(None)).otherwise(F.col("SCORE")).alias("SCORE"))
+    changes = scored.groupBy(KEY).applyInPandasWithState(
+        _latest_per_account, CHANGE_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
+    )
     q = (
-        scored.writeStream.foreachBatch(lambda df, epoch: merge_batch(df, sink, epoch, key, seq, keep=keep))
+        changes.writeStream.foreachBatch(lambda df, batch_id: write_batch(df, sink, batch_id))
         .option("checkpointLocation", checkpoint)
+        .outputMode("update")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    v = latest_version(spark, sink)
-    if v is None:
-        return spark.createDataFrame([], scored.select(key, seq, "SCORE", *keep).schema)
-    return spark.read.parquet(f"{sink}/v={v}")
-
-
-def risk_counts(state: DataFrame, processed: int, score: str = "SCORE") -> DataFrame:
-    """M2: counts per dashboard level (zero levels kept), plus processed / stored / flagged (score >= 0.5)."""
-    lv = risk_band_score(score)
-    a = state.agg(
-        *[F.count(F.when(lv == L, 1)).alias(L) for L in LEVELS],
-        F.count(F.lit(1)).alias("stored"),
-        F.count(F.when(F.col(score) >= SCORE_MEDIUM, 1)).alias("flagged"),
-    )
-    names = list(LEVELS) + ["stored", "flagged"]
-    pairs = ", ".join(f"'{n}', `{n}`" for n in names)
-    out = a.selectExpr(f"stack({len(names)}, {pairs}) AS (NAME, N)")
-    return out.unionByName(state.sparkSession.range(1).select(F.lit("processed").alias("NAME"), F.lit(int(processed)).cast("bigint").alias("N")))
+
+
+def current_table(spark: SparkSession, sink: str) -> DataFrame:
+    """M1: latest row per account over all change records (one combinable aggregate)."""
+    if not _batches(spark, f"{sink}/changes"):
+        return spark.createDataFrame([], f"{KEY} long, SEQ long, SCORE double, LEVEL string")
+    ch = spark.read.parquet(f"{sink}/changes")
+    latest = ch.groupBy(KEY).agg(F.max_by(F.struct("SEQ", "SCORE", "LEVEL"), F.col("SEQ")).alias("r"))
+    return latest.select(KEY, "r.SEQ", "r.SCORE", "r.LEVEL")
 
 
 def latest_counts(spark: SparkSession, sink: str) -> DataFrame:
-    """M2: the risk counts written by the last micro-batch."""
-    v = latest_version(spark, sink)
-    if v is None:
+    """M2: the running counts written by the last micro-batch, as rows (NAME, N)."""
+    ids = _batches(spark, f"{sink}/counts")
+    if not ids:
         return spark.createDataFrame([], "NAME string, N bigint")
-    return spark.read.parquet(f"{sink}_counts/v={v}")
+    c = spark.read.parquet(f"{sink}/counts/batch={ids[-1]}")
+    pairs = ", ".join(f"'{n}', `{n}`" for n in COUNT_NAMES)
+    return c.selectExpr(f"stack({len(COUNT_NAMES)}, {pairs}) AS (NAME, N)")
