@@ -114,10 +114,10 @@ class FittedPolicy:
 
 
 def label_encode(df: DataFrame, column: str, fitted_on: DataFrame | None = None, unknown: str = "UNKNOWN") -> DataFrame:
-    """Label encoding (I5): distinct texts sorted ascending -> 0..n-1, null read as ``unknown`` first.
+    """Label encoding (I5): distinct texts sorted ascending -> 0..n-1; null is read as the text ``unknown``.
 
-    The value table is fitted once (on ``fitted_on`` or ``df``) and joined back; it has one row per distinct
-    text, so Spark broadcasts it only when its measured size allows (AQE), else shuffles.
+    The value table is fitted once (on ``fitted_on`` or ``df``), numbered without a single-task sort, and joined
+    back; it has one row per distinct text, so AQE broadcasts it only when its measured size allows.
     """
     src = fitted_on if fitted_on is not None else df
     txt = F.coalesce(F.col(column).cast("string"), F.lit(unknown))
