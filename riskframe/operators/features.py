@@ -181,16 +181,21 @@ def account_features(
     labels=AMOUNT_BANDS,
     date: str = "TX_DATE",
     single: float = TEMPO_SINGLE,
+    aggs: Mapping[str, Column] | None = None,
+    agg_fills: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Accounts LEFT JOIN per-account aggregates LEFT JOIN top-k slots, then the fills.
 
     Fills: the date aggregate -> ``single``, TRN_COUNT -> 0, means -> 0, slots -> 0. The six band columns of an
-    account without transactions stay null (their fill belongs to the aggregate side)."""
-    agg = txn_aggregates(txn, key, date, cuts=cuts, labels=labels)
+    account without transactions stay null (their fill belongs to the aggregate side). ``aggs`` replaces the
+    customisable per-account aggregates (default: the tempo of ``date``) and ``agg_fills`` their fills."""
+    agg = txn_aggregates(txn, key, date, cuts=cuts, labels=labels, aggs=aggs)
     slots = topk_wide(txn, k, key)
     joined = accounts.join(agg, key, "left").join(slots, key, "left")
-    means = [c for c in agg.columns if c not in (key, date, "TRN_COUNT") and not c.endswith(("_TRN_COUNT", "_TRN_RATIO"))]
-    fills: dict[str, object] = {date: float(single), "TRN_COUNT": 0}
+    custom = list(aggs) if aggs is not None else [date]
+    means = [c for c in agg.columns if c not in (key, *custom, "TRN_COUNT") and not c.endswith(("_TRN_COUNT", "_TRN_RATIO"))]
+    fills: dict[str, object] = dict(agg_fills) if agg_fills is not None else {date: float(single)}
+    fills["TRN_COUNT"] = 0
     fills.update({c: 0 for c in means})
     fills.update({c: 0 for c in slots.columns if c != key})
     return clean.fill_by_column(joined, fills)
