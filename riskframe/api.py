@@ -56,7 +56,7 @@ class AccountTables:
         self.fills = fills
         self._acc_policy = account_policy or features.account_policy(today)
         pol = txn_policy or features.txn_policy(today)
-        self.txn_policy = pol if isinstance(pol, FittedPolicy) else pol.fit(clean.distinct_rows(self.transactions))
+        self.txn_policy = pol if isinstance(pol, FittedPolicy) else pol.fit(self.transactions)
 
     # -- tables
     def read_account_info(self) -> DataFrame:

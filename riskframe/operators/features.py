@@ -78,8 +78,10 @@ def transaction_table(
 
     With ``known_accounts=None`` the key restriction is left to the caller (see :func:`feature_table`)."""
     policy = policy or txn_policy()
-    deduped = clean.distinct_rows(txn)
-    shaped = policy.apply(deduped) if isinstance(policy, ColumnPolicy) else policy.transform(deduped)
+    # one-hot lists are fitted on the raw column (dedup does not change the set of values): one small
+    # distinct job instead of a full-row dedup just to read the categories
+    fitted = policy.fit(txn) if isinstance(policy, ColumnPolicy) else policy
+    shaped = fitted.transform(clean.distinct_rows(txn))
     filled = clean.drop_null_key(clean.fill_all_zero(shaped, exclude=[key]), key)
     return filled if known_accounts is None else joins.restrict_to_known(filled, known_accounts, key)
 

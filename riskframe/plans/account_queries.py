@@ -63,7 +63,7 @@ def join_features(spark: SparkSession, sf: str) -> DataFrame:
 )
 def column_policy(spark, sf):
     t = fx.transactions(spark, sf)
-    shaped = features.txn_policy(FIXTURE_TODAY).apply(clean.distinct_rows(t))
+    shaped = features.txn_policy(FIXTURE_TODAY).fit(t).transform(clean.distinct_rows(t))
     return rounded(clean.fill_all_zero(shaped, exclude=["ACCT_NBR"]))
 
 
@@ -190,7 +190,8 @@ _ALIGN_FEATURES = [c for c in osql.txn_columns() if c != "ACCT_NBR"] + ["DRCR_3"
     ),
 )
 def align_features(spark, sf):
-    t = features.txn_policy(FIXTURE_TODAY).apply(clean.distinct_rows(fx.transactions(spark, sf)))
+    raw = fx.transactions(spark, sf)
+    t = features.txn_policy(FIXTURE_TODAY).fit(raw).transform(clean.distinct_rows(raw))
     t = clean.fill_all_zero(t, exclude=["ACCT_NBR"]).withColumn("EXTRA", F.lit(1))
     return rounded(clean.align_features(t, _ALIGN_FEATURES, keep=["ACCT_NBR"]))
 
