@@ -25,6 +25,7 @@ from riskframe.defaults import (
 )
 from riskframe.operators import clean, features, joins, metrics, models, sampling, scoring
 from riskframe.operators.policy import ColumnPolicy, FittedPolicy, class_flags, in_list
+from riskframe.session import materialize
 from riskframe.sources import files
 
 KEY = "ACCT_NBR"
@@ -146,17 +147,18 @@ class FraudDetector:
 
     def prepare_data(self, strategy: str = "account_based") -> DataFrame:
         """Feature table with imputed band columns (+ missing flags), standard-scaled on the training split;
-        SPLIT marks train / test (stratified). Checkpointed once for the iterative fits."""
+        SPLIT marks train / test (stratified). The feature table is written once to the checkpoint folder."""
         if strategy == "transaction_based":
             raise NotImplementedError("transaction-based strategy is not part of the account detector")
         if strategy != "account_based":
             raise ValueError("strategy must be 'account_based' or 'transaction_based'")
         ft = self.tables.get_transaction_merge_into_account()
         bands = list(features.BAND_COUNT_COLS + features.BAND_RATIO_COLS)
-        ml = sampling.split_stratified(models.impute_with_flags(ft, bands), seed=self.seed)
+        ft = materialize(models.impute_with_flags(ft, bands), "detector-table")  # computed once, lineage cut
+        ml = sampling.split_stratified(ft, seed=self.seed)
         self.feature_names = models.feature_columns(ml, exclude=[KEY, "LABEL", "SPLIT"])
         self.scaler = models.StandardScale.fit(ml.where("SPLIT = 'train'"), self.feature_names)
-        return self.scaler.transform(ml).checkpoint(eager=True)
+        return self.scaler.transform(ml)
 
     def train_model(self, data: DataFrame):
         train = models.with_class_weight(data.where("SPLIT = 'train'"))

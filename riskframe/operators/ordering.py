@@ -10,9 +10,9 @@ used instead:
 4. the summary is broadcast back — its size is bounded by the partition count, not by the data.
 
 The range bounds come from a sample taken when the exchange is planned, so two plans over the same input may
-cut the ranges differently. The ranged rows, with their range id and in-range number, are therefore
-checkpointed once (reliable checkpoint in ``spark.checkpoint.dir``): the summary and the numbering read the
-same materialised rows, and a lost executor cannot change them.
+cut the ranges differently. The ranged rows, with their range id and in-range number as columns, are therefore
+written once as a parquet table under ``spark.checkpoint.dir`` (lineage cut): the summary and the numbering read
+the same materialised rows, and a lost executor cannot change them.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.session import ensure_checkpoint_dir
+from riskframe.session import ensure_checkpoint_dir, materialize
 
 _PID, _MID = "_rf_pid", "_rf_mid"
 
@@ -46,7 +46,7 @@ def _ranged(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], par
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_MID, F.monotonically_increasing_id())
     )
-    return ranged.checkpoint(eager=True)
+    return materialize(ranged, "ranged")
 
 
 def row_index(

@@ -25,16 +25,37 @@ def _class_counts(df: DataFrame, label: str) -> dict:
     return {r[label]: int(r["n"]) for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+def _narrow_ranks(df: DataFrame, key: str, seed: int, by: Sequence[str], name: str) -> DataFrame:
+    """(key, *by, name): rows numbered 1..n within ``by`` in seeded hash order, over the narrow projection."""
+    return row_index(df.select(key, *by), [hash_order(key, seed), F.col(key)], by=by, name=name)
+
+
+def _join_back(df: DataFrame, ranks: DataFrame, key: str, by: Sequence[str], name: str) -> DataFrame:
+    if len(df.columns) == len(by) + 1:
+        return ranks
+    return df.join(ranks.select(key, name), key)
+
+
+def _group_sizes(ranks: DataFrame, by: Sequence[str], name: str) -> dict:
+    """Rows per group, read off the numbered narrow table (largest number per group): no extra pass over the input."""
+    if not by:
+        r = ranks.agg(F.max(name).alias("n")).first()
+        return {None: int(r["n"] or 0)}
+    return {r[by[0]]: int(r["n"]) for r in ranks.groupBy(*by).agg(F.max(name).alias("n")).collect()}
+
+
 def hash_ranked(df: DataFrame, key: str = KEY, seed: int = SEED, by: Sequence[str] = (), name: str = "_rf_r") -> DataFrame:
-    """Rows numbered 1..n (within ``by``) in seeded hash order — a reproducible shuffle."""
-    return row_index(df, [hash_order(key, seed), F.col(key)], by=by, name=name)
+    """Rows numbered 1..n (within ``by``) in seeded hash order — a reproducible shuffle. ``key`` must be unique
+    (it breaks hash ties). Only the narrow (key, by) projection is numbered; the numbers are joined back on the
+    key, so wide tables are neither range-shuffled nor written for it."""
+    return _join_back(df, _narrow_ranks(df, key, seed, by, name), key, by, name)
 
 
 def split_random(df: DataFrame, key: str = KEY, share: float = TEST_SHARE, seed: int = SEED, name: str = "SPLIT") -> DataFrame:
     """Exactly ceil(share * n) rows go to 'test' (first in hash order), the rest to 'train'."""
-    n = df.count()
-    cut = math.ceil(share * n)
-    r = hash_ranked(df, key, seed)
+    ranks = _narrow_ranks(df, key, seed, (), "_rf_r")
+    cut = math.ceil(share * _group_sizes(ranks, (), "_rf_r")[None])
+    r = _join_back(df, ranks, key, (), "_rf_r")
     return r.withColumn(name, F.when(F.col("_rf_r") <= cut, "test").otherwise("train")).drop("_rf_r")
 
 
@@ -54,8 +75,9 @@ def _by_class_cut(label: str, counts: dict, share: float) -> Column:
 
 def split_stratified(df: DataFrame, label: str = "LABEL", key: str = KEY, share: float = TEST_SHARE, seed: int = SEED, name: str = "SPLIT") -> DataFrame:
     """Per class exactly ceil(share * n_class) rows to 'test'; class shares are kept."""
-    counts = _class_counts(df, label)
-    r = hash_ranked(df, key, seed, by=[label])
+    ranks = _narrow_ranks(df, key, seed, [label], "_rf_r")
+    counts = _group_sizes(ranks, [label], "_rf_r")
+    r = _join_back(df, ranks, key, [label], "_rf_r")
     return r.withColumn(name, F.when(F.col("_rf_r") <= _by_class_cut(label, counts, share), "test").otherwise("train")).drop("_rf_r")
 
 
@@ -63,8 +85,9 @@ def split_three_way(
     df: DataFrame, label: str = "LABEL", key: str = KEY, shares: tuple[float, float] = (0.15, 0.15), seed: int = SEED, name: str = "SPLIT"
 ) -> DataFrame:
     """Stratified train / validation / test; one rank within the class, two cut points."""
-    counts = _class_counts(df, label)
-    r = hash_ranked(df, key, seed, by=[label])
+    ranks = _narrow_ranks(df, key, seed, [label], "_rf_r")
+    counts = _group_sizes(ranks, [label], "_rf_r")
+    r = _join_back(df, ranks, key, [label], "_rf_r")
     t_cut = _by_class_cut(label, counts, shares[0])
     v_cut = _by_class_cut(label, counts, shares[0] + shares[1])
     return r.withColumn(

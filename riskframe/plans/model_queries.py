@@ -16,7 +16,7 @@ from riskframe.operators import clean, features, joins, models, sampling, scorin
 from riskframe.plans import oracle_sql as osql
 from riskframe.plans.common import rounded
 from riskframe.plans.registry import register
-from riskframe.session import scratch_path
+from riskframe.session import materialize, scratch_path
 from riskframe.sources import fixtures as fx
 from riskframe.sources.fixtures import FIXTURE_CUTS, FIXTURE_TODAY, with_views
 
@@ -26,7 +26,8 @@ _CACHE: dict = {}
 
 
 def _ml_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
-    """Labelled feature table, band columns imputed with flags, stratified split; checkpointed once."""
+    """Labelled feature table, band columns imputed with flags (written once to the checkpoint folder), and a
+    stratified split."""
     ck = ("table", id(spark), sf)
     if ck not in _CACHE:
         ft = features.feature_table(
@@ -34,9 +35,8 @@ def _ml_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
             today=FIXTURE_TODAY, cuts=FIXTURE_CUTS,
         )
         bands = list(features.BAND_COUNT_COLS + features.BAND_RATIO_COLS)
-        ml = models.impute_with_flags(ft, bands)
+        ml = materialize(models.impute_with_flags(ft, bands), "ml-table")  # computed once, lineage cut
         ml = sampling.split_stratified(ml)
-        ml = ml.checkpoint(eager=True)
         feats = models.feature_columns(ml, exclude=[KEY, "LABEL", "SPLIT"])
         _CACHE[ck] = (ml, feats)
     return _CACHE[ck]

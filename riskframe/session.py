@@ -51,3 +51,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder for intermediate tables and sinks."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a parquet table under the shared checkpoint folder and reading it back.
+
+    Same guarantees as a reliable checkpoint (the rows are fixed once written, lost executors cannot change
+    them), stored columnar and compressed. Column values — not row order — carry any numbering."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
