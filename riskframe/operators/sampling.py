@@ -27,7 +27,7 @@ def _class_counts(df: DataFrame, label: str) -> dict:
 
 def _narrow_ranks(df: DataFrame, key: str, seed: int, by: Sequence[str], name: str) -> DataFrame:
     """(key, *by, name): rows numbered 1..n within ``by`` in seeded hash order, over the narrow projection."""
-    return row_index(df.select(key, *by), [hash_order(key, seed), F.col(key)], by=by, name=name)
+    return row_index(df.select(key, *by), [hash_order(key, seed), F.col(key)], by=by, name=name, few_groups=True)
 
 
 def _join_back(df: DataFrame, ranks: DataFrame, key: str, by: Sequence[str], name: str) -> DataFrame:
@@ -112,7 +112,7 @@ def balance_bootstrap(df: DataFrame, label: str = "LABEL", key: str = KEY, seed:
     m = max(n0, n1)
     if n0 == 0 or n1 == 0:
         raise ValueError("bootstrap balancing needs rows of both classes")
-    numbered = row_index(df, [F.col(key)], by=[label], name="_rf_i")
+    numbered = row_index(df, [F.col(key)], by=[label], name="_rf_i", few_groups=True)
     spark = df.sparkSession
     draws = spark.range(2 * m).select(
         (F.col("id") / m).cast("int").alias("_rf_c"), (F.col("id") % m).alias("DRAW")
@@ -133,6 +133,7 @@ def class_weights(df: DataFrame, label: str = "LABEL", name: str = "WEIGHT") ->
 
 
 def mini_batches(df: DataFrame, key: str = KEY, by: Sequence[str] = (), size: int = BATCH_SIZE, seed: int = SEED, name: str = "BATCH") -> DataFrame:
-    """Batch number floor((position - 1) / size) after a seeded shuffle, within ``by`` (e.g. the split)."""
+    """Batch number floor((position - 1) / size) after a seeded shuffle, within ``by`` (a few groups, e.g. the
+    split)."""
     r = hash_ranked(df, key, seed, by=by)
     return r.withColumn(name, ((F.col("_rf_r") - 1) / size).cast("bigint")).drop("_rf_r")
