@@ -137,23 +137,34 @@ def run_upsert_stream(
     checkpoint: str,
     score_fn,
     files_per_trigger: int = 1,
+    state_partitions: int | None = None,
 ) -> None:
     """M1 + M2: stream the files under ``source`` (``availableNow``, ``files_per_trigger`` per micro-batch),
     score each row with ``score_fn`` (DataFrame -> DataFrame adding SCORE, null on failure) and keep the latest
-    scored row per account in the state store; change records and running counts go to ``sink``."""
+    scored row per account in the state store; change records and running counts go to ``sink``.
+
+    ``state_partitions`` fixes the number of state-store partitions when the query first starts (it cannot change
+    later for the same checkpoint); by default the session's ``spark.sql.shuffle.partitions`` applies."""
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
     s = score_fn(rows)
     scored = s.select(KEY, "SEQ", F.when(F.isnan("SCORE"), F.lit(None)).otherwise(F.col("SCORE")).alias("SCORE"))
     changes = scored.groupBy(KEY).applyInPandasWithState(
         _latest_per_account, CHANGE_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
     )
-    q = (
-        changes.writeStream.foreachBatch(lambda df, batch_id: write_batch(df, sink, batch_id))
-        .option("checkpointLocation", checkpoint)
-        .outputMode("update")
-        .trigger(availableNow=True)
-        .start()
-    )
+    key_conf = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key_conf)
+    if state_partitions:
+        spark.conf.set(key_conf, str(state_partitions))  # read once when the stream starts (session is cloned)
+    try:
+        q = (
+            changes.writeStream.foreachBatch(lambda df, batch_id: write_batch(df, sink, batch_id))
+            .option("checkpointLocation", checkpoint)
+            .outputMode("update")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(key_conf, before)
     q.awaitTermination()
 
 

@@ -30,7 +30,8 @@ def test_stream_upsert_out_of_order_and_failures(spark):
     spark.createDataFrame([(1, 5, 0.9), (1, 9, None)], schema).write.parquet(f"{src}/f=1")
     spark.createDataFrame([(1, 3, 0.1), (2, 4, 0.55)], schema).write.parquet(f"{src}/f=2")
     sink, ck = scratch_path(spark, "sink"), scratch_path(spark, "ck")
-    upsert.run_upsert_stream(spark, f"{src}/f=*", schema, sink, ck, lambda r: r.withColumn("SCORE", F.col("AMT")))
+    upsert.run_upsert_stream(spark, f"{src}/f=*", schema, sink, ck, lambda r: r.withColumn("SCORE", F.col("AMT")),
+                             state_partitions=4)
     cur = {r.ACCT_NBR: (r.SEQ, r.SCORE, r.LEVEL) for r in upsert.current_table(spark, sink).collect()}
     assert cur == {1: (5, 0.9, "high"), 2: (4, 0.55, "medium")}
     counts = {r.NAME: r.N for r in upsert.latest_counts(spark, sink).collect()}
