@@ -40,3 +40,19 @@ def test_detector_pipeline(spark):
     assert set(p.columns) == {"account_id", "fraud_probability", "fraud_prediction", "risk_level"}
     lo, hi = p.agg(F.min("fraud_probability"), F.max("fraud_probability")).first()
     assert 0.0 <= lo <= hi <= 1.0
+
+
+def test_reader_from_csv_paths(spark):
+    from riskframe.sources import files
+    from riskframe.sources import fixtures as fx
+
+    paths = {}
+    for name, df in {"acc": fx.accounts(spark, SF_SMALL), "idn": fx.identity(spark, SF_SMALL),
+                     "txn": fx.transactions(spark, SF_SMALL), "ntc": fx.notices(spark, SF_SMALL)}.items():
+        paths[name] = files.write_csv(df, scratch_path(spark, f"csv-{name}"))
+    t = api.AccountTables(spark, paths["acc"], paths["idn"], paths["txn"], paths["ntc"], today=fx.FIXTURE_TODAY)
+    from_csv = t.get_transaction_merge_into_account()
+    from_df = api.from_fixtures(spark, SF_SMALL).get_transaction_merge_into_account()
+    assert from_csv.count() == from_df.count()
+    assert from_csv.agg(F.sum("LABEL")).first()[0] == from_df.agg(F.sum("LABEL")).first()[0]
+    assert abs(from_csv.agg(F.sum("TX_AMT_1")).first()[0] - from_df.agg(F.sum("TX_AMT_1")).first()[0]) < 1e-6
