@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.session import materialize
+
 #: White space of the contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,6 +24,13 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def sized(df: DataFrame, name: str, rows: int = 100_000) -> DataFrame:
+    """``df`` written to the shared folder, marked for broadcast where it has at most ``rows`` rows (of a few numbers or
+    short names each); a larger one joins by a shuffle like any other table."""
+    df = materialize(df, name)
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def held_out(id_col: Column) -> Column:
     """crc32 of the id's decimal text mod 4 is 2; false for a null id."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import held_out, table
+from riskframe.llm.common import held_out, sized, table
 from riskframe.llm.registry import register
 
 SPAN, HIDDEN = 64, 12
@@ -187,10 +187,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     labelled = lang.isNotNull() & F.col(f"`{text_col}`").isNotNull() & ~held_out(ident)
     ranked = docs.where(labelled).select(ident.alias("_l_id"), lang.alias("_l_lang"))
     order = Window.partitionBy("_l_lang").orderBy(F.xxhash64("_l_id"), "_l_id")
-    # At most per_language ids of each language: small enough to go to every task.
+    # At most per_language ids of each language.
     ids = ranked.withColumn("_l_no", F.row_number().over(order)).where(F.col("_l_no") <= per_language).select("_l_id").distinct()
     rows = docs.where(labelled).select(ident.alias("id"), lang.alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = rows.join(F.broadcast(ids), F.col("id").eqNullSafe(F.col("_l_id")), "left_semi")
+    rows = rows.join(sized(ids, "language-sample"), F.col("id").eqNullSafe(F.col("_l_id")), "left_semi")
 
     @F.pandas_udf("array<binary>")
     def cut(texts: pd.Series) -> pd.Series:

@@ -10,7 +10,8 @@ there and the excess reshared by weight until none is above. Solved in closed fo
 the held sources are a prefix.
 
 Running sums use the two-level prefix sums of ``riskframe.operators.ordering`` (range partitions plus one offset each),
-so a source with a third of all rows is spread over many tasks. Only the table of sources is sorted in one task.
+so a source with a third of all rows is spread over many tasks. Only the table of sources, one row each, is sorted in
+one task; it meets the rows by a broadcast where it is counted small, else by a shuffle.
 
 Defined results: size is the number of words (null text: 0); null is a source of its own, sorted last; documents
 without words take 0; documents that share id and source are taken alike; an empty table gives an empty result.
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import WORD, table
+from riskframe.llm.common import sized as small
 from riskframe.llm.registry import register
 from riskframe.operators.ordering import prefix_sums
 from riskframe.session import materialize
@@ -75,7 +77,7 @@ def mix(
 ) -> DataFrame:
     """One row for each row of ``docs``: doc_id, size, source_size, target, taken, source, k."""
     rows = materialize(sized(docs, id_col, text_col, source_col), "mix-sizes")
-    sources = materialize(targets_of(rows, weight, max_repeats), "mix-sources")
+    sources = small(targets_of(rows, weight, max_repeats), "mix-sources")
     rows = rows.withColumnRenamed("source", "_s").join(sources, F.col("_s").eqNullSafe(F.col("source"))).drop("_s")
     queued = prefix_sums(rows, ["no", "k", "doc_id"], ["size"])
     queued = queued.withColumn("mine", F.col("cum_size") - F.col("base"))
@@ -90,6 +92,7 @@ def mix(
     )
     merged = prefix_sums(served, ["finish", "no", "at"], ["size"])
     cuts = merged.where(F.col("cum_size") <= F.col("budget")).groupBy("no").agg(F.max("at").alias("cut"))
+    cuts = small(cuts, "mix-cuts")
     out = queued.join(cuts, "no", "left")
     taken = F.lit(0).cast("bigint")
     for e in range(max_repeats):

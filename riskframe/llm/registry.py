@@ -8,11 +8,15 @@ QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 MODULES = [
+    "simhash",
     "language_id",
     "minhash",
     "mixing",
     "bpe",
     "sharding",
+    "suffix_dedup",
+    "toxicity",
+    "token_files",
     "exact_dedup",
 ]
 

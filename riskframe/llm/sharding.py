@@ -112,7 +112,7 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return pd.Series(place(j.to_numpy(), size.to_numpy(), np.stack(at.to_numpy())).astype("int32"))
 
     placed = ranked.join(starts, "total").select("g", shard_of(F.col("pos") - F.col("first"), "total", "loads").alias("shard"))
-    out = row_index(rows.join(placed, "g"), ["doc_id", "g"], by=["shard"], name="slot", few_groups=True)
+    out = row_index(rows.join(placed, "g"), ["doc_id", "g"], by=["shard"], name="slot")
     return out.select(
         "doc_id",
         "size",
