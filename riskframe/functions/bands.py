@@ -46,8 +46,10 @@ def risk_band_score(s: Column | str, high: float = SCORE_HIGH, medium: float = S
 
 
 def apply_threshold(p: Column | str, t: float | Column) -> Column:
-    """Hard prediction (I4): 1 when the probability is strictly greater than the threshold, else 0."""
-    return F.when(_c(p) > (t if isinstance(t, Column) else F.lit(float(t))), 1).otherwise(0)
+    """Hard prediction (I4): 1 when the probability is strictly greater than the threshold, else 0 (also for null, and for
+    NaN, which Spark would order above every number)."""
+    over = _c(p) > (t if isinstance(t, Column) else F.lit(float(t)))
+    return F.when(over & ~F.isnan(_c(p).cast("double")), 1).otherwise(0)
 
 
 def feature_string(columns: Sequence[str]) -> Column:

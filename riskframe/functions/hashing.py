@@ -9,9 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TWO_32 = 4294967296.0
-
-
 def seeded_text(key: Column | str, seed: int | str) -> Column:
     k = F.col(key) if isinstance(key, str) else key
     return F.concat(F.lit(f"{seed}-"), k.cast("string"))
@@ -22,19 +19,14 @@ def hash_order(key: Column | str, seed: int | str) -> Column:
     return F.md5(seeded_text(key, seed))
 
 
-def hash_u32(key: Column | str, seed: int | str) -> Column:
-    """First 32 bits of md5(``seed-key``) as a bigint in [0, 2^32)."""
-    return F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("bigint")
-
-
-def hash_unit(key: Column | str, seed: int | str) -> Column:
-    """A uniform number in [0, 1) from md5(``seed-key``)."""
-    return hash_u32(key, seed) / F.lit(TWO_32)
+def hash_u60(key: Column | str, seed: int | str) -> Column:
+    """First 60 bits of md5(``seed-key``) as a bigint in [0, 2^60): wide enough to pick one of any number of rows."""
+    return F.conv(F.substring(hash_order(key, seed), 1, 15), 16, 10).cast("bigint")
 
 
-def sql_hash_u32(key_sql: str, seed: int | str) -> str:
-    """DuckDB text of :func:`hash_u32`."""
-    return f"CAST('0x' || substr(md5(concat('{seed}-', CAST({key_sql} AS VARCHAR))), 1, 8) AS BIGINT)"
+def sql_hash_u60(key_sql: str, seed: int | str) -> str:
+    """DuckDB text of :func:`hash_u60`."""
+    return f"CAST('0x' || substr(md5(concat('{seed}-', CAST({key_sql} AS VARCHAR))), 1, 15) AS BIGINT)"
 
 
 def sql_hash_order(key_sql: str, seed: int | str) -> str:

@@ -18,10 +18,9 @@ KEY = "ACCT_NBR"
 
 
 def join_identity(accounts: DataFrame, identity: DataFrame, on: str = "CUST_ID") -> DataFrame:
-    """accounts LEFT JOIN identity on ``on`` where null matches null (C1); duplicate identity rows multiply."""
-    right = identity.withColumnRenamed(on, "_rf_on")
-    out = accounts.join(right, accounts[on].eqNullSafe(right["_rf_on"]), "left")
-    return out.drop("_rf_on")
+    """accounts LEFT JOIN identity on ``on`` (C1); duplicate identity rows multiply. A null matches nothing: accounts
+    without a customer get no identity (matching null with null would pair all of them with all such identity rows)."""
+    return accounts.join(identity, on, "left").select(*accounts.columns, *[c for c in identity.columns if c != on])
 
 
 def restrict_to_known(rows: DataFrame, known: DataFrame, key: str = KEY) -> DataFrame:

@@ -23,6 +23,7 @@ from riskframe.defaults import (
 )
 from riskframe.functions.bands import apply_threshold
 from riskframe.operators.ordering import prefix_sums
+from riskframe.session import materialize
 
 
 def sweep_thresholds(start: float = SWEEP_START, step: float = SWEEP_STEP, count: int = SWEEP_COUNT) -> list[float]:
@@ -107,11 +108,12 @@ def threshold_curve(df: DataFrame, score: str = "SCORE", label: str = "LABEL", t
 
     No cross join with a threshold table: the thresholds are literals inside the single pass."""
     ts = list(thresholds) if thresholds is not None else sweep_thresholds()
-    s, y = F.col(score), F.col(label)
+    y = F.col(label)
     parts = [F.count(F.when(y == 1, 1)).alias("P")]
     for i, t in enumerate(ts):
-        parts.append(F.count(F.when((s > t) & (y == 1), 1)).alias(f"tp{i}"))
-        parts.append(F.count(F.when(s > t, 1)).alias(f"pp{i}"))
+        flagged = _pred(score, t) == 1
+        parts.append(F.count(F.when(flagged & (y == 1), 1)).alias(f"tp{i}"))
+        parts.append(F.count(F.when(flagged, 1)).alias(f"pp{i}"))
     a = df.agg(*parts)
     rows = []
     for i, t in enumerate(ts):
@@ -133,16 +135,18 @@ def score_groups(df: DataFrame, score: str = "SCORE", label: str = "LABEL") -> D
     )
 
 
-def _totals(df: DataFrame, label: str) -> tuple[int, int]:
-    row = df.agg(F.count(F.when(F.col(label) == 1, 1)).alias("P"), F.count(F.when(F.col(label) != 1, 1)).alias("N")).first()
-    return int(row["P"]), int(row["N"])
+def _grouped(df: DataFrame, score: str, label: str) -> tuple[DataFrame, int, int]:
+    """The score groups, written once, and the totals of positives and negatives read off them."""
+    groups = materialize(score_groups(df, score, label), "score-groups")
+    row = groups.agg(F.sum("POS").alias("P"), F.sum("NEG").alias("N")).first()
+    return groups, int(row["P"] or 0), int(row["N"] or 0)
 
 
 def roc_points(df: DataFrame, score: str = "SCORE", label: str = "LABEL") -> DataFrame:
     """(THRESHOLD, FPR, TPR) for each distinct score (score >= threshold is positive), plus the start point
     (+inf, 0, 0). All points are kept (no collinear-point dropping)."""
-    P, N = _totals(df, label)
-    cum = prefix_sums(score_groups(df, score, label), [F.col("SCORE").desc()], ["POS", "NEG"])
+    groups, P, N = _grouped(df, score, label)
+    cum = prefix_sums(groups, [F.col("SCORE").desc()], ["POS", "NEG"])
     pts = cum.select(
         F.col("SCORE").alias("THRESHOLD"), _div(F.col("cum_NEG"), F.lit(N)).alias("FPR"), _div(F.col("cum_POS"), F.lit(P)).alias("TPR")
     )
@@ -154,8 +158,8 @@ def roc_points(df: DataFrame, score: str = "SCORE", label: str = "LABEL") -> Dat
 
 def pr_points(df: DataFrame, score: str = "SCORE", label: str = "LABEL") -> DataFrame:
     """(THRESHOLD, PRECISION, RECALL) for each distinct score, plus the end point (+inf, 1, 0)."""
-    P, _ = _totals(df, label)
-    cum = prefix_sums(score_groups(df, score, label), [F.col("SCORE").desc()], ["POS", "NEG"])
+    groups, P, _ = _grouped(df, score, label)
+    cum = prefix_sums(groups, [F.col("SCORE").desc()], ["POS", "NEG"])
     pts = cum.select(
         F.col("SCORE").alias("THRESHOLD"),
         _div(F.col("cum_POS"), F.col("cum_POS") + F.col("cum_NEG")).alias("PRECISION"),
@@ -169,16 +173,16 @@ def pr_points(df: DataFrame, score: str = "SCORE", label: str = "LABEL") -> Data
 
 def average_precision(df: DataFrame, score: str = "SCORE", label: str = "LABEL") -> DataFrame:
     """Sum over distinct scores (high to low) of (recall step) x precision = sum(pos_k * precision_k) / P."""
-    P, _ = _totals(df, label)
-    cum = prefix_sums(score_groups(df, score, label), [F.col("SCORE").desc()], ["POS", "NEG"])
+    groups, P, _ = _grouped(df, score, label)
+    cum = prefix_sums(groups, [F.col("SCORE").desc()], ["POS", "NEG"])
     prec = _div(F.col("cum_POS"), F.col("cum_POS") + F.col("cum_NEG"))
     return cum.agg(_div(F.sum(F.col("POS") * prec), F.lit(P)).alias("AVERAGE_PRECISION"))
 
 
 def auc_score(df: DataFrame, score: str = "SCORE", label: str = "LABEL") -> DataFrame:
     """ROC area on scores with ties counted half: sum_k pos_k * (neg strictly below + neg_k / 2) / (P * N)."""
-    P, N = _totals(df, label)
-    cum = prefix_sums(score_groups(df, score, label), [F.col("SCORE").asc()], ["NEG"], inclusive=False)
+    groups, P, N = _grouped(df, score, label)
+    cum = prefix_sums(groups, [F.col("SCORE").asc()], ["NEG"], inclusive=False)
     return cum.agg(_div(F.sum(F.col("POS") * (F.col("cum_NEG") + F.col("NEG") / 2.0)), F.lit(P * N)).alias("AUC"))
 
 

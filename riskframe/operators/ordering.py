@@ -7,8 +7,8 @@ used instead:
 2. ``sortWithinPartitions`` + ``monotonically_increasing_id`` number the rows inside each range (the id is
    ``partition_id << 33 | position`` and grows with the sorted position, no extra shuffle);
 3. a per-(partition, group) summary (at most partitions x groups rows) gives each range its offset;
-4. the summary goes back to the rows — as a broadcast when it is bounded by the partition count (no groups, or a
-   few classes), as an ordinary join sized by AQE when there are many groups (numbering within each account).
+4. the summary goes back to the rows — as a broadcast when it is bounded by the partition count (no groups), as an
+   ordinary join sized by AQE when there are groups.
 
 The range bounds come from a sample taken when the exchange is planned, so two plans over the same input may
 cut the ranges differently. The ranged rows, with their range id and in-range number as columns, are therefore
@@ -56,20 +56,18 @@ def row_index(
     by: Sequence[str] = (),
     name: str = "ROW_IDX",
     partitions: int | None = None,
-    few_groups: bool = False,
 ) -> DataFrame:
     """Add ``name`` = 1-based position of each row in ``order`` within its ``by`` group.
 
-    The per-(range, group) summary has at most ranges x groups rows. It is broadcast only when that is bounded:
-    no ``by``, or ``few_groups=True`` (classes, splits). For many groups (e.g. per account) it is joined like any
-    other table, so AQE broadcasts it only after measuring it."""
+    The per-(range, group) summary has at most ranges + groups rows. It is broadcast only when that is bounded by the
+    number of ranges (no ``by``). With groups it is joined like any other table, so AQE broadcasts it only after
+    measuring it."""
     s = _ranged(df, by, order, partitions)
     stats = s.groupBy(_PID, *by).agg(F.min(_MID).alias("_rf_first"), F.count(F.lit(1)).alias("_rf_n"))
     before = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_rf_off", F.coalesce(F.sum("_rf_n").over(before), F.lit(0)))
     stats = stats.select(_PID, *by, "_rf_first", "_rf_off")
-    bounded = not by or few_groups
-    out = s.join(F.broadcast(stats) if bounded else stats, [_PID, *by])
+    out = s.join(stats if by else F.broadcast(stats), [_PID, *by])
     return out.withColumn(name, F.col(_MID) - F.col("_rf_first") + F.col("_rf_off") + 1).drop(
         _PID, _MID, "_rf_first", "_rf_off"
     )

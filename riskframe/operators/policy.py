@@ -21,8 +21,6 @@ from riskframe.defaults import TODAY
 from riskframe.operators.ordering import row_index
 
 ACTIONS = ("none", "drop", "turn_to_days", "one_hot_encode", "classify")
-# Upper bound on one-hot categories: a policy column is categorical, not a key.
-MAX_CATEGORIES = 4096
 
 
 def days_since(c: Column | str, today: int = TODAY) -> Column:
@@ -59,6 +57,8 @@ class ColumnPolicy:
     actions: Mapping[str, str]
     classes: Mapping[str, Sequence[Sequence]] = field(default_factory=dict)
     today: int = TODAY
+    #: Declared value lists of one-hot columns; ``fit`` reads those that aren't declared from the table.
+    categories: Mapping[str, Sequence] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         for col, act in self.actions.items():
@@ -68,16 +68,15 @@ class ColumnPolicy:
                 raise ValueError(f"classify needs value lists for column {col!r}")
 
     def fit(self, df: DataFrame) -> FittedPolicy:
-        """Collect the category list of every one-hot column (one small distinct job per column)."""
+        """The category list of every one-hot column: as declared, else its distinct values (one small distinct job per
+        column; their number is the width of the output's schema)."""
         cats: dict[str, list] = {}
         for col, act in self.actions.items():
             if act == "one_hot_encode" and col in df.columns:
-                vals = (
-                    df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).limit(MAX_CATEGORIES + 1).collect()
-                )
-                if len(vals) > MAX_CATEGORIES:
-                    raise ValueError(f"{col!r} has more than {MAX_CATEGORIES} values; not a categorical column")
-                cats[col] = [r[0] for r in vals]
+                if col in self.categories:
+                    cats[col] = list(self.categories[col])
+                else:
+                    cats[col] = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
         return FittedPolicy(self, cats)
 
     def apply(self, df: DataFrame) -> DataFrame:

@@ -8,19 +8,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.operators.windows import group_mode
+
 KEY = "ACCT_NBR"
 WEEKEND = ("Saturday", "Sunday")
 
 
-def distinct_codes(c: str):
-    """Exact distinct count of a small-domain code column (channel / transaction codes): ``size(collect_set)``
-    keeps a partial set per group (bounded by the code domain) and merges map-side, where ``count_distinct``
-    would need an Expand that multiplies the shuffled rows."""
-    return F.size(F.collect_set(c)).cast("bigint")
+def distinct_codes(df: DataFrame, key: str, col: str, name: str) -> DataFrame:
+    """(key, name): exact number of different values, as two hash aggregates (no set per group is built)."""
+    return df.where(F.col(col).isNotNull()).select(key, col).distinct().groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
 def account_profile(accounts: DataFrame, raw_txn: DataFrame, key: str = KEY) -> DataFrame:
-    """The 23-column profile per account from raw transactions, in one combinable aggregate.
+    """The 23-column profile per account from raw transactions: one hash aggregate, and three on (account, code) or
+    (account, hour) counts, joined on the account.
 
     TX_STD is the sample std (0 for a single row); MODE_TX_TIME takes the smallest hour on ties;
     IS_WEEKEND is the share of weekend transactions; accounts without transactions get zeros.
@@ -35,15 +36,18 @@ def account_profile(accounts: DataFrame, raw_txn: DataFrame, key: str = KEY) ->
         F.avg("PB_BAL").alias("AVG_PB_BAL"),
         F.max("PB_BAL").alias("MAX_PB_BAL"),
         F.min("PB_BAL").alias("MIN_PB_BAL"),
-        F.mode("TX_TIME", deterministic=True).alias("MODE_TX_TIME"),
-        distinct_codes("CHANNEL_CODE").alias("UNIQUE_CHANNELS"),
-        distinct_codes("TRN_CODE").alias("UNIQUE_TRN_CODES"),
         F.sum("mb_check").cast("bigint").alias("SUM_MB_CHECK"),
         F.sum("eb_check").cast("bigint").alias("SUM_EB_CHECK"),
         F.max("SAME_NUMBER_IP").alias("FLAG_SAME_IP"),
         F.max("SAME_NUMBER_UUID").alias("FLAG_SAME_UUID"),
         F.avg(F.when(F.col("DAY_OF_WEEK").isin(*WEEKEND), 1.0).otherwise(0.0)).alias("IS_WEEKEND"),
     )
+    for side in (
+        group_mode(raw_txn, key, "TX_TIME", "MODE_TX_TIME"),
+        distinct_codes(raw_txn, key, "CHANNEL_CODE", "UNIQUE_CHANNELS"),
+        distinct_codes(raw_txn, key, "TRN_CODE", "UNIQUE_TRN_CODES"),
+    ):
+        t = t.join(side, key, "left")
     filled = ["TX_COUNT", "TX_SUM", "TX_MEAN", "TX_STD", "TX_MAX", "TX_MIN", "AVG_PB_BAL", "MAX_PB_BAL", "MIN_PB_BAL",
               "MODE_TX_TIME", "UNIQUE_CHANNELS", "UNIQUE_TRN_CODES", "SUM_MB_CHECK", "SUM_EB_CHECK", "FLAG_SAME_IP",
               "FLAG_SAME_UUID", "IS_WEEKEND"]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.defaults import BATCH_SIZE, N_FOLDS, SEED, TEST_SHARE
-from riskframe.functions.hashing import hash_order, hash_u32
+from riskframe.functions.hashing import hash_order, hash_u60
 from riskframe.operators.ordering import row_index
 
 KEY = "ACCT_NBR"
@@ -27,7 +27,7 @@ def _class_counts(df: DataFrame, label: str) -> dict:
 
 def _narrow_ranks(df: DataFrame, key: str, seed: int, by: Sequence[str], name: str) -> DataFrame:
     """(key, *by, name): rows numbered 1..n within ``by`` in seeded hash order, over the narrow projection."""
-    return row_index(df.select(key, *by), [hash_order(key, seed), F.col(key)], by=by, name=name, few_groups=True)
+    return row_index(df.select(key, *by), [hash_order(key, seed), F.col(key)], by=by, name=name)
 
 
 def _join_back(df: DataFrame, ranks: DataFrame, key: str, by: Sequence[str], name: str) -> DataFrame:
@@ -59,12 +59,6 @@ def split_random(df: DataFrame, key: str = KEY, share: float = TEST_SHARE, seed:
     return r.withColumn(name, F.when(F.col("_rf_r") <= cut, "test").otherwise("train")).drop("_rf_r")
 
 
-def split_hash(df: DataFrame, key: str = KEY, share: float = TEST_SHARE, seed: int = SEED, name: str = "SPLIT") -> DataFrame:
-    """J1, streaming-friendly form: a row is 'test' when its hash falls below ``share`` — no shuffle, no count,
-    sizes approximate (binomial)."""
-    return df.withColumn(name, F.when(hash_u32(key, seed) < F.lit(int(share * 2**32)), "test").otherwise("train"))
-
-
 def _by_class_cut(label: str, counts: dict, share: float) -> Column:
     expr = None
     for c, n in counts.items():
@@ -101,26 +95,28 @@ def stratified_folds(df: DataFrame, label: str = "LABEL", key: str = KEY, k: int
     return r.withColumn(name, ((F.col("_rf_r") - 1) % k).cast("int")).drop("_rf_r")
 
 
+def bootstrap_pick(cls: Column, draw: Column, size: Column, seed: int = SEED) -> Column:
+    """The row (from 1) of its class that a draw picks: 60 bits of md5 modulo the class size."""
+    return F.pmod(hash_u60(F.concat(cls.cast("string"), F.lit("-"), draw.cast("string")), seed), size) + 1
+
+
 def balance_bootstrap(df: DataFrame, label: str = "LABEL", key: str = KEY, seed: int = SEED) -> DataFrame:
     """Both classes drawn with replacement up to the larger class's size M; labels reassigned 0 / 1.
 
-    Draw j of class c picks row ``md5(seed-c-j) mod n_c`` of that class. The draws are ``spark.range(2M)``
-    (distributed, grows with the data) joined to the rows numbered within their class — an equi-join, so a
-    row drawn many times costs nothing special: the numbered side has one row per (class, number)."""
-    counts = _class_counts(df, label)
+    Draw j of class c picks row ``md5(seed-c-j) mod n_c`` of that class. Only the narrow (key, label) projection is
+    numbered and its class sizes are read off the numbers; the draws are ``spark.range(2M)`` (distributed, grows with
+    the data) joined to it by (class, number), and the wide columns join last, on the key (which must be unique)."""
+    numbered = row_index(df.select(key, label), [F.col(key)], by=[label], name="_rf_i")
+    counts = _group_sizes(numbered, [label], "_rf_i")
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
     m = max(n0, n1)
     if n0 == 0 or n1 == 0:
         raise ValueError("bootstrap balancing needs rows of both classes")
-    numbered = row_index(df, [F.col(key)], by=[label], name="_rf_i", few_groups=True)
-    spark = df.sparkSession
-    draws = spark.range(2 * m).select(
-        (F.col("id") / m).cast("int").alias("_rf_c"), (F.col("id") % m).alias("DRAW")
-    )
-    pick = F.concat(F.col("_rf_c").cast("string"), F.lit("-"), F.col("DRAW").cast("string"))
+    draws = df.sparkSession.range(2 * m).select((F.col("id") / m).cast("int").alias("_rf_c"), (F.col("id") % m).alias("DRAW"))
     size = F.when(F.col("_rf_c") == 0, F.lit(n0)).otherwise(F.lit(n1))
-    draws = draws.withColumn("_rf_i", F.pmod(hash_u32(pick, seed), size) + 1)
-    out = draws.join(numbered.withColumnRenamed(label, "_rf_c"), ["_rf_c", "_rf_i"])
+    draws = draws.withColumn("_rf_i", bootstrap_pick(F.col("_rf_c"), F.col("DRAW"), size, seed))
+    picked = draws.join(numbered.withColumnRenamed(label, "_rf_c"), ["_rf_c", "_rf_i"]).select(key, "DRAW", "_rf_c")
+    out = picked.join(df.drop(label), key)
     return out.select(*[c for c in df.columns if c != label], "DRAW", F.col("_rf_c").alias(label))
 
 

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from riskframe.defaults import HEAD_ROWS, PAGE_SIZE, RISK_LEVELS, SEED
 from riskframe.functions.hashing import hash_order
 from riskframe.operators.ordering import row_index
+from riskframe.operators.windows import group_mode
 
 KEY = "ACCT_NBR"
 
 
 def vote_by_account(rows: DataFrame, accounts: DataFrame, key: str = KEY, pred: str = "PRED", name: str = "VOTE") -> DataFrame:
     """Per account the mode of its row predictions (smallest on ties); an account without rows votes 0."""
-    votes = rows.groupBy(key).agg(F.mode(pred, deterministic=True).alias(name))
+    votes = group_mode(rows, key, pred, name)
     return accounts.select(key).join(votes, key, "left").select(key, F.coalesce(F.col(name), F.lit(0)).alias(name))
 
 

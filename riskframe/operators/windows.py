@@ -22,16 +22,14 @@ from riskframe.operators.ordering import _MID, _PID, _ranged
 def lag_in_order(df: DataFrame, key: str, order: Sequence[str], col: str, name: str, partitions: int | None = None) -> DataFrame:
     """``name`` = value of ``col`` on the previous row of the same key in ``order`` (null for the first)."""
     s = _ranged(df, [key], order, partitions)
-    inside = Window.partitionBy(_PID).orderBy(_MID)
-    s = s.withColumn("_rf_pk", F.lag(key).over(inside)).withColumn("_rf_pv", F.lag(col).over(inside))
+    inside = Window.partitionBy(key, _PID).orderBy(_MID)  # a hot key stays split by range, the others spread by key
+    s = s.withColumn("_rf_pk", F.lag(_MID).over(inside)).withColumn("_rf_pv", F.lag(col).over(inside))
     last = s.groupBy(_PID).agg(F.max_by(F.struct(F.col(key).alias("k"), F.col(col).alias("v")), F.col(_MID)).alias("_rf_last"))
     prev_range = Window.orderBy(_PID)
     last = last.select(_PID, F.lag("_rf_last").over(prev_range).alias("_rf_edge"))
     out = s.join(F.broadcast(last), _PID, "left")
-    prev = (
-        F.when(F.col("_rf_pk").isNotNull() & (F.col("_rf_pk") == F.col(key)), F.col("_rf_pv"))
-        .when(F.col("_rf_pk").isNull() & (F.col("_rf_edge.k") == F.col(key)), F.col("_rf_edge.v"))
-    )
+    # only a key's first row in its range has no row before it there; the range before may end with the same key
+    prev = F.when(F.col("_rf_pk").isNotNull(), F.col("_rf_pv")).when(F.col("_rf_edge.k") == F.col(key), F.col("_rf_edge.v"))
     return out.select(*df.columns, prev.alias(name))
 
 
@@ -41,10 +39,17 @@ def txn_gap(df: DataFrame, key: str, order: str, date: str, first: int = FIRST_G
     return lagged.select(*df.columns, F.coalesce(F.col(date) - F.col("_rf_prev"), F.lit(first)).alias(name))
 
 
+def group_mode(df: DataFrame, key: str, col: str, name: str = "GROUP_MODE") -> DataFrame:
+    """(key, name): the group's most frequent value, the smallest on ties. Values are counted by a hash aggregate first,
+    so no group's values are gathered."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(key, col).agg(F.count(F.lit(1)).alias("_rf_c"))
+    best = counts.groupBy(key).agg(F.min(F.struct((-F.col("_rf_c")).alias("c"), F.col(col).alias("v"))).alias("_rf_b"))
+    return best.select(key, F.col("_rf_b.v").alias(name))
+
+
 def group_mode_broadcast(df: DataFrame, key: str, col: str, name: str = "GROUP_MODE") -> DataFrame:
     """the group's mode (smallest on ties) attached to every row of the group."""
-    modes = df.groupBy(key).agg(F.mode(col, deterministic=True).alias(name))
-    return df.join(modes, key, "left")
+    return df.join(group_mode(df, key, col, name), key, "left")
 
 
 def duplicate_flag(df: DataFrame, key: str, name: str = "DUPLICATE") -> DataFrame:

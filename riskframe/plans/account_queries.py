@@ -218,7 +218,7 @@ _C1_COLS = ["ACCT_NBR", "CUST_ID", "CANCEL_NO_CONTACT", "IS_DIGITAL", "ACCT_OPEN
     with_views(
         "SELECT a.ACCT_NBR, a.CUST_ID, a.CANCEL_NO_CONTACT, a.IS_DIGITAL, a.ACCT_OPEN_DT, round(a.AUM_AMT, 6) AS AUM_AMT, "
         "i.DATE_OF_BIRTH, i.YEARLYINCOMELEVEL, i.CNTY_CD FROM v_accounts a LEFT JOIN v_identity i "
-        "ON a.CUST_ID IS NOT DISTINCT FROM i.CUST_ID",
+        "ON a.CUST_ID = i.CUST_ID",
         "v_accounts", "v_identity",
     ),
 )

@@ -30,7 +30,7 @@ def account_cte(today: int = FIXTURE_TODAY) -> str:
   COALESCE(i.DATE_OF_BIRTH, {f['DATE_OF_BIRTH']}) AS DATE_OF_BIRTH,
   COALESCE(i.YEARLYINCOMELEVEL, {f['YEARLYINCOMELEVEL']}) AS YEARLYINCOMELEVEL,
   {_in('i.CNTY_CD', [12])} AS CNTY_CD
-FROM v_accounts a LEFT JOIN v_identity i ON a.CUST_ID IS NOT DISTINCT FROM i.CUST_ID
+FROM v_accounts a LEFT JOIN v_identity i ON a.CUST_ID = i.CUST_ID
 WHERE a.ACCT_NBR IS NOT NULL"""
 
 

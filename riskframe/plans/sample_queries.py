@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.defaults import SEED
-from riskframe.functions.hashing import sql_hash_order, sql_hash_u32
+from riskframe.functions.hashing import sql_hash_order, sql_hash_u60
 from riskframe.operators import joins, sampling
 from riskframe.plans import oracle_sql as osql
 from riskframe.plans.account_queries import _acc
@@ -75,7 +75,7 @@ _PICK = "CAST(c AS VARCHAR) || '-' || CAST(DRAW AS VARCHAR)"
         "cnt AS (SELECT count(CASE WHEN LABEL = 0 THEN 1 END) AS n0, count(CASE WHEN LABEL = 1 THEN 1 END) AS n1 FROM lab_acc), "
         "d AS (SELECT unnest(range(0, 2 * greatest(n0, n1))) AS id, greatest(n0, n1) AS m, n0, n1 FROM cnt), "
         "d2 AS (SELECT CAST(id // m AS INT) AS c, id % m AS DRAW, n0, n1 FROM d), "
-        f"d3 AS (SELECT c, DRAW, {sql_hash_u32(_PICK, SEED)} % (CASE WHEN c = 0 THEN n0 ELSE n1 END) + 1 AS i FROM d2) "
+        f"d3 AS (SELECT c, DRAW, {sql_hash_u60(_PICK, SEED)} % (CASE WHEN c = 0 THEN n0 ELSE n1 END) + 1 AS i FROM d2) "
         "SELECT num.ACCT_NBR, d3.DRAW, d3.c AS LABEL FROM d3 JOIN num ON num.LABEL = d3.c AND num.i = d3.i",
         *_LAB_VIEWS,
     ),

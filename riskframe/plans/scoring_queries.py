@@ -148,7 +148,7 @@ def _detail_sql() -> str:
         parts.append(f"SELECT ACCT_NBR, '{c}' AS FIELD, COALESCE({v}, '') AS VALUE FROM j")
     return (
         "WITH j AS (SELECT a.ACCT_NBR, a.CANCEL_NO_CONTACT, a.IS_DIGITAL, a.ACCT_OPEN_DT, a.AUM_AMT, i.DATE_OF_BIRTH, i.YEARLYINCOMELEVEL, i.CNTY_CD "
-        "FROM v_accounts a LEFT JOIN v_identity i ON a.CUST_ID IS NOT DISTINCT FROM i.CUST_ID) " + " UNION ALL ".join(parts)
+        "FROM v_accounts a LEFT JOIN v_identity i ON a.CUST_ID = i.CUST_ID) " + " UNION ALL ".join(parts)
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,19 +32,23 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate data: ``spark.checkpoint.dir``, else the folder set with
+    ``SparkContext.setCheckpointDir``.
 
-    On a cluster the setting points at shared storage and is only read here. When it is unset
-    (local tests) a fresh folder under the system temp dir is created and set.
-    """
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    Where neither is set, a local session (``local[*]``: driver and executors share the machine) gets a fresh folder
+    under the system's temp dir; on a cluster that is an error, since executors don't see each other's disks."""
+    sc = spark.sparkContext
+    own = sc.getCheckpointDir()
+    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf and own is not None:
+        conf = own.rsplit("/", 1)[0]  # Spark keeps a folder of its own below the one that was set
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf = tempfile.mkdtemp(prefix="riskframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(conf)
+    if own is None:
+        sc.setCheckpointDir(conf)
     return conf
 
 
@@ -61,3 +66,21 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str = "job"):
+    """Intermediate tables written within the ``with`` block go below one folder, which is removed at its end. Use it
+    round a query and the action that reads its result."""
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    path = scratch_path(spark, name)
+    spark.conf.set("spark.checkpoint.dir", path)
+    try:
+        yield path
+    finally:
+        if before is None:
+            spark.conf.unset("spark.checkpoint.dir")
+        else:
+            spark.conf.set("spark.checkpoint.dir", before)
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -1,132 +1,41 @@
 """Structured Streaming: scored rows upserted per account, with running risk counts (M1, M2).
 
-Per-micro-batch work is proportional to the batch, not to the number of accounts seen so far:
-
-* the latest scored row of every account lives in Spark's **state store**, keyed and partitioned by account
-  (``applyInPandasWithState``, update mode). For each account present in a micro-batch the state function keeps
-  the newest successfully scored row (largest SEQ; a late, lower SEQ never overwrites) and emits a change record
-  (new row, previous level / score) only when the account's row changed, plus the number of rows it processed;
-* ``foreachBatch`` appends the change records to ``<sink>/changes/batch=<id>`` and writes the running counts
-  ``<sink>/counts/batch=<id>`` = previous counts + (new levels - previous levels) + processed rows.
-  Both writes are keyed by the batch id and overwrite on a retry, so the sink is exactly-once;
-* the current table (M1) is the latest change per account (``max_by`` on SEQ, a combinable aggregate).
-
-Failed rows (null or NaN score) count as processed but are never stored.
+The state is a streaming aggregate in update mode: per account the newest successfully scored row (``max_by`` on SEQ; a
+late, lower SEQ never overwrites) and the number of rows processed. It runs in the JVM, is combined before the shuffle
+(a hot account costs one row for each task and micro-batch), and only the accounts of a micro-batch leave it.
+
+``foreachBatch`` writes these accounts to ``<sink>/changes/batch=<id>`` -- its own folder, overwritten when a batch is
+retried, so the sink is exactly-once, and nothing earlier is listed or read. A micro-batch costs its own rows.
+
+Reading combines base and changes: the current table (M1) is the change with the largest row count of each account (the
+count only grows), the risk counts (M2) are one aggregate over it. ``compact`` folds the changes so far into a new base,
+so a reader's work stays in proportion to the accounts plus the changes since.
+
+Failed rows (null or NaN score) count as processed but are never stored. The key has whatever type the schema gives it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
 
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from riskframe.defaults import SCORE_HIGH, SCORE_MEDIUM
+from riskframe.defaults import SCORE_MEDIUM
+from riskframe.functions.bands import risk_band_score
 
 KEY = "ACCT_NBR"
 LEVELS = ("high", "medium", "low")
 COUNT_NAMES = (*LEVELS, "stored", "flagged", "processed")
 
-CHANGE_SCHEMA = (
-    f"{KEY} long, SEQ long, SCORE double, LEVEL string, PREV_LEVEL string, PREV_SCORE double, CHANGED boolean, N_ROWS long"
-)
-STATE_SCHEMA = "SEQ long, SCORE double, LEVEL string"
-
-
-def _level(score: float) -> str:
-    """Dashboard level; same rule as :func:`riskframe.functions.bands.risk_band_score`."""
-    if score >= SCORE_HIGH:
-        return "high"
-    if score >= SCORE_MEDIUM:
-        return "medium"
-    return "low"
-
-
-def _latest_per_account(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """State function: newest successfully scored row per account; a change record when it changes."""
-    n_rows = 0
-    best_seq, best_score = None, None
-    for pdf in pdfs:
-        n_rows += len(pdf)
-        seq = pdf["SEQ"].to_numpy()
-        score = pdf["SCORE"].to_numpy(dtype="float64", na_value=np.nan)
-        ok = ~np.isnan(score)
-        if ok.any():
-            i = int(np.argmax(np.where(ok, seq, np.iinfo(np.int64).min)))
-            if best_seq is None or seq[i] > best_seq:
-                best_seq, best_score = int(seq[i]), float(score[i])
-    prev = state.get if state.exists else None
-    changed = best_seq is not None and (prev is None or best_seq > prev[0])
-    if changed:
-        cur = (best_seq, best_score, _level(best_score))
-        state.update(cur)
-    else:
-        cur = prev if prev is not None else (None, None, None)
-    had = changed and prev is not None
-    yield pd.DataFrame(
-        {
-            KEY: [key[0]], "SEQ": [cur[0]], "SCORE": [cur[1]], "LEVEL": [cur[2]],
-            "PREV_LEVEL": [prev[2] if had else None], "PREV_SCORE": [prev[1] if had else None],
-            "CHANGED": [bool(changed)], "N_ROWS": [n_rows],
-        }
-    )
-
 
-def _count_deltas(changes: DataFrame) -> DataFrame:
-    """One row of count changes for a micro-batch (combinable aggregate over the change records)."""
-    ch = F.col("CHANGED")
-    aggs = [
-        (F.count(F.when(ch & (F.col("LEVEL") == lv), 1)) - F.count(F.when(ch & (F.col("PREV_LEVEL") == lv), 1))).alias(lv)
-        for lv in LEVELS
-    ]
-    aggs += [
-        F.count(F.when(ch & F.col("PREV_LEVEL").isNull(), 1)).alias("stored"),
-        (F.count(F.when(ch & (F.col("SCORE") >= SCORE_MEDIUM), 1))
-         - F.count(F.when(ch & (F.col("PREV_SCORE") >= SCORE_MEDIUM), 1))).alias("flagged"),
-        F.coalesce(F.sum("N_ROWS"), F.lit(0)).alias("processed"),
-    ]
-    return changes.agg(*aggs)
-
-
-def _batches(spark: SparkSession, path: str) -> list[int]:
-    """Committed batch folders (``batch=<n>`` holding ``_SUCCESS``), listed through the path's Hadoop file
-    system (shared storage on a cluster)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[len("batch="):]))
-    return sorted(out)
-
-
-def write_batch(changes: DataFrame, sink: str, batch_id: int) -> None:
-    """foreachBatch body: the change records, then the running counts for this batch id (7 numbers carried
-    from the previous batch's counts)."""
-    spark = changes.sparkSession
-    # the batch output feeds two writes: keep it (size of one micro-batch) so the state function runs once
-    changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        changes.where("CHANGED").select(KEY, "SEQ", "SCORE", "LEVEL").write.mode("overwrite").parquet(
-            f"{sink}/changes/batch={batch_id}"
-        )
-        prev_ids = [b for b in _batches(spark, f"{sink}/counts") if b < batch_id]
-        prev = spark.read.parquet(f"{sink}/counts/batch={prev_ids[-1]}").first().asDict() if prev_ids else {}
-        delta = _count_deltas(changes)
-        delta.select(*[(F.col(n) + F.lit(int(prev.get(n, 0)))).cast("bigint").alias(n) for n in COUNT_NAMES]).coalesce(
-            1
-        ).write.mode("overwrite").parquet(f"{sink}/counts/batch={batch_id}")
-    finally:
-        changes.unpersist()
+def latest_scored(rows: DataFrame, key: str = KEY) -> DataFrame:
+    """Per account: SEQ and SCORE of the newest scored row (null: none yet), N_ROWS processed. Batch or stream."""
+    score = F.when(~F.isnan("SCORE"), F.col("SCORE"))
+    newest = F.max_by(F.struct(F.col("SEQ"), score.alias("SCORE")), F.when(score.isNotNull(), F.col("SEQ")))
+    out = rows.groupBy(key).agg(newest.alias("_rf_r"), F.count(F.lit(1)).alias("N_ROWS"))
+    return out.select(key, F.col("_rf_r.SEQ").alias("SEQ"), F.col("_rf_r.SCORE").alias("SCORE"), "N_ROWS")
 
 
 def run_upsert_stream(
@@ -136,28 +45,26 @@ def run_upsert_stream(
     sink: str,
     checkpoint: str,
     score_fn,
-    files_per_trigger: int = 1,
+    files_per_trigger: int | None = None,
     state_partitions: int | None = None,
 ) -> None:
-    """M1 + M2: stream the files under ``source`` (``availableNow``, ``files_per_trigger`` per micro-batch),
-    score each row with ``score_fn`` (DataFrame -> DataFrame adding SCORE, null on failure) and keep the latest
-    scored row per account in the state store; change records and running counts go to ``sink``.
-
-    ``state_partitions`` fixes the number of state-store partitions when the query first starts (it cannot change
-    later for the same checkpoint); by default the session's ``spark.sql.shuffle.partitions`` applies."""
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
-    s = score_fn(rows)
-    scored = s.select(KEY, "SEQ", F.when(F.isnan("SCORE"), F.lit(None)).otherwise(F.col("SCORE")).alias("SCORE"))
-    changes = scored.groupBy(KEY).applyInPandasWithState(
-        _latest_per_account, CHANGE_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
-    )
+    """M1 + M2: stream the files under ``source`` (``availableNow``), score each row with ``score_fn`` (DataFrame ->
+    DataFrame adding SCORE, null on failure) and keep the latest scored row per account; changes go to ``sink``.
+
+    ``files_per_trigger`` limits a micro-batch (by default it takes all files there are). ``state_partitions`` fixes the
+    number of state-store partitions when the query first starts (it cannot change later for the same checkpoint); by
+    default the session's ``spark.sql.shuffle.partitions`` applies."""
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    latest = latest_scored(score_fn(reader.parquet(source)))
     key_conf = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key_conf)
     if state_partitions:
         spark.conf.set(key_conf, str(state_partitions))  # read once when the stream starts (session is cloned)
     try:
         q = (
-            changes.writeStream.foreachBatch(lambda df, batch_id: write_batch(df, sink, batch_id))
+            latest.writeStream.foreachBatch(lambda df, batch_id: write_batch(df, sink, batch_id))
             .option("checkpointLocation", checkpoint)
             .outputMode("update")
             .trigger(availableNow=True)
@@ -168,20 +75,58 @@ def run_upsert_stream(
     q.awaitTermination()
 
 
-def current_table(spark: SparkSession, sink: str) -> DataFrame:
-    """M1: latest row per account over all change records (one combinable aggregate)."""
-    if not _batches(spark, f"{sink}/changes"):
-        return spark.createDataFrame([], f"{KEY} long, SEQ long, SCORE double, LEVEL string")
-    ch = spark.read.parquet(f"{sink}/changes")
-    latest = ch.groupBy(KEY).agg(F.max_by(F.struct("SEQ", "SCORE", "LEVEL"), F.col("SEQ")).alias("r"))
-    return latest.select(KEY, "r.SEQ", "r.SCORE", "r.LEVEL")
+def write_batch(changed: DataFrame, sink: str, batch_id: int) -> None:
+    """foreachBatch body: the accounts of this micro-batch with their new state."""
+    changed.write.mode("overwrite").parquet(f"{sink}/changes/batch={batch_id}")
 
 
-def latest_counts(spark: SparkSession, sink: str) -> DataFrame:
-    """M2: the running counts written by the last micro-batch, as rows (NAME, N)."""
-    ids = _batches(spark, f"{sink}/counts")
-    if not ids:
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _state(spark: SparkSession, sink: str, key: str = KEY) -> DataFrame | None:
+    """The last state of every account: key, SEQ, SCORE, N_ROWS."""
+    parts = [spark.read.parquet(p) for p in (f"{sink}/base", f"{sink}/changes") if _exists(spark, p)]
+    if not parts:
+        return None
+    rows = parts[0].select(key, "SEQ", "SCORE", "N_ROWS")
+    for p in parts[1:]:
+        rows = rows.unionByName(p.select(key, "SEQ", "SCORE", "N_ROWS"))
+    last = rows.groupBy(key).agg(F.max_by(F.struct("SEQ", "SCORE", "N_ROWS"), F.col("N_ROWS")).alias("_rf_r"))
+    return last.select(key, "_rf_r.SEQ", "_rf_r.SCORE", "_rf_r.N_ROWS")
+
+
+def compact(spark: SparkSession, sink: str, key: str = KEY) -> str:
+    """Folds base and changes into one table at a new sink and returns its path. Run it while no stream writes; readers
+    go on with the old sink until they are given the new one, and the stream goes on at the new one."""
+    new = f"{sink.rstrip('/')}-{uuid.uuid4().hex[:8]}"
+    state = _state(spark, sink, key)
+    if state is not None:
+        state.write.parquet(f"{new}/base")
+    return new
+
+
+def current_table(spark: SparkSession, sink: str, key: str = KEY) -> DataFrame:
+    """M1: latest scored row per account, with its level."""
+    state = _state(spark, sink, key)
+    if state is None:
+        return spark.createDataFrame([], f"{key} long, SEQ long, SCORE double, LEVEL string")
+    return state.where(F.col("SCORE").isNotNull()).select(key, "SEQ", "SCORE", risk_band_score("SCORE").alias("LEVEL"))
+
+
+def latest_counts(spark: SparkSession, sink: str, key: str = KEY) -> DataFrame:
+    """M2: accounts by level, stored and flagged accounts, processed rows, as rows (NAME, N)."""
+    state = _state(spark, sink, key)
+    if state is None:
         return spark.createDataFrame([], "NAME string, N bigint")
-    c = spark.read.parquet(f"{sink}/counts/batch={ids[-1]}")
+    stored, level = F.col("SCORE").isNotNull(), risk_band_score("SCORE")
+    c = state.agg(
+        *[F.count(F.when(stored & (level == lv), 1)).alias(lv) for lv in LEVELS],
+        F.count(F.when(stored, 1)).alias("stored"),
+        F.count(F.when(F.col("SCORE") >= SCORE_MEDIUM, 1)).alias("flagged"),
+        F.coalesce(F.sum("N_ROWS"), F.lit(0)).alias("processed"),
+    )
     pairs = ", ".join(f"'{n}', `{n}`" for n in COUNT_NAMES)
     return c.selectExpr(f"stack({len(COUNT_NAMES)}, {pairs}) AS (NAME, N)")
