@@ -74,7 +74,7 @@ def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, words: int, t: int, rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, node (digest of the set; null: none), bands (array of hashes)."""
+    """doc_id, n_shingles, node (digest of the set; null: none), bands (array of hashes), text_hash."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -98,12 +98,14 @@ def sketched(docs: DataFrame, words: int, t: int, rows: int, id_col: str = "doc_
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array([next(lists) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                        b.column(2).slice(start, len(sets)),
                     ],
-                    ["doc_id", "n_shingles", "node", "bands"],
+                    ["doc_id", "n_shingles", "node", "bands", "text_hash"],
                 )
                 start += len(sets)
 
-    return id_text(docs, id_col, text_col).mapInArrow(task, "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>")
+    rows = id_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    return rows.mapInArrow(task, "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, text_hash bigint")
 
 
 def full_sets(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,7 +160,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept, text_hash."""
     bands = bands_for(percent, rows)
     rows_ = materialize(sketched(docs, words, bands * rows, rows, id_col, text_col), "minhash-sketches")
     nodes = rows_.where(F.col("node").isNotNull()).groupBy("node")
@@ -195,8 +197,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     lowest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     named = named.join(lowest, "comp").select("node", "component_id")
     linked = rows_.where(F.col("node").isNotNull()).drop("bands").join(named, "node").drop("node")
-    alone = rows_.where(F.col("node").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = linked.select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    alone = rows_.where(F.col("node").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash")
+    out = linked.select("doc_id", "n_shingles", "component_id", "text_hash").unionByName(alone)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -204,12 +206,13 @@ def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     """The rows that stay, one of each group of near-duplicates, with all their columns. Rows without words stay; rows
     that repeat id and text are one."""
     found = near_duplicates(docs, words, percent, id_col=id_col, text_col=text_col)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_n_id")).distinct()
-    rows = docs.withColumn("_m_id", F.col(f"`{id_col}`").cast("bigint"))
-    rows = rows.join(gone, F.col("_m_id").eqNullSafe(F.col("_n_id")), "left_anti")
-    return rows.dropDuplicates(["_m_id", text_col]).drop("_m_id")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_n_id"), F.col("text_hash").alias("_n_hash")).distinct()
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.withColumns({"_m_id": F.col(f"`{id_col}`").cast("bigint"), "_m_hash": F.xxhash64(text)})
+    here = F.col("_m_id").eqNullSafe(F.col("_n_id")) & (F.col("_m_hash") == F.col("_n_hash"))
+    return rows.join(gone, here, "left_anti").dropDuplicates(["_m_id", "_m_hash", text_col]).drop("_m_id", "_m_hash")
 
 
 @register("op3_minhash_dedup")
 def op3_minhash_dedup(spark, sf_dir) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("text_hash")
