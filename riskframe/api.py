@@ -1,5 +1,6 @@
 """Call-site parity: the reader / detector / helper entry points of the original project, as thin compositions
-of the DataFrame operators. Every method returns DataFrames (or fitted objects); nothing is collected.
+of the DataFrame operators. Methods return DataFrames or fitted objects. No rows are collected, but fitted things (one-hot
+lists, scalers, splits' class sizes, thresholds) run their small jobs when they are made.
 
     tables = AccountTables(spark, accounts=..., identity=..., transactions=..., notices=...)
     features = tables.get_transaction_merge_into_account()          # labelled account feature table
@@ -21,12 +22,14 @@ from riskframe.defaults import (
     SEED,
     TEST_SHARE,
     THRESHOLD_DEFAULT,
+    THRESHOLD_SHEET,
     TODAY,
+    TOP_ATTRIBUTIONS,
 )
-from riskframe.operators import clean, features, joins, metrics, models, sampling, scoring
+from riskframe.operators import attribution, features, joins, metrics, models, sampling, scoring
 from riskframe.operators.policy import ColumnPolicy, FittedPolicy, class_flags, in_list
 from riskframe.session import materialize
-from riskframe.sources import files
+from riskframe.sources import files, schemas
 
 KEY = "ACCT_NBR"
 
@@ -40,7 +43,7 @@ def _load(spark: SparkSession, src, fmt: str, schema=None) -> DataFrame | None:
 class AccountTables:
     """The account / identity / transaction / notice tables and the operations the original reader offered.
 
-    Tables are DataFrames or paths (``fmt`` = 'csv' with header, or 'parquet'). ``txn_policy`` may be a policy
+    Tables are DataFrames or paths (``fmt`` = 'csv' with header, typed by :mod:`riskframe.sources.schemas`, or 'parquet'). ``txn_policy`` may be a policy
     already fitted on training data, so a test-set reader produces the same columns (one-hot lists are not
     re-fitted per file)."""
 
@@ -48,11 +51,11 @@ class AccountTables:
                  today: int = TODAY, fmt: str = "csv", txn_policy: ColumnPolicy | FittedPolicy | None = None,
                  account_policy: ColumnPolicy | None = None, fills: Mapping[str, object] = ACCOUNT_FILLS):
         self.spark = spark
-        self.accounts = _load(spark, accounts, fmt)
-        self.identity = _load(spark, identity, fmt)
-        self.transactions = _load(spark, transactions, fmt)
-        self.notices = _load(spark, notices, fmt)
-        self.answer = _load(spark, answer, fmt)
+        self.accounts = _load(spark, accounts, fmt, schemas.ACCOUNTS)
+        self.identity = _load(spark, identity, fmt, schemas.IDENTITY)
+        self.transactions = _load(spark, transactions, fmt, schemas.TRANSACTIONS)
+        self.notices = _load(spark, notices, fmt, schemas.NOTICES)
+        self.answer = _load(spark, answer, fmt, schemas.ANSWER)
         self.today = today
         self.fills = fills
         self._acc_policy = account_policy or features.account_policy(today)
@@ -67,18 +70,15 @@ class AccountTables:
 
     def read_transaction_info(self) -> DataFrame:
         """Transactions deduplicated, policy applied, nulls zero, restricted to known accounts."""
-        acc = features.account_table(self.accounts, self.identity, self._acc_policy, self.fills)
-        return features.transaction_table(self.transactions, acc, self.txn_policy)
+        return features.transaction_table(self.transactions, self.accounts.select(KEY), self.txn_policy)
 
     def get_info(self) -> tuple[DataFrame, DataFrame]:
         return self.read_account_info(), self.read_transaction_info()
 
     def get_transaction_merge_into_account(self, cuts=None) -> DataFrame:
         """The account feature table (C5), with LABEL when notices are given; the account key is kept."""
-        acc = features.account_table(self.accounts, self.identity, self._acc_policy, self.fills)
-        tx = features.transaction_table(self.transactions, None, self.txn_policy)
-        out = features.account_features(acc, tx, cuts=cuts or features.AMOUNT_CUTS)
-        return joins.label_accounts(out, self.notices) if self.notices is not None else out
+        return features.feature_table(self.accounts, self.identity, self.transactions, self.notices, self.today, self.txn_policy,
+                                      cuts=cuts or features.AMOUNT_CUTS, acc_policy=self._acc_policy, fills=self.fills)
 
     def get_account_merge_into_transaction(self) -> DataFrame:
         """Transactions with their account's attributes (and LABEL) attached."""
@@ -154,8 +154,9 @@ class FraudDetector:
             raise ValueError("strategy must be 'account_based' or 'transaction_based'")
         ft = self.tables.get_transaction_merge_into_account()
         bands = list(features.BAND_COUNT_COLS + features.BAND_RATIO_COLS)
-        ft = materialize(models.impute_with_flags(ft, bands), "detector-table")  # computed once, lineage cut
-        ml = sampling.split_stratified(ft, seed=self.seed)
+        lab = materialize(joins.label_accounts(self.tables.accounts.select(KEY), self.tables.notices), "detector-labels")
+        split = sampling.split_stratified(lab, seed=self.seed).drop("LABEL")
+        ml = materialize(models.impute_with_flags(ft, bands).join(split, KEY), "detector-table")  # computed and split once
         self.feature_names = models.feature_columns(ml, exclude=[KEY, "LABEL", "SPLIT"])
         self.scaler = models.StandardScale.fit(ml.where("SPLIT = 'train'"), self.feature_names)
         return self.scaler.transform(ml)
@@ -167,6 +168,7 @@ class FraudDetector:
 
     def evaluate_model(self, data: DataFrame) -> dict[str, DataFrame]:
         scored = models.score(self.model, data.where("SPLIT = 'test'"), KEY, keep=["LABEL"]).withColumnRenamed("PROBABILITY", "SCORE")
+        scored = materialize(scored, "detector-scored")  # scored once, read by all tables
         out = print_result(scored, threshold=self.threshold)
         out["curve"] = metrics.threshold_curve(scored)
         out["scored"] = scored
@@ -190,6 +192,16 @@ class FraudDetector:
         return models.predict_accounts(self.model, ft, self.feature_names, self.scaler, KEY,
                                        self.threshold if threshold is None else threshold)
 
+    def curve_series(self, evaluation: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """The plotted series as tables: ROC and precision-recall points, the threshold sweep, the score scatter."""
+        s = evaluation["scored"]
+        return {"roc": metrics.roc_points(s), "pr": metrics.pr_points(s), "threshold": evaluation["curve"], "scatter": s.select(KEY, "SCORE", "LABEL")}
+
+    def attributions(self, data: DataFrame, k: int = TOP_ATTRIBUTIONS) -> DataFrame:
+        """The k features with the largest mean absolute contribution (linear surrogate, L13)."""
+        fitted = attribution.LinearAttribution.fit(data.where("SPLIT = 'train'"), self.feature_names, "LABEL")
+        return attribution.top_attributions(fitted.mean_abs(data), k)
+
     def run_pipeline(self, k: int = N_FOLDS) -> dict[str, object]:
         data = self.prepare_data()
         self.train_model(data)
@@ -199,15 +211,30 @@ class FraudDetector:
             "evaluation": ev,
             "best_threshold": best,
             "cv": self.cross_validate(data, k),
+            "series": self.curve_series(ev),
+            "attributions": self.attributions(data),
             "importance": models.feature_importance(data.sparkSession, self.model, self.feature_names),
             "predictions": self.predict(),
         }
 
 
+def lightgbm_by_account(train: AccountTables, params: Mapping[str, object] | None = None, threshold: float = THRESHOLD_DEFAULT) -> FraudDetector:
+    """Split, train and threshold on the account table, in one call; the fitted detector predicts other tables."""
+    det = FraudDetector(train, params=params or {}, threshold=threshold)
+    det.train_model(det.prepare_data())
+    return det
+
+
+def predict_and_save(det: FraudDetector, test: AccountTables, path: str, threshold: float = THRESHOLD_SHEET) -> str:
+    """Score a test set's accounts and write its answer sheet, filled, to a new path."""
+    pred = det.predict(test, threshold).select(F.col("account_id").alias(KEY), F.col("fraud_prediction").alias("PRED"))
+    return test.write_answer(pred, path)
+
+
 def from_fixtures(spark: SparkSession, sf_dir: str) -> AccountTables:
     """Reader over the test-data views (FIXTURES.md)."""
     from riskframe.sources import fixtures as fx
 
     return AccountTables(spark, fx.accounts(spark, sf_dir), fx.identity(spark, sf_dir), fx.transactions(spark, sf_dir),
                          fx.notices(spark, sf_dir), today=fx.FIXTURE_TODAY,
-                         answer=fx.notices(spark, sf_dir).select(KEY).withColumn("Y", F.lit("")))
+                         answer=fx.answer_sheet(spark, sf_dir))

@@ -106,7 +106,23 @@ FOCAL_WEIGHTS = (1.0, 7.0)
 FOCAL_SMOOTHING = 0.1
 # Sequence importance: small constant in the min-max divisor.
 IMPORTANCE_EPS = 1e-6
-# --- end of fixed values ------------------------------------------------------------------------
-
-# Default boosting parameters, mapped onto Spark's GBTClassifier (leaf count -> depth).
+# Boosting: rounds, step, row and column sampling; the leaf count maps to depth 5.
 GBT_PARAMS = {"maxIter": 1000, "stepSize": 0.05, "maxDepth": 5, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.9"}
+# Rounds of each cross-validation fold.
+CV_ROUNDS = 100
+# Search space (step, row sampling, column sampling, depth, rounds), trials, and how many run at a time.
+TUNE_SPACE = {
+    "stepSize": (0.1, 0.7),
+    "subsamplingRate": (0.75, 0.95),
+    "featureSubsetStrategy": (0.7, 0.9),
+    "maxDepth": (3, 15),
+    "maxIter": (100, 500),
+}
+TUNE_TRIALS, TUNE_PARALLEL = 50, 10
+# Columns of the account profile, in order.
+PROFILE_COLUMNS = (
+    "CANCEL_NO_CONTACT", "IS_DIGITAL", "AUM_AMT", "YEARLYINCOMELEVEL", "TX_COUNT", "TX_SUM", "TX_MEAN", "TX_STD", "TX_MAX",
+    "TX_MIN", "AVG_PB_BAL", "MAX_PB_BAL", "MIN_PB_BAL", "MODE_TX_TIME", "UNIQUE_CHANNELS", "UNIQUE_TRN_CODES",
+    "SUM_MB_CHECK", "SUM_EB_CHECK", "FLAG_SAME_IP", "FLAG_SAME_UUID", "IS_WEEKEND", "ACCOUNT_AGE", "AGE",
+)
+# --- end of fixed values ------------------------------------------------------------------------

@@ -12,7 +12,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEY = "ACCT_NBR"
@@ -43,24 +43,32 @@ class LinearAttribution:
             tuple(beta(c) for c in features),
         )
 
-    def contributions(self, df: DataFrame, key: str = KEY) -> DataFrame:
-        """Long form (key, FEATURE, VALUE, CONTRIBUTION)."""
-        rows = []
-        for c, m, s, b in zip(self.features, self.means, self.stds, self.betas):
-            contrib = F.lit(0.0) if s == 0 or b == 0 else F.lit(b) * (F.col(c) - F.lit(m)) / F.lit(s)
-            rows.append(F.struct(F.lit(c).alias("FEATURE"), F.col(c).cast("double").alias("VALUE"), contrib.alias("CONTRIBUTION")))
+    def _of(self, c: str) -> Column:
+        i = self.features.index(c)
+        m, s, b = self.means[i], self.stds[i], self.betas[i]
+        return F.lit(0.0) if s == 0 or b == 0 else F.lit(b) * (F.col(c) - F.lit(m)) / F.lit(s)
+
+    def mean_abs(self, df: DataFrame) -> DataFrame:
+        """(FEATURE, MEAN_ABS) of all features: one aggregate with a column for each, then stacked; no row is exploded."""
+        wide = df.agg(*[F.avg(F.abs(self._of(c))).alias(c) for c in self.features])
+        return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("FEATURE"), F.col(c).alias("MEAN_ABS")) for c in self.features])))
+
+    def contributions(self, df: DataFrame, features: Sequence[str] | None = None, key: str = KEY) -> DataFrame:
+        """Long form (key, FEATURE, VALUE, CONTRIBUTION) of some features (default: all)."""
+        rows = [
+            F.struct(F.lit(c).alias("FEATURE"), F.col(c).cast("double").alias("VALUE"), self._of(c).alias("CONTRIBUTION"))
+            for c in features or self.features
+        ]
         return df.select(key, F.inline(F.array(*rows)))
 
 
-def top_attributions(contrib: DataFrame, k: int) -> DataFrame:
-    """Mean |contribution| per feature, the k largest (ties by name)."""
-    return (
-        contrib.groupBy("FEATURE").agg(F.avg(F.abs("CONTRIBUTION")).alias("MEAN_ABS"))
-        .orderBy(F.col("MEAN_ABS").desc(), F.col("FEATURE").asc())
-        .limit(k)
-    )
+def top_attributions(mean_abs: DataFrame, k: int) -> DataFrame:
+    """The k features with the largest mean |contribution| (ties by name)."""
+    return mean_abs.orderBy(F.col("MEAN_ABS").desc(), F.col("FEATURE").asc()).limit(k)
 
 
-def dependence(contrib: DataFrame, top: DataFrame) -> DataFrame:
-    """(value, contribution) pairs of the top features. ``top`` holds k rows (bounded), so it is broadcast."""
-    return contrib.join(F.broadcast(top.select("FEATURE")), "FEATURE", "left_semi").select("ACCT_NBR", "FEATURE", "VALUE", "CONTRIBUTION")
+def dependence(fitted: LinearAttribution, df: DataFrame, k: int) -> DataFrame:
+    """(value, contribution) pairs of the k top features; their names (k texts) come to the driver, and only their
+    columns are exploded."""
+    top = [r["FEATURE"] for r in top_attributions(fitted.mean_abs(df), k).collect()]
+    return fitted.contributions(df, top).select("ACCT_NBR", "FEATURE", "VALUE", "CONTRIBUTION")

@@ -120,9 +120,9 @@ def txn_aggregates(
     aggs: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Per account, in one aggregate (D1-D5): custom aggs (default: tempo of ``date``), band counts and
-    ratios, the mean of every other column and ``TRN_COUNT``."""
+    ratios, the mean of every other column that isn't text, and ``TRN_COUNT``."""
     aggs = dict(aggs) if aggs is not None else {date: tempo(date)}
-    mean_cols = [c for c in txn.columns if c != key and c not in aggs]
+    mean_cols = [c for c in mean_columns(txn, key, skip=()) if c not in aggs]
     agg = txn.groupBy(key).agg(
         *[c.alias(n) for n, c in aggs.items()],
         *band_counts(amount, cuts, labels),
@@ -134,7 +134,8 @@ def txn_aggregates(
 
 
 def mean_columns(txn: DataFrame, key: str = KEY, skip: Sequence[str] = ("TX_DATE",)) -> list[str]:
-    return [c for c in txn.columns if c != key and c not in skip]
+    """The columns that get a mean: all but the key, those in ``skip`` and texts."""
+    return [f.name for f in txn.schema.fields if f.name != key and f.name not in skip and not isinstance(f.dataType, T.StringType)]
 
 
 # ---------------------------------------------------------------------------------------------- top-k
@@ -195,7 +196,7 @@ def account_features(
     slots = topk_wide(txn, k, key)
     joined = accounts.join(agg, key, "left").join(slots, key, "left")
     custom = list(aggs) if aggs is not None else [date]
-    means = [c for c in agg.columns if c not in (key, *custom, "TRN_COUNT") and not c.endswith(("_TRN_COUNT", "_TRN_RATIO"))]
+    means = [c for c in mean_columns(txn, key, skip=()) if c not in custom]
     fills: dict[str, object] = dict(agg_fills) if agg_fills is not None else {date: float(single)}
     fills["TRN_COUNT"] = 0
     fills.update({c: 0 for c in means})
@@ -212,9 +213,11 @@ def feature_table(
     txn_fitted: FittedPolicy | None = None,
     key: str = KEY,
     cuts=AMOUNT_CUTS,
+    acc_policy: ColumnPolicy | FittedPolicy | None = None,
+    fills: Mapping[str, object] = ACCOUNT_FILLS,
 ) -> DataFrame:
     """Whole account path: account table, transaction table, C5 and, with notices, the LABEL column (C4)."""
-    acc = account_table(accounts, identity, account_policy(today), key=key)
+    acc = account_table(accounts, identity, acc_policy or account_policy(today), fills, key=key)
     tx = transaction_table(txn, None, txn_fitted or txn_policy(today), key=key)
     if any(isinstance(f.dataType, T.StringType) for f in tx.schema.fields if f.name != key):
         # text columns are label-encoded on the top-k rows of known accounts only: restrict first

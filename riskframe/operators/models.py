@@ -8,7 +8,6 @@ Leaf counts of the original boosting setup map to depth (31-52 leaves ~ depth 5-
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.defaults import GBT_PARAMS, SEED, THRESHOLD_DEFAULT
+from riskframe.defaults import CV_ROUNDS, GBT_PARAMS, N_FOLDS, SEED, THRESHOLD_DEFAULT, TUNE_PARALLEL, TUNE_SPACE, TUNE_TRIALS
 from riskframe.functions.bands import apply_threshold, risk_band_cut
 
 KEY = "ACCT_NBR"
@@ -38,12 +37,6 @@ def impute_with_flags(df: DataFrame, columns: Sequence[str], suffix: str = "_mis
     return df.select(*filled, *flags)
 
 
-def nullable_numeric(df: DataFrame, features: Sequence[str]) -> list[str]:
-    """Feature columns that hold at least one null (one aggregate over the table)."""
-    row = df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in features]).first()
-    return [c for c in features if row[c]]
-
-
 @dataclass(frozen=True)
 class StandardScale:
     """K1: mean / population std fitted once (two numbers per column), applied as literals; std 0 -> 1."""
@@ -142,15 +135,33 @@ def with_class_weight(df: DataFrame, label: str = "LABEL", name: str = "WEIGHT")
     return class_weights(df, label, name)
 
 
-def cross_validate(df: DataFrame, features: Sequence[str], label: str = "LABEL", fold: str = "FOLD", k: int = 5,
+def boosting_rounds(df: DataFrame, features: Sequence[str], label: str = "LABEL", fold: str = "FOLD", k: int = N_FOLDS,
+                    params: Mapping[str, object] | None = None) -> int:
+    """K3, first half: each fold in turn is the validation part; boosting stops when its error no longer falls. The mean
+    number of rounds of the k fits."""
+    rounds = []
+    for i in range(k):
+        rows = with_class_weight(df, label).withColumn("_rf_valid", F.col(fold) == i)
+        rounds.append(fit(rows, features, gbt(params, label, validation="_rf_valid")).stages[-1].getNumTrees)
+    return max(1, round(sum(rounds) / k))
+
+
+def fit_early_stop(df: DataFrame, features: Sequence[str], label: str = "LABEL", fold: str = "FOLD", k: int = N_FOLDS,
+                   params: Mapping[str, object] | None = None) -> tuple[PipelineModel, int]:
+    """K3: the folds choose the number of rounds, then one model is fitted on all rows with it."""
+    n = boosting_rounds(df, features, label, fold, k, params)
+    return fit(with_class_weight(df, label), features, gbt({**(params or {}), "maxIter": n}, label)), n
+
+
+def cross_validate(df: DataFrame, features: Sequence[str], label: str = "LABEL", fold: str = "FOLD", k: int = N_FOLDS,
                    params: Mapping[str, object] | None = None, key: str = KEY, threshold: float = THRESHOLD_DEFAULT) -> DataFrame:
-    """K6: per fold, train on the other folds (class weight recomputed on them), score the fold at the threshold;
-    rows (FOLD, PRECISION, RECALL, F1) plus the mean row (FOLD = -1)."""
+    """K6: per fold, train on the other folds (``CV_ROUNDS`` rounds unless ``params`` says otherwise, class weight
+    recomputed on them), score the fold at the threshold; rows (FOLD, PRECISION, RECALL, F1) plus the mean row (FOLD = -1)."""
     rows = []
     for i in range(k):
         train = with_class_weight(df.where(F.col(fold) != i), label)
         test = df.where(F.col(fold) == i)
-        m = fit(train, features, gbt(params, label))
+        m = fit(train, features, gbt({"maxIter": CV_ROUNDS, **(params or {})}, label))
         r = f1_at(score(m, test, key, keep=[label], threshold=threshold), label)
         rows.append((i, r["precision"], r["recall"], r["f1"]))
     mean = tuple(sum(r[j] for r in rows) / k for j in (1, 2, 3))
@@ -158,8 +169,9 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str = "LABEL",
     return df.sparkSession.createDataFrame(rows, "FOLD int, PRECISION double, RECALL double, F1 double")
 
 
-def random_param_maps(n: int, space: Mapping[str, tuple[float, float]], seed: int = SEED, ints: Sequence[str] = ()) -> list[dict]:
-    """K7: ``n`` seeded random draws from box ranges (a stand-in for the managed Bayesian search)."""
+def random_param_maps(n: int = TUNE_TRIALS, space: Mapping[str, tuple[float, float]] = TUNE_SPACE, seed: int = SEED) -> list[dict]:
+    """K7: ``n`` seeded random draws from box ranges (a stand-in for the managed Bayesian search). Ranges of whole numbers
+    give whole numbers; the column share is a text, as the learner wants it."""
     import random
 
     rnd = random.Random(seed)
@@ -168,18 +180,20 @@ def random_param_maps(n: int, space: Mapping[str, tuple[float, float]], seed: in
         m = {}
         for name, (lo, hi) in space.items():
             v = rnd.uniform(lo, hi)
-            m[name] = int(round(v)) if name in ints else round(v, 4)
+            whole = isinstance(lo, int) and isinstance(hi, int)
+            m[name] = int(round(v)) if whole else str(round(v, 4)) if name == "featureSubsetStrategy" else round(v, 4)
         maps.append(m)
     return maps
 
 
-def tune(train: DataFrame, valid: DataFrame, features: Sequence[str], maps: Sequence[Mapping], label: str = "LABEL",
-         key: str = KEY, parallelism: int = 1) -> DataFrame:
-    """K7: fit one model per parameter map (``parallelism`` fits at a time), validation F1 at 0.5 as objective.
-    Rows (TRIAL, PARAMS json, OBJECTIVE)."""
+def tune(train: DataFrame, valid: DataFrame, features: Sequence[str], maps: Sequence[Mapping] | None = None, label: str = "LABEL",
+         key: str = KEY, parallelism: int = TUNE_PARALLEL) -> DataFrame:
+    """K7: fit one model per parameter map (the full search by default), ``parallelism`` fits at a time, validation F1 at
+    0.5 as objective. Rows (TRIAL, PARAMS json, OBJECTIVE)."""
     import json
     from concurrent.futures import ThreadPoolExecutor
 
+    maps = random_param_maps() if maps is None else maps
     w = with_class_weight(train, label)
 
     def run(i_m):
@@ -196,8 +210,3 @@ def save_load(model: PipelineModel, path: str) -> PipelineModel:
     """Persist with Spark's writer and read back."""
     model.write().overwrite().save(path)
     return PipelineModel.load(path)
-
-
-def gbt_depth_for_leaves(leaves: int) -> int:
-    """Depth whose full tree has at least ``leaves`` leaves."""
-    return max(1, math.ceil(math.log2(max(2, leaves))))

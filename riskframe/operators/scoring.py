@@ -12,6 +12,7 @@ from riskframe.defaults import HEAD_ROWS, PAGE_SIZE, RISK_LEVELS, SEED
 from riskframe.functions.hashing import hash_order
 from riskframe.operators.ordering import row_index
 from riskframe.operators.windows import group_mode
+from riskframe.session import materialize
 
 KEY = "ACCT_NBR"
 
@@ -64,11 +65,12 @@ def rank_by_score(df: DataFrame, score: str = "SCORE", key: str = KEY, name: str
 
 
 def page(df: DataFrame, number: int, size: int = PAGE_SIZE, score: str = "SCORE", key: str = KEY) -> DataFrame:
-    """Page ``number`` (1-based) of the ranked list, with the page count ceil(n / size)."""
-    ranked = rank_by_score(df, score, key)
+    """Page ``number`` (1-based) of the ranked list, with the page count ceil(n / size). ``df`` may be a ranked table
+    that was written once (with its RANK): a page is then a filter on RANK that the scan takes over."""
+    ranked = df if "RANK" in df.columns else materialize(rank_by_score(df, score, key), "ranked")
     lo, hi = (number - 1) * size, number * size
     rows = ranked.where((F.col("RANK") > lo) & (F.col("RANK") <= hi))
-    n = ranked.agg(F.max("RANK")).first()[0] or 0  # read off the numbered rows: no second pass over the input
+    n = ranked.agg(F.max("RANK")).first()[0] or 0  # read off the ranked table (Parquet statistics): no pass over the input
     return rows.withColumn("PAGES", F.lit(-(-n // size)).cast("bigint"))
 
 
@@ -77,9 +79,9 @@ def top_k(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
     return df.orderBy(F.col(by).desc(), F.col(tie).asc()).limit(k)
 
 
-def rank_trials(df: DataFrame, objective: str = "OBJECTIVE") -> DataFrame:
-    """Trials by objective, highest first, nulls last."""
-    return df.orderBy(F.col(objective).desc_nulls_last())
+def rank_trials(df: DataFrame, objective: str = "OBJECTIVE", trial: str = "TRIAL") -> DataFrame:
+    """Trials by objective, highest first, nulls last; equal objectives in the order of the trial number."""
+    return df.orderBy(F.col(objective).desc_nulls_last(), F.col(trial).asc())
 
 
 def sample_one(df: DataFrame, key: str = KEY, seed: int = SEED) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A sequence is kept as rows (ACCT_NBR, POS, values...) rather than one array per account: an account with
 a huge history stays spread over many tasks (positions come from the range-partitioned numbering), and
-padding and masks are rows too. No account's history is ever gathered into one array or one task.
+padding and masks are two lengths beside each row. No account's history is ever gathered into one array or one task.
 """
 
 from __future__ import annotations
@@ -35,34 +35,29 @@ def txn_sequence(txn: DataFrame, order: Sequence[Column], key: str = KEY, name:
     return row_index(txn, order, by=[key], name=name)
 
 
-def pad_and_mask(
-    seq: DataFrame, batches: DataFrame, cols: Sequence[str], key: str = KEY, pos: str = "POS", batch: str = "BATCH"
-) -> DataFrame:
-    """Pad every account of a batch to the batch's longest sequence with zero rows; MASK is true on padding.
+def pad_and_mask(seq: DataFrame, batches: DataFrame, cols: Sequence[str], key: str = KEY, pos: str = "POS", batch: str = "BATCH") -> DataFrame:
+    """I11 in run-length form: every real row with its account's length LEN and the longest length BATCH_LEN of its batch.
 
-    ``batches`` maps each account to its batch (accounts without transactions have length 0)."""
-    lens = seq.groupBy(key).agg(F.max(pos).alias("_rf_len"))
-    acc = batches.select(key, batch).join(lens, key, "left").withColumn("_rf_len", F.coalesce("_rf_len", F.lit(0)))
-    bmax = acc.groupBy(batch).agg(F.max("_rf_len").alias("_rf_max"))
-    acc = acc.join(bmax, batch)
-    real = seq.join(acc.select(key, batch), key).select(
-        key, batch, pos, F.lit(False).alias("MASK"), *[F.col(c).cast("double").alias(c) for c in cols]
+    An account's padding is the zero rows at positions LEN + 1 to BATCH_LEN, and its mask is true there; both follow from
+    the two numbers, so no padding row is ever written (a hot account would add as many to each of its batch's accounts).
+    ``batches`` maps each account to its batch; an account without transactions has no row here, only padding."""
+    lens = seq.groupBy(key).agg(F.max(pos).alias("LEN"))
+    acc = batches.select(key, batch).join(lens, key, "left").withColumn("LEN", F.coalesce("LEN", F.lit(0)))
+    longest = acc.groupBy(batch).agg(F.max("LEN").alias("BATCH_LEN"), F.min("LEN").alias("_rf_short"))
+    acc = acc.join(longest, batch)
+    padded = (F.col("_rf_short") < F.col("BATCH_LEN")).alias("BATCH_PADDED")
+    return seq.join(acc.select(key, batch, "LEN", "BATCH_LEN", padded), key).select(
+        key, batch, pos, "LEN", "BATCH_LEN", "BATCH_PADDED", *[F.col(c).cast("double").alias(c) for c in cols]
     )
-    pads = acc.where(F.col("_rf_len") < F.col("_rf_max")).select(
-        key, batch, F.explode(F.sequence(F.col("_rf_len") + 1, F.col("_rf_max"))).alias(pos)
-    ).select(key, batch, pos, F.lit(True).alias("MASK"), *[F.lit(0.0).alias(c) for c in cols])
-    return real.unionByName(pads)
 
 
 def sequence_importance(padded: DataFrame, col: str, batch: str = "BATCH", eps: float = IMPORTANCE_EPS, name: str = "IMPORTANCE") -> DataFrame:
-    """|value| of ``col`` (0 on padding), min-max scaled over the batch with ``eps`` in the divisor."""
-    raw = F.when(F.col("MASK"), F.lit(0.0)).otherwise(F.abs(F.col(col)))
-    p = padded.withColumn("_rf_imp", raw)
-    stats = p.groupBy(batch).agg(F.min("_rf_imp").alias("_rf_mn"), F.max("_rf_imp").alias("_rf_mx"))
-    out = p.join(stats, batch)
-    return out.withColumn(name, (F.col("_rf_imp") - F.col("_rf_mn")) / (F.col("_rf_mx") - F.col("_rf_mn") + F.lit(eps))).drop(
-        "_rf_imp", "_rf_mn", "_rf_mx"
-    )
+    """|value| of ``col``, min-max scaled over the batch with ``eps`` in the divisor. Padding counts as 0: it enters
+    the minimum wherever an account of the batch is shorter than the longest."""
+    raw = F.abs(F.col(col))
+    stats = padded.groupBy(batch).agg(F.min(F.when(F.col("BATCH_PADDED"), F.lit(0.0)).otherwise(raw)).alias("_rf_mn"), F.max(raw).alias("_rf_mx"))
+    out = padded.join(stats, batch)
+    return out.withColumn(name, (raw - F.col("_rf_mn")) / (F.col("_rf_mx") - F.col("_rf_mn") + F.lit(eps))).drop("_rf_mn", "_rf_mx")
 
 
 def scale_by_importance(df: DataFrame, cols: Sequence[str], importance: str = "IMPORTANCE", prefix: str = "SCALED_") -> DataFrame:

@@ -11,6 +11,7 @@ from riskframe.operators.policy import in_list, label_encode
 from riskframe.plans import oracle_sql as osql
 from riskframe.plans.common import rounded, sql_round
 from riskframe.plans.registry import register
+from riskframe.session import materialize
 from riskframe.sources import fixtures as fx
 from riskframe.sources.fixtures import FIXTURE_CUTS, FIXTURE_TODAY, with_views
 
@@ -24,7 +25,7 @@ def _acc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _txn(spark: SparkSession, sf: str, acc: DataFrame | None = None) -> DataFrame:
-    acc = acc if acc is not None else _acc(spark, sf)
+    acc = acc if acc is not None else fx.accounts(spark, sf).select("ACCT_NBR")  # the key list is all that C2 needs
     return features.transaction_table(fx.transactions(spark, sf), acc, features.txn_policy(FIXTURE_TODAY))
 
 
@@ -228,21 +229,22 @@ def join_identity(spark, sf):
 
 @register(
     "restrict_to_known",
-    with_views("SELECT * FROM v_notices WHERE ACCT_NBR IN (SELECT ACCT_NBR FROM v_accounts)", "v_notices", "v_accounts"),
+    with_views(f"SELECT {sql_round(_RAW_TXN, ['TX_AMT', 'PB_BAL'])} FROM v_txn WHERE ACCT_NBR IN (SELECT ACCT_NBR FROM v_accounts)", "v_txn", "v_accounts"),
 )
 def restrict_to_known(spark, sf):
-    return joins.restrict_to_known(fx.notices(spark, sf), fx.accounts(spark, sf))
+    return rounded(joins.restrict_to_known(fx.transactions(spark, sf).select(*_RAW_TXN), fx.accounts(spark, sf)))
 
 
 @register(
     "orphan_rows",
     with_views(
-        "SELECT * FROM v_notices n WHERE NOT EXISTS (SELECT 1 FROM v_accounts a WHERE a.ACCT_NBR IS NOT DISTINCT FROM n.ACCT_NBR)",
-        "v_notices", "v_accounts",
+        f"SELECT {sql_round(_RAW_TXN, ['TX_AMT', 'PB_BAL'])} FROM v_txn n "
+        "WHERE NOT EXISTS (SELECT 1 FROM v_accounts a WHERE a.ACCT_NBR IS NOT DISTINCT FROM n.ACCT_NBR)",
+        "v_txn", "v_accounts",
     ),
 )
 def orphan_rows(spark, sf):
-    return joins.orphan_rows(fx.notices(spark, sf), fx.accounts(spark, sf))
+    return rounded(joins.orphan_rows(fx.transactions(spark, sf).select(*_RAW_TXN), fx.accounts(spark, sf)))
 
 
 @register(
@@ -281,12 +283,12 @@ def txn_with_account(spark, sf):
 @register(
     "profile_lookup",
     with_views(
-        "SELECT n.ACCT_NBR, n.DATA_DT, round(s.SCORE, 6) AS SCORE FROM v_notices n LEFT JOIN v_scored s ON n.ACCT_NBR = s.ACCT_NBR",
-        "v_notices", "v_scored",
+        "SELECT n.ACCT_NBR, round(s.SCORE, 6) AS SCORE FROM v_sheet n LEFT JOIN v_scored s ON n.ACCT_NBR = s.ACCT_NBR",
+        "v_sheet", "v_scored",
     ),
 )
 def profile_lookup(spark, sf):
-    return rounded(joins.profile_lookup(fx.notices(spark, sf).select("ACCT_NBR", "DATA_DT"), fx.scored(spark, sf), columns=["SCORE"]))
+    return rounded(joins.profile_lookup(fx.answer_sheet(spark, sf).select("ACCT_NBR"), fx.scored(spark, sf), columns=["SCORE"]))
 
 
 # ------------------------------------------------------------------------------------------- D: aggregates
@@ -322,7 +324,7 @@ _BAND_RATIOS = ["SMALL_TRN_RATIO", "MEDIUM_TRN_RATIO", "LARGE_TRN_RATIO"]
 
 @register("amount_band_counts", _agg_sql(["ACCT_NBR"] + _BAND_COUNTS, [], cuts=features.AMOUNT_CUTS))
 def amount_band_counts(spark, sf):
-    """Default cuts: every line-item amount exceeds 500, so the small column exists and holds zeros."""
+    """Default cuts; some amounts lie below the first one and count in no band."""
     return _txn(spark, sf).groupBy("ACCT_NBR").agg(*features.band_counts("TX_AMT"))
 
 
@@ -384,20 +386,20 @@ def distinct_by_key(spark, sf):
 @register(
     "duplicate_key_count",
     with_views(
-        "SELECT CAST(COALESCE(sum(n), 0) AS BIGINT) AS DUPLICATE_ROWS FROM (SELECT ACCT_NBR, count(*) AS n FROM v_notices GROUP BY ACCT_NBR) g WHERE n > 1",
-        "v_notices",
+        "SELECT CAST(COALESCE(sum(n), 0) AS BIGINT) AS DUPLICATE_ROWS FROM (SELECT ACCT_NBR, count(*) AS n FROM v_sheet GROUP BY ACCT_NBR) g WHERE n > 1",
+        "v_sheet",
     ),
 )
 def duplicate_key_count(spark, sf):
     from riskframe.operators import scoring
 
-    return scoring.duplicate_key_count(fx.notices(spark, sf), "ACCT_NBR")
+    return scoring.duplicate_key_count(fx.answer_sheet(spark, sf), "ACCT_NBR")
 
 
 # ------------------------------------------------------------------------------------------- D14 / D15: profile
 _PROFILE_SQL = f"""
 WITH acc AS ({osql.account_cte()}),
- raw AS (SELECT * FROM v_txn WHERE ACCT_NBR IN (SELECT ACCT_NBR FROM acc)),
+ raw AS (SELECT DISTINCT * FROM v_txn WHERE ACCT_NBR IN (SELECT ACCT_NBR FROM acc)),
  hours AS (SELECT ACCT_NBR, TX_TIME, count(*) AS c FROM raw GROUP BY ACCT_NBR, TX_TIME),
  mode_h AS (SELECT ACCT_NBR, TX_TIME AS MODE_TX_TIME FROM (SELECT *, row_number() OVER (PARTITION BY ACCT_NBR ORDER BY c DESC, TX_TIME ASC) AS rn FROM hours) h WHERE rn = 1),
  t AS (SELECT ACCT_NBR, count(*) AS TX_COUNT, sum(TX_AMT) AS TX_SUM, avg(TX_AMT) AS TX_MEAN,
@@ -422,7 +424,8 @@ FROM acc LEFT JOIN t ON acc.ACCT_NBR = t.ACCT_NBR LEFT JOIN mode_h m ON acc.ACCT
 
 def _profile(spark, sf):
     acc = _acc(spark, sf)
-    raw = joins.restrict_to_known(fx.transactions(spark, sf), acc)
+    keys = fx.accounts(spark, sf).select("ACCT_NBR")
+    raw = joins.restrict_to_known(clean.distinct_rows(fx.transactions(spark, sf)), keys)
     return profile.account_profile(acc, raw)
 
 
@@ -455,7 +458,7 @@ def _minmax_sql() -> str:
 
 @register("min_max_scale", with_views(_minmax_sql(), "v_accounts", "v_identity", "v_txn"))
 def min_max_scale(spark, sf):
-    prof = _profile(spark, sf).select("ACCT_NBR", *_SCALE_COLS)
+    prof = materialize(_profile(spark, sf).select("ACCT_NBR", *_SCALE_COLS), "profile")  # read by the fit and the result
     return rounded(profile.MinMaxScale.fit(prof, _SCALE_COLS).transform(prof))
 
 
@@ -474,12 +477,14 @@ def topk_per_account(spark, sf):
 @register(
     "txn_gap",
     with_views(
-        "SELECT ACCT_NBR, SEQ, TX_DATE, COALESCE(TX_DATE - lag(TX_DATE) OVER (PARTITION BY ACCT_NBR ORDER BY SEQ), -30) AS GAP FROM v_etxn",
+        "SELECT ACCT_NBR, SEQ, TX_DATE, COALESCE(TX_DATE - lag(TX_DATE) OVER (PARTITION BY ACCT_NBR ORDER BY SEQ), -30) AS GAP "
+        f"FROM (SELECT ACCT_NBR, SEQ, {FIXTURE_TODAY} - TX_DATE AS TX_DATE FROM v_etxn) e",
         "v_etxn",
     ),
 )
 def txn_gap(spark, sf):
-    e = fx.event_transactions(spark, sf).select("ACCT_NBR", "SEQ", "TX_DATE")
+    """Dates as days before today (B3) first, so gaps are negative going forward, like the first one's value."""
+    e = fx.event_transactions(spark, sf).select("ACCT_NBR", "SEQ", _days_since("TX_DATE", FIXTURE_TODAY).alias("TX_DATE"))
     return windows.txn_gap(e, "ACCT_NBR", "SEQ", "TX_DATE")
 
 
@@ -502,13 +507,13 @@ def group_mode_broadcast(spark, sf):
 @register(
     "duplicate_flag",
     with_views(
-        "SELECT n.*, CASE WHEN g.c > 1 THEN 1 ELSE 0 END AS DUPLICATE FROM v_notices n JOIN "
-        "(SELECT ACCT_NBR, count(*) AS c FROM v_notices GROUP BY ACCT_NBR) g ON n.ACCT_NBR = g.ACCT_NBR",
-        "v_notices",
+        "SELECT n.*, CASE WHEN g.c > 1 THEN 1 ELSE 0 END AS DUPLICATE FROM v_sheet n JOIN "
+        "(SELECT ACCT_NBR, count(*) AS c FROM v_sheet GROUP BY ACCT_NBR) g ON n.ACCT_NBR = g.ACCT_NBR",
+        "v_sheet",
     ),
 )
 def duplicate_flag(spark, sf):
-    return windows.duplicate_flag(fx.notices(spark, sf), "ACCT_NBR")
+    return windows.duplicate_flag(fx.answer_sheet(spark, sf), "ACCT_NBR")
 
 
 @register(

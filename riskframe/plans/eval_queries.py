@@ -9,6 +9,7 @@ from riskframe.functions.hashing import sql_hash_order
 from riskframe.operators import attribution, metrics, sampling
 from riskframe.plans.common import rounded
 from riskframe.plans.registry import register
+from riskframe.session import materialize
 from riskframe.sources import fixtures as fx
 from riskframe.sources.fixtures import with_views
 
@@ -48,7 +49,7 @@ _PR = f"{_d('TP', 'TP + FP')} AS P, {_d('TP', 'TP + FN')} AS R"
     with_views(
         f"WITH c AS ({_cm()}), m AS (SELECT {_PR} FROM c) SELECT CAST(0.5 AS DOUBLE) AS THRESHOLD, round(P, 6) AS PRECISION, round(R, 6) AS RECALL, "
         f"round({_d('2 * P * R', 'P + R')}, 6) AS F1 FROM m",
-        "v_scored",
+        "v_scored_nan",
     ),
 )
 def binary_metrics(spark, sf):
@@ -90,9 +91,9 @@ def classification_report(spark, sf):
 
 _TS = ", ".join(f"({round(0.10 + 0.05 * i, 2)})" for i in range(16))
 _CURVE = f"""WITH t AS (SELECT * FROM (VALUES {_TS}) v(THRESHOLD)),
- c AS (SELECT t.THRESHOLD, count(CASE WHEN s.SCORE > t.THRESHOLD AND s.LABEL = 1 THEN 1 END) AS TP,
-   count(CASE WHEN s.SCORE > t.THRESHOLD THEN 1 END) AS PP, count(CASE WHEN s.LABEL = 1 THEN 1 END) AS P
-   FROM t, v_scored s GROUP BY t.THRESHOLD),
+ c AS (SELECT t.THRESHOLD, count(CASE WHEN s.SCORE > t.THRESHOLD AND NOT isnan(s.SCORE) AND s.LABEL = 1 THEN 1 END) AS TP,
+   count(CASE WHEN s.SCORE > t.THRESHOLD AND NOT isnan(s.SCORE) THEN 1 END) AS PP, count(CASE WHEN s.LABEL = 1 THEN 1 END) AS P
+   FROM t, v_scored_nan s GROUP BY t.THRESHOLD),
  m AS (SELECT THRESHOLD, {_d('TP', 'PP')} AS PRECISION, {_d('TP', 'P')} AS RECALL FROM c)"""
 
 
@@ -101,11 +102,11 @@ _CURVE = f"""WITH t AS (SELECT * FROM (VALUES {_TS}) v(THRESHOLD)),
     with_views(
         _CURVE + f" SELECT CAST(THRESHOLD AS DOUBLE) AS THRESHOLD, round(PRECISION, 6) AS PRECISION, round(RECALL, 6) AS RECALL, "
         f"round({_d('2 * PRECISION * RECALL', 'PRECISION + RECALL')}, 6) AS F1 FROM m",
-        "v_scored",
+        "v_scored_nan",
     ),
 )
 def threshold_curve(spark, sf):
-    return rounded(metrics.threshold_curve(_scored(spark, sf)))
+    return rounded(metrics.threshold_curve(fx.scored_with_nan(spark, sf)))
 
 
 @register(
@@ -113,11 +114,11 @@ def threshold_curve(spark, sf):
     with_views(
         _CURVE + f", f AS (SELECT CAST(THRESHOLD AS DOUBLE) AS THRESHOLD, round(PRECISION, 6) AS PRECISION, round(RECALL, 6) AS RECALL, "
         f"round({_d('2 * PRECISION * RECALL', 'PRECISION + RECALL')}, 6) AS F1 FROM m) SELECT * FROM f ORDER BY F1 DESC, THRESHOLD ASC LIMIT 1",
-        "v_scored",
+        "v_scored_nan",
     ),
 )
 def best_threshold(spark, sf):
-    return metrics.best_threshold(rounded(metrics.threshold_curve(_scored(spark, sf))))
+    return metrics.best_threshold(rounded(metrics.threshold_curve(fx.scored_with_nan(spark, sf))))
 
 
 _GROUPS = "g AS (SELECT SCORE, count(CASE WHEN LABEL = 1 THEN 1 END) AS POS, count(CASE WHEN LABEL <> 1 THEN 1 END) AS NEG FROM v_scored GROUP BY SCORE)"
@@ -226,7 +227,7 @@ def _attr_input(spark, sf):
 
     prof = _profile(spark, sf)
     s = fx.scored(spark, sf).select("ACCT_NBR", "LABEL")
-    return prof.join(s, "ACCT_NBR")
+    return materialize(prof.join(s, "ACCT_NBR"), "attribution-input")  # read by the fit, the means and the result
 
 
 _ATTR_COLS = ["TX_COUNT", "TX_MEAN", "TX_STD", "AVG_PB_BAL", "UNIQUE_CHANNELS", "UNIQUE_TRN_CODES", "IS_WEEKEND", "AUM_AMT", "ACCOUNT_AGE", "AGE"]
@@ -259,7 +260,7 @@ def _attr_sql(final: str) -> str:
 def attribution_summary(spark, sf):
     d = _attr_input(spark, sf)
     lin = attribution.LinearAttribution.fit(d, _ATTR_COLS, "LABEL")
-    return rounded(attribution.top_attributions(lin.contributions(d), 5))
+    return rounded(attribution.top_attributions(lin.mean_abs(d), 5))
 
 
 @register(
@@ -274,5 +275,4 @@ def attribution_summary(spark, sf):
 def attribution_dependence(spark, sf):
     d = _attr_input(spark, sf)
     lin = attribution.LinearAttribution.fit(d, _ATTR_COLS, "LABEL")
-    c = lin.contributions(d)
-    return rounded(attribution.dependence(c, attribution.top_attributions(c, 5)))
+    return rounded(attribution.dependence(lin, d, 5))

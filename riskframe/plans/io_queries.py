@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskframe.defaults import PROFILE_COLUMNS
 from riskframe.functions import bands
 from riskframe.operators import joins, metrics, sampling
 from riskframe.plans import oracle_sql as osql
@@ -30,17 +31,14 @@ def scan_tables(spark, sf):
     return rounded(files.read_table(spark, path, _TXN_SCHEMA))
 
 
-_PROFILE_COLS = ["CANCEL_NO_CONTACT", "IS_DIGITAL", "AUM_AMT", "YEARLYINCOMELEVEL", "TX_COUNT", "TX_SUM", "TX_MEAN", "TX_STD",
-                  "TX_MAX", "TX_MIN", "AVG_PB_BAL", "MAX_PB_BAL", "MIN_PB_BAL", "MODE_TX_TIME", "UNIQUE_CHANNELS",
-                  "UNIQUE_TRN_CODES", "SUM_MB_CHECK", "SUM_EB_CHECK", "FLAG_SAME_IP", "FLAG_SAME_UUID", "IS_WEEKEND",
-                  "ACCOUNT_AGE", "AGE"]
+_PROFILE_COLS = list(PROFILE_COLUMNS)
 
 
 def _scan_profile_sql() -> str:
     from riskframe.plans.account_queries import unrounded_profile_sql
 
     cols = ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in _PROFILE_COLS)
-    return f"SELECT ACCT_NBR, {cols} FROM ({unrounded_profile_sql()}) prof"
+    return f"SELECT CAST(ACCT_NBR AS VARCHAR) AS ACCT_NBR, {cols} FROM ({unrounded_profile_sql()}) prof"
 
 
 @register("scan_profile_csv", with_views(_scan_profile_sql(), "v_accounts", "v_identity", "v_txn"))
@@ -76,24 +74,24 @@ def write_results(spark, sf):
 
 _SHEET_SQL = (
     "WITH p AS (SELECT ACCT_NBR, max(CASE WHEN SCORE > 0.6 THEN 1 ELSE 0 END) AS PRED FROM v_scored GROUP BY ACCT_NBR) "
-    "SELECT n.ACCT_NBR, CASE WHEN p.PRED = 1 THEN '1' ELSE '' END AS Y FROM v_notices n LEFT JOIN p ON n.ACCT_NBR = p.ACCT_NBR"
+    "SELECT CAST(n.ACCT_NBR AS VARCHAR) AS ACCT_NBR, CASE WHEN p.PRED = 1 THEN '1' ELSE '' END AS Y FROM v_sheet n LEFT JOIN p ON n.ACCT_NBR = p.ACCT_NBR"
 )
 
 
-@register("fill_answer_sheet", with_views(_SHEET_SQL, "v_notices", "v_scored"))
+@register("fill_answer_sheet", with_views(_SHEET_SQL, "v_sheet", "v_scored"))
 def fill_answer_sheet(spark, sf):
-    """A4: answer sheet (notice accounts, repeats and unknown accounts included) filled from predictions at 0.6,
-    written to a new path and read back."""
-    sheet = fx.notices(spark, sf).select(KEY).withColumn("Y", F.lit(""))
+    """A4: answer sheet (every account, repeats and unknown accounts included) filled from predictions at 0.6, written
+    to a new path and read back (keys as text)."""
+    sheet = fx.answer_sheet(spark, sf)
     preds = fx.scored(spark, sf).select(KEY, bands.apply_threshold("SCORE", 0.6).alias("PRED"))
     path = files.write_sheet(files.fill_answer_sheet(sheet, preds), scratch_path(spark, "sheet"))
     return files.read_sheet(spark, path)
 
 
-@register("clear_answer_sheet", with_views("SELECT ACCT_NBR, '' AS Y FROM v_notices", "v_notices"))
+@register("clear_answer_sheet", with_views("SELECT CAST(ACCT_NBR AS VARCHAR) AS ACCT_NBR, '' AS Y FROM v_sheet", "v_sheet"))
 def clear_answer_sheet(spark, sf):
     """A5: a filled sheet cleared, written and read back."""
-    sheet = fx.notices(spark, sf).select(KEY).withColumn("Y", F.lit("1"))
+    sheet = fx.answer_sheet(spark, sf).withColumn("Y", F.lit("1"))
     path = files.write_sheet(files.clear_answer_sheet(sheet), scratch_path(spark, "sheet-clear"))
     return files.read_sheet(spark, path)
 
@@ -128,22 +126,31 @@ def _metrics_sql() -> str:
     )
     return (
         f"WITH c AS ({cm}), m AS (SELECT {d('TP', 'TP + FP')} AS P, {d('TP', 'TP + FN')} AS R FROM c) "
-        "SELECT 'precision' AS NAME, round(P, 6) AS VALUE FROM m UNION ALL SELECT 'recall', round(R, 6) FROM m "
-        f"UNION ALL SELECT 'f1', round({d('2 * P * R', 'P + R')}, 6) FROM m"
+        "SELECT 'validation:precision' AS NAME, round(P, 6) AS VALUE FROM m UNION ALL SELECT 'validation:recall', round(R, 6) FROM m "
+        f"UNION ALL SELECT 'validation:f1', round({d('2 * P * R', 'P + R')}, 6) FROM m"
     )
 
 
 @register("metrics_json", with_views(_metrics_sql(), "v_scored"))
 def metrics_json(spark, sf):
-    """{hyperparameters, metrics: {name: {value}}} written as a JSON text file and read back as rows."""
+    """{hyperparameters, binary_classification_metrics: {name: {value}}} written as a JSON text file and read back as rows."""
     m = metrics.binary_metrics(fx.scored(spark, sf)).select(
-        F.col("PRECISION").alias("precision"), F.col("RECALL").alias("recall"), F.col("F1").alias("f1")
+        F.col("PRECISION").alias("validation:precision"), F.col("RECALL").alias("validation:recall"), F.col("F1").alias("validation:f1")
     )
     path = files.write_text(files.metrics_document(m, _HYPER), scratch_path(spark, "metrics-json"))
     return rounded(files.read_metrics_document(spark, path))
 
 
-@register("feature_catalog")
+def _catalog_sql() -> str:
+    """The feature table's names in order; ratios, means, amounts and the tempo are doubles, counts and TX_DATE sums aside."""
+    names = osql.ACCOUNT_COLS[1:] + osql.agg_columns()[1:] + osql.slot_columns()
+    doubles = set(osql.feature_doubles())
+    kinds = ["double" if n in doubles else "bigint" if n.endswith("TRN_COUNT") else "int" for n in names]
+    rows = ", ".join(f"({i}, '{n}', '{k}')" for i, (n, k) in enumerate(zip(names, kinds)))
+    return f"SELECT CAST(POSITION AS INT) AS POSITION, NAME, TYPE FROM (VALUES {rows}) v(POSITION, NAME, TYPE)"
+
+
+@register("feature_catalog", _catalog_sql())
 def feature_catalog(spark, sf):
     """Ordered feature names and types of the labelled account feature table."""
     from riskframe.operators import features

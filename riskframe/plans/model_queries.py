@@ -1,8 +1,12 @@
 """Registered queries: Spark ML training, search and scoring.
 
-Model outputs cannot equal another learner's, so apart from the fitted scaler (K1) these keys have no SQL
-oracle; tests check invariants instead (probabilities in [0, 1], row counts, folds, save/load equality).
-Fits use a small round budget (``TEST_ROUNDS``); the library defaults keep the original budget.
+A learner's scores can't equal another learner's, so the SQL text of the model keys states what is exact -- which rows
+come out, with which labels, in which split -- and that every probability lies in [0, 1] and every flag follows from it.
+It checks invariants, not the quality of the learner; tests look at that on planted signals.
+
+The library's defaults are the full budgets (1000 rounds, 100 in each fold, 50 trials of 100 to 500 rounds). A fit of 1000
+rounds of Spark's learner takes minutes even on the small test tables, so these queries pass ``ROUNDS`` and ``TRIALS``
+instead; the data that they learn from is not cut.
 """
 
 from __future__ import annotations
@@ -10,45 +14,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.defaults import SEED
+from riskframe.defaults import SEED, TUNE_SPACE
 from riskframe.functions.hashing import sql_hash_order
 from riskframe.operators import clean, features, joins, models, sampling, scoring
 from riskframe.plans import oracle_sql as osql
 from riskframe.plans.common import rounded
 from riskframe.plans.registry import register
+from riskframe.plans.sample_queries import _LAB, _LAB_VIEWS
 from riskframe.session import materialize, scratch_path
 from riskframe.sources import fixtures as fx
 from riskframe.sources.fixtures import FIXTURE_CUTS, FIXTURE_TODAY, with_views
 
 KEY = "ACCT_NBR"
-TEST_ROUNDS = 10
-_CACHE: dict = {}
+#: Boosting rounds and search trials of these queries (the library's defaults: GBT_PARAMS, CV_ROUNDS, TUNE_TRIALS).
+ROUNDS, TRIALS = 10, 3
+_BANDS = list(features.BAND_COUNT_COLS + features.BAND_RATIO_COLS)
+_MARKS = [KEY, "LABEL", "SPLIT", "FOLD", "WAY"]
 
 
 def _ml_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
-    """Labelled feature table, band columns imputed with flags (written once to the checkpoint folder), and a
-    stratified split."""
-    ck = ("table", id(spark), sf)
-    if ck not in _CACHE:
-        ft = features.feature_table(
-            fx.accounts(spark, sf), fx.identity(spark, sf), fx.transactions(spark, sf), fx.notices(spark, sf),
-            today=FIXTURE_TODAY, cuts=FIXTURE_CUTS,
-        )
-        bands = list(features.BAND_COUNT_COLS + features.BAND_RATIO_COLS)
-        ml = materialize(models.impute_with_flags(ft, bands), "ml-table")  # computed once, lineage cut
-        ml = sampling.split_stratified(ml)
-        feats = models.feature_columns(ml, exclude=[KEY, "LABEL", "SPLIT"])
-        _CACHE[ck] = (ml, feats)
-    return _CACHE[ck]
-
-
-def _gbt_model(spark, sf):
-    ck = ("gbt", id(spark), sf)
-    if ck not in _CACHE:
-        ml, feats = _ml_table(spark, sf)
-        train = models.with_class_weight(ml.where("SPLIT = 'train'"))
-        _CACHE[ck] = models.fit(train, feats, models.gbt({"maxIter": TEST_ROUNDS}))
-    return _CACHE[ck]
+    """Labelled feature table with flags for missing bands, and beside it, from the narrow (key, label) rows, the
+    stratified split, the fold and the three-way split: joined once, written once."""
+    lab = joins.label_accounts(fx.accounts(spark, sf).select(KEY), fx.notices(spark, sf))
+    lab = materialize(lab, "labels")
+    marks = sampling.split_stratified(lab).join(sampling.stratified_folds(lab).drop("LABEL"), KEY)
+    marks = marks.join(sampling.split_three_way(lab, name="WAY").drop("LABEL"), KEY)
+    ft = features.feature_table(fx.accounts(spark, sf), fx.identity(spark, sf), fx.transactions(spark, sf), today=FIXTURE_TODAY, cuts=FIXTURE_CUTS)
+    ml = materialize(models.impute_with_flags(ft, _BANDS).join(marks, KEY), "ml-table")
+    return ml, models.feature_columns(ml, exclude=_MARKS)
+
+
+def _gbt_model(ml: DataFrame, feats: list[str]):
+    return models.fit(models.with_class_weight(ml.where("SPLIT = 'train'")), feats, models.gbt({"maxIter": ROUNDS}))
+
+
+def _checked(scored: DataFrame, *keep: str, threshold: float = 0.5) -> DataFrame:
+    """The scored rows with the two flags that stand for exact values."""
+    p = F.col("PROBABILITY")
+    return scored.select(KEY, *keep, p.between(0, 1).alias("P_OK"), (F.col("PREDICTION") == (p > threshold).cast("int")).alias("PRED_OK"))
+
+
+_SPLIT = _LAB + ", sp AS (SELECT ACCT_NBR, LABEL, CASE WHEN rn <= ceil(0.2 * nc) THEN 'test' ELSE 'train' END AS SPLIT FROM r) "
+_TEST_ROWS = with_views(_SPLIT + "SELECT ACCT_NBR, LABEL, TRUE AS P_OK, TRUE AS PRED_OK FROM sp WHERE SPLIT = 'test'", *_LAB_VIEWS)
 
 
 # ------------------------------------------------------------------------------------------- K1 (exact)
@@ -74,143 +81,183 @@ def _k1_sql() -> str:
 
 @register("standard_scale", with_views(_k1_sql(), "v_accounts", "v_identity", "v_txn"))
 def standard_scale(spark, sf):
-    """K1: population mean/std fitted on the training split, applied to every row."""
+    """K1: population mean/std fitted on the training split, applied to every row. The profile is written once."""
     from riskframe.plans.account_queries import _profile
 
-    prof = sampling.split_random(_profile(spark, sf).select(KEY, *_K1_COLS))
+    prof = sampling.split_random(materialize(_profile(spark, sf).select(KEY, *_K1_COLS), "profile"))
     scaler = models.StandardScale.fit(prof.where("SPLIT = 'train'"), _K1_COLS)
     return rounded(scaler.transform(prof).select(KEY, "SPLIT", *_K1_COLS))
 
 
-# ------------------------------------------------------------------------------------------- K: models (rows-only)
-@register("assemble_features")
+# ------------------------------------------------------------------------------------------- K11 (exact)
+def _assemble_sql() -> str:
+    names = osql.ACCOUNT_COLS[1:] + osql.agg_columns()[1:] + osql.slot_columns()
+    values = [f"printf('%.6f', CAST(COALESCE({n}, 0) AS DOUBLE))" for n in names] + [f"CASE WHEN {n} IS NULL THEN '1.000000' ELSE '0.000000' END" for n in _BANDS]
+    return f"WITH {osql.feature_ctes()}, f AS ({osql.features_select()}) SELECT ACCT_NBR, LABEL, concat_ws(',', {', '.join(values)}) AS FEATURES FROM f"
+
+
+@register("assemble_features", with_views(_assemble_sql(), "v_accounts", "v_identity", "v_txn", "v_notices"))
 def assemble_features(spark, sf):
-    """Feature table -> vector in feature-list order (shown as an array)."""
+    """Feature table -> vector in feature-list order, shown as text with six places."""
     from pyspark.ml.functions import vector_to_array
 
     ml, feats = _ml_table(spark, sf)
-    v = models.assembler(feats).transform(ml)
-    return v.select(KEY, "LABEL", vector_to_array("features").alias("FEATURES"))
+    v = models.assembler(feats).transform(ml).select(KEY, "LABEL", vector_to_array("features").alias("f"))
+    return v.select(KEY, "LABEL", F.array_join(F.transform("f", lambda x: F.format_string("%.6f", x)), ",").alias("FEATURES"))
 
 
-@register("train_gbt")
+# ------------------------------------------------------------------------------------------- K: models (invariants)
+@register("train_gbt", _TEST_ROWS)
 def train_gbt(spark, sf):
     """K2: boosted trees on the training split (class-weighted), test split scored."""
-    ml, _ = _ml_table(spark, sf)
-    return models.score(_gbt_model(spark, sf), ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"])
+    ml, feats = _ml_table(spark, sf)
+    return _checked(models.score(_gbt_model(ml, feats), ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"]), "LABEL")
 
 
-@register("train_gbt_early_stop")
+@register("train_gbt_early_stop", with_views(
+    _SPLIT + "SELECT ACCT_NBR, LABEL, TRUE AS P_OK, TRUE AS PRED_OK, TRUE AS ROUNDS_OK FROM sp WHERE SPLIT = 'test'", *_LAB_VIEWS))
 def train_gbt_early_stop(spark, sf):
-    """K3: boosting with a validation indicator: rounds stop when validation error stops improving."""
+    """K3: the folds choose the number of rounds (at most ``ROUNDS`` here), one model on all training rows."""
     ml, feats = _ml_table(spark, sf)
-    fit_rows = models.with_class_weight(ml.where("SPLIT = 'train'"))
-    fit_rows = sampling.split_stratified(fit_rows.drop("SPLIT"), share=0.2, seed=SEED + 1, name="VSPLIT")
-    fit_rows = fit_rows.withColumn("IS_VALID", F.col("VSPLIT") == "test")
-    m = models.fit(fit_rows, feats, models.gbt({"maxIter": 3 * TEST_ROUNDS}, validation="IS_VALID"))
-    trees = m.stages[-1].getNumTrees
-    return models.score(m, ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"]).withColumn("N_TREES", F.lit(trees))
+    m, n = models.fit_early_stop(ml.where("SPLIT = 'train'"), feats, params={"maxIter": ROUNDS})
+    s = _checked(models.score(m, ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"]), "LABEL")
+    return s.withColumn("ROUNDS_OK", F.lit(1 <= n <= ROUNDS and m.stages[-1].getNumTrees == n))
 
 
-@register("train_forest_account")
+@register("train_forest_account", _TEST_ROWS)
 def train_forest_account(spark, sf):
     """K4: 100-tree forest on the account table; test split scored."""
     ml, feats = _ml_table(spark, sf)
     m = models.fit(ml.where("SPLIT = 'train'"), feats, models.forest(100))
-    return models.score(m, ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"])
+    return _checked(models.score(m, ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"]), "LABEL")
 
 
-@register("train_forest_txn")
+@register("train_forest_txn", with_views(
+    f"WITH acc AS ({osql.account_cte()}), tx AS ({osql.txn_cte()}), lab AS (SELECT DISTINCT ACCT_NBR FROM v_notices WHERE ACCT_NBR IS NOT NULL), "
+    "la AS (SELECT k.ACCT_NBR, CASE WHEN lab.ACCT_NBR IS NULL THEN 0 ELSE 1 END AS LABEL FROM (SELECT DISTINCT ACCT_NBR FROM tx) k "
+    "LEFT JOIN lab ON k.ACCT_NBR = lab.ACCT_NBR), "
+    f"r AS (SELECT *, row_number() OVER (PARTITION BY LABEL ORDER BY {sql_hash_order('ACCT_NBR', SEED)}, ACCT_NBR) AS rn, "
+    "count(*) OVER (PARTITION BY LABEL) AS nc FROM la) SELECT ACCT_NBR, LABEL AS VOTE_TRUTH, TRUE AS VOTE_OK FROM r WHERE rn <= ceil(0.2 * nc)",
+    "v_accounts", "v_identity", "v_txn", "v_notices"))
 def train_forest_txn(spark, sf):
-    """K5: forest on transactions (account attributes joined on), then per-account votes of truth and
-    prediction (D9) side by side."""
+    """K5: forest on transactions (account attributes joined on, written once with their split), then per-account votes of
+    truth and prediction (D9)."""
     from riskframe.plans.account_queries import _acc, _txn
 
-    acc = _acc(spark, sf)
-    lab = joins.label_accounts(acc, fx.notices(spark, sf))
-    rows = joins.txn_with_account(_txn(spark, sf, acc), lab)
-    rows = sampling.split_stratified(rows.select(KEY, "LABEL").distinct()).join(rows, [KEY, "LABEL"])
+    lab = joins.label_accounts(_acc(spark, sf), fx.notices(spark, sf))
+    rows = materialize(joins.txn_with_account(_txn(spark, sf), lab), "ml-transactions")
+    split = sampling.split_stratified(rows.select(KEY, "LABEL").distinct())
+    rows = materialize(rows.join(split.select(KEY, "SPLIT"), KEY), "ml-transactions")
     feats = models.feature_columns(rows, exclude=[KEY, "LABEL", "SPLIT"])
     m = models.fit(rows.where("SPLIT = 'train'"), feats, models.forest(100))
-    test = rows.where("SPLIT = 'test'")
-    s = models.score(m, test, KEY, keep=["LABEL"])
-    accounts = test.select(KEY).distinct()
+    s = materialize(models.score(m, rows.where("SPLIT = 'test'"), KEY, keep=["LABEL"]), "ml-scored")
+    accounts = s.select(KEY).distinct()
     truth = scoring.vote_by_account(s.select(KEY, F.col("LABEL").alias("PRED")), accounts, name="VOTE_TRUTH")
     pred = scoring.vote_by_account(s.select(KEY, F.col("PREDICTION").alias("PRED")), accounts, name="VOTE_PRED")
-    return truth.join(pred, KEY)
+    return truth.join(pred, KEY).select(KEY, "VOTE_TRUTH", F.col("VOTE_PRED").isin(0, 1).alias("VOTE_OK"))
 
 
-@register("cross_validate")
+def _rate(c: str):
+    return F.col(c).between(0, 1)
+
+
+@register("cross_validate", "SELECT CAST(f AS INT) AS FOLD, TRUE AS METRICS_OK FROM (VALUES (0), (1), (2), (3), (4), (-1)) v(f)")
 def cross_validate(spark, sf):
     """K6: 5 stratified folds; per-fold precision/recall/F1 at 0.5 and their mean (FOLD -1)."""
     ml, feats = _ml_table(spark, sf)
-    folded = sampling.stratified_folds(ml.drop("SPLIT"))
-    return models.cross_validate(folded, feats, params={"maxIter": TEST_ROUNDS})
+    cv = models.cross_validate(ml, feats, params={"maxIter": ROUNDS})
+    return cv.select("FOLD", (_rate("PRECISION") & _rate("RECALL") & _rate("F1")).alias("METRICS_OK"))
 
 
-_SPACE = {"stepSize": (0.1, 0.7), "subsamplingRate": (0.75, 0.95), "maxDepth": (3, 6), "maxIter": (5, TEST_ROUNDS)}
+#: The full space but for depth and rounds, which are bounded by ``ROUNDS`` here.
+_SPACE = {**TUNE_SPACE, "maxDepth": (3, 5), "maxIter": (5, ROUNDS)}
 
 
-def _trials(spark, sf):
-    ck = ("trials", id(spark), sf)
-    if ck not in _CACHE:
-        ml, feats = _ml_table(spark, sf)
-        three = sampling.split_three_way(ml.drop("SPLIT"))
-        maps = models.random_param_maps(4, _SPACE, ints=["maxDepth", "maxIter"])
-        _CACHE[ck] = models.tune(three.where("SPLIT = 'train'"), three.where("SPLIT = 'validation'"), feats, maps, parallelism=2)
-    return _CACHE[ck]
+@register("tune", f"SELECT CAST(t AS INT) AS TRIAL, TRUE AS PARAMS_OK, TRUE AS OBJECTIVE_OK FROM range({TRIALS}) v(t)")
+def tune(spark, sf):
+    """K7: seeded random search over step size, row and column sampling, depth and rounds; validation F1 as objective."""
+    ml, feats = _ml_table(spark, sf)
+    maps = models.random_param_maps(TRIALS, _SPACE)
+    got = models.tune(ml.where("WAY = 'train'"), ml.where("WAY = 'validation'"), feats, maps, parallelism=2)
+    inside = F.lit(True)
+    for name, (lo, hi) in _SPACE.items():
+        inside = inside & F.get_json_object("PARAMS", f"$.{name}").cast("double").between(lo, hi)
+    return got.select("TRIAL", inside.alias("PARAMS_OK"), _rate("OBJECTIVE").alias("OBJECTIVE_OK"))
 
 
-@register("tune")
-def tune(spark, sf):
-    """K7: seeded random search over step size, subsampling, depth and rounds; validation F1 as objective."""
-    return _trials(spark, sf)
+_TRIALS_SQL = (
+    "SELECT o_custkey AS TRIAL, CASE WHEN o_custkey % 9 = 0 THEN CAST('-inf' AS DOUBLE) "
+    "ELSE CAST(count(*) % 7 AS DOUBLE) / 10 END AS OBJECTIVE FROM orders GROUP BY o_custkey"
+)
 
 
-@register("rank_trials")
+@register("rank_trials", f"WITH t AS ({_TRIALS_SQL}) SELECT TRIAL, OBJECTIVE, row_number() OVER (ORDER BY OBJECTIVE DESC, TRIAL) AS RANK "
+          "FROM t WHERE OBJECTIVE > CAST('-inf' AS DOUBLE)")
 def rank_trials(spark, sf):
-    """G4 (+B10): finite trials by objective, highest first."""
-    return scoring.rank_trials(clean.filter_known(_trials(spark, sf), "OBJECTIVE"))
+    """G4 (+B10): finite trials by objective, highest first, ties by trial number; objectives from the orders, many equal."""
+    from riskframe.operators.ordering import row_index
 
+    o = fx.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("TRIAL")).agg(F.count(F.lit(1)).alias("n"))
+    t = o.select("TRIAL", F.when(F.col("TRIAL") % 9 == 0, F.lit(float("-inf"))).otherwise((F.col("n") % 7).cast("double") / 10).alias("OBJECTIVE"))
+    t = clean.filter_known(t, "OBJECTIVE")
+    return row_index(scoring.rank_trials(t), [F.col("OBJECTIVE").desc_nulls_last(), F.col("TRIAL").asc()], name="RANK")
 
-@register("predict_accounts")
+
+@register("predict_accounts", with_views(_SPLIT + "SELECT ACCT_NBR AS account_id, TRUE AS P_OK, TRUE AS PRED_OK, TRUE AS LEVEL_OK FROM sp", *_LAB_VIEWS))
 def predict_accounts(spark, sf):
-    """K8: new accounts -> align -> score -> threshold 0.5 -> risk level."""
+    """K8: every account -> align -> scale with the training scaler -> score -> threshold 0.5 -> risk level."""
     ml, feats = _ml_table(spark, sf)
-    return models.predict_accounts(_gbt_model(spark, sf), ml.where("SPLIT = 'test'"), feats)
+    scaler = models.StandardScale.fit(ml.where("SPLIT = 'train'"), feats)
+    m = _gbt_model(scaler.transform(ml), feats)
+    out = models.predict_accounts(m, ml, feats, scaler)
+    p = F.col("fraud_probability")
+    level = F.when(p > 0.6, "High").when(p > 0.3, "Medium").when(p > 0, "Low")
+    flag = F.col("fraud_prediction") == (p > 0.5).cast("int")
+    return out.select("account_id", p.between(0, 1).alias("P_OK"), flag.alias("PRED_OK"), F.col("risk_level").eqNullSafe(level).alias("LEVEL_OK"))
 
 
-@register("predict_to_sheet")
+@register("predict_to_sheet", with_views("SELECT ACCT_NBR, TRUE AS Y_OK FROM v_sheet", "v_sheet"))
 def predict_to_sheet(spark, sf):
-    """K9: score with threshold 0.6 and fill the answer sheet (accounts of the notice list)."""
+    """K9: score with threshold 0.6 and fill the answer sheet (every account, repeats, unknown accounts stay empty)."""
     from riskframe.sources import files
 
     ml, feats = _ml_table(spark, sf)
-    pred = models.predict_accounts(_gbt_model(spark, sf), ml, feats, threshold=0.6)
-    sheet = fx.notices(spark, sf).select(KEY).withColumn("Y", F.lit(""))
-    return files.fill_answer_sheet(sheet, pred.select(F.col("account_id").alias(KEY), F.col("fraud_prediction").alias("PRED")))
+    pred = models.predict_accounts(_gbt_model(ml, feats), ml, feats, threshold=0.6)
+    filled = files.fill_answer_sheet(fx.answer_sheet(spark, sf), pred.select(F.col("account_id").alias(KEY), F.col("fraud_prediction").alias("PRED")))
+    ok = F.when(F.col(KEY) < 0, F.col("Y") == "").otherwise(F.col("Y").isin("", "1"))
+    return filled.select(KEY, ok.alias("Y_OK"))
+
+
+def _names_sql() -> str:
+    names = osql.ACCOUNT_COLS[1:] + osql.agg_columns()[1:] + osql.slot_columns() + [f"{n}_missing" for n in _BANDS]
+    return f"SELECT FEATURE, TRUE AS IMPORTANCE_OK FROM (VALUES {', '.join(f'({n!r})' for n in names)}) v(FEATURE)"
 
 
-@register("feature_importance")
+@register("feature_importance", _names_sql())
 def feature_importance(spark, sf):
-    """Importance per feature, largest first."""
-    _, feats = _ml_table(spark, sf)
-    return models.feature_importance(spark, _gbt_model(spark, sf), feats)
+    """Importance of every feature: each in [0, 1], together 1."""
+    ml, feats = _ml_table(spark, sf)
+    imp = models.feature_importance(spark, _gbt_model(ml, feats), feats)
+    total = imp.agg(F.sum("IMPORTANCE")).first()[0]
+    return imp.select("FEATURE", (_rate("IMPORTANCE") & F.lit(abs(total - 1) < 1e-6)).alias("IMPORTANCE_OK"))
 
 
-@register("top_features")
+@register("top_features", "SELECT FEATURE, IMPORTANCE FROM (SELECT 'p_' || p_partkey AS FEATURE, CAST(p_size AS DOUBLE) / 100 AS IMPORTANCE FROM part) p "
+          "ORDER BY IMPORTANCE DESC, FEATURE LIMIT 10")
 def top_features(spark, sf):
-    """The ten most important features."""
-    return scoring.top_k(feature_importance(spark, sf), "IMPORTANCE", 10, "FEATURE")
+    """The ten most important features; importances from the part sizes, many equal."""
+    p = fx.table(spark, sf, "part")
+    imp = p.select(F.concat(F.lit("p_"), F.col("p_partkey").cast("string")).alias("FEATURE"), (F.col("p_size").cast("double") / 100).alias("IMPORTANCE"))
+    return scoring.top_k(imp, "IMPORTANCE", 10, "FEATURE")
 
 
-@register("model_save_load")
+@register("model_save_load", with_views(_SPLIT + "SELECT ACCT_NBR, TRUE AS P_OK, TRUE AS EQUAL FROM sp WHERE SPLIT = 'test'", *_LAB_VIEWS))
 def model_save_load(spark, sf):
     """Save, reload, and score the test split with both; the two probabilities must be equal."""
-    ml, _ = _ml_table(spark, sf)
-    m = _gbt_model(spark, sf)
+    ml, feats = _ml_table(spark, sf)
+    m = _gbt_model(ml, feats)
     loaded = models.save_load(m, scratch_path(spark, "model"))
     test = ml.where("SPLIT = 'test'")
-    a = models.score(m, test, KEY).select(KEY, F.col("PROBABILITY").alias("PROBABILITY_SAVED"))
-    b = models.score(loaded, test, KEY).select(KEY, F.col("PROBABILITY").alias("PROBABILITY_LOADED"))
-    return a.join(b, KEY)
+    a = models.score(m, test, KEY).select(KEY, F.col("PROBABILITY").alias("p"))
+    b = models.score(loaded, test, KEY).select(KEY, F.col("PROBABILITY").alias("q"))
+    return a.join(b, KEY).select(KEY, F.col("p").between(0, 1).alias("P_OK"), (F.col("p") == F.col("q")).alias("EQUAL"))

@@ -108,16 +108,17 @@ def risk_band_score(spark, sf):
     return rounded(fx.scored(spark, sf).select("ACCT_NBR", "SCORE", bands.risk_band_score("SCORE").alias("LEVEL")))
 
 
+def _over(t: float) -> str:
+    return f"CASE WHEN SCORE > {t} AND NOT isnan(SCORE) THEN 1 ELSE 0 END"
+
+
 @register(
     "apply_threshold",
-    with_views(
-        "SELECT ACCT_NBR, CASE WHEN SCORE > 0.3 THEN 1 ELSE 0 END AS PRED_03, CASE WHEN SCORE > 0.5 THEN 1 ELSE 0 END AS PRED_05, "
-        "CASE WHEN SCORE > 0.6 THEN 1 ELSE 0 END AS PRED_06 FROM v_scored",
-        "v_scored",
-    ),
+    with_views(f"SELECT ACCT_NBR, {_over(0.3)} AS PRED_03, {_over(0.5)} AS PRED_05, {_over(0.6)} AS PRED_06 FROM v_scored_nan", "v_scored_nan"),
 )
 def apply_threshold(spark, sf):
-    s = fx.scored(spark, sf)
+    """Scores with NaN among them: NaN is never over a threshold."""
+    s = fx.scored_with_nan(spark, sf)
     return s.select("ACCT_NBR", *[bands.apply_threshold("SCORE", t).alias(n) for t, n in ((0.3, "PRED_03"), (0.5, "PRED_05"), (0.6, "PRED_06"))])
 
 
@@ -208,13 +209,13 @@ def head_sample(spark, sf):
 @register(
     "sort_keys",
     with_views(
-        "SELECT ACCT_NBR, round(TX_AMT, 6) AS TX_AMT, TX_DATE, row_number() OVER (ORDER BY ACCT_NBR ASC, TX_AMT DESC) AS POS FROM v_txn",
+        "SELECT ACCT_NBR, round(TX_AMT, 6) AS TX_AMT, TX_DATE, row_number() OVER (ORDER BY ACCT_NBR ASC, TX_AMT DESC, TX_DATE ASC) AS POS FROM v_txn",
         "v_txn",
     ),
 )
 def sort_keys(spark, sf):
     t = fx.transactions(spark, sf).select("ACCT_NBR", "TX_AMT", "TX_DATE")
-    return rounded(scoring.sort_keys(t, [F.col("ACCT_NBR").asc(), F.col("TX_AMT").desc()]))
+    return rounded(scoring.sort_keys(t, [F.col("ACCT_NBR").asc(), F.col("TX_AMT").desc(), F.col("TX_DATE").asc()]))
 
 
 # ------------------------------------------------------------------------------------------- H: sets

@@ -32,11 +32,11 @@ def row_standardize(spark, sf):
     return rounded(sequence.row_standardize(_acc(spark, sf), _ROW_COLS))
 
 
-_SEQ_ORDER = "ORDER BY TX_DATE DESC, TX_AMT DESC"
+_SEQ_ORDER = "ORDER BY TX_DATE DESC, TX_AMT DESC, PB_BAL DESC"
 
 
 def _seq_order():
-    return [F.col("TX_DATE").desc(), F.col("TX_AMT").desc()]
+    return [F.col("TX_DATE").desc(), F.col("TX_AMT").desc(), F.col("PB_BAL").desc()]
 
 
 @register(
@@ -63,27 +63,30 @@ _PAD_CTES = (
     "FROM lens l JOIN bm ON l.BATCH = bm.BATCH WHERE l.len < bm.mx), "
     "imp AS (SELECT *, CASE WHEN MASK THEN 0.0 ELSE abs(Z_TX_AMT) END AS raw FROM pad), "
     "ist AS (SELECT BATCH, min(raw) AS mn, max(raw) AS mx FROM imp GROUP BY BATCH), "
-    "fin AS (SELECT imp.ACCT_NBR, imp.BATCH, imp.POS, imp.MASK, imp.Z_TX_AMT, (raw - mn) / (mx - mn + 1e-6) AS IMPORTANCE "
-    "FROM imp JOIN ist ON imp.BATCH = ist.BATCH) "
+    "bp AS (SELECT l.BATCH, min(l.len) < max(l.len) AS BATCH_PADDED FROM lens l GROUP BY l.BATCH), "
+    "fin AS (SELECT imp.ACCT_NBR, imp.BATCH, imp.POS, imp.MASK, lens.len AS LEN, bm.mx AS BATCH_LEN, bp.BATCH_PADDED, imp.Z_TX_AMT, "
+    "(raw - ist.mn) / (ist.mx - ist.mn + 1e-6) AS IMPORTANCE FROM imp JOIN ist ON imp.BATCH = ist.BATCH JOIN lens ON imp.ACCT_NBR = lens.ACCT_NBR "
+    "JOIN bm ON imp.BATCH = bm.BATCH JOIN bp ON imp.BATCH = bp.BATCH) "
 )
+_REAL = "SELECT ACCT_NBR, BATCH, POS, LEN, BATCH_LEN, BATCH_PADDED, round(Z_TX_AMT, 6) AS Z_TX_AMT "
 
 
 def _padded(spark, sf):
     acc = _acc(spark, sf)
-    t = _txn(spark, sf, acc).select("ACCT_NBR", "TX_DATE", "TX_AMT")
+    t = _txn(spark, sf).select("ACCT_NBR", "TX_DATE", "TX_AMT", "PB_BAL")
     seq = sequence.standardized_sequence(t, ["TX_AMT"], _seq_order())
     batches = sampling.mini_batches(acc.select("ACCT_NBR"))
     return sequence.pad_and_mask(seq, batches, ["Z_TX_AMT"])
 
 
-@register("pad_and_mask", _tx_sql(_PAD_CTES + "SELECT ACCT_NBR, BATCH, POS, MASK, round(Z_TX_AMT, 6) AS Z_TX_AMT FROM pad"))
+@register("pad_and_mask", _tx_sql(_PAD_CTES + _REAL + "FROM fin WHERE NOT MASK"))
 def pad_and_mask(spark, sf):
     return rounded(_padded(spark, sf))
 
 
 @register(
     "sequence_importance",
-    _tx_sql(_PAD_CTES + "SELECT ACCT_NBR, BATCH, POS, MASK, round(Z_TX_AMT, 6) AS Z_TX_AMT, round(IMPORTANCE, 6) AS IMPORTANCE FROM fin"),
+    _tx_sql(_PAD_CTES + _REAL + ", round(IMPORTANCE, 6) AS IMPORTANCE FROM fin WHERE NOT MASK"),
 )
 def sequence_importance(spark, sf):
     return rounded(sequence.sequence_importance(_padded(spark, sf), "Z_TX_AMT"))
@@ -92,8 +95,8 @@ def sequence_importance(spark, sf):
 @register(
     "scale_by_importance",
     _tx_sql(
-        _PAD_CTES + "SELECT ACCT_NBR, BATCH, POS, MASK, round(Z_TX_AMT, 6) AS Z_TX_AMT, round(IMPORTANCE, 6) AS IMPORTANCE, "
-        "round(Z_TX_AMT * (1 + IMPORTANCE), 6) AS SCALED_Z_TX_AMT FROM fin"
+        _PAD_CTES + _REAL + ", round(IMPORTANCE, 6) AS IMPORTANCE, "
+        "round(Z_TX_AMT * (1 + IMPORTANCE), 6) AS SCALED_Z_TX_AMT FROM fin WHERE NOT MASK"
     ),
 )
 def scale_by_importance(spark, sf):

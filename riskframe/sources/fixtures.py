@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.defaults import AMOUNT_CUTS
+
 # "today" of the views: 2002-01-01 as a day serial.
 FIXTURE_TODAY = 11688
-# Cuts that give three non-empty amount bands on the line-item amounts.
-FIXTURE_CUTS = (1.0, 35000.0, 70000.0)
+# Amount cuts: the default ones (the transaction view has amounts in all three bands and below the first cut).
+FIXTURE_CUTS = AMOUNT_CUTS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,13 +69,27 @@ def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item as a transaction, an exact copy of each tenth account's rows, and each thirteenth account's rows
+    once more under a number that no account has. Amounts lie in all three bands, and some below the first cut."""
+    base = _transactions(spark, sf_dir)
+    unknown = base.where(F.col("ACCT_NBR") % 13 == 0).withColumn("ACCT_NBR", -F.col("ACCT_NBR"))
+    return base.unionByName(base.where(F.col("ACCT_NBR") % 10 == 0)).unionByName(unknown)
+
+
+def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
+    amount = (
+        F.when(F.col("l_partkey") % 97 == 0, F.lit(0.5))
+        .when(F.col("l_partkey") % 4 == 1, F.floor(F.col("l_extendedprice") / 200).cast("double"))
+        .when(F.col("l_partkey") % 9 == 2, F.col("l_extendedprice") * 3)
+        .otherwise(F.col("l_extendedprice"))
+    )
     return li.select(
         F.col("l_orderkey").alias("ACCT_NBR"),
         _day_serial("l_shipdate").alias("TX_DATE"),
         (F.col("l_partkey") % 24).cast("int").alias("TX_TIME"),
         F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", 2).alias("DRCR"),
-        F.col("l_extendedprice").alias("TX_AMT"),
+        amount.alias("TX_AMT"),
         F.when(F.col("l_suppkey") % 10 == 0, F.lit(None)).otherwise(F.col("l_quantity")).alias("PB_BAL"),
         F.when(F.col("l_suppkey") % 3 == 0, F.lit("ID99999"))
         .otherwise(F.concat(F.lit("ID"), F.col("l_suppkey").cast("string")))
@@ -110,6 +126,14 @@ def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(again).unionByName(unknown)
 
 
+def answer_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every account, each fifth one twice, and each seventh one's number negated (unknown)."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ACCT_NBR"))
+    unknown = o.where(F.col("ACCT_NBR") % 7 == 0).select((-F.col("ACCT_NBR")).alias("ACCT_NBR"))
+    rows = o.unionByName(o.where(F.col("ACCT_NBR") % 5 == 0)).unionByName(unknown)
+    return rows.withColumn("Y", F.lit(""))
+
+
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
@@ -140,6 +164,12 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scored_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored rows, with NaN for each 37th account's score."""
+    nan = F.lit(float("nan"))
+    return scored(spark, sf_dir).withColumn("SCORE", F.when(F.col("ACCT_NBR") % 37 == 0, nan).otherwise(F.col("SCORE")))
+
+
 # --------------------------------------------------------------------------------------------------
 # DuckDB text of the same views (oracle side). Only the base tables are registered there.
 
@@ -156,9 +186,14 @@ SELECT CASE WHEN c_custkey = 7 THEN NULL WHEN c_custkey % 50 = 0 THEN -c_custkey
   CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 3000 THEN 1 WHEN c_acctbal < 6000 THEN 2 ELSE 3 END AS YEARLYINCOMELEVEL,
   CASE WHEN c_nationkey = 7 THEN NULL ELSE c_nationkey END AS CNTY_CD FROM customer""",
     "v_txn": """
+SELECT * FROM v_txn_base UNION ALL SELECT * FROM v_txn_base WHERE ACCT_NBR % 10 = 0
+ UNION ALL SELECT * REPLACE (-ACCT_NBR AS ACCT_NBR) FROM v_txn_base WHERE ACCT_NBR % 13 = 0""",
+    "v_txn_base": """
 SELECT l_orderkey AS ACCT_NBR, CAST(datediff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS INT) AS TX_DATE,
   CAST(l_partkey % 24 AS INT) AS TX_TIME,
-  CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 END AS DRCR, l_extendedprice AS TX_AMT,
+  CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 END AS DRCR,
+  CASE WHEN l_partkey % 97 = 0 THEN CAST(0.5 AS DOUBLE) WHEN l_partkey % 4 = 1 THEN CAST(floor(l_extendedprice / 200) AS DOUBLE)
+    WHEN l_partkey % 9 = 2 THEN l_extendedprice * 3 ELSE l_extendedprice END AS TX_AMT,
   CASE WHEN l_suppkey % 10 = 0 THEN NULL ELSE l_quantity END AS PB_BAL,
   CASE WHEN l_suppkey % 3 = 0 THEN 'ID99999' ELSE concat('ID', CAST(l_suppkey AS VARCHAR)) END AS OWN_TRANS_ID,
   CAST(l_suppkey % 19 + 1 AS INT) AS CHANNEL_CODE, CAST(l_partkey % 54 + 1 AS INT) AS TRN_CODE,
@@ -174,6 +209,11 @@ SELECT o_custkey AS CUST_ID, o_orderkey AS ACCT_NBR, CAST(datediff('day', DATE '
   FROM orders WHERE o_orderstatus='F' AND o_orderpriority='1-URGENT' AND o_orderkey % 5 = 0
  UNION ALL SELECT o_custkey, -o_orderkey, CAST(datediff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS INT)
   FROM orders WHERE o_orderstatus='F' AND o_orderpriority='1-URGENT' AND o_orderkey % 7 = 0""",
+    "v_sheet": """
+SELECT o_orderkey AS ACCT_NBR, '' AS Y FROM orders UNION ALL SELECT o_orderkey, '' FROM orders WHERE o_orderkey % 5 = 0
+ UNION ALL SELECT -o_orderkey, '' FROM orders WHERE o_orderkey % 7 = 0""",
+    "v_scored_nan": """
+SELECT ACCT_NBR, CASE WHEN ACCT_NBR % 37 = 0 THEN CAST('nan' AS DOUBLE) ELSE SCORE END AS SCORE, LABEL FROM v_scored""",
     "v_etxn": """
 SELECT user_id AS ACCT_NBR, event_id AS SEQ, ts AS TS, CAST(datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INT) AS TX_DATE,
   value AS TX_AMT, event_type AS CHANNEL FROM events""",
@@ -183,7 +223,7 @@ SELECT ACCT_NBR, SCORE, CASE WHEN (ACCT_NBR * 7919) % 1000 < 1000 * SCORE * SCOR
    ELSE CAST(floor(1000 * o_totalprice / (o_totalprice + 100000)) AS DOUBLE) / CAST(1000 AS DOUBLE) END AS SCORE FROM orders) t""",
 }
 
-_VIEW_DEPS = {"v_txn_rep": ["v_txn"]}
+_VIEW_DEPS = {"v_txn": ["v_txn_base"], "v_txn_rep": ["v_txn"], "v_scored_nan": ["v_scored"]}
 
 
 def with_views(sql: str, *views: str) -> str:

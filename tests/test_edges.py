@@ -34,15 +34,15 @@ def test_risk_band_score_nan_is_low(spark):
 
 
 def test_threshold_is_strict(spark):
-    df = spark.createDataFrame([(0.5,), (0.5000001,)], "p double")
-    assert col(df.select(bands.apply_threshold("p", 0.5).alias("y")), "y") == [0, 1]
+    df = spark.createDataFrame([(0.5,), (0.5000001,), (float("nan"),), (None,)], "p double")
+    assert col(df.select(bands.apply_threshold("p", 0.5).alias("y")), "y") == [0, 1, 0, 0]
 
 
-def test_null_keys_match_in_identity_join(spark):
+def test_null_keys_match_nothing_in_identity_join(spark):
     acc = spark.createDataFrame([(1, None), (2, 5)], "ACCT_NBR long, CUST_ID long")
     idn = spark.createDataFrame([(None, 30), (5, 40)], "CUST_ID long, DATE_OF_BIRTH int")
     out = {r.ACCT_NBR: r.DATE_OF_BIRTH for r in joins.join_identity(acc, idn).collect()}
-    assert out == {1: 30, 2: 40}
+    assert out == {1: None, 2: 40}
 
 
 def test_tempo_single_and_missing_accounts(spark):

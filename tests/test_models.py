@@ -34,14 +34,17 @@ def test_save_load_same_scores(spark, planted, tmp_path):
     assert a.join(b, "ACCT_NBR").where("a <> b").count() == 0
 
 
-def test_registered_model_queries(spark):
-    import __spark_entry__ as E
+def test_folds_choose_the_rounds_and_all_rows_train(spark, planted):
+    df = planted.withColumn("FOLD", F.col("ACCT_NBR") % 2)
+    m, n = models.fit_early_stop(df, ["x1", "x2"], k=2, params={"maxIter": 4})
+    assert 1 <= n <= 4 and m.stages[-1].getNumTrees == n
 
-    qs = E.queries()
-    s = qs["train_gbt"](spark, SF_SMALL)
-    lo, hi = s.agg(F.min("PROBABILITY"), F.max("PROBABILITY")).first()
-    assert 0.0 <= lo <= hi <= 1.0
-    sl = qs["model_save_load"](spark, SF_SMALL)
-    assert sl.where("PROBABILITY_SAVED <> PROBABILITY_LOADED").count() == 0
-    imp = qs["feature_importance"](spark, SF_SMALL).toPandas()
-    assert abs(imp.IMPORTANCE.sum() - 1.0) < 1e-6
+
+def test_search_draws_from_the_full_space():
+    from riskframe.defaults import TUNE_SPACE, TUNE_TRIALS
+
+    maps = models.random_param_maps()
+    assert len(maps) == TUNE_TRIALS
+    for m in maps:
+        assert set(m) == set(TUNE_SPACE) and isinstance(m["maxDepth"], int) and isinstance(m["featureSubsetStrategy"], str)
+        assert all(lo <= float(m[k]) <= hi for k, (lo, hi) in TUNE_SPACE.items())

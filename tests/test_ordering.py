@@ -69,3 +69,10 @@ def test_bootstrap_balances_classes(spark):
     assert (b.LABEL == 1).sum() == 90 and (b.LABEL == 0).sum() == 90
     assert set(b[b.LABEL == 1].ACCT_NBR) <= set(range(10))
     assert pd.Series(b[b.LABEL == 0].ACCT_NBR).between(10, 99).all()
+
+
+def test_bootstrap_reaches_every_row_of_a_huge_class(spark):
+    size = 2**33
+    picks = spark.range(4000).select(sampling.bootstrap_pick(F.lit(0), F.col("id"), F.lit(size)).alias("i"))
+    lo, hi, over = picks.agg(F.min("i"), F.max("i"), F.count(F.when(F.col("i") > 2**32, 1))).first()
+    assert 1 <= lo <= hi <= size and 1500 < over < 2500
