@@ -43,6 +43,8 @@ from riskframe.llm.registry import register
 SAMPLE, LANDMARKS, ROUNDS, PENALTY, HARD = 1500, 320, 3, 1e-5, 4000
 #: Likelihood ratio from which a unit stands for toxic documents at first.
 SURPLUS = 15.0
+#: How many times more often toxic documents must hold a beginning than clean ones.
+LIFT = 8
 DECAY, REACH, STRETCH, CUT = 0.7, 7, 32, 0.3
 #: Units that a worker keeps the value of.
 KEPT = 700_000
@@ -212,6 +214,36 @@ def sentences(text: str) -> list[list[str]]:
     return out
 
 
+def stems(unit: str) -> list[str]:
+    """Beginnings of a longer unit, marked so that they aren't units."""
+    return [unit[:n] + "*" for n in (4, 5, 6) if len(unit) > n]
+
+
+def groups_of(docs: list[list[str]], most: int = 15, share: float = 0.3) -> list[int]:
+    """A number for each document of the sample, equal for those that share ``share`` of their rarer units."""
+    holders: dict[str, list[int]] = {}
+    for i, d in enumerate(docs):
+        for u in d:
+            holders.setdefault(u, []).append(i)
+    rare, together = Counter(), Counter()
+    for at in holders.values():
+        if 1 < len(at) <= most:
+            rare.update(at)
+            together.update((a, b) for n, b in enumerate(at) for a in at[:n])
+    group = list(range(len(docs)))
+
+    def find(x: int) -> int:
+        while group[x] != x:
+            group[x] = group[group[x]]
+            x = group[x]
+        return x
+
+    for (a, b), n in together.items():
+        if n > 5 and n >= share * min(rare[a], rare[b]):
+            group[find(b)] = find(a)
+    return [find(i) for i in range(len(docs))]
+
+
 def support(pool: list[str], landmarks: list[str], witness: Counter, in_clean: Counter, ratio: float) -> tuple[np.ndarray, float]:
     """Table W and offset of the machine on Nyström features of ``landmarks``: ``witness`` counts the toxic documents of a
     positive unit, ``in_clean`` the clean ones of any unit of the pool; ``ratio``: toxic documents for each clean one."""
@@ -262,9 +294,16 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], seed: i
     if not n1 or not n0:
         share = min(max(rates[0], 1e-6), 1 - 1e-6)
         return Machine(np.zeros(SYMBOLS**3), 0.0, (0.0, 0.0, float(np.log(share / (1 - share)))))
-    in_toxic, in_clean = Counter(u for d, t in zip(docs, toxic) if t for u in d), Counter(u for d, t in zip(docs, toxic) if not t for u in d)
+    # Copies of a document count once, or all of a copied document's words would seem to go with its label.
+    group = groups_of(docs)
+    in_toxic = Counter(u for u, _ in {(u, g) for d, t, g in zip(docs, toxic, group) if t for u in d})
+    in_clean = Counter(u for u, _ in {(u, g) for d, t, g in zip(docs, toxic, group) if not t for u in d})
     # Start: the units that toxic documents hold more often than chance explains (likelihood ratio).
-    surplus = {u: lead(n, n1, in_clean[u], n0) for u, n in in_toxic.items() if n > 1}
+    # A unit also leads by its beginning: insults come in many forms, each of them rare.
+    in_toxic_stem = Counter(x for x, _ in {(x, g) for d, t, g in zip(docs, toxic, group) if t for u in d for x in stems(u)})
+    in_clean_stem = Counter(x for x, _ in {(x, g) for d, t, g in zip(docs, toxic, group) if not t for u in d for x in stems(u)})
+    by_stem = {x: lead(n, n1, in_clean_stem[x], n0) for x, n in in_toxic_stem.items() if n > 2 and n * n0 > LIFT * (in_clean_stem[x] + 1) * n1}
+    surplus = {u: max([lead(n, n1, in_clean[u], n0) if n > 1 else 0.0, *(by_stem.get(x, 0.0) for x in stems(u))]) for u, n in in_toxic.items()}
     leading = sorted(surplus, key=lambda u: (-surplus[u], u))
     positive = [u for u in leading if surplus[u] > SURPLUS]
     known = set(positive)

@@ -37,7 +37,7 @@ def test_directory_doubles_and_keeps_results(spark):
     index = op.build_index(df, capacity=4)
     buckets = index.groupBy("depth", "bucket").count().collect()
     assert max(r["count"] for r in buckets) <= 4
-    assert {r["depth"] for r in buckets} > {op.FIRST_DEPTH}  # some buckets split, others not
+    assert len({r["depth"] for r in buckets}) > 1  # some buckets split further than others
     assert index.count() == 300
     assert rows_of(op.exact_duplicates(df, capacity=4), *COLUMNS) == expected(rows)
 
