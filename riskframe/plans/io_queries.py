@@ -142,10 +142,10 @@ def metrics_json(spark, sf):
 
 
 def _catalog_sql() -> str:
-    """The feature table's names in order; ratios, means, amounts and the tempo are doubles, counts and TX_DATE sums aside."""
+    """The feature table's names in order, with their types in the test views."""
     names = osql.ACCOUNT_COLS[1:] + osql.agg_columns()[1:] + osql.slot_columns()
     doubles = set(osql.feature_doubles())
-    kinds = ["double" if n in doubles else "bigint" if n.endswith("TRN_COUNT") else "int" for n in names]
+    kinds = ["double" if n in doubles else "bigint" if n.endswith("TRN_COUNT") or n == "DATE_OF_BIRTH" else "int" for n in names]
     rows = ", ".join(f"({i}, '{n}', '{k}')" for i, (n, k) in enumerate(zip(names, kinds)))
     return f"SELECT CAST(POSITION AS INT) AS POSITION, NAME, TYPE FROM (VALUES {rows}) v(POSITION, NAME, TYPE)"
 

@@ -32,13 +32,14 @@ _BANDS = list(features.BAND_COUNT_COLS + features.BAND_RATIO_COLS)
 _MARKS = [KEY, "LABEL", "SPLIT", "FOLD", "WAY"]
 
 
-def _ml_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+def _ml_table(spark: SparkSession, sf: str, mark: str = "SPLIT") -> tuple[DataFrame, list[str]]:
     """Labelled feature table with flags for missing bands, and beside it, from the narrow (key, label) rows, the
-    stratified split, the fold and the three-way split: joined once, written once."""
+    stratified split (SPLIT), with it the fold (FOLD), or the three-way split (WAY): joined once, written once."""
     lab = joins.label_accounts(fx.accounts(spark, sf).select(KEY), fx.notices(spark, sf))
     lab = materialize(lab, "labels")
-    marks = sampling.split_stratified(lab).join(sampling.stratified_folds(lab).drop("LABEL"), KEY)
-    marks = marks.join(sampling.split_three_way(lab, name="WAY").drop("LABEL"), KEY)
+    marks = sampling.split_three_way(lab, name="WAY") if mark == "WAY" else sampling.split_stratified(lab)
+    if mark == "FOLD":
+        marks = marks.join(sampling.stratified_folds(lab).drop("LABEL"), KEY)
     ft = features.feature_table(fx.accounts(spark, sf), fx.identity(spark, sf), fx.transactions(spark, sf), today=FIXTURE_TODAY, cuts=FIXTURE_CUTS)
     ml = materialize(models.impute_with_flags(ft, _BANDS).join(marks, KEY), "ml-table")
     return ml, models.feature_columns(ml, exclude=_MARKS)
@@ -118,7 +119,7 @@ def train_gbt(spark, sf):
     _SPLIT + "SELECT ACCT_NBR, LABEL, TRUE AS P_OK, TRUE AS PRED_OK, TRUE AS ROUNDS_OK FROM sp WHERE SPLIT = 'test'", *_LAB_VIEWS))
 def train_gbt_early_stop(spark, sf):
     """K3: the folds choose the number of rounds (at most ``ROUNDS`` here), one model on all training rows."""
-    ml, feats = _ml_table(spark, sf)
+    ml, feats = _ml_table(spark, sf, "FOLD")
     m, n = models.fit_early_stop(ml.where("SPLIT = 'train'"), feats, params={"maxIter": ROUNDS})
     s = _checked(models.score(m, ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"]), "LABEL")
     return s.withColumn("ROUNDS_OK", F.lit(1 <= n <= ROUNDS and m.stages[-1].getNumTrees == n))
@@ -164,7 +165,7 @@ def _rate(c: str):
 @register("cross_validate", "SELECT CAST(f AS INT) AS FOLD, TRUE AS METRICS_OK FROM (VALUES (0), (1), (2), (3), (4), (-1)) v(f)")
 def cross_validate(spark, sf):
     """K6: 5 stratified folds; per-fold precision/recall/F1 at 0.5 and their mean (FOLD -1)."""
-    ml, feats = _ml_table(spark, sf)
+    ml, feats = _ml_table(spark, sf, "FOLD")
     cv = models.cross_validate(ml, feats, params={"maxIter": ROUNDS})
     return cv.select("FOLD", (_rate("PRECISION") & _rate("RECALL") & _rate("F1")).alias("METRICS_OK"))
 
@@ -176,7 +177,7 @@ _SPACE = {**TUNE_SPACE, "maxDepth": (3, 5), "maxIter": (5, ROUNDS)}
 @register("tune", f"SELECT CAST(t AS INT) AS TRIAL, TRUE AS PARAMS_OK, TRUE AS OBJECTIVE_OK FROM range({TRIALS}) v(t)")
 def tune(spark, sf):
     """K7: seeded random search over step size, row and column sampling, depth and rounds; validation F1 as objective."""
-    ml, feats = _ml_table(spark, sf)
+    ml, feats = _ml_table(spark, sf, "WAY")
     maps = models.random_param_maps(TRIALS, _SPACE)
     got = models.tune(ml.where("WAY = 'train'"), ml.where("WAY = 'validation'"), feats, maps, parallelism=2)
     inside = F.lit(True)

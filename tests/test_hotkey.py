@@ -40,3 +40,20 @@ def test_hot_account_top5(spark, txn):
         e = exp[exp.N == n].set_index("ACCT_NBR").TX_AMT
         assert (got.loc[e.index, f"TX_AMT_{n}"] == e).all()
     assert got.loc[1, "TOP_N_5"] == 5
+
+
+def test_long_account_adds_no_padding_rows(spark):
+    """One account of 100,000 rows in a batch with short ones: only real rows come out, padding follows from the lengths."""
+    from pyspark.sql import functions as F
+
+    from riskframe.operators import sequence
+
+    long = spark.range(100_000).select(F.lit(1).alias("ACCT_NBR"), (F.col("id") + 1).alias("POS"), (F.col("id") % 7 - 3).cast("double").alias("Z"))
+    short = spark.createDataFrame([(2, 1, 2.0), (2, 2, -5.0), (3, 1, 1.0)], "ACCT_NBR int, POS long, Z double")
+    batches = spark.createDataFrame([(1, 0), (2, 0), (3, 1), (4, 2)], "ACCT_NBR int, BATCH long")
+    padded = sequence.pad_and_mask(long.unionByName(short), batches, ["Z"])
+    assert padded.count() == 100_003
+    lens = {r.ACCT_NBR: (r.LEN, r.BATCH_LEN, r.BATCH_PADDED) for r in padded.select("ACCT_NBR", "LEN", "BATCH_LEN", "BATCH_PADDED").distinct().collect()}
+    assert lens == {1: (100_000, 100_000, True), 2: (2, 100_000, True), 3: (1, 1, False)}
+    imp = {(r.ACCT_NBR, r.POS): r.IMPORTANCE for r in sequence.sequence_importance(padded, "Z").where("ACCT_NBR > 1").collect()}
+    assert imp[(2, 2)] == pytest.approx(5 / (5 + 1e-6)) and imp[(2, 1)] == pytest.approx(2 / (5 + 1e-6)) and imp[(3, 1)] == 0
