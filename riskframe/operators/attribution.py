@@ -29,7 +29,9 @@ class LinearAttribution:
     def fit(df: DataFrame, features: Sequence[str], label: str) -> LinearAttribution:
         aggs = []
         for c in features:
-            aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"), F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(f"r_{c}")]
+            x, y = F.col(c).cast("double"), F.col(label).cast("double")
+            corr = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))  # null for a constant column
+            aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"), corr.alias(f"r_{c}")]
         row = df.agg(*aggs).first()
 
         def beta(c: str) -> float:

@@ -31,6 +31,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+#: Session setting of a narrower folder for intermediate data: of ``scratch``, or one machine's temp folder.
+SCRATCH = "riskframe.scratch.dir"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate data: ``spark.checkpoint.dir``, else the folder set with
     ``SparkContext.setCheckpointDir``.
@@ -39,14 +43,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     under the system's temp dir; on a cluster that is an error, since executors don't see each other's disks."""
     sc = spark.sparkContext
     own = sc.getCheckpointDir()
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf = spark.conf.get(SCRATCH, None) or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf and own is not None:
         conf = own.rsplit("/", 1)[0]  # Spark keeps a folder of its own below the one that was set
     if not conf:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf = tempfile.mkdtemp(prefix="riskframe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
+        spark.conf.set(SCRATCH, conf)
     if own is None:
         sc.setCheckpointDir(conf)
     return conf
@@ -72,15 +76,15 @@ def materialize(df, name: str):
 def scratch(spark: SparkSession, name: str = "job"):
     """Intermediate tables written within the ``with`` block go below one folder, which is removed at its end. Use it
     round a query and the action that reads its result."""
-    before = spark.conf.get("spark.checkpoint.dir", None)
+    before = spark.conf.get(SCRATCH, None)
     path = scratch_path(spark, name)
-    spark.conf.set("spark.checkpoint.dir", path)
+    spark.conf.set(SCRATCH, path)
     try:
         yield path
     finally:
         if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
+            spark.conf.unset(SCRATCH)
         else:
-            spark.conf.set("spark.checkpoint.dir", before)
+            spark.conf.set(SCRATCH, before)
         where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -48,13 +48,12 @@ def test_no_folder_on_a_cluster_is_an_error():
 def test_one_machine_gets_a_temp_folder():
     s = _Session("local[2]")
     path = session.ensure_checkpoint_dir(s)
-    assert os.path.isdir(path) and s.conf["spark.checkpoint.dir"] == path
+    assert os.path.isdir(path) and s.conf[session.SCRATCH] == path and session.ensure_checkpoint_dir(s) == path
 
 
 def test_scratch_removes_what_a_query_wrote(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
     with session.scratch(spark) as path:
         assert session.materialize(spark.range(5), "t").count() == 5
         assert os.path.isdir(path.removeprefix("file://").removeprefix("file:"))
     assert not os.path.exists(path.removeprefix("file://").removeprefix("file:"))
-    assert spark.conf.get("spark.checkpoint.dir", None) == before
+    assert spark.conf.get(session.SCRATCH, None) is None
