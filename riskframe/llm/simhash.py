@@ -167,9 +167,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Besides the contract's columns n_within: for ids divisible by 100 the number of documents (itself included) whose
     fingerprint is within the radius, else null."""
     rows = materialize(edited_fingerprints(table(spark, sf_dir, "documents")), "simhash-documents")
-    asked = F.col("doc_id") % 100 == 0
+    asked = F.coalesce(F.col("doc_id") % 100 == 0, F.lit(False))
     found = within_radius(rows.where(asked).select("fp"), rows.select("fp")).groupBy(F.col("q").alias("asked_fp")).agg(F.sum("n").alias("n_within"))
-    out = rows.join(found, F.when(asked, F.col("fp")) == F.col("asked_fp"), "left")
+    answered = rows.where(asked).join(found, F.col("fp") == F.col("asked_fp"), "left").drop("asked_fp")
+    # The others have no key to join on; a null key would bring them all to one task.
+    out = answered.unionByName(rows.where(~asked).withColumn("n_within", F.lit(None).cast("bigint")))
 
     def text_of(c: str):
         return F.lower(F.lpad(F.hex(c), 16, "0"))
