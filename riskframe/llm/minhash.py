@@ -79,12 +79,12 @@ def sketched(docs: DataFrame, words: int, t: int, rows: int, id_col: str = "doc_
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in batches:
-            texts = b.column(1)
+            column = b.column(1)
             start = 0
             while start < len(b):
                 sets, total = [], 0
                 while start + len(sets) < len(b) and total < LOT:
-                    sets.append(shingle_set(texts[start + len(sets)].as_py(), words, known))
+                    sets.append(shingle_set(column[start + len(sets)].as_py(), words, known))
                     total += len(sets[-1])
                 some = [s for s in sets if len(s)]
                 sk = sketches(some, t).reshape(len(some), -1, rows)
@@ -104,8 +104,8 @@ def sketched(docs: DataFrame, words: int, t: int, rows: int, id_col: str = "doc_
                 )
                 start += len(sets)
 
-    rows = id_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    return rows.mapInArrow(task, "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, text_hash bigint")
+    texts = id_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    return texts.mapInArrow(task, "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, text_hash bigint")
 
 
 def full_sets(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
