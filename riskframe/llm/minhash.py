@@ -10,8 +10,9 @@ agreements concentrates as with independent hashes, at about t log t + n steps i
 with a probability below one in a million. Sets are first collapsed: documents with the same set are one node, named by
 a 128-bit digest.
 
-**Candidates.** A bucket (band and value) with m nodes never gives all pairs at first: its smallest node is paired with
-each other one. What verification joins is one component; then only pairs of nodes of one bucket in *different*
+**Candidates.** A bucket (band and value) with m nodes never gives all pairs at first: one node is paired with each other
+one, the node that meets most others over all its buckets (of edited copies, that is the text they come from, to which
+each is more similar than to one another). What verification joins is one component; then only pairs of nodes of one bucket in *different*
 components, of sizes that allow a link, are paired and verified. So no link between different sets that share a bucket
 is lost, and a group of thousands of near copies costs one pair for each member.
 
@@ -166,14 +167,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     nodes = rows_.where(F.col("node").isNotNull()).groupBy("node")
     nodes = materialize(nodes.agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "minhash-nodes")
     buckets = nodes.select("node", "n", F.posexplode("bands").alias("band", "value"))
-    hubs = buckets.groupBy("band", "value").agg(F.min("node").alias("a"), F.min_by("n", "node").alias("na"), F.count(F.lit(1)).alias("m"))
-    hubs = hubs.where(F.col("m") > 1)
-    buckets = materialize(buckets.join(hubs, ["band", "value"]), "minhash-buckets")
+    shared = buckets.groupBy("band", "value").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1)
+    buckets = materialize(buckets.join(shared, ["band", "value"]), "minhash-buckets")
+    met = buckets.groupBy("node").agg(F.sum("m").alias("met"))
+    hubs = buckets.join(met, "node").groupBy("band", "value").agg(F.max(F.struct("met", "node", "n")).alias("hub"))
+    hubs = hubs.select("band", "value", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
 
     def fits(x: str, y: str):
         return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
-    star = buckets.where((F.col("a") != F.col("node")) & fits("n", "na")).select("a", F.col("node").alias("b")).distinct()
+    star = buckets.join(hubs, ["band", "value"]).where((F.col("hub") != F.col("node")) & fits("n", "hub_n"))
+    star = star.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     star = materialize(star, "minhash-pairs")
     links = verified(star, docs, nodes, words, percent, id_col, text_col)
     comps = components(links)
