@@ -13,16 +13,18 @@ lists the files of the tasks that succeeded, so a repeated or lost task leaves n
 ids in the files before it. Reading goes by file, block after block; memory holds one block.
 
 Defined results: null text is empty (only the end id); documents in ascending id, null ids first, equal ids by text hash;
-an empty table gives no file and an empty result; other columns aren't read.
+an empty table gives no file and an empty result; other columns aren't read. The query reads the strings of the file's
+added tokens in a text as these tokens, like the library's plain call; ``write_tokens`` does so with ``added``.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -165,12 +167,14 @@ class IdReader:
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str, pattern: str) -> PartCoder:
+def tokenizer(path: str, pattern: str, added: bool = False) -> Callable[[list[str]], list[bytes]]:
+    """Ids of texts as the library gives them. ``added``: strings of the file's added tokens in a text are these tokens,
+    as in the library's plain call; else special tokens' strings are ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # special tokens' strings in a text are ordinary text
+    t.encode_special_tokens = not added
 
     def encode(pieces: list[str]) -> list[bytes]:
         out = []
@@ -178,7 +182,27 @@ def tokenizer(path: str, pattern: str) -> PartCoder:
             out += [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(pieces[i : i + 10_000], add_special_tokens=False)]
         return out
 
-    return PartCoder(pattern, encode)
+    coder = PartCoder(pattern, encode)
+    tokens = {x.content: (i, x) for i, x in t.get_added_tokens_decoder().items()} if added else {}
+    if not tokens:
+        return coder
+    # The library cuts a text at its added tokens first, the longest where several start, and each stretch between them
+    # is a text of its own. Tokens that take in blanks or depend on their neighbours are left to the library.
+    plain = t.normalizer is None and not any(x.lstrip or x.rstrip or x.single_word for _, x in tokens.values())
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(tokens, key=len, reverse=True))) + ")")
+    ids = {x: struct.pack("<I", i) for x, (i, _) in tokens.items()}
+
+    def coded(texts: list[str]) -> list[bytes]:
+        if not plain:
+            return encode(texts)
+        odd = {i for i, x in enumerate(texts) if any(map(x.__contains__, ids))}
+        if not odd:
+            return coder(texts)
+        split = [cut.split(x) if i in odd else [x] for i, x in enumerate(texts)]
+        between = iter(coder([x for s in split for x in s[::2]]))
+        return [b"".join([ids[x] if n % 2 else next(between) for n, x in enumerate(s)]) for s in split]
+
+    return coded
 
 
 def public_tokenizer(name: str = "byte_bpe_50k.json") -> tuple[str, str]:
@@ -187,14 +211,15 @@ def public_tokenizer(name: str = "byte_bpe_50k.json") -> tuple[str, str]:
     return P.path(name), P.PATTERN
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: tuple[str, str] | None = None, bits: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes the token ids of all documents below ``path``; returns the manifest: file, path, n_docs, n_ids, base."""
+def write_tokens(docs: DataFrame, path: str, vocabulary: tuple[str, str] | None = None, bits: int = 8, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
+    """Writes the token ids of all documents below ``path``; returns the manifest: file, path, n_docs, n_ids, base.
+    ``added``: as for ``tokenizer``."""
     where, pattern = vocabulary or public_tokenizer()
     if "://" not in path and not path.startswith("/"):
         path = path.replace("file:/", "file:///", 1)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, out, no, n = tokenizer(where, pattern), None, 0, 0
+        coder, out, no, n = tokenizer(where, pattern, added), None, 0, 0
         end = struct.pack("<I", END)
         for b in batches:
             if not len(b):
@@ -275,4 +300,4 @@ def _read(manifest: DataFrame, schema: str, digest: bool) -> DataFrame:
 
 @register("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_digests(write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "token-ids")))
+    return read_digests(write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "token-ids"), added=True))

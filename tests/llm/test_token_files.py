@@ -63,3 +63,17 @@ def test_a_byte_plane_of_small_ids_costs_little(tmp_path):
     w = op.IdWriter(str(tmp_path / "x.bin"))
     w.add(0, np.arange(200_000, dtype="<u4").tobytes())
     assert w.close() < 200_000
+
+
+def test_query_reads_added_tokens_as_the_unmodified_library(spark, tmp_path):
+    plain, end = Tokenizer.from_file(P.path("byte_bpe_50k.json")), "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 2, f"  {end}  x\n{end}'s", f"tail \n{end}", "<|endoftext", f"{end}ly don't {end} ", "no such string", ""]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    at, want = 0, []
+    for i, t in enumerate(texts):
+        ids = np.array([*plain.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    assert rows_of(op.op9_token_files(spark, str(tmp_path)), "doc_id", "start", "n_tokens", "ids_crc32") == want
