@@ -14,7 +14,8 @@ so a source with a third of all rows is spread over many tasks. Only the table o
 one task; it meets the rows by a broadcast where it is counted small, else by a shuffle.
 
 Defined results: size is the number of words (null text: 0); null is a source of its own, sorted last; documents
-without words take 0; documents that share id and source are taken alike; an empty table gives an empty result.
+without words take 0; documents that share id and source are queued by the hash of their text, and rows that share that too
+stand for one another; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import WORD, table
 from riskframe.llm.common import sized as small
 from riskframe.llm.registry import register
-from riskframe.operators.ordering import prefix_sums
+from riskframe.operators.ordering import prefix_sums, row_index
 from riskframe.session import materialize
 
 MAX_REPEATS = 3
@@ -34,16 +35,21 @@ SEED = "mix-1"
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, k (the place in the shuffled queue)."""
+    """doc_id, source, size, k (the place in the shuffled queue), text_hash."""
     size = F.coalesce(F.regexp_count(F.col(f"`{text_col}`").cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint")
     return docs.select(
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         size.alias("size"),
         F.md5(F.concat(F.lit(f"{SEED}-"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))).alias("k"),
+        hashed(text_col).alias("text_hash"),
     )
 
 
+def hashed(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+
+
 def targets_of(sizes: DataFrame, weight: Column | None = None, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """source, source_size, base (words of the sources before it), target, budget: one row for each source.
 
@@ -75,11 +81,11 @@ def mix(
     weight: Column | None = None,
     max_repeats: int = MAX_REPEATS,
 ) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, size, source_size, target, taken, source, k."""
+    """One row for each row of ``docs``: doc_id, size, source_size, target, taken, source, k, text_hash."""
     rows = materialize(sized(docs, id_col, text_col, source_col), "mix-sizes")
     sources = small(targets_of(rows, weight, max_repeats), "mix-sources")
     rows = rows.withColumnRenamed("source", "_s").join(sources, F.col("_s").eqNullSafe(F.col("source"))).drop("_s")
-    queued = prefix_sums(rows, ["no", "k", "doc_id"], ["size"])
+    queued = prefix_sums(rows, ["no", "k", "doc_id", "text_hash"], ["size"])
     queued = queued.withColumn("mine", F.col("cum_size") - F.col("base"))
     queued = materialize(queued, "mix-queues")
     epochs = F.sequence(F.lit(0), F.lit(max_repeats - 1))
@@ -97,7 +103,7 @@ def mix(
     taken = F.lit(0).cast("bigint")
     for e in range(max_repeats):
         taken = taken + F.when(F.lit(e) * F.col("source_size") + F.col("mine") <= F.col("cut"), F.col("size")).otherwise(F.lit(0))
-    return out.select("doc_id", "size", "source_size", "target", taken.cast("bigint").alias("taken"), "source", "k")
+    return out.select("doc_id", "size", "source_size", "target", taken.cast("bigint").alias("taken"), "source", "k", "text_hash")
 
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
@@ -105,10 +111,24 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     weigh nothing and stay as they are."""
     plan = mix(docs, id_col, text_col, source_col, **options)
     times = F.when(F.col("size") == 0, 1).otherwise((F.col("taken") / F.col("size")).cast("int"))
-    plan = plan.groupBy(F.col("doc_id").alias("_m_id"), F.col("source").alias("_m_source")).agg(F.min(times).alias("_m_times"))
-    plan = plan.where(F.col("_m_times") > 0)
-    here = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_m_id")) & F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col("_m_source"))
-    rows = docs.join(plan, here).drop("_m_id", "_m_source")
+    key = [F.col(c).alias(f"_m_{c}") for c in ("doc_id", "source", "text_hash")]
+    plan = plan.withColumn("_m_t", times).groupBy(*key).agg(
+        F.min("_m_t").alias("_m_low"), F.max("_m_t").alias("_m_high"), F.sum("_m_t").alias("_m_all"), F.count(F.lit(1)).alias("_m_n")
+    )
+    plan = materialize(plan.where(F.col("_m_high") > 0), "mix-plan")
+    here = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_m_doc_id")) & F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col("_m_source"))
+    here = here & (hashed(text_col) == F.col("_m_text_hash"))
+    even = F.col("_m_low") == F.col("_m_high")
+    rows = docs.join(plan.where(even), here).withColumn("_m_times", F.col("_m_low"))
+    # A queue's cut is one place, so of each source at most one key has rows on both sides of it. Only its rows are numbered:
+    # the first ones are taken once more.
+    uneven = small(plan.where(~even), "mix-uneven")
+    if not uneven.isEmpty():
+        split = row_index(docs.join(uneven, here), ["_m_doc_id", "_m_text_hash", F.rand(7)], ["_m_source"], "_m_row")
+        more = F.col("_m_row") <= F.col("_m_all") - F.col("_m_low") * F.col("_m_n")
+        split = split.withColumn("_m_times", F.col("_m_low") + F.when(more, 1).otherwise(0)).drop("_m_row")
+        rows = rows.unionByName(split.where(F.col("_m_times") > 0))
+    rows = rows.drop(*[c for c in rows.columns if c.startswith("_m_") and c != "_m_times"])
     return rows.withColumn("_m_no", F.explode(F.sequence(F.lit(1), F.col("_m_times")))).drop("_m_no", "_m_times")
 
 
@@ -145,4 +165,4 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """,
 )
 def op4_mix_sources(spark, sf_dir) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).drop("source", "k")
+    return mix(table(spark, sf_dir, "documents")).drop("source", "k", "text_hash")

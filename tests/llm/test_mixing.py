@@ -64,3 +64,26 @@ def test_apply_repeats_rows(spark):
     mixed = op.apply_mix(df)
     assert mixed.columns == df.columns
     assert {r["doc_id"]: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == {i: n for i, n in times.items() if n}
+
+
+def words_by_source(rows):
+    out = {}
+    for r in rows:
+        out[r["source"]] = out.get(r["source"], 0) + len((r["text"] or "").split())
+    return out
+
+
+def test_apply_takes_rows_that_share_an_id_each_for_itself(spark):
+    """Null and repeated ids: each source gets the words that the plan gives it."""
+    rows = [(None, f"u{i} " + "w " * (i % 5), None, "a") for i in range(60)] + [(None, " ", None, "a")]  # target below its size
+    rows += [(7, f"v{i} x y", None, "b") for i in range(40)] + [(i, "p q r", None, "c") for i in range(40)]
+    rows += [(None, "all the same", None, "d") for _ in range(50)]  # a fourth source, weight 1: cut among equal rows
+    df = docs(spark, rows)
+    plan = {}
+    for r in op.mix(df).collect():
+        plan[r["source"]] = plan.get(r["source"], 0) + r["taken"]
+    mixed = op.apply_mix(df)
+    assert mixed.columns == df.columns
+    got = mixed.collect()
+    assert words_by_source(got) == plan and 0 < plan["a"] < sum(1 + i % 5 for i in range(60)) and plan["d"] % 3 == 0 and 0 < plan["d"] < 150
+    assert sum(r["text"] == " " for r in got) == 1
