@@ -219,11 +219,15 @@ def stems(unit: str) -> list[str]:
     return [unit[:n] + "*" for n in (4, 5, 6) if len(unit) > n]
 
 
-def groups_of(docs: list[list[str]], most: int = 15, share: float = 0.3) -> list[int]:
-    """A number for each document of the sample, equal for those that share ``share`` of their rarer units."""
+def groups_of(docs: list[list[str]], most: int = 15, share: float = 0.3, alike: float = 0.4) -> list[int]:
+    """A number for each document of the sample, equal for copies: documents with the same units; with a similarity of
+    ``alike`` of their sets of units (six shared ones at least), however many hold them; and those that share ``share`` of
+    their rarer units (at most ``most`` holders)."""
+    first: dict[tuple, int] = {}
+    same = [first.setdefault(tuple(d), i) for i, d in enumerate(docs)]
     holders: dict[str, list[int]] = {}
-    for i, d in enumerate(docs):
-        for u in d:
+    for i in first.values():
+        for u in docs[i]:
             holders.setdefault(u, []).append(i)
     rare, together = Counter(), Counter()
     for at in holders.values():
@@ -241,7 +245,14 @@ def groups_of(docs: list[list[str]], most: int = 15, share: float = 0.3) -> list
     for (a, b), n in together.items():
         if n > 5 and n >= share * min(rare[a], rare[b]):
             group[find(b)] = find(a)
-    return [find(i) for i in range(len(docs))]
+    size = np.array([len(d) for d in docs], dtype=np.int64)
+    by_unit = {u: np.array(at) for u, at in holders.items() if len(at) > 1}
+    for i in first.values():
+        if shared := [by_unit[u] for u in docs[i] if u in by_unit]:
+            n = np.bincount(np.concatenate(shared), minlength=len(docs))
+            for j in np.flatnonzero((n > 5) & (n >= alike * (size[i] + size - n))).tolist():
+                group[find(j)] = find(i)
+    return [find(i) for i in same]
 
 
 def support(pool: list[str], landmarks: list[str], witness: Counter, in_clean: Counter, ratio: float) -> tuple[np.ndarray, float]:
@@ -296,14 +307,15 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], seed: i
         return Machine(np.zeros(SYMBOLS**3), 0.0, (0.0, 0.0, float(np.log(share / (1 - share)))))
     # Copies of a document count once, or all of a copied document's words would seem to go with its label.
     group = groups_of(docs)
+    g1, g0 = (len({g for g, t in zip(group, toxic) if t == c}) for c in (True, False))
     in_toxic = Counter(u for u, _ in {(u, g) for d, t, g in zip(docs, toxic, group) if t for u in d})
     in_clean = Counter(u for u, _ in {(u, g) for d, t, g in zip(docs, toxic, group) if not t for u in d})
     # Start: the units that toxic documents hold more often than chance explains (likelihood ratio).
     # A unit also leads by its beginning: insults come in many forms, each of them rare.
     in_toxic_stem = Counter(x for x, _ in {(x, g) for d, t, g in zip(docs, toxic, group) if t for u in d for x in stems(u)})
     in_clean_stem = Counter(x for x, _ in {(x, g) for d, t, g in zip(docs, toxic, group) if not t for u in d for x in stems(u)})
-    by_stem = {x: lead(n, n1, in_clean_stem[x], n0) for x, n in in_toxic_stem.items() if n > 2 and n * n0 > LIFT * (in_clean_stem[x] + 1) * n1}
-    surplus = {u: max([lead(n, n1, in_clean[u], n0) if n > 1 else 0.0, *(by_stem.get(x, 0.0) for x in stems(u))]) for u, n in in_toxic.items()}
+    by_stem = {x: lead(n, g1, in_clean_stem[x], g0) for x, n in in_toxic_stem.items() if n > 2 and n * g0 > LIFT * (in_clean_stem[x] + 1) * g1}
+    surplus = {u: max([lead(n, g1, in_clean[u], g0) if n > 1 else 0.0, *(by_stem.get(x, 0.0) for x in stems(u))]) for u, n in in_toxic.items()}
     leading = sorted(surplus, key=lambda u: (-surplus[u], u))
     positive = [u for u in leading if surplus[u] > SURPLUS]
     known = set(positive)
@@ -318,17 +330,19 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], seed: i
     for _ in range(ROUNDS):
         pool = list(dict.fromkeys([*positive, *extra, *common, *hard, *(rare[i] for i in r.permutation(len(rare))[:HARD])]))
         landmarks = list(dict.fromkeys([*positive[: LANDMARKS // 2], *hard[: LANDMARKS // 2]]))
-        machine = Machine(*support(pool, landmarks, Counter({u: in_toxic[u] for u in positive}) + extra, in_clean, n1 / n0), (0.0, 0.0, 0.0))
+        machine = Machine(*support(pool, landmarks, Counter({u: in_toxic[u] for u in positive}) + extra, in_clean, g1 / g0), (0.0, 0.0, 0.0))
         # Next: clean units closest to the border as landmarks and negatives; the best unit of each toxic document that
         # none of the first ones explains, if the machine takes it for one.
         values = machine.values(clean)
         hard = [clean[i] for i in np.argsort(-values, kind="stable")[:HARD]]
         extra = Counter(inserted)
-        for d, t in zip(docs, toxic):
+        found = set()
+        for d, t, g in zip(docs, toxic, group):
             if t and d and not known.intersection(d):
                 v = machine.values(d)
                 if v.max() > 0.5:
-                    extra[d[int(v.argmax())]] += 1
+                    found.add((d[int(v.argmax())], g))
+        extra.update(u for u, _ in found)
     signs = np.array([machine.strongest(t) for t in texts])
     weight = np.where(toxic, rates[0] / n1, rates[1] / n0) * len(texts)
     machine.curve = fit_curve(signs, toxic.astype(float), weight)

@@ -76,3 +76,18 @@ def test_one_class_or_no_labels(spark):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id bigint, quality int, toxic int")
     assert {r["predicted"] for r in op.score(docs(spark), labels).collect()} == {0}
     assert {r["predicted"] for r in op.score(docs(spark), labels.limit(0)).collect()} == {0}
+
+
+def test_large_copy_groups_count_once():
+    """Hundreds of copies with a toxic label, equal and edited ones, don't make their ordinary words toxic."""
+    r = np.random.default_rng(3)
+    word = lambda: "".join(r.choice(list("bcdfglmnprst")) + r.choice(list("aeiou")) for _ in range(4))
+    common, base = [word() for _ in range(300)], [word() for _ in range(40)]
+    copies = [" ".join(base)] * 40 + [" ".join(word() if r.random() < 0.15 else w for w in base) for _ in range(260)]
+    clean = [" ".join(r.choice(common, 25)) for _ in range(300)]
+    toxic = [" ".join([*r.choice(common, 25), "idiot"]) for _ in range(60)]
+    texts, y = copies + toxic + clean, np.array([True] * 360 + [False] * 300)
+    group = op.groups_of([sorted({u for s in op.sentences(t) for u in s}) for t in texts])
+    assert len(set(group[:300])) == 1 and len(set(group[300:])) == 360
+    m = op.fit(texts, y, (360 / 660, 300 / 660))
+    assert m.values(["idiot"])[0] > 0 and (m.values(base) > 0).mean() < 0.1
