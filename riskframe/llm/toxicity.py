@@ -2,7 +2,9 @@
 
 **Units.** Sentences are cut into units: a word in lower case without the signs in it (``i.d.i.o.t`` is ``idiot``), look-alike
 digits as letters, between marks for its start and end; three or more one-letter words in a row are one unit. Longer words
-are read in overlapping stretches.
+are read in overlapping stretches. Every run of neighbouring words of a sentence, up to a stretch long, is a unit too, with
+its blanks dropped: ``st up id`` is ``stupid``, and words that are harmless one by one have features together. A sentence
+ends at a line's end and at a word that ends in ``.``, ``!`` or ``?``.
 
 **Kernel.** A unit's features are its subsequences of three characters, each weighted by ``DECAY`` to the power of the
 stretch that it spans (``REACH`` places at most) and scaled to the unit's length. So an inserted character or a gap only
@@ -16,7 +18,8 @@ prediction costs one table look-up for each subsequence, whatever the number of
 **Training** runs on the driver on a bounded sample, ``SAMPLE`` labelled documents of each class outside the held-out part
 (smallest hash of the id first). Sentences carry the label of their document. A toxic document has clean sentences and
 words as well, so the machine alternates (multiple instances): the strongest units of each toxic document stand for it,
-the units of sentences of clean documents are all negative, refit. Documents are scored by their strongest units through
+the units of sentences of clean documents are negative, refit; of runs, the strongest ones that the machine finds in each
+round, besides those that toxic documents hold more often. Documents are scored by their strongest units through
 a logistic function, fitted at the classes' own rates.
 
 Prediction sees nothing but the text and covers all of it: one pass, no shuffle; the table W (1 MB) goes with the tasks.
@@ -39,6 +42,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import held_out, sized, table
 from riskframe.llm.registry import register
+from riskframe.llm.words import slices
 
 SAMPLE, LANDMARKS, ROUNDS, PENALTY, HARD = 1500, 320, 3, 1e-5, 4000
 #: Likelihood ratio from which a unit stands for toxic documents at first.
@@ -49,9 +53,12 @@ DECAY, REACH, STRETCH, CUT = 0.7, 7, 32, 0.3
 #: Units that a worker keeps the value of.
 KEPT = 700_000
 SYMBOLS = 64
+#: Characters whose runs are valued together, and by which parts of a longer text overlap.
+LOT, LAP = 100_000, 400
 START, END = 0, 63
 #: Look-alikes of letters.
 ALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"})
+_STRIPPED = ".,;:!?-*_"
 _SIGNS = re.compile(r"[\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+\s*")
 
@@ -72,15 +79,14 @@ def plain(word: str) -> str:
 
 def spelled(words: list[str]) -> list[str]:
     """Units of runs of three or more one-letter words."""
-    out, run = [], []
-    for w in [*words, ""]:
-        w = w if len(w) < 2 else w.strip(".,;:!?-*_")
-        if len(w) == 1:
-            run.append(w)
-        else:
-            if len(run) > 2:
-                out.append("".join(run))
-            run = []
+    one = {x for x in set(words) if len(x) < 2 or ((x[0] in _STRIPPED or x[-1] in _STRIPPED) and len(x.strip(_STRIPPED)) == 1)}
+    flags = bytes([x in one for x in words])
+    out, at = [], flags.find(b"\1\1\1")
+    while at >= 0:
+        end = flags.find(b"\0", at)
+        end = len(words) if end < 0 else end
+        out.append("".join([x if len(x) < 2 else x.strip(_STRIPPED) for x in words[at:end]]))
+        at = flags.find(b"\1\1\1", end)
     return out
 
 
@@ -118,7 +124,7 @@ class Machine:
 
     def __init__(self, w: np.ndarray, b: float, curve: tuple[float, ...]):
         self.w, self.b, self.curve = w.astype(np.float32), b, curve
-        self.triples, self.known = Triples(), {}
+        self.triples, self.known, self.codes = Triples(), {}, {}
 
     def __getstate__(self):
         return self.w, self.b, self.curve
@@ -141,8 +147,33 @@ class Machine:
                 np.maximum.at(out, at[s : s + 20_000], self.w[number] @ weight + self.b)
         return out
 
+    def coded(self, word: str) -> bytes:
+        """Codes of a lower-case word and END, or nothing for one without letters; START where it ends a sentence."""
+        unit = plain(word)
+        return bytes([*map(code, unit), END]) * bool(unit) + bytes([START]) * (word[-1] in ".!?")
+
+    def runs(self, texts: list[str]) -> Runs:
+        """Values of the runs of the texts' sentences."""
+        lines, bound = [], []
+        for t in texts:
+            n = 0
+            for line in t.lower().split("\n"):
+                words = line.split()
+                try:
+                    got = b"".join([self.codes[x] for x in words]) + bytes([START])
+                except KeyError:
+                    missing = {x for x in words if x not in self.codes}
+                    if len(self.codes) + len(missing) > KEPT // 2:
+                        self.codes, missing = {}, set(words)
+                    self.codes.update([(x, self.coded(x)) for x in missing])
+                    got = b"".join([self.codes[x] for x in words]) + bytes([START])
+                lines.append(got)
+                n += len(got)
+            bound.append(n)
+        return Runs(self, np.frombuffer(b"".join(lines), np.uint8), np.cumsum(bound))
+
     def strongest(self, text: str | None) -> tuple[float, float]:
-        """The largest value of a text's units, and the sum of the positive ones (each unit once)."""
+        """The largest value of a text's words, and the sum of the positive ones (each once)."""
         words = set((low := (text or "").lower().split()))
         more = spelled(low) if sum(map((1).__eq__, map(len, low))) > 2 else ()
         missing = [x for x in words.union(more) if x not in self.known]
@@ -158,12 +189,156 @@ class Machine:
         got += [self.known[x] for x in more]
         return max(got, default=-9.0), sum(v for v in got if v > 0)
 
+    def signs(self, texts: list[str | None]) -> np.ndarray:
+        """For each text the largest value of its words and runs, and the sum of the positive ones (each once)."""
+        out = np.array([self.strongest(t) for t in texts], dtype=float).reshape(-1, 2)
+        pieces = [(i, p) for i, t in enumerate(texts) for p in parts(t or "")]
+        seen: set[tuple[int, bytes]] = set()
+        for a, b in slices([p for _, p in pieces], LOT):
+            runs = self.runs([p for _, p in pieces[a:b]])
+            for at, value, letters, extra in runs.positive():
+                i = pieces[a + at][0]
+                out[i, 0] = max(out[i, 0], value)
+                if extra and (i, letters) not in seen:
+                    seen.add((i, letters))
+                    out[i, 1] += value
+            own = np.array([i for i, _ in pieces[a:b]])
+            np.maximum.at(out[:, 0], own, runs.by_text())
+        return out
+
     def score(self, signs: np.ndarray) -> np.ndarray:
         """Probability of each row (strongest value, sum of positive values)."""
         a, b, c = self.curve
         return 1 / (1 + np.exp(-np.clip(a * np.clip(signs[:, 0], -3, 1) + b * np.minimum(signs[:, 1], 5) + c, -30, 30)))
 
 
+class Runs:
+    """Values of all runs of a batch: neighbouring words of a sentence read as one unit, ``STRETCH`` codes with its marks at
+    most. ``at`` is the number of each word's text; ``best`` and ``words``: value and number of words of the strongest run
+    of two or more that starts at a word.
+
+    A run's value is a sum over its subsequences, so running sums over all letters give every run's at once; what the marks
+    add depends on the six letters beside them."""
+
+    def __init__(self, machine: Machine, raw: np.ndarray, bound: np.ndarray):
+        letter = (raw > START) & (raw < END)
+        last = np.flatnonzero(raw == END)
+        c = np.concatenate([raw[letter].astype(np.intp), np.zeros(REACH, np.intp)])  # room to read beyond the end
+        ends = np.cumsum(letter)[last]
+        starts = np.concatenate([[0], ends])[:-1].astype(np.int64)
+        sentence = np.cumsum(raw == START)[last]
+        self.at, self.n_texts = np.searchsorted(bound, last, side="right"), len(bound)
+        self.best, self.words = np.full(len(ends), -9.0, np.float32), np.ones(len(ends), np.int64)
+        n, w = len(c) - REACH, machine.w
+        # Sums over the subsequences within the letters before x that start before letter x (``open_``) or end before it.
+        open_, shut = np.zeros(n + 1), np.zeros(n + 1)
+        pairs = [(c[:n] * SYMBOLS + c[j : n + j]) * SYMBOLS for j in range(1, REACH - 1)]
+        number, got = np.empty(n, np.intp), np.empty(n, np.float32)
+        for d in range(2, REACH):
+            g = np.zeros(n, np.float32)
+            for j in range(1, d):
+                np.add(pairs[j - 1], c[d : n + d], out=number)
+                g += w.take(number, out=got, mode="clip")
+            total = np.concatenate([[0.0], np.cumsum(g, dtype=np.float64)]) * DECAY ** (d + 1)
+            open_ += total
+            shut[d:] += total[: max(0, n + 1 - d)]
+        head, tail = np.zeros(len(starts)), np.zeros(len(ends))
+        after, before = [c[starts + j] for j in range(REACH - 1)], [c[ends - j] for j in range(1, REACH)]
+        for k in range(2, REACH):
+            for j in range(1, k):
+                head += w.take(after[j - 1] * SYMBOLS + after[k - 1]) * DECAY ** (k + 1)
+                tail += w.take((before[k - 1] * SYMBOLS + before[j - 1]) * SYMBOLS + END) * DECAY ** (k + 1)
+        head, tail = head - open_[starts], tail + shut[ends]
+        first, m = np.arange(len(starts)), 1
+        while len(first):
+            m += 1
+            first = first[first + m - 1 < len(starts)]
+            end = first + m - 1
+            s, e = starts[first], ends[end]
+            ok = (sentence[first] == sentence[end]) & (e - s <= STRETCH - 2)
+            first, end, s, e = first[ok], end[ok], s[ok], e[ok]
+            value = (head[first] + tail[end]) * SCALE[e - s + 2] + machine.b
+            short = np.flatnonzero(e - s < REACH - 1)
+            for size in range(2, REACH - 1):  # subsequences of the marks run over the whole of a short one
+                if len(at := short[e[short] - s[short] == size]):
+                    codes = np.column_stack([np.full(len(at), START), *(c[s[at] + i] for i in range(size)), np.full(len(at), END)])
+                    number, weight = features(codes, machine.triples)
+                    value[at] = w[number] @ weight + machine.b
+            more = value > self.best[first]
+            self.best[first[more]], self.words[first[more]] = value[more], m
+        self.machine, self.letters, self.starts, self.ends = machine, c, starts, ends
+
+    def alone(self, i: int) -> float:
+        """The value of one word."""
+        codes = np.concatenate([[START], self.letters[self.starts[i] : self.ends[i]], [END]])
+        if len(codes) < 4:
+            return -9.0
+        number, weight = features(codes[None, :], self.machine.triples)
+        return float((self.machine.w[number] @ weight)[0]) + self.machine.b
+
+    def positive(self) -> Iterator[tuple[int, float, bytes, bool]]:
+        """(text, value, letters, whether no positive word and no stronger run overlaps) of positive runs, strongest first."""
+        taken: set[int] = set()
+        at = np.flatnonzero(self.best > 0)
+        for i in at[np.argsort(-self.best[at], kind="stable")].tolist():
+            m = int(self.words[i])
+            some, s, e = range(i, i + m), self.starts[i], self.ends[i + m - 1]
+            # Runs of single letters count as a spelled word already.
+            free = not (taken.intersection(some) or any(self.alone(x) > 0 for x in some) or (m > 2 and e - s == m))
+            taken.update(some)
+            yield int(self.at[i]), float(self.best[i]), self.letters[s:e].astype(np.uint8).tobytes(), free
+
+    def by_text(self) -> np.ndarray:
+        """The largest value of each text's runs."""
+        out = np.full(self.n_texts, -9.0)
+        some = np.flatnonzero(np.diff(self.at, prepend=-1))
+        if len(some):
+            out[self.at[some]] = np.maximum.reduceat(self.best, some)
+        return out
+
+
+def norm(n: int) -> float:
+    """Length of the subsequence weights of n codes."""
+    return max(1e-9, float(np.sqrt(sum((k - 1) * max(0, n - k) * DECAY ** (2 * (k + 1.0)) for k in range(2, REACH)))))
+
+
+#: One over the length of the weights of n codes.
+SCALE = np.array([0.0] + [1 / norm(n) for n in range(1, STRETCH + 1)])
+
+
+def parts(text: str) -> Iterator[str]:
+    """A text, in overlapping parts of whole words where it is longer than ``LOT``."""
+    for a in range(0, max(1, len(text)), LOT):
+        s = text[a : a + LOT + LAP]
+        if a:
+            s = (s.split(None, 1) + [""] * 2)[1] if not s[:1].isspace() else s
+        if a + LOT + LAP < len(text) and not s[-1:].isspace():
+            s = (s.rsplit(None, 1) + [""])[0]
+        yield s
+
+
+def neighbours(words: list[str]) -> Iterator[str]:
+    """Every run of a sentence's words."""
+    for i in range(len(words)):
+        n, m = len(words[i]), 1
+        while i + m < len(words) and n + len(words[i + m]) <= STRETCH - 2:
+            n, m = n + len(words[i + m]), m + 1
+            yield "".join(words[i : i + m])
+
+
+def worded(text: str) -> list[list[str]]:
+    """The words of each sentence, as runs are made of them."""
+    out: list[list[str]] = [[]]
+    for line in text.lower().split("\n"):
+        for x in line.split():
+            if unit := plain(x):
+                out[-1].append(unit)
+            if x[-1] in ".!?":
+                out.append([])
+        out.append([])
+    return [s for s in out if s]
+
+
 def fit_linear(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> np.ndarray:
     """Squared-hinge support vector machine by Newton steps; the last column of x is the offset's 1."""
     w = np.zeros(x.shape[1])
@@ -259,19 +434,18 @@ def support(pool: list[str], landmarks: list[str], witness: Counter, in_clean: C
     """Table W and offset of the machine on Nyström features of ``landmarks``: ``witness`` counts the toxic documents of a
     positive unit, ``in_clean`` the clean ones of any unit of the pool; ``ratio``: toxic documents for each clean one."""
     triples, blank = Triples(), np.zeros(SYMBOLS**3, dtype=np.float32)
-    own = []
-    for u in landmarks:
-        number, weight = features(stretches(u)[0][None, :], triples)
+    own, parts = [], [c for u in landmarks for c in stretches(u)]
+    for c in parts:
+        number, weight = features(c[None, :], triples)
         own.append((number[0], weight))
 
-    def against(units: list[str]) -> np.ndarray:
-        """K(units, landmarks)."""
+    def against(codes: list[np.ndarray]) -> np.ndarray:
+        """K(stretches, stretches of the landmarks)."""
         by_length: dict[int, list[int]] = {}
-        codes = [stretches(u)[0] for u in units]
         for i, c in enumerate(codes):
             by_length.setdefault(len(c), []).append(i)
         number = {n: features(np.array([codes[i] for i in at]), triples) for n, at in by_length.items()}
-        out = np.zeros((len(units), len(landmarks)))
+        out = np.zeros((len(codes), len(own)))
         for m, (sub, weight) in enumerate(own):
             np.add.at(blank, sub, weight)
             for n, at in by_length.items():
@@ -282,9 +456,11 @@ def support(pool: list[str], landmarks: list[str], witness: Counter, in_clean: C
     table_ = np.zeros(SYMBOLS**3)
     if not landmarks or not witness:
         return table_, -1.0
-    values, vectors = np.linalg.eigh(against(landmarks))
+    values, vectors = np.linalg.eigh(against(parts))
     root = vectors / np.sqrt(np.maximum(values, 1e-4))  # K(L, L)^(-1/2), up to a rotation
-    x = np.column_stack([against(pool) @ root, np.ones(len(pool))])
+    split = [stretches(u) for u in pool]
+    pool = [u for u, cs in zip(pool, split) for _ in cs]  # a long unit stands there with each of its stretches
+    x = np.column_stack([against([c for cs in split for c in cs]) @ root, np.ones(len(pool))])
     plus = np.array([i for i, u in enumerate(pool) if witness[u]])
     minus = np.array([i for i, u in enumerate(pool) if in_clean[u]], dtype=np.int64)
     # A unit counts as often as documents of its class hold it, but no more than a few times; both sides weigh the same.
@@ -297,6 +473,43 @@ def support(pool: list[str], landmarks: list[str], witness: Counter, in_clean: C
     return table_, float(w[-1])
 
 
+def leading_runs(texts: list[str], toxic: np.ndarray, group: list[int], alone: set[str], g1: int, g0: int) -> dict[str, float]:
+    """Likelihood ratios of runs that toxic documents hold more often than clean ones."""
+
+    def of(text: str) -> Iterator[str]:
+        # A leading word ends the run of words that are looked at.
+        for s in worded(text):
+            cuts = [-1, *(i for i, u in enumerate(s) if u in alone), len(s)]
+            for a, b in zip(cuts, cuts[1:]):
+                yield from neighbours(s[a + 1 : b])
+
+    # Only numbers of the runs are kept until it is known which of them repeat.
+    numbers = [np.unique(np.fromiter((hash(u) for u in of(t or "")), np.int64)) for t, y in zip(texts, toxic) if y]
+    held, count = np.unique(np.concatenate(numbers), return_counts=True)
+    often = set(held[count > 1].tolist())
+    in_toxic, in_clean = Counter(), Counter()
+    for c, total in ((True, in_toxic), (False, in_clean)):
+        members: dict[int, list[str]] = {}
+        for t, y, g in zip(texts, toxic, group):
+            if y == c:
+                members.setdefault(g, []).append(t or "")
+        for own in members.values():
+            total.update({u for t in own for u in of(t) if hash(u) in often})
+    return {u: v for u, n in in_toxic.items() if (v := lead(n, g1, in_clean[u], g0)) > SURPLUS}
+
+
+def strong_runs(machine: Machine, texts: list[str], least: float = -0.7) -> list[tuple[float, str, int]]:
+    """(value, run, text) of the strongest runs of the texts, some thousands."""
+    out = []
+    pieces = [(i, p) for i, t in enumerate(texts) for p in parts(t or "")]
+    for a, b in slices([p for _, p in pieces], LOT):
+        runs = machine.runs([p for _, p in pieces[a:b]])
+        words = [u for _, p in pieces[a:b] for s in worded(p) for u in s]
+        at = np.flatnonzero(runs.best > least)
+        out += [(float(runs.best[n]), "".join(words[n : n + runs.words[n]]), pieces[a + int(runs.at[n])][0]) for n in at.tolist()]
+    return sorted(out, key=lambda x: (-x[0], x[1:]))[: 4 * HARD]
+
+
 def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], seed: int = 5) -> Machine:
     """``rates``: the share of toxic and of clean labels in all labelled rows, for the logistic function."""
     r = np.random.default_rng(seed)
@@ -316,6 +529,9 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], seed: i
     in_clean_stem = Counter(x for x, _ in {(x, g) for d, t, g in zip(docs, toxic, group) if not t for u in d for x in stems(u)})
     by_stem = {x: lead(n, g1, in_clean_stem[x], g0) for x, n in in_toxic_stem.items() if n > 2 and n * g0 > LIFT * (in_clean_stem[x] + 1) * g1}
     surplus = {u: max([lead(n, g1, in_clean[u], g0) if n > 1 else 0.0, *(by_stem.get(x, 0.0) for x in stems(u))]) for u, n in in_toxic.items()}
+    # Runs that toxic documents hold more often, without those that hold a leading word.
+    alone = {u for u, v in surplus.items() if v > SURPLUS}
+    surplus |= leading_runs(texts, toxic, group, alone, g1, g0)
     leading = sorted(surplus, key=lambda u: (-surplus[u], u))
     positive = [u for u in leading if surplus[u] > SURPLUS]
     known = set(positive)
@@ -326,11 +542,11 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], seed: i
     # Positive units with a character more, as people write them to get past a word list.
     inserted = Counter(u[:i] + "abcdefghijklmnopqrstuvwxyz"[r.integers(26)] + u[i:] for u in positive[: LANDMARKS // 2] if len(u) > 3 for i in range(1, len(u)))
     inserted = Counter({u: 0.02 for u in inserted if not in_clean[u]})
-    extra = inserted
+    extra, strong = inserted, Counter()
     for _ in range(ROUNDS):
-        pool = list(dict.fromkeys([*positive, *extra, *common, *hard, *(rare[i] for i in r.permutation(len(rare))[:HARD])]))
+        pool = list(dict.fromkeys([*positive, *extra, *common, *hard, *strong, *(rare[i] for i in r.permutation(len(rare))[:HARD])]))
         landmarks = list(dict.fromkeys([*positive[: LANDMARKS // 2], *hard[: LANDMARKS // 2]]))
-        machine = Machine(*support(pool, landmarks, Counter({u: in_toxic[u] for u in positive}) + extra, in_clean, g1 / g0), (0.0, 0.0, 0.0))
+        machine = Machine(*support(pool, landmarks, Counter({u: max(in_toxic[u], 2) for u in positive}) + extra, in_clean + strong, g1 / g0), (0.0, 0.0, 0.0))
         # Next: clean units closest to the border as landmarks and negatives; the best unit of each toxic document that
         # none of the first ones explains, if the machine takes it for one.
         values = machine.values(clean)
@@ -342,8 +558,17 @@ def fit(texts: list[str], toxic: np.ndarray, rates: tuple[float, float], seed: i
                 v = machine.values(d)
                 if v.max() > 0.5:
                     found.add((d[int(v.argmax())], g))
+        # The same for runs: the strongest ones of clean sentences are negative, those of unexplained documents stand for them.
+        close = strong_runs(machine, texts)
+        strong += Counter(u for u, _ in sorted({(u, group[i]) for v, u, i in close if not toxic[i]}))
+        explained = {g for _, g in found} | {g for d, t, g in zip(docs, toxic, group) if t and known.intersection(d)}
+        best = {}
+        for v, u, i in close:
+            if toxic[i] and v > max(0.5, best.get(group[i], (0.5, ""))[0]) and group[i] not in explained and not strong[u]:
+                best[group[i]] = (v, u)
         extra.update(u for u, _ in found)
-    signs = np.array([machine.strongest(t) for t in texts])
+        extra.update(u for _, u in best.values())
+    signs = machine.signs(texts)
     weight = np.where(toxic, rates[0] / n1, rates[1] / n0) * len(texts)
     machine.curve = fit_curve(signs, toxic.astype(float), weight)
     return machine
@@ -372,8 +597,7 @@ def scored(text: Column, machine: Machine) -> Column:
     @F.pandas_udf("double")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            signs = np.array([machine.strongest(t) for t in texts], dtype=float).reshape(-1, 2)
-            yield pd.Series(machine.score(signs))
+            yield pd.Series(machine.score(machine.signs(list(texts))))
 
     return udf(text.cast("string"))
 

@@ -91,3 +91,30 @@ def test_large_copy_groups_count_once():
     assert len(set(group[:300])) == 1 and len(set(group[300:])) == 360
     m = op.fit(texts, y, (360 / 660, 300 / 660))
     assert m.values(["idiot"])[0] > 0 and (m.values(base) > 0).mean() < 0.1
+
+
+def test_runs_have_the_values_of_their_joined_words():
+    m = op.Machine(np.random.default_rng(1).normal(size=op.SYMBOLS**3) * 0.1, -0.3, (0.0, 0.0, 0.0))
+    texts = ["You are a st up id one. Next", "", "one", "a b\nc d é ,,, 12 f-g", "x" * 40 + " ab cd " + "word " * 300 + "y"]
+    runs = m.runs(texts)
+    assert [len(list(s)) for s in op.worded("a st. up id")] == [2, 2] and set(op.neighbours(["st", "up", "id"])) == {"stup", "upid", "stupid"}
+    for t, got in zip(texts, runs.by_text()):
+        units = sorted({u for s in op.worded(t) for u in op.neighbours(s)})
+        assert np.isclose(got, m.values(units).max() if units else -9.0, atol=1e-4)
+    long = "some words here. " * 10_000 + "st up id"
+    assert len(list(op.parts(long))) > 1 and np.isclose(m.signs([long])[0, 0], max(m.strongest(long)[0], m.runs([long]).by_text()[0]), atol=1e-4)
+
+
+def test_gapped_insults_and_combinations():
+    """Insults cut by blanks, and ordinary words that are toxic side by side only."""
+    r = np.random.default_rng(4)
+    word = lambda: "".join(r.choice(list("bcdfglmnprst")) + r.choice(list("aeiou")) for _ in range(3))
+    common = [word() for _ in range(300)]
+    some = lambda *more: " ".join([*r.choice(common, 12), *more, *r.choice(common, 12)])
+    toxic = [some(w) for w in ("idiot", "moron", "stupid") for _ in range(40)] + [some("drop", "dead") for _ in range(60)]
+    clean = [some() for _ in range(150)] + [some(w) for w in ("drop", "dead") for _ in range(75)]
+    m = op.fit(toxic + clean, np.array([True] * 180 + [False] * 300), (0.375, 0.625))
+    score = lambda texts: m.score(m.signs(texts))
+    for gapped in ("id iot", "mo ron", "st up id", "drop dead"):
+        assert (score([some(gapped) for _ in range(20)]) >= op.CUT).mean() > 0.9, gapped
+    assert (score([some(w) for w in ("drop", "dead", "it") for _ in range(50)]) >= op.CUT).mean() < 0.1
