@@ -161,11 +161,13 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept, text_hash."""
+    """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept, text_hash, keep_hash (the text hash of the
+    component's first row by id, nulls last, and text hash)."""
     bands = bands_for(percent, rows)
     rows_ = materialize(sketched(docs, words, bands * rows, rows, id_col, text_col), "minhash-sketches")
     nodes = rows_.where(F.col("node").isNotNull()).groupBy("node")
-    nodes = materialize(nodes.agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "minhash-nodes")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    nodes = materialize(nodes.agg(F.min("doc_id").alias("first_id"), F.min(order).alias("first_row"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "minhash-nodes")
     buckets = nodes.select("node", "n", F.posexplode("bands").alias("band", "value"))
     shared = buckets.groupBy("band", "value").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1)
     buckets = materialize(buckets.join(shared, ["band", "value"]), "minhash-buckets")
@@ -197,20 +199,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
         if not more.isEmpty():
             comps = components(links.unionByName(more))
 
-    named = nodes.select("node", "first_id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    lowest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    named = named.join(lowest, "comp").select("node", "component_id")
+    named = nodes.select("node", "first_id", "first_row").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    lowest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"), F.min("first_row").getField("text_hash").alias("keep_hash"))
+    named = named.join(lowest, "comp").select("node", "component_id", "keep_hash")
     linked = rows_.where(F.col("node").isNotNull()).drop("bands").join(named, "node").drop("node")
-    alone = rows_.where(F.col("node").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash")
-    out = linked.select("doc_id", "n_shingles", "component_id", "text_hash").unionByName(alone)
+    alone = rows_.where(F.col("node").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash", F.col("text_hash").alias("keep_hash"))
+    out = linked.select("doc_id", "n_shingles", "component_id", "text_hash", "keep_hash").unionByName(alone)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, one of each group of near-duplicates, with all their columns. Rows without words stay; rows
-    that repeat id and text are one."""
+    """The rows that stay, one of each group of near-duplicates (the first by id, nulls last, and text hash), with all their
+    columns. Rows without words stay; rows that repeat id and text are one."""
     found = near_duplicates(docs, words, percent, id_col=id_col, text_col=text_col)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_n_id"), F.col("text_hash").alias("_n_hash")).distinct()
+    gone = found.where(~F.col("kept") | (F.col("text_hash") != F.col("keep_hash"))).select(F.col("doc_id").alias("_n_id"), F.col("text_hash").alias("_n_hash")).distinct()
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.withColumns({"_m_id": F.col(f"`{id_col}`").cast("bigint"), "_m_hash": F.xxhash64(text)})
     here = F.col("_m_id").eqNullSafe(F.col("_n_id")) & (F.col("_m_hash") == F.col("_n_hash"))
@@ -219,4 +221,4 @@ def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
 
 @register("op3_minhash_dedup")
 def op3_minhash_dedup(spark, sf_dir) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("text_hash")
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("text_hash", "keep_hash")

@@ -89,3 +89,14 @@ def test_deduplicate(spark):
     want = {r[0] for r in expected(ROWS, 5, 80) if r[3]}
     assert Counter(r[0] for r in rows_of(kept, "doc_id")) == Counter(want)
     assert op.deduplicate(docs(spark, [])).count() == 0
+
+
+def test_one_row_of_a_group_stays_whatever_its_ids(spark):
+    """Near copies that share an id, and groups without ids."""
+    text = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(4, text, None, "a"), (4, text + " x", None, "a"), (4, text + " y", None, "a"), (9, text + " z", None, "a")]
+    rows += [(None, other, None, "a"), (None, other + " x", None, "a"), (None, other + " y", None, "a"), (4, "short text of its own", None, "a")]
+    for some in (rows, rows[::-1]):
+        got = rows_of(op.deduplicate(docs(spark, some)), "doc_id", "text")
+        assert [i for i, _ in got] == [4, 4, None] and sum(t.startswith("w0 ") for _, t in got) == 1 and (4, "short text of its own") in got
