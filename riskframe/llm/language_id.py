@@ -251,9 +251,22 @@ def identify(docs: DataFrame, net: ByteNetwork | None = None, id_col: str = "doc
     return rows.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def lettered(text: Column) -> Column:
+    """Whether a text has a letter; false for null."""
+
+    @F.pandas_udf("boolean")
+    def udf(texts: pd.Series) -> pd.Series:
+        return pd.Series([t is not None and any(map(str.isalpha, t)) for t in texts], dtype=bool)
+
+    return udf(text.cast("string"))
+
+
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows whose text has a language, with all their columns."""
+    """The rows whose text has a letter, with all their columns. The network gives each of them one of its languages and
+    rejects none; so the same rows stay where no label is there to train it."""
     net = train(docs, id_col, text_col, lang_col)
+    if net is None:
+        return docs.where(lettered(F.col(f"`{text_col}`")))
     rows = docs.withColumn("_lid", predicted(F.col(f"`{text_col}`"), net))
     return rows.where(F.col("_lid.lang_pred") != UND).drop("_lid")
 

@@ -70,3 +70,9 @@ def test_no_labels_and_no_rows(spark):
     assert rows_of(op.identify(unlabelled), "lang_pred", "score") == [("und", 0.0)]
     assert op.identify(docs(spark, [])).count() == 0
     assert op.keep_known(docs(spark, [])).count() == 0
+
+
+def test_without_labels_documents_with_letters_stay(spark):
+    df = docs(spark, [(1, "a text", None, "a"), (2, None, None, "a"), (3, "12 ?!", None, "a"), (4, "日本", None, "a")])
+    got = op.keep_known(df)
+    assert got.columns == df.columns and sorted(r["doc_id"] for r in got.collect()) == [1, 4]
