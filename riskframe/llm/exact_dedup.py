@@ -9,9 +9,9 @@ Texts are equal when identical after every run of white space becomes one blank.
    a third of all rows hold arrives as one row from each map task.
 3. **Directory.** Entries go to buckets by the leading bits of the hash. While a bucket holds more than ``capacity``
    entries the directory doubles: overfull buckets split on their next bit, the others keep their depth. The entries,
-   sorted by bucket and hash, are written as files in the shared folder, each owner task writing one range of buckets.
+   sorted by hash, are written as files in the shared folder, each task writing one range of (hash, digest).
    Entries of one hash can't be split; they stay chained in a bucket.
-4. **Probe.** The keys join the index on hash and digest.
+4. **Probe.** The keys join the index on hash and digest; the directory has no part in that.
 
 Defined results: null text counts as empty; a null id is never the smallest unless all ids of the group are null (then
 ``keep_id`` is null and the rows are kept); rows that repeat id and text get equal answers, and ``deduplicate`` leaves
