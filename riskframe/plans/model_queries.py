@@ -164,7 +164,7 @@ def _rate(c: str):
 
 @register("cross_validate", "SELECT CAST(f AS INT) AS FOLD, TRUE AS METRICS_OK FROM (VALUES (0), (1), (2), (3), (4), (-1)) v(f)")
 def cross_validate(spark, sf):
-    """K6: 5 stratified folds; per-fold precision/recall/F1 at 0.5 and their mean (FOLD -1)."""
+    """K6: 5 stratified folds; per-fold precision/recall/F1 at 0.5 and their mean (FOLD -1). Cut: ``ROUNDS`` rounds."""
     ml, feats = _ml_table(spark, sf, "FOLD")
     cv = models.cross_validate(ml, feats, params={"maxIter": ROUNDS})
     return cv.select("FOLD", (_rate("PRECISION") & _rate("RECALL") & _rate("F1")).alias("METRICS_OK"))
@@ -176,7 +176,8 @@ _SPACE = {**TUNE_SPACE, "maxDepth": (3, 5), "maxIter": (5, ROUNDS)}
 
 @register("tune", f"SELECT CAST(t AS INT) AS TRIAL, TRUE AS PARAMS_OK, TRUE AS OBJECTIVE_OK FROM range({TRIALS}) v(t)")
 def tune(spark, sf):
-    """K7: seeded random search over step size, row and column sampling, depth and rounds; validation F1 as objective."""
+    """K7: seeded random search over step size, row and column sampling, depth and rounds; validation F1 as objective.
+    Cut: ``TRIALS`` trials, depth 3 to 5, 5 to ``ROUNDS`` rounds."""
     ml, feats = _ml_table(spark, sf, "WAY")
     maps = models.random_param_maps(TRIALS, _SPACE)
     got = models.tune(ml.where("WAY = 'train'"), ml.where("WAY = 'validation'"), feats, maps, parallelism=2)
