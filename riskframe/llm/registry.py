@@ -18,6 +18,7 @@ MODULES = [
     "toxicity",
     "token_files",
     "exact_dedup",
+    "manifest",
 ]
 
 
