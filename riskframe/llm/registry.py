@@ -19,6 +19,7 @@ MODULES = [
     "token_files",
     "exact_dedup",
     "manifest",
+    "divergence",
 ]
 
 
