@@ -20,6 +20,7 @@ MODULES = [
     "exact_dedup",
     "manifest",
     "divergence",
+    "topk",
 ]
 
 
