@@ -54,10 +54,11 @@ def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
 
 
 def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
-    """One row of t coordinates (uint64: round in the top 16 bits, value below) for each set, none of them empty."""
+    """One row of t coordinates (uint64: round in the top 16 bits, value below) for each set, none of them empty; no row
+    without sets."""
     full = np.uint64(0xFFFFFFFFFFFFFFFF)
     out = np.full(len(sets) * t, full, dtype=np.uint64)
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
     elements = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(sets)), sizes)
     for r in range(2 * t):
@@ -65,13 +66,13 @@ def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
         bin_ = (h >> np.uint64(32)) * np.uint64(t) >> np.uint64(32) if r < t else np.uint64(r - t)
         value = np.uint64(r << 48) | (mixed(h) >> np.uint64(16))
         np.minimum.at(out, owner * t + bin_.astype(np.int64), value)
-        lacking = (out.reshape(-1, t) == full).any(axis=1)
+        lacking = (out.reshape(len(sets), t) == full).any(axis=1)
         if not lacking.any():
             break
         go = lacking[owner]
         if not go.all():
             elements, owner = elements[go], owner[go]
-    return out.reshape(-1, t)
+    return out.reshape(len(sets), t)
 
 
 def sketched(docs: DataFrame, words: int, t: int, rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -88,7 +89,7 @@ def sketched(docs: DataFrame, words: int, t: int, rows: int, id_col: str = "doc_
                     sets.append(shingle_set(column[start + len(sets)].as_py(), words, known))
                     total += len(sets[-1])
                 some = [s for s in sets if len(s)]
-                sk = sketches(some, t).reshape(len(some), -1, rows)
+                sk = sketches(some, t).reshape(len(some), t // rows, rows)
                 band = np.zeros(sk.shape[:2], dtype=np.uint64)
                 for i in range(rows):
                     band = mixed(band ^ sk[:, :, i])

@@ -50,6 +50,16 @@ def test_odd_rows(spark):
     assert op.near_duplicates(docs(spark, []), 3, 85).count() == 0
 
 
+def test_partitions_without_words(spark):
+    """Every way to deal the odd rows to tasks, and a table whose rows all lack words."""
+    odd = docs(spark)
+    for n in range(1, 17):
+        assert rows_of(op.sketched(odd.repartition(n), 3, 16, 8), "doc_id", "n_shingles") == [(i, len(shingles(t, 3))) for i, t, *_ in sorted(ROWS, key=lambda r: (r[0] is None, r[0]))]
+    empty = [(1, None, "en", "a"), (2, "", None, None), (3, " \t\n", "en", "b"), (3, " ", "en", "b")]
+    assert rows_of(op.near_duplicates(docs(spark, empty).coalesce(1), 3, 85), *COLUMNS) == expected(empty, 3, 85)
+    assert rows_of(op.deduplicate(docs(spark, empty).coalesce(1)), "doc_id") == [(1,), (2,), (3,), (3,)]
+
+
 def test_chains_edits_and_shared_passages(spark):
     r = random.Random(5)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(4))
