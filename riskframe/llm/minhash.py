@@ -12,9 +12,11 @@ a 128-bit digest.
 
 **Candidates.** A bucket (band and value) with m nodes never gives all pairs at first: one node is paired with each other
 one, the node that meets most others over all its buckets (of edited copies, that is the text they come from, to which
-each is more similar than to one another). What verification joins is one component; then only pairs of nodes of one bucket in *different*
-components, of sizes that allow a link, are paired and verified. So no link between different sets that share a bucket
-is lost, and a group of thousands of near copies costs one pair for each member.
+each is more similar than to one another). What verification joins is one component. Nodes of buckets that still hold
+*different* components then meet on their rare elements only (``rare_pairs``: prefixes in the order of rarity among these
+nodes, exact for the threshold), and what meets is verified. So no link between different sets that share a bucket is lost,
+a group of thousands of near copies costs one pair for each member, and edited copies that lie just below the threshold,
+each with words of its own, don't meet at all.
 
 **Verification** joins the full shingle sets of the paired nodes (recomputed from the text of one document of each) and
 counts the intersection. Components take the smallest label over the links until nothing changes; each round is written
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import id_text, table
@@ -127,14 +129,19 @@ def full_sets(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str
     return id_text(docs, id_col, text_col).mapInArrow(task, "node binary, elements array<bigint>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Of the pairs (a, b) those whose full sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def sets_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """node, elements of the wanted nodes, from the text of one document of each, written."""
     ids = wanted.join(nodes.select("node", "first_id"), "node").select(F.col("first_id").alias("_v_id"), F.col("node").alias("_v_node"))
     some = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     some = some.join(ids.select("_v_id").distinct(), F.col("doc_id").eqNullSafe(F.col("_v_id")), "left_semi")
     sets = full_sets(some, words).join(ids.select("_v_node"), F.col("node") == F.col("_v_node"), "left_semi")
-    sets = materialize(sets.dropDuplicates(["node"]), "minhash-sets")
+    return materialize(sets.dropDuplicates(["node"]), "minhash-sets")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Of the pairs (a, b) those whose full sets are similar enough."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = sets_of(wanted, docs, nodes, words, id_col, text_col)
     joined = (
         pairs.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("eb")), "b")
         .join(sets.select(F.col("node").alias("a"), F.col("elements").alias("ea")), "a")
@@ -144,6 +151,32 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, pe
     return materialize(joined.where(F.col("both") * 100 >= union * percent).select("a", "b"), "minhash-links")
 
 
+def fits(x: str, y: str, percent: int) -> Column:
+    """Whether sets of these sizes can be similar enough."""
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+
+
+def rare_pairs(placed: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """a, b: the pairs of nodes in different components that can be similar enough; ``placed`` are node, n, comp.
+
+    Two sets of similarity s share an element among the first n - ceil(s n) + 1 of each in any common order. Ordered by the
+    number of these nodes that hold an element, rare ones first, private elements (those of one node) come first and meet
+    nothing: a node with more than 1 - s of them meets no other, and pairs meet on the rarest elements that they share.
+    Of those that meet, the shared elements must also suffice for both sizes."""
+    nodes_ = placed.select("node", "n", "comp").distinct()
+    elements = sets_of(nodes_.select("node"), docs, nodes, words, id_col, text_col).select("node", F.explode("elements").alias("element"))
+    held = elements.groupBy("element").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > 1)
+    shared = elements.join(held, "element").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("held", "element"))).alias("shared"))
+    shared = shared.join(nodes_, "node").withColumn("c", F.size("shared"))
+    least = F.ceil(F.col("n") * percent / 100).cast("int")
+    first = shared.where(F.col("c") >= least).withColumn("first", F.slice("shared", F.lit(1), F.greatest(F.col("c") - least + 1, F.lit(0))))
+    first = materialize(first.select("node", "n", "c", "comp", F.explode("first.element").alias("element")), "minhash-prefixes")
+    x, y = (first.select("element", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "c", "comp")]) for side in "ab")
+    enough = F.least("c_a", "c_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    met = (x["element"] == y["element"]) & (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b"))
+    return x.join(y, met & fits("n_a", "n_b", percent) & enough).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, comp: the smallest node reachable over the links, for the nodes that have any.
 
@@ -176,10 +209,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     hubs = buckets.join(met, "node").groupBy("band", "value").agg(F.max(F.struct("met", "node", "n")).alias("hub"))
     hubs = hubs.select("band", "value", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
 
-    def fits(x: str, y: str):
-        return F.least(x, y) * 100 >= F.greatest(x, y) * percent
-
-    star = buckets.join(hubs, ["band", "value"]).where((F.col("hub") != F.col("node")) & fits("n", "hub_n"))
+    star = buckets.join(hubs, ["band", "value"]).where((F.col("hub") != F.col("node")) & fits("n", "hub_n", percent))
     star = star.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     star = materialize(star, "minhash-pairs")
     links = verified(star, docs, nodes, words, percent, id_col, text_col)
@@ -190,11 +220,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     split = placed.groupBy("band", "value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
     split = split.where((F.col("lo") != F.col("hi")) & (F.col("m") > 2)).select("band", "value")
     placed = materialize(placed.join(split, ["band", "value"], "left_semi"), "minhash-open")
-    x = placed.select("band", "value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = placed.select("band", "value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    same = (x["band"] == y["band"]) & (x["value"] == y["value"]) & (x["a"] < y["b"]) & (x["ca"] != y["cb"]) & fits("na", "nb")
-    rest = x.join(y, same).select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
-    rest = materialize(rest, "minhash-pairs")
+    rest = materialize(rare_pairs(placed, docs, nodes, words, percent, id_col, text_col).join(star, ["a", "b"], "left_anti"), "minhash-pairs")
     if not rest.isEmpty():
         more = verified(rest, docs, nodes, words, percent, id_col, text_col)
         if not more.isEmpty():

@@ -4,6 +4,7 @@ import string
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from riskframe.llm import minhash as op
 
@@ -110,3 +111,49 @@ def test_one_row_of_a_group_stays_whatever_its_ids(spark):
     for some in (rows, rows[::-1]):
         got = rows_of(op.deduplicate(docs(spark, some)), "doc_id", "text")
         assert [i for i, _ in got] == [4, 4, None] and sum(t.startswith("w0 ") for _, t in got) == 1 and (4, "short text of its own") in got
+
+
+def test_many_copies_below_the_threshold_without_their_source(spark, monkeypatch):
+    """Edited copies of one text, each with words of its own, too far from each other to link; a few pairs among them link.
+    No all-pairs step: the pairs that are verified stay far below the square of the group."""
+    r = random.Random(11)
+    base = [f"w{i}" for i in range(200)]
+
+    def edited(no, share):
+        out = list(base)
+        for i in r.sample(range(200), int(200 * share)):
+            out[i] = f"own{no}x{i}"
+        return out
+
+    rows = []
+    for no in range(150):
+        text = edited(no, 0.05)
+        rows.append((no * 2, " ".join(text), None, None))
+        if no % 10 == 0:
+            rows.append((no * 2 + 1, " ".join([*text, "end"]), None, None))
+    seen = []
+    rare = op.rare_pairs
+    monkeypatch.setattr(op, "rare_pairs", lambda *a: seen.append(rare(*a)) or seen[0])
+    got = rows_of(op.near_duplicates(docs(spark, rows), 3, 85), *COLUMNS)
+    assert got == expected(rows, 3, 85)
+    assert seen and seen[0].count() < 10 * len(rows)
+
+
+def test_rare_pairs_keep_every_link(spark):
+    """Random sets over a small vocabulary, each node a component: all pairs above the threshold are among the pairs."""
+    r = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(120):
+        text = [w for w in base if r.random() > 0.03]
+        for k in r.sample(range(len(text)), r.choice([0, 1, 2, 5])):
+            text[k] = r.choice(base)
+        rows.append((i, " ".join(text), None, None))
+    df = docs(spark, rows)
+    nodes = op.sketched(df, 1, 16, 8).groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"))
+    placed = nodes.selectExpr("node", "n", "node as comp")
+    ids = {bytes(x.node): x.first_id for x in nodes.collect()}
+    pairs = {tuple(sorted((ids[bytes(x.a)], ids[bytes(x.b)]))) for x in op.rare_pairs(placed, df, nodes, 1, 80, "doc_id", "text").collect()}
+    sets = {i: shingles(rows[i][1], 1) for i in ids.values()}
+    linked = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert linked and linked <= pairs
