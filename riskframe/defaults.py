@@ -119,6 +119,10 @@ TUNE_SPACE = {
     "maxIter": (100, 500),
 }
 TUNE_TRIALS, TUNE_PARALLEL = 50, 10
+# Neighbours of a row of the smaller class that synthetic rows lie between.
+SMOTE_K = 5
+# Columns of small whole numbers (0 to n - 1) of the transactions: hours, and codes that fit 63 bits.
+PROFILE_DOMAINS = {"TX_TIME": 24, "CHANNEL_CODE": 63, "TRN_CODE": 63}
 # Columns of the account profile, in order.
 PROFILE_COLUMNS = (
     "CANCEL_NO_CONTACT", "IS_DIGITAL", "AUM_AMT", "YEARLYINCOMELEVEL", "TX_COUNT", "TX_SUM", "TX_MEAN", "TX_STD", "TX_MAX",

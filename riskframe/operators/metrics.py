@@ -103,20 +103,37 @@ def classification_report(df: DataFrame, score: str = "SCORE", label: str = "LAB
     )
 
 
+def _steps_below(score: str, ts: Sequence[float]) -> Column:
+    """How many of the ascending thresholds lie below the score, by halving; 0 for null and NaN."""
+
+    def place(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.col(score) > F.lit(float(ts[mid])), place(mid + 1, hi)).otherwise(place(lo, mid))
+
+    return F.when(F.isnan(F.col(score).cast("double")), F.lit(0)).otherwise(place(0, len(ts)))
+
+
 def threshold_curve(df: DataFrame, score: str = "SCORE", label: str = "LABEL", thresholds: Sequence[float] | None = None) -> DataFrame:
-    """Precision, recall and F1 at each threshold — one aggregate with two counts per threshold, then stack.
+    """Precision, recall and F1 at each threshold.
 
-    No cross join with a threshold table: the thresholds are literals inside the single pass."""
+    Each row gets one number, how many thresholds lie below its score (a few comparisons), and is counted by it: at most one
+    row for each threshold and one more leaves the aggregate, over which the counts at a threshold are sums of the later
+    ones. Null and NaN scores are never flagged."""
     ts = list(thresholds) if thresholds is not None else sweep_thresholds()
+    rising = sorted(set(ts))
     y = F.col(label)
-    parts = [F.count(F.when(y == 1, 1)).alias("P")]
-    for i, t in enumerate(ts):
-        flagged = _pred(score, t) == 1
-        parts.append(F.count(F.when(flagged & (y == 1), 1)).alias(f"tp{i}"))
-        parts.append(F.count(F.when(flagged, 1)).alias(f"pp{i}"))
-    a = df.agg(*parts)
+    counts = df.groupBy(_steps_below(score, rising).alias("_rf_k")).agg(F.count(F.when(y == 1, 1)).alias("_rf_p"), F.count(F.lit(1)).alias("_rf_n"))
+    parts = [F.coalesce(F.sum("_rf_p"), F.lit(0)).alias("P")]
+    for i in range(len(rising)):
+        above = F.col("_rf_k") > i
+        parts.append(F.coalesce(F.sum(F.when(above, F.col("_rf_p"))), F.lit(0)).alias(f"tp{i}"))
+        parts.append(F.coalesce(F.sum(F.when(above, F.col("_rf_n"))), F.lit(0)).alias(f"pp{i}"))
+    a = counts.agg(*parts)
     rows = []
-    for i, t in enumerate(ts):
+    for t in ts:
+        i = rising.index(t)
         p = _div(F.col(f"tp{i}"), F.col(f"pp{i}"))
         r = _div(F.col(f"tp{i}"), F.col("P"))
         rows.append(F.struct(F.lit(float(t)).alias("THRESHOLD"), p.alias("PRECISION"), r.alias("RECALL"), _f1(p, r).alias("F1")))

@@ -1,4 +1,4 @@
-"""Splits, folds, balancing, weights and mini-batches.
+"""Splits, folds, balancing, synthetic rows, weights and mini-batches.
 
 All chance comes from md5(``seed-key``) (see :mod:`riskframe.functions.hashing`), so results do not depend on
 partitioning or task retries. Exact sizes use the distributed row numbering of
@@ -14,9 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.defaults import BATCH_SIZE, N_FOLDS, SEED, TEST_SHARE
+from riskframe.defaults import BATCH_SIZE, N_FOLDS, SEED, SMOTE_K, TEST_SHARE
 from riskframe.functions.hashing import hash_order, hash_u60
+from riskframe.operators.neighbours import nearest
 from riskframe.operators.ordering import row_index
+from riskframe.session import materialize
 
 KEY = "ACCT_NBR"
 
@@ -120,6 +122,41 @@ def balance_bootstrap(df: DataFrame, label: str = "LABEL", key: str = KEY, seed:
     return out.select(*[c for c in df.columns if c != label], "DRAW", F.col("_rf_c").alias(label))
 
 
+def smote(df: DataFrame, columns: Sequence[str], label: str = "LABEL", key: str = KEY, k: int = SMOTE_K, seed: int = SEED) -> DataFrame:
+    """Synthetic rows of the smaller class, as many as it lacks to the larger one.
+
+    Draw j takes row ``md5(seed-base-j) mod n`` of the smaller class (numbered by key), one of its k nearest rows of that class
+    (all where it has fewer) by ``md5(seed-near-j)``, and lies at the share ``md5(seed-place-j)`` of the way between them. Rows
+    (DRAW, BASE, NEIGHBOUR, U, the columns, label). The neighbours are exact (:mod:`riskframe.operators.neighbours`); the draws
+    are ``spark.range`` joined on the number, so nothing but the class counts reaches the driver. ``key`` must be unique; null
+    features count as 0."""
+    counts = _class_counts(df, label)
+    n0, n1 = counts.get(0, 0), counts.get(1, 0)
+    small, n = (1, n1) if n1 <= n0 else (0, n0)
+    if n < 2:
+        raise ValueError("synthetic rows need two rows of the smaller class")
+    features = [F.nanvl(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c) for c in columns]
+    rows = materialize(df.where(F.col(label) == small).select(key, *features), "smote-rows")
+    numbered = row_index(nearest(rows, columns, k, key), [F.col(key)], name="_rf_i")
+    draws = df.sparkSession.range(abs(n0 - n1)).withColumnRenamed("id", "DRAW")
+
+    def chance(what: str) -> Column:
+        return hash_u60(F.concat(F.lit(f"{what}-"), F.col("DRAW").cast("string")), seed)
+
+    picked = draws.withColumn("_rf_i", F.pmod(chance("base"), F.lit(n)) + 1).join(numbered, "_rf_i")
+    other = F.element_at("NEIGHBOURS", (F.pmod(chance("near"), F.size("NEIGHBOURS")) + 1).cast("int"))["key"]
+    picked = picked.select("DRAW", F.col(key).alias("BASE"), other.alias("NEIGHBOUR"), (chance("place") / F.lit(2.0**60)).alias("U"))
+    for name in ("BASE", "NEIGHBOUR"):
+        picked = picked.join(rows.select(F.col(key).alias(name), F.struct(*columns).alias(f"_rf_{name}")), name)
+    between = [(F.col("_rf_BASE")[c] + F.col("U") * (F.col("_rf_NEIGHBOUR")[c] - F.col("_rf_BASE")[c])).alias(c) for c in columns]
+    return picked.select("DRAW", "BASE", "NEIGHBOUR", "U", *between, F.lit(small).alias(label))
+
+
+def zero_steps(synthetic: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The transaction sequence of a synthetic row: one step of zeros (it has no transactions of its own)."""
+    return synthetic.select("DRAW", F.lit(1).alias("STEP"), *[F.lit(0.0).alias(c) for c in columns])
+
+
 def class_weights(df: DataFrame, label: str = "LABEL", name: str = "WEIGHT") -> DataFrame:
     """Weight 1 for negatives and negatives/positives for positives (1 when there are no positives)."""
     counts = _class_counts(df, label)

@@ -423,10 +423,8 @@ FROM acc LEFT JOIN t ON acc.ACCT_NBR = t.ACCT_NBR LEFT JOIN mode_h m ON acc.ACCT
 
 
 def _profile(spark, sf):
-    acc = _acc(spark, sf)
-    keys = fx.accounts(spark, sf).select("ACCT_NBR")
-    raw = joins.restrict_to_known(clean.distinct_rows(fx.transactions(spark, sf)), keys)
-    return profile.account_profile(acc, raw)
+    # The profile's join from the accounts restricts the transactions to known ones, after the aggregate.
+    return profile.account_profile(_acc(spark, sf), clean.distinct_rows(fx.transactions(spark, sf)))
 
 
 @register("account_profile", with_views(_PROFILE_SQL, "v_accounts", "v_identity", "v_txn"))

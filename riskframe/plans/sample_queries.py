@@ -1,10 +1,10 @@
-"""Registered queries: splits, folds, bootstrap balance, weights, mini-batches."""
+"""Registered queries: splits, folds, bootstrap balance, synthetic rows, weights, mini-batches."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskframe.defaults import SEED
+from riskframe.defaults import SEED, SMOTE_K
 from riskframe.functions.hashing import sql_hash_order, sql_hash_u60
 from riskframe.operators import joins, sampling
 from riskframe.plans import oracle_sql as osql
@@ -84,6 +84,32 @@ def balance_bootstrap(spark, sf):
     return sampling.balance_bootstrap(_labelled(spark, sf))
 
 
+_SMOTE_COLS = osql.ACCOUNT_COLS[1:]
+
+
+def _smote_sql() -> str:
+    """Brute force: every row of the smaller class against every other one."""
+    d2 = " + ".join(f"(CAST(a.{c} AS DOUBLE) - CAST(b.{c} AS DOUBLE)) * (CAST(a.{c} AS DOUBLE) - CAST(b.{c} AS DOUBLE))" for c in _SMOTE_COLS)
+    chance = lambda what: sql_hash_u60(f"'{what}-' || CAST(j AS VARCHAR)", SEED)
+    between = ", ".join(f"round(CAST(x.{c} AS DOUBLE) + U * (CAST(y.{c} AS DOUBLE) - CAST(x.{c} AS DOUBLE)), 6) AS {c}" for c in _SMOTE_COLS)
+    return _LAB + (
+        ", m AS (SELECT acc.*, row_number() OVER (ORDER BY acc.ACCT_NBR) AS i, count(*) OVER () AS n FROM acc JOIN lab_acc l ON acc.ACCT_NBR = l.ACCT_NBR WHERE l.LABEL = 1), "
+        f"nn AS (SELECT a.ACCT_NBR, b.ACCT_NBR AS other, row_number() OVER (PARTITION BY a.ACCT_NBR ORDER BY {d2}, b.ACCT_NBR) AS rk FROM m a JOIN m b ON a.ACCT_NBR <> b.ACCT_NBR QUALIFY rk <= {SMOTE_K}), "
+        "c AS (SELECT count(CASE WHEN LABEL = 0 THEN 1 END) AS n0, count(CASE WHEN LABEL = 1 THEN 1 END) AS n1 FROM lab_acc), "
+        "j AS (SELECT unnest(range(0, n0 - n1)) AS j FROM c), "
+        f"d AS (SELECT j AS DRAW, {chance('base')} % (SELECT n1 FROM c) + 1 AS i, {chance('near')} AS near, CAST({chance('place')} AS DOUBLE) / 1152921504606846976.0 AS U FROM j) "
+        f"SELECT DRAW, x.ACCT_NBR AS BASE, y.ACCT_NBR AS NEIGHBOUR, round(U, 6) AS U, {between}, 1 AS LABEL FROM d JOIN m x ON x.i = d.i "
+        f"JOIN nn ON nn.ACCT_NBR = x.ACCT_NBR AND nn.rk = d.near % least({SMOTE_K}, x.n - 1) + 1 JOIN m y ON y.ACCT_NBR = nn.other"
+    )
+
+
+@register("smote", with_views(_smote_sql(), *_LAB_VIEWS))
+def smote(spark, sf):
+    """Synthetic notice accounts over the account attributes, up to the number of the others."""
+    lab = joins.label_accounts(_acc(spark, sf), fx.notices(spark, sf))
+    return rounded(sampling.smote(lab.select("ACCT_NBR", *_SMOTE_COLS, "LABEL"), _SMOTE_COLS))
+
+
 @register(
     "class_weights",
     with_views(

@@ -168,3 +168,33 @@ def test_last_write_wins_out_of_order(spark):
     df = spark.createDataFrame([(1, 5, 0.2), (1, 9, 0.8), (1, 7, 0.5)], "ACCT_NBR long, SEQ long, SCORE double")
     r = windows.last_write_wins(df, "ACCT_NBR", "SEQ").first()
     assert (r.SEQ, r.SCORE) == (9, 0.8)
+
+
+def test_threshold_curve_equals_point_metrics(spark):
+    """Scores on, beside and between the thresholds, null and NaN, thresholds out of order and repeated."""
+    scores = [0.05, 0.1, 0.1000001, 0.15, 0.5, 0.85, 0.9, float("nan"), None, -1.0, 2.0]
+    df = spark.createDataFrame([(s, y) for s in scores for y in (0, 1, 1, None)], "SCORE double, LABEL int")
+    for ts in (None, [0.5, 0.1, 0.9, 0.5], [0.3]):
+        curve = metrics.threshold_curve(df, thresholds=ts).collect()
+        assert [r.THRESHOLD for r in curve] == (ts or metrics.sweep_thresholds())
+        for r in curve:
+            tp = sum(s > r.THRESHOLD for s in scores if s is not None and s == s) * 2
+            flagged, pos = 2 * tp, 2 * len(scores)
+            p = tp / flagged if flagged else 0.0
+            assert (r.PRECISION, r.RECALL) == (pytest.approx(p), pytest.approx(tp / pos))
+    assert [tuple(r) for r in metrics.threshold_curve(df.limit(0), thresholds=[0.2]).collect()] == [(0.2, 0.0, 0.0, 0.0)]
+
+
+def test_profile_of_declared_domains_equals_the_general_one(spark):
+    acc = spark.createDataFrame([(i, 0, 1, 5.0, 2, 3, 40) for i in range(1, 6)], "ACCT_NBR long, CANCEL_NO_CONTACT int, IS_DIGITAL int, AUM_AMT double, YEARLYINCOMELEVEL int, ACCT_OPEN_DT int, DATE_OF_BIRTH int")
+    rows = [(1, 10.0, 1.0, 1, 0, 0, 1, "Sunday", h, c, t) for h, c, t in [(23, 1, 62), (0, 1, 0), (23, 19, 62), (0, 19, 1), (None, None, None)]]
+    rows += [(2, 5.0, None, 0, 1, 1, 0, "Monday", None, None, None), (3, 7.0, 2.0, 0, 0, 0, 0, None, 5, 3, 3), (9, 7.0, 2.0, 0, 0, 0, 0, None, 5, 3, 3)]
+    tx = spark.createDataFrame(rows, "ACCT_NBR long, TX_AMT double, PB_BAL double, mb_check int, eb_check int, SAME_NUMBER_IP int, SAME_NUMBER_UUID int, DAY_OF_WEEK string, TX_TIME int, CHANNEL_CODE int, TRN_CODE int")
+    fast, general = profile.account_profile(acc, tx), profile.account_profile(acc, tx, domains={})
+    assert fast.schema == general.schema
+    assert sorted(map(str, fast.collect())) == sorted(map(str, general.collect()))
+    first = {r.ACCT_NBR: r for r in fast.collect()}
+    assert (first[1].MODE_TX_TIME, first[1].UNIQUE_CHANNELS, first[1].UNIQUE_TRN_CODES) == (0, 2, 3) and first[2].MODE_TX_TIME == 0
+    for c, v in (("TX_TIME", 24), ("CHANNEL_CODE", 63), ("TRN_CODE", -1)):
+        with pytest.raises(Exception, match="codes outside"):
+            profile.account_profile(acc, tx.withColumn(c, F.lit(v))).collect()
