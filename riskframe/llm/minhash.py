@@ -159,22 +159,40 @@ def fits(x: str, y: str, percent: int) -> Column:
 def rare_pairs(placed: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """a, b: the pairs of nodes in different components that can be similar enough; ``placed`` are node, n, comp.
 
-    Two sets of similarity s share an element among the first n - ceil(s n) + 1 of each in any common order. Ordered by the
-    number of these nodes that hold an element, rare ones first, private elements (those of one node) come first and meet
-    nothing: a node with more than 1 - s of them meets no other, and pairs meet on the rarest elements that they share.
-    Of those that meet, the shared elements must also suffice for both sizes."""
+    Elements are ordered by the number of these nodes that hold them, rare ones first; private elements (of one node) come
+    first and meet nothing. Where the first element that two sets share stands at places i and j, they share 1 + min(n_a - i,
+    n_b - j) at most, and sets of similarity s share s / (1 + s) (n_a + n_b) at least. So the smaller set needs only its first
+    n - 2 s / (1 + s) n + 1 elements, the larger one an element at place j only against sizes that leave enough after it:
+    it goes to the classes of these sizes (steps of one percent). Sets meet on (element, class), and only there where
+    different components do. A copy with too many words of its own meets nothing: what it shares comes too late."""
     nodes_ = placed.select("node", "n", "comp").distinct()
     elements = sets_of(nodes_.select("node"), docs, nodes, words, id_col, text_col).select("node", F.explode("elements").alias("element"))
     held = elements.groupBy("element").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > 1)
     shared = elements.join(held, "element").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("held", "element"))).alias("shared"))
     shared = shared.join(nodes_, "node").withColumn("c", F.size("shared"))
-    least = F.ceil(F.col("n") * percent / 100).cast("int")
+    n, least = F.col("n"), F.ceil(F.col("n") * percent / 100).cast("int")
     first = shared.where(F.col("c") >= least).withColumn("first", F.slice("shared", F.lit(1), F.greatest(F.col("c") - least + 1, F.lit(0))))
-    first = materialize(first.select("node", "n", "c", "comp", F.explode("first.element").alias("element")), "minhash-prefixes")
-    x, y = (first.select("element", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "c", "comp")]) for side in "ab")
-    enough = F.least("c_a", "c_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    met = (x["element"] == y["element"]) & (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b"))
-    return x.join(y, met & fits("n_a", "n_b", percent) & enough).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    first = first.select("node", "n", "c", "comp", F.posexplode("first.element").alias("at", "element")).withColumn("at", F.col("at") + n - F.col("c") + 1)
+    first = materialize(first, "minhash-prefixes")
+
+    def size_class(size: Column) -> Column:
+        return F.floor(F.log(size.cast("double")) * 100).cast("int")
+
+    small = first.where((n - F.col("at") + 1) * (100 + percent) >= n * 2 * percent).withColumn("class", size_class(n))
+    most = F.least(F.floor((n - F.col("at") + 1) * (100 + percent) / percent).cast("bigint") - n, n)
+    large = first.where(most >= least).withColumn("class", F.explode(F.sequence(size_class(least), size_class(most))))
+    keys = [side.select("element", "class", "comp") for side in (small, large)]
+    keys = keys[0].unionByName(keys[1]).groupBy("element", "class").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    keys = materialize(keys.where(F.col("lo") != F.col("hi")).select("element", "class"), "minhash-meeting")
+    x, y = (
+        side.join(keys, ["element", "class"], "left_semi").select("element", "class", *[F.col(c).alias(f"{c}_{z}") for c in ("node", "n", "c", "comp", "at")])
+        for side, z in ((small, "a"), (large, "b"))
+    )
+    needed = (F.col("n_a") + F.col("n_b")) * percent
+    enough = (F.least("c_a", "c_b") * (100 + percent) >= needed) & ((F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) + 1) * (100 + percent) >= needed)
+    met = (x["element"] == y["element"]) & (x["class"] == y["class"]) & (F.col("comp_a") != F.col("comp_b")) & (F.col("n_a") <= F.col("n_b"))
+    pairs = x.join(y, met & fits("n_a", "n_b", percent) & enough)
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
