@@ -110,6 +110,10 @@ IMPORTANCE_EPS = 1e-6
 GBT_PARAMS = {"maxIter": 1000, "stepSize": 0.05, "maxDepth": 5, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.9"}
 # Rounds of each cross-validation fold.
 CV_ROUNDS = 100
+# Early stopping: folds, rounds in a row without gain, rounds to begin with.
+EARLY_FOLDS, EARLY_PATIENCE, EARLY_START = 3, 3, 16
+# Depth of a forest's trees (without a limit in the original; Spark's trees end at 30).
+FOREST_DEPTH = 30
 # Search space (step, row sampling, column sampling, depth, rounds), trials, and how many run at a time.
 TUNE_SPACE = {
     "stepSize": (0.1, 0.7),

@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.defaults import CV_ROUNDS, GBT_PARAMS, N_FOLDS, SEED, THRESHOLD_DEFAULT, TUNE_PARALLEL, TUNE_SPACE, TUNE_TRIALS
+from riskframe.defaults import CV_ROUNDS, EARLY_FOLDS, EARLY_PATIENCE, EARLY_START, FOREST_DEPTH, GBT_PARAMS, N_FOLDS, SEED, THRESHOLD_DEFAULT, TUNE_PARALLEL, TUNE_SPACE, TUNE_TRIALS
 from riskframe.functions.bands import apply_threshold, risk_band_cut
+from riskframe.session import materialize
 
 KEY = "ACCT_NBR"
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -78,8 +79,8 @@ def gbt(params: Mapping[str, object] | None = None, label: str = "LABEL", weight
     return GBTClassifier(**kw)
 
 
-def forest(num_trees: int = 100, max_depth: int = 5, label: str = "LABEL", seed: int = SEED) -> RandomForestClassifier:
-    """K4/K5: random forest (100 trees by default)."""
+def forest(num_trees: int = 100, max_depth: int = FOREST_DEPTH, label: str = "LABEL", seed: int = SEED) -> RandomForestClassifier:
+    """K4/K5: random forest (100 trees by default), as deep as Spark's trees go unless ``max_depth`` says otherwise."""
     return RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees, maxDepth=max_depth, seed=seed)
 
 
@@ -129,44 +130,98 @@ def f1_at(scored: DataFrame, label: str = "LABEL", pred: str = "PREDICTION") ->
     return {"precision": p, "recall": rc, "f1": 2 * p * rc / (p + rc) if p + rc else 0.0}
 
 
+def positive_weight(df: DataFrame, label: str = "LABEL") -> float:
+    """Negatives for each positive, 1 without positives."""
+    r = df.agg(F.count(F.when(F.col(label) == 0, 1)).alias("n"), F.count(F.when(F.col(label) == 1, 1)).alias("p")).first()
+    return r.n / r.p if r.p else 1.0
+
+
 def with_class_weight(df: DataFrame, label: str = "LABEL", name: str = "WEIGHT") -> DataFrame:
     from riskframe.operators.sampling import class_weights
 
     return class_weights(df, label, name)
 
 
-def boosting_rounds(df: DataFrame, features: Sequence[str], label: str = "LABEL", fold: str = "FOLD", k: int = N_FOLDS,
-                    params: Mapping[str, object] | None = None) -> int:
-    """K3, first half: each fold in turn is the validation part; boosting stops when its error no longer falls. The mean
-    number of rounds of the k fits."""
-    rounds = []
+def validation_curves(df: DataFrame, features: Sequence[str], label: str = "LABEL", fold: str = "FOLD", k: int = EARLY_FOLDS,
+                      params: Mapping[str, object] | None = None) -> DataFrame:
+    """(FOLD, ROUND, LOSS): the log loss on each fold after every round of a model trained on the other folds. One number
+    for each fold and round comes to the driver."""
+    rows = []
     for i in range(k):
-        rows = with_class_weight(df, label).withColumn("_rf_valid", F.col(fold) == i)
-        rounds.append(fit(rows, features, gbt(params, label, validation="_rf_valid")).stages[-1].getNumTrees)
-    return max(1, round(sum(rounds) / k))
-
-
-def fit_early_stop(df: DataFrame, features: Sequence[str], label: str = "LABEL", fold: str = "FOLD", k: int = N_FOLDS,
-                   params: Mapping[str, object] | None = None) -> tuple[PipelineModel, int]:
-    """K3: the folds choose the number of rounds, then one model is fitted on all rows with it."""
-    n = boosting_rounds(df, features, label, fold, k, params)
-    return fit(with_class_weight(df, label), features, gbt({**(params or {}), "maxIter": n}, label)), n
+        model = fit(with_class_weight(df.where(F.col(fold) != i), label), features, gbt(params, label))
+        test = model.stages[0].transform(with_class_weight(df.where(F.col(fold) == i), label))
+        rows += [(i, n + 1, float(v)) for n, v in enumerate(model.stages[-1].evaluateEachIteration(test))]
+    return df.sparkSession.createDataFrame(rows, "FOLD int, ROUND int, LOSS double")
+
+
+def chosen_round(curves: DataFrame, patience: int = EARLY_PATIENCE) -> tuple[int, bool]:
+    """The round with the lowest mean loss before ``patience`` rounds in a row bring no gain (the first of equals), and
+    whether such a stop was found. The mean curve has one row for each round."""
+    mean = curves.groupBy("ROUND").agg(F.avg("LOSS").alias("LOSS")).orderBy("ROUND").collect()
+    best, since = 0, 0
+    for i, r in enumerate(mean):
+        if i and not r.LOSS < mean[best].LOSS:
+            since += 1
+            if since >= patience:
+                return mean[best].ROUND, True
+        else:
+            best, since = i, 0
+    return (mean[best].ROUND if mean else 1), False
+
+
+def fit_early_stop(df: DataFrame, features: Sequence[str], label: str = "LABEL", fold: str = "FOLD", k: int = EARLY_FOLDS,
+                   params: Mapping[str, object] | None = None, patience: int = EARLY_PATIENCE, start: int = EARLY_START) -> tuple[PipelineModel, DataFrame]:
+    """K3: the folds' mean curve chooses the number of rounds, then one model is fitted on all rows with it; the model and
+    the curves (FOLD, ROUND, LOSS).
+
+    A model of few rounds is the beginning of one of many (each round's chance comes from the seed and its number), so the
+    folds start with ``start`` rounds and double until the curve stops or the full number is reached: at most four times the
+    rounds that matter are trained, not the whole budget."""
+    most = int({**GBT_PARAMS, **(params or {})}["maxIter"])
+    rounds = min(start, most)
+    while True:
+        curves = validation_curves(df, features, label, fold, k, {**(params or {}), "maxIter": rounds})
+        n, stopped = chosen_round(curves, patience)
+        if stopped or rounds >= most:
+            break
+        rounds = min(2 * rounds, most)
+    return fit(with_class_weight(df, label), features, gbt({**(params or {}), "maxIter": n}, label)), curves
+
+
+def out_of_fold(df: DataFrame, features: Sequence[str], label: str = "LABEL", fold: str = "FOLD", k: int = N_FOLDS,
+                params: Mapping[str, object] | None = None, key: str = KEY) -> DataFrame:
+    """(key, FOLD, LABEL, WEIGHT, PROBABILITY) of every row, scored by the model of the other folds (``CV_ROUNDS`` rounds
+    unless ``params`` says otherwise); WEIGHT is the class weight that these gave to positives. Written once."""
+    parts = None
+    for i in range(k):
+        rest = df.where(F.col(fold) != i)
+        weight = positive_weight(rest, label)
+        train = rest.withColumn("WEIGHT", F.when(F.col(label) == 1, F.lit(weight)).otherwise(F.lit(1.0)))
+        scored = score(fit(train, features, gbt({"maxIter": CV_ROUNDS, **(params or {})}, label)), df.where(F.col(fold) == i), key, keep=[label])
+        part = scored.select(key, F.lit(i).alias("FOLD"), F.col(label).alias("LABEL"), F.lit(weight).alias("WEIGHT"), "PROBABILITY")
+        parts = part if parts is None else parts.unionByName(part)
+    return materialize(parts, "out-of-fold")
+
+
+def fold_metrics(scored: DataFrame, threshold: float = THRESHOLD_DEFAULT) -> DataFrame:
+    """(FOLD, ROWS, POSITIVES, WEIGHT, PRECISION, RECALL, F1) of each fold and, as FOLD -1, the folds' means (rows and
+    positives: their sums): one aggregate over the out-of-fold table, a second over its few rows."""
+    flag = apply_threshold("PROBABILITY", threshold) == 1
+    c = scored.groupBy("FOLD").agg(
+        F.count(F.lit(1)).alias("ROWS"), F.count(F.when(F.col("LABEL") == 1, 1)).alias("POSITIVES"), F.first("WEIGHT").alias("WEIGHT"),
+        F.count(F.when(flag & (F.col("LABEL") == 1), 1)).alias("tp"), F.count(F.when(flag, 1)).alias("pp"),
+    )
+    ratio = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
+    p, r = ratio(F.col("tp"), F.col("pp")), ratio(F.col("tp"), F.col("POSITIVES"))
+    folds = c.select("FOLD", "ROWS", "POSITIVES", "WEIGHT", p.alias("PRECISION"), r.alias("RECALL"), ratio(2 * p * r, p + r).alias("F1"))
+    mean = folds.agg(F.lit(-1).alias("FOLD"), F.sum("ROWS").alias("ROWS"), F.sum("POSITIVES").alias("POSITIVES"), *[F.avg(m).alias(m) for m in ("WEIGHT", "PRECISION", "RECALL", "F1")])
+    return folds.unionByName(mean)
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str = "LABEL", fold: str = "FOLD", k: int = N_FOLDS,
                    params: Mapping[str, object] | None = None, key: str = KEY, threshold: float = THRESHOLD_DEFAULT) -> DataFrame:
-    """K6: per fold, train on the other folds (``CV_ROUNDS`` rounds unless ``params`` says otherwise, class weight
-    recomputed on them), score the fold at the threshold; rows (FOLD, PRECISION, RECALL, F1) plus the mean row (FOLD = -1)."""
-    rows = []
-    for i in range(k):
-        train = with_class_weight(df.where(F.col(fold) != i), label)
-        test = df.where(F.col(fold) == i)
-        m = fit(train, features, gbt({"maxIter": CV_ROUNDS, **(params or {})}, label))
-        r = f1_at(score(m, test, key, keep=[label], threshold=threshold), label)
-        rows.append((i, r["precision"], r["recall"], r["f1"]))
-    mean = tuple(sum(r[j] for r in rows) / k for j in (1, 2, 3))
-    rows.append((-1, *mean))
-    return df.sparkSession.createDataFrame(rows, "FOLD int, PRECISION double, RECALL double, F1 double")
+    """K6: every row scored by the model of the other folds, all folds' metrics from that one table."""
+    return fold_metrics(out_of_fold(df, features, label, fold, k, params, key), threshold)
 
 
 def random_param_maps(n: int = TUNE_TRIALS, space: Mapping[str, tuple[float, float]] = TUNE_SPACE, seed: int = SEED) -> list[dict]:

@@ -1,12 +1,14 @@
-"""Registered queries: evaluation on the fixed score view (L1-L12, L15, I14) and linear attributions."""
+"""Registered queries: evaluation on the fixed score view (L1-L12, L15, I14) attributions of a trained model and of a
+linear surrogate (L13, L14)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from riskframe.defaults import SEED
 from riskframe.functions.hashing import sql_hash_order
-from riskframe.operators import attribution, metrics, sampling
+from riskframe.operators import attribution, metrics, models, sampling, tree_attribution
 from riskframe.plans.common import rounded
 from riskframe.plans.registry import register
 from riskframe.session import materialize
@@ -230,6 +232,8 @@ def _attr_input(spark, sf):
     return materialize(prof.join(s, "ACCT_NBR"), "attribution-input")  # read by the fit, the means and the result
 
 
+#: Boosting rounds of the model that the attribution queries train and explain.
+ATTR_ROUNDS = 10
 _ATTR_COLS = ["TX_COUNT", "TX_MEAN", "TX_STD", "AVG_PB_BAL", "UNIQUE_CHANNELS", "UNIQUE_TRN_CODES", "IS_WEEKEND", "AUM_AMT", "ACCOUNT_AGE", "AGE"]
 
 
@@ -253,18 +257,59 @@ def _attr_sql(final: str) -> str:
     )
 
 
+def _explained(spark, sf):
+    """The attribution input with the raw prediction of a trained model and its attributions."""
+    d = _attr_input(spark, sf)
+    model = models.fit(models.with_class_weight(d), _ATTR_COLS, models.gbt({"maxIter": ATTR_ROUNDS}))
+    fitted = tree_attribution.TreeAttribution.of(model, _ATTR_COLS, spark)
+    return fitted, materialize(fitted.contributions(tree_attribution.raw_prediction(model, d)), "attributions")
+
+
+def _whole(fitted) -> Column:
+    """Base plus contributions are the model's raw prediction."""
+    return tree_attribution.unexplained(fitted) <= 1e-9 * (F.lit(1.0) + F.abs("RAW"))
+
+
+@register("attribution_summary", "SELECT CAST(r AS INT) AS RANK, TRUE AS ORDER_OK, (SELECT count(*) FROM orders) AS WHOLE_ROWS FROM range(1, 6) v(r)")
+def attribution_summary(spark, sf):
+    """The five features with the largest mean absolute Shapley value of a trained model. A learner's values have no
+    SQL text; what is exact: the ranks, that means fall, and on how many rows contributions and base are the raw prediction
+    (all accounts)."""
+    fitted, rows = _explained(spark, sf)
+    n = rows.where(_whole(fitted)).count()
+    top = attribution.top_attributions(fitted.mean_abs(rows.select("ACCT_NBR", *_ATTR_COLS)), 5)
+    over = Window.orderBy(F.col("MEAN_ABS").desc(), "FEATURE")  # five rows
+    ordered = top.select(F.row_number().over(over).alias("RANK"), (F.coalesce(F.lag("MEAN_ABS").over(over), F.col("MEAN_ABS")) >= F.col("MEAN_ABS")).alias("ORDER_OK"))
+    return ordered.withColumn("WHOLE_ROWS", F.lit(n).cast("bigint"))
+
+
+@register(
+    "attribution_dependence",
+    with_views(
+        _attr_sql("SELECT ACCT_NBR, FEATURE, round(VALUE, 6) AS VALUE, TRUE AS WHOLE FROM ct"),
+        "v_accounts", "v_identity", "v_txn", "v_scored",
+    ),
+)
+def attribution_dependence(spark, sf):
+    """(value, contribution) pairs, here of all explained features; exact are the values, and that a row's contributions
+    and base add up to the raw prediction."""
+    fitted, rows = _explained(spark, sf)
+    pairs = fitted.dependence(rows.select("ACCT_NBR", *_ATTR_COLS), len(_ATTR_COLS))
+    return rounded(pairs.join(rows.select("ACCT_NBR", _whole(fitted).alias("WHOLE")), "ACCT_NBR").select("ACCT_NBR", "FEATURE", "VALUE", "WHOLE"))
+
+
 @register(
-    "attribution_summary",
+    "linear_attribution_summary",
     with_views(_attr_sql("SELECT FEATURE, round(MEAN_ABS, 6) AS MEAN_ABS FROM top"), "v_accounts", "v_identity", "v_txn", "v_scored"),
 )
-def attribution_summary(spark, sf):
+def linear_attribution_summary(spark, sf):
     d = _attr_input(spark, sf)
     lin = attribution.LinearAttribution.fit(d, _ATTR_COLS, "LABEL")
     return rounded(attribution.top_attributions(lin.mean_abs(d), 5))
 
 
 @register(
-    "attribution_dependence",
+    "linear_attribution_dependence",
     with_views(
         _attr_sql(
             "SELECT ct.ACCT_NBR, ct.FEATURE, round(ct.VALUE, 6) AS VALUE, round(ct.CONTRIBUTION, 6) AS CONTRIBUTION FROM ct JOIN top ON ct.FEATURE = top.FEATURE"
@@ -272,7 +317,7 @@ def attribution_summary(spark, sf):
         "v_accounts", "v_identity", "v_txn", "v_scored",
     ),
 )
-def attribution_dependence(spark, sf):
+def linear_attribution_dependence(spark, sf):
     d = _attr_input(spark, sf)
     lin = attribution.LinearAttribution.fit(d, _ATTR_COLS, "LABEL")
     return rounded(attribution.dependence(lin, d, 5))

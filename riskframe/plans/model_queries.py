@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.defaults import SEED, TUNE_SPACE
+from riskframe.defaults import EARLY_FOLDS, EARLY_PATIENCE, N_FOLDS, SEED, TUNE_SPACE
 from riskframe.functions.hashing import sql_hash_order
 from riskframe.operators import clean, features, joins, models, sampling, scoring
 from riskframe.plans import oracle_sql as osql
@@ -28,18 +28,20 @@ from riskframe.sources.fixtures import FIXTURE_CUTS, FIXTURE_TODAY, with_views
 KEY = "ACCT_NBR"
 #: Boosting rounds and search trials of these queries (the library's defaults: GBT_PARAMS, CV_ROUNDS, TUNE_TRIALS).
 ROUNDS, TRIALS = 10, 3
+#: Depth of the forests of these queries (the library's default is FOREST_DEPTH).
+FOREST_CUT = 8
 _BANDS = list(features.BAND_COUNT_COLS + features.BAND_RATIO_COLS)
 _MARKS = [KEY, "LABEL", "SPLIT", "FOLD", "WAY"]
 
 
 def _ml_table(spark: SparkSession, sf: str, mark: str = "SPLIT") -> tuple[DataFrame, list[str]]:
     """Labelled feature table with flags for missing bands, and beside it, from the narrow (key, label) rows, the
-    stratified split (SPLIT), with it the fold (FOLD), or the three-way split (WAY): joined once, written once."""
+    stratified split (SPLIT), with it the fold (FOLD, FOLD3: of three), or the three-way split (WAY): joined once, written once."""
     lab = joins.label_accounts(fx.accounts(spark, sf).select(KEY), fx.notices(spark, sf))
     lab = materialize(lab, "labels")
     marks = sampling.split_three_way(lab, name="WAY") if mark == "WAY" else sampling.split_stratified(lab)
-    if mark == "FOLD":
-        marks = marks.join(sampling.stratified_folds(lab).drop("LABEL"), KEY)
+    if mark.startswith("FOLD"):
+        marks = marks.join(sampling.stratified_folds(lab, k=int(mark[4:] or N_FOLDS)).drop("LABEL"), KEY)
     ft = features.feature_table(fx.accounts(spark, sf), fx.identity(spark, sf), fx.transactions(spark, sf), today=FIXTURE_TODAY, cuts=FIXTURE_CUTS)
     ml = materialize(models.impute_with_flags(ft, _BANDS).join(marks, KEY), "ml-table")
     return ml, models.feature_columns(ml, exclude=_MARKS)
@@ -115,21 +117,34 @@ def train_gbt(spark, sf):
     return _checked(models.score(_gbt_model(ml, feats), ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"]), "LABEL")
 
 
+#: The chosen round, recomputed from the curves: the lowest mean before ``patience`` rounds in a row bring no gain.
+CHOSEN_SQL = """
+WITH m AS (SELECT ROUND AS r, avg(LOSS) AS l FROM {curves} GROUP BY ROUND),
+ b AS (SELECT r, l, min(l) OVER (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lowest FROM m),
+ g AS (SELECT r, l, max(CASE WHEN lowest IS NULL OR l < lowest THEN r END) OVER (ORDER BY r ROWS UNBOUNDED PRECEDING) AS gained FROM b),
+ s AS (SELECT coalesce(min(r), 2147483647) AS stop FROM g WHERE r - gained >= {patience})
+SELECT CAST(max(gained) AS INT) AS chosen FROM g, s WHERE r <= stop
+"""
+
+
 @register("train_gbt_early_stop", with_views(
     _SPLIT + "SELECT ACCT_NBR, LABEL, TRUE AS P_OK, TRUE AS PRED_OK, TRUE AS ROUNDS_OK FROM sp WHERE SPLIT = 'test'", *_LAB_VIEWS))
 def train_gbt_early_stop(spark, sf):
-    """K3: the folds choose the number of rounds (at most ``ROUNDS`` here), one model on all training rows."""
-    ml, feats = _ml_table(spark, sf, "FOLD")
-    m, n = models.fit_early_stop(ml.where("SPLIT = 'train'"), feats, params={"maxIter": ROUNDS})
+    """K3: the mean curve of three folds chooses the number of rounds (at most ``ROUNDS`` here), one model on all training
+    rows. ROUNDS_OK: the model's rounds are what SQL finds in the curves, which cover every fold and round."""
+    ml, feats = _ml_table(spark, sf, "FOLD3")
+    m, curves = models.fit_early_stop(ml.where("SPLIT = 'train'"), feats, params={"maxIter": ROUNDS})
+    n = spark.sql(CHOSEN_SQL.format(curves="{curves}", patience=EARLY_PATIENCE), curves=curves).first().chosen
+    folds, rounds, rows = curves.agg(F.count_distinct("FOLD"), F.max("ROUND"), F.count(F.lit(1))).first()
     s = _checked(models.score(m, ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"]), "LABEL")
-    return s.withColumn("ROUNDS_OK", F.lit(1 <= n <= ROUNDS and m.stages[-1].getNumTrees == n))
+    return s.withColumn("ROUNDS_OK", F.lit(1 <= n <= ROUNDS and m.stages[-1].getNumTrees == n and folds == EARLY_FOLDS and rows == folds * rounds))
 
 
 @register("train_forest_account", _TEST_ROWS)
 def train_forest_account(spark, sf):
     """K4: 100-tree forest on the account table; test split scored."""
     ml, feats = _ml_table(spark, sf)
-    m = models.fit(ml.where("SPLIT = 'train'"), feats, models.forest(100))
+    m = models.fit(ml.where("SPLIT = 'train'"), feats, models.forest(100, FOREST_CUT))
     return _checked(models.score(m, ml.where("SPLIT = 'test'"), KEY, keep=["LABEL"]), "LABEL")
 
 
@@ -150,7 +165,7 @@ def train_forest_txn(spark, sf):
     split = sampling.split_stratified(rows.select(KEY, "LABEL").distinct())
     rows = materialize(rows.join(split.select(KEY, "SPLIT"), KEY), "ml-transactions")
     feats = models.feature_columns(rows, exclude=[KEY, "LABEL", "SPLIT"])
-    m = models.fit(rows.where("SPLIT = 'train'"), feats, models.forest(100))
+    m = models.fit(rows.where("SPLIT = 'train'"), feats, models.forest(100, FOREST_CUT))
     s = materialize(models.score(m, rows.where("SPLIT = 'test'"), KEY, keep=["LABEL"]), "ml-scored")
     accounts = s.select(KEY).distinct()
     truth = scoring.vote_by_account(s.select(KEY, F.col("LABEL").alias("PRED")), accounts, name="VOTE_TRUTH")
@@ -162,12 +177,37 @@ def _rate(c: str):
     return F.col(c).between(0, 1)
 
 
-@register("cross_validate", "SELECT CAST(f AS INT) AS FOLD, TRUE AS METRICS_OK FROM (VALUES (0), (1), (2), (3), (4), (-1)) v(f)")
+_CV_SQL = (
+    _LAB + ", f AS (SELECT ACCT_NBR, LABEL, CAST((rn - 1) % 5 AS INT) AS FOLD FROM r), "
+    "c AS (SELECT FOLD, count(*) AS ROWS, count(CASE WHEN LABEL = 1 THEN 1 END) AS POSITIVES FROM f GROUP BY FOLD), "
+    "t AS (SELECT sum(ROWS) AS n, sum(POSITIVES) AS p FROM c), "
+    "w AS (SELECT FOLD, ROWS, POSITIVES, ((n - ROWS) - (p - POSITIVES)) / CAST(p - POSITIVES AS DOUBLE) AS WEIGHT FROM c, t) "
+    "SELECT FOLD, ROWS, POSITIVES, round(WEIGHT, 6) AS WEIGHT, TRUE AS METRICS_OK FROM w "
+    "UNION ALL SELECT -1, CAST(sum(ROWS) AS BIGINT), CAST(sum(POSITIVES) AS BIGINT), round(avg(WEIGHT), 6), TRUE FROM w"
+)
+#: All folds' metrics from the out-of-fold table, as a plain query.
+FOLDS_SQL = """
+WITH c AS (SELECT FOLD, count(*) AS n, sum(LABEL) AS pos, sum(CASE WHEN PROBABILITY > 0.5 THEN 1 ELSE 0 END) AS pp,
+   sum(CASE WHEN PROBABILITY > 0.5 AND LABEL = 1 THEN 1 ELSE 0 END) AS tp FROM {rows} GROUP BY FOLD),
+ m AS (SELECT FOLD, coalesce(CAST(tp AS DOUBLE) / nullif(pp, 0), 0.0) AS p, coalesce(CAST(tp AS DOUBLE) / nullif(pos, 0), 0.0) AS r FROM c),
+ f AS (SELECT FOLD, p, r, coalesce(2 * p * r / nullif(p + r, 0.0), 0.0) AS f FROM m)
+SELECT FOLD, p, r, f FROM f UNION ALL SELECT -1, avg(p), avg(r), avg(f) FROM f
+"""
+
+
+@register("cross_validate", with_views(_CV_SQL, *_LAB_VIEWS))
 def cross_validate(spark, sf):
-    """K6: 5 stratified folds; per-fold precision/recall/F1 at 0.5 and their mean (FOLD -1). Cut: ``ROUNDS`` rounds."""
+    """K6: 5 stratified folds; each fold's rows, positives and class weight (from the other folds), and whether precision,
+    recall and F1 at 0.5 and their means (FOLD -1) are what SQL finds in the out-of-fold table, which holds every row once.
+    Cut: ``ROUNDS`` rounds."""
     ml, feats = _ml_table(spark, sf, "FOLD")
-    cv = models.cross_validate(ml, feats, params={"maxIter": ROUNDS})
-    return cv.select("FOLD", (_rate("PRECISION") & _rate("RECALL") & _rate("F1")).alias("METRICS_OK"))
+    rows = models.out_of_fold(ml, feats, params={"maxIter": ROUNDS})
+    cv = models.fold_metrics(rows)
+    again = spark.sql(FOLDS_SQL, rows=rows).withColumnRenamed("FOLD", "AGAIN")
+    j = cv.join(again, F.col("FOLD") == F.col("AGAIN"))
+    same = [F.abs(F.col(a) - F.col(b)) < 1e-12 for a, b in (("PRECISION", "p"), ("RECALL", "r"), ("F1", "f"))]
+    once = rows.select(KEY).distinct().count() == rows.count()
+    return rounded(j.select("FOLD", "ROWS", "POSITIVES", "WEIGHT", (same[0] & same[1] & same[2] & _rate("F1") & F.lit(once)).alias("METRICS_OK")))
 
 
 #: The full space but for depth and rounds, which are bounded by ``ROUNDS`` here.

@@ -1,9 +1,11 @@
 """Invariants for model keys (no SQL oracle): probabilities, folds, save/load, planted signal."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import metrics, models
+from riskframe.plans.model_queries import CHOSEN_SQL
 
 from .conftest import SF_SMALL
 
@@ -35,9 +37,51 @@ def test_save_load_same_scores(spark, planted, tmp_path):
 
 
 def test_folds_choose_the_rounds_and_all_rows_train(spark, planted):
-    df = planted.withColumn("FOLD", F.col("ACCT_NBR") % 2)
-    m, n = models.fit_early_stop(df, ["x1", "x2"], k=2, params={"maxIter": 4})
-    assert 1 <= n <= 4 and m.stages[-1].getNumTrees == n
+    """Noisy labels: the mean curve turns, its lowest point before three rounds without gain is taken, also by SQL."""
+    noisy = planted.withColumns({"LABEL": F.when(F.pmod(F.hash("ACCT_NBR"), F.lit(7)) == 0, 1 - F.col("LABEL")).otherwise(F.col("LABEL")), "FOLD": F.pmod(F.hash(F.col("ACCT_NBR") + 1), F.lit(3))})
+    params = {"maxIter": 12, "stepSize": 0.9, "maxDepth": 5}
+    m, curves = models.fit_early_stop(noisy, ["x1", "x2"], params=params, start=3)
+    rows = curves.collect()
+    mean = {}
+    for r in rows:
+        mean.setdefault(r.ROUND, []).append(r.LOSS)
+    mean = [sum(mean[i]) / 3 for i in sorted(mean)]
+    best = 0
+    for i, v in enumerate(mean):
+        if v < mean[best]:
+            best = i
+        elif i - best >= 3:
+            break
+    n = m.stages[-1].getNumTrees
+    assert n == best + 1 == models.chosen_round(curves)[0] and n < 12
+    con = duckdb.connect()
+    con.register("curves", curves.toPandas())
+    assert con.execute(CHOSEN_SQL.format(curves="curves", patience=3)).fetchone()[0] == n
+    # a longer run begins with the same rounds
+    whole = models.validation_curves(noisy, ["x1", "x2"], params=params).where(F.col("ROUND") <= len(mean)).groupBy("ROUND").agg(F.avg("LOSS").alias("l")).orderBy("ROUND").collect()
+    assert [r.l for r in whole] == pytest.approx(mean, rel=1e-9)
+
+
+def test_a_curve_without_a_turn_takes_its_last_gain(spark):
+    curves = spark.createDataFrame([(f, r, 1.0 / r if r < 4 else 0.4) for f in (0, 1) for r in range(1, 6)], "FOLD int, ROUND int, LOSS double")
+    assert models.chosen_round(curves) == (3, False) and models.chosen_round(curves, 2) == (3, True)
+    assert spark.sql(CHOSEN_SQL.format(curves="{curves}", patience=3), curves=curves).first().chosen == 3
+
+
+def test_out_of_fold_table_gives_all_metrics(spark, planted):
+    df = planted.withColumn("FOLD", (F.col("ACCT_NBR") % 3).cast("int"))
+    rows = models.out_of_fold(df, ["x1", "x2"], k=3, params={"maxIter": 2})
+    assert rows.count() == 2000 == rows.select("ACCT_NBR").distinct().count()
+    got = {r.FOLD: r for r in models.fold_metrics(rows).collect()}
+    data = rows.collect()
+    for i in range(3):
+        part = [r for r in data if r.FOLD == i]
+        tp, pp, pos = sum(r.LABEL and r.PROBABILITY > 0.5 for r in part), sum(r.PROBABILITY > 0.5 for r in part), sum(r.LABEL for r in part)
+        assert (got[i].ROWS, got[i].POSITIVES) == (len(part), pos)
+        assert (got[i].PRECISION, got[i].RECALL) == pytest.approx((tp / pp, tp / pos)) and got[i].F1 > 0.9
+        rest = [r for r in data if r.FOLD != i]
+        assert got[i].WEIGHT == pytest.approx(sum(1 - r.LABEL for r in rest) / sum(r.LABEL for r in rest))
+    assert got[-1].F1 == pytest.approx(sum(got[i].F1 for i in range(3)) / 3) and got[-1].ROWS == 2000
 
 
 def test_search_draws_from_the_full_space():
