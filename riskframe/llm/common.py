@@ -24,6 +24,13 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def unused(df: DataFrame, prefix: str) -> str:
+    """``prefix``, made longer until no column of ``df`` starts with it: for columns that an operator adds and drops."""
+    while any(c.lower().startswith(prefix.lower()) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def sized(df: DataFrame, name: str, rows: int = 100_000) -> DataFrame:
     """``df`` written to the shared folder, marked for broadcast where it has at most ``rows`` rows (of a few numbers or
     short names each); a larger one joins by a shuffle like any other table."""

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import SPACES, id_text, table
+from riskframe.llm.common import SPACES, id_text, table, unused
 from riskframe.llm.registry import register
 from riskframe.session import materialize
 
@@ -108,12 +108,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """The rows that stay, one of each group of equal texts, with all their columns."""
-    kept = build_index(docs, id_col, text_col, capacity).select(F.col("keep_id").alias("_d_id"), F.col("sha").alias("_d_sha"))
+    p = unused(docs, "_d")
+    kept = build_index(docs, id_col, text_col, capacity).select(F.col("keep_id").alias(f"{p}_id"), F.col("sha").alias(f"{p}_sha"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.withColumns({"_d_id": F.col(f"`{id_col}`").cast("bigint"), "_d_sha": F.sha2(normalised(text), 256)})
-    kept = kept.withColumnsRenamed({"_d_id": "_k_id", "_d_sha": "_k_sha"})
-    same = F.col("_d_id").eqNullSafe(F.col("_k_id")) & (F.col("_d_sha") == F.col("_k_sha"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["_d_id", "_d_sha"]).drop("_d_id", "_d_sha")
+    rows = docs.withColumns({f"{p}_id": F.col(f"`{id_col}`").cast("bigint"), f"{p}_sha": F.sha2(normalised(text), 256)})
+    kept = kept.withColumnsRenamed({f"{p}_id": f"{p}_kid", f"{p}_sha": f"{p}_ksha"})
+    same = F.col(f"{p}_id").eqNullSafe(F.col(f"{p}_kid")) & (F.col(f"{p}_sha") == F.col(f"{p}_ksha"))
+    return rows.join(kept, same, "left_semi").dropDuplicates([f"{p}_id", f"{p}_sha"]).drop(f"{p}_id", f"{p}_sha")
 
 
 @register(

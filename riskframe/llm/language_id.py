@@ -9,20 +9,21 @@ documents of each language (smallest hash of the id first), from each of them ``
 the whole text. Documents with crc32(doc_id) mod 4 = 2 are held out. Prediction sees nothing but the text; it is one
 pass without a shuffle, thousands of windows at a time in lock step, and the weights (some kB) go with the tasks.
 
-Defined results: null texts and texts without a letter are ``und`` with score 0; without a labelled row all are; null
+Defined results: null texts and texts without a letter are ``und`` with score 0; of equally probable languages the first by
+name is taken; without a labelled row all are; null
 or repeated ids pass through (a null id isn't held out); an empty table gives an empty result; other columns aren't read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import held_out, sized, table
+from riskframe.llm.common import held_out, sized, table, unused
 from riskframe.llm.registry import register
 
 SPAN, HIDDEN = 64, 12
@@ -31,6 +32,8 @@ STEPS, BATCH, RATE, SEED = 400, 256, 0.02, 7
 #: Windows that pass through the network together.
 LOCKSTEP = 2048
 UND = "und"
+#: A document is kept where one language gets this share of its probability (four languages: 0.25 is no knowledge).
+LEAST = 0.4
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -261,14 +264,17 @@ def lettered(text: Column) -> Column:
     return udf(text.cast("string"))
 
 
-def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows whose text has a letter, with all their columns. The network gives each of them one of its languages and
-    rejects none; so the same rows stay where no label is there to train it."""
+def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", languages: Collection[str] | None = None, least: float = LEAST) -> DataFrame:
+    """The rows that the network takes for one of its languages (of ``languages``, where these are given) with a score of
+    ``least`` or more, with all their columns. Texts without a letter go. Where no label is there to train a network, all rows
+    with a letter stay, whatever ``languages`` says."""
     net = train(docs, id_col, text_col, lang_col)
     if net is None:
         return docs.where(lettered(F.col(f"`{text_col}`")))
-    rows = docs.withColumn("_lid", predicted(F.col(f"`{text_col}`"), net))
-    return rows.where(F.col("_lid.lang_pred") != UND).drop("_lid")
+    name = unused(docs, "_lid")
+    rows = docs.withColumn(name, predicted(F.col(f"`{text_col}`"), net))
+    known = F.col(f"{name}.lang_pred").isin(sorted(languages)) if languages is not None else F.col(f"{name}.lang_pred") != UND
+    return rows.where(known & (F.col(f"{name}.score") >= least)).drop(name)
 
 
 @register("op2_language_id")

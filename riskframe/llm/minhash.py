@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import id_text, table
+from riskframe.llm.common import id_text, table, unused
 from riskframe.llm.registry import register
 from riskframe.llm.shingles import WordHashes, mixed, shingle_set
 from riskframe.session import materialize
@@ -257,11 +257,13 @@ def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     """The rows that stay, one of each group of near-duplicates (the first by id, nulls last, and text hash), with all their
     columns. Rows without words stay; rows that repeat id and text are one."""
     found = near_duplicates(docs, words, percent, id_col=id_col, text_col=text_col)
-    gone = found.where(~F.col("kept") | (F.col("text_hash") != F.col("keep_hash"))).select(F.col("doc_id").alias("_n_id"), F.col("text_hash").alias("_n_hash")).distinct()
+    p = unused(docs, "_m")
+    gone = found.where(~F.col("kept") | (F.col("text_hash") != F.col("keep_hash")))
+    gone = gone.select(F.col("doc_id").alias(f"{p}_n"), F.col("text_hash").alias(f"{p}_o")).distinct()
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.withColumns({"_m_id": F.col(f"`{id_col}`").cast("bigint"), "_m_hash": F.xxhash64(text)})
-    here = F.col("_m_id").eqNullSafe(F.col("_n_id")) & (F.col("_m_hash") == F.col("_n_hash"))
-    return rows.join(gone, here, "left_anti").dropDuplicates(["_m_id", "_m_hash", text_col]).drop("_m_id", "_m_hash")
+    rows = docs.withColumns({f"{p}_id": F.col(f"`{id_col}`").cast("bigint"), f"{p}_hash": F.xxhash64(text)})
+    here = F.col(f"{p}_id").eqNullSafe(F.col(f"{p}_n")) & (F.col(f"{p}_hash") == F.col(f"{p}_o"))
+    return rows.join(gone, here, "left_anti").dropDuplicates([f"{p}_id", f"{p}_hash", text_col]).drop(f"{p}_id", f"{p}_hash")
 
 
 @register("op3_minhash_dedup")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import WORD, table
+from riskframe.llm.common import WORD, table, unused
 from riskframe.llm.common import sized as small
 from riskframe.llm.registry import register
 from riskframe.operators.ordering import prefix_sums, row_index
@@ -109,27 +109,28 @@ def mix(
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixed corpus: each row as often as the mix takes it, rows that it doesn't take left out. Rows without words
     weigh nothing and stay as they are."""
+    p = unused(docs, "_m")
     plan = mix(docs, id_col, text_col, source_col, **options)
     times = F.when(F.col("size") == 0, 1).otherwise((F.col("taken") / F.col("size")).cast("int"))
-    key = [F.col(c).alias(f"_m_{c}") for c in ("doc_id", "source", "text_hash")]
-    plan = plan.withColumn("_m_t", times).groupBy(*key).agg(
-        F.min("_m_t").alias("_m_low"), F.max("_m_t").alias("_m_high"), F.sum("_m_t").alias("_m_all"), F.count(F.lit(1)).alias("_m_n")
+    key = [F.col(c).alias(f"{p}_{c}") for c in ("doc_id", "source", "text_hash")]
+    plan = plan.withColumn(f"{p}_t", times).groupBy(*key).agg(
+        F.min(f"{p}_t").alias(f"{p}_low"), F.max(f"{p}_t").alias(f"{p}_high"), F.sum(f"{p}_t").alias(f"{p}_all"), F.count(F.lit(1)).alias(f"{p}_n")
     )
-    plan = materialize(plan.where(F.col("_m_high") > 0), "mix-plan")
-    here = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_m_doc_id")) & F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col("_m_source"))
-    here = here & (hashed(text_col) == F.col("_m_text_hash"))
-    even = F.col("_m_low") == F.col("_m_high")
-    rows = docs.join(plan.where(even), here).withColumn("_m_times", F.col("_m_low"))
+    plan = materialize(plan.where(F.col(f"{p}_high") > 0), "mix-plan")
+    here = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col(f"{p}_doc_id")) & F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col(f"{p}_source"))
+    here = here & (hashed(text_col) == F.col(f"{p}_text_hash"))
+    even = F.col(f"{p}_low") == F.col(f"{p}_high")
+    rows = docs.join(plan.where(even), here).withColumn(f"{p}_times", F.col(f"{p}_low"))
     # A queue's cut is one place, so of each source at most one key has rows on both sides of it. Only its rows are numbered:
     # the first ones are taken once more.
     uneven = small(plan.where(~even), "mix-uneven")
     if not uneven.isEmpty():
-        split = row_index(docs.join(uneven, here), ["_m_doc_id", "_m_text_hash", F.rand(7)], ["_m_source"], "_m_row")
-        more = F.col("_m_row") <= F.col("_m_all") - F.col("_m_low") * F.col("_m_n")
-        split = split.withColumn("_m_times", F.col("_m_low") + F.when(more, 1).otherwise(0)).drop("_m_row")
-        rows = rows.unionByName(split.where(F.col("_m_times") > 0))
-    rows = rows.drop(*[c for c in rows.columns if c.startswith("_m_") and c != "_m_times"])
-    return rows.withColumn("_m_no", F.explode(F.sequence(F.lit(1), F.col("_m_times")))).drop("_m_no", "_m_times")
+        split = row_index(docs.join(uneven, here), [f"{p}_doc_id", f"{p}_text_hash", F.rand(7)], [f"{p}_source"], f"{p}_row")
+        more = F.col(f"{p}_row") <= F.col(f"{p}_all") - F.col(f"{p}_low") * F.col(f"{p}_n")
+        split = split.withColumn(f"{p}_times", F.col(f"{p}_low") + F.when(more, 1).otherwise(0)).drop(f"{p}_row")
+        rows = rows.unionByName(split.where(F.col(f"{p}_times") > 0))
+    rows = rows.drop(*[c for c in rows.columns if c.startswith(f"{p}_") and c != f"{p}_times"])
+    return rows.withColumn(f"{p}_no", F.explode(F.sequence(F.lit(1), F.col(f"{p}_times")))).drop(f"{p}_no", f"{p}_times")
 
 
 @register(

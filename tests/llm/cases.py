@@ -20,7 +20,7 @@ ROWS = [
     (10, "don't stop 日本語 \U0001f600  <|endoftext|> x", "de", "a"),
 ]
 #: Names that operators use inside.
-CLASHING = ["h", "sha", "norm", "k", "k1", "node", "size", "id", "toxic", "no", "start", "value", "shard", "slot", "fp", "n", "raw", "part", "keep_id", "score", "_p"]
+CLASHING = ["h", "sha", "norm", "k", "k1", "node", "size", "id", "toxic", "no", "start", "value", "shard", "slot", "fp", "n", "raw", "part", "keep_id", "score", "_p", "_lid", "_m_id", "_m_times", "_d_id", "_d_sha", "tree", "place", "seen", "term"]
 
 
 def docs(spark, rows=None):

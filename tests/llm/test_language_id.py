@@ -76,3 +76,11 @@ def test_without_labels_documents_with_letters_stay(spark):
     df = docs(spark, [(1, "a text", None, "a"), (2, None, None, "a"), (3, "12 ?!", None, "a"), (4, "日本", None, "a")])
     got = op.keep_known(df)
     assert got.columns == df.columns and sorted(r["doc_id"] for r in got.collect()) == [1, 4]
+
+
+def test_wanted_languages_and_least_score(spark):
+    df = docs(spark)
+    scored = {r["doc_id"]: r for r in op.identify(df).collect()}
+    for languages, least in ((None, 0.0), (None, 0.4), (["de"], 0.0), (["en"], 0.4), ([], 0.0), (None, 1.1)):
+        kept = {r["doc_id"] for r in op.keep_known(df, languages=languages, least=least).collect()}
+        assert kept == {i for i, r in scored.items() if r["lang_pred"] != op.UND and r["score"] >= least and (languages is None or r["lang_pred"] in languages)}
