@@ -9,8 +9,8 @@ from riskframe.session import materialize
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents to which language ID (2) gives one of the learned languages; null texts and texts without a
-    letter (``und``) go."""
+    """Keeps the documents to which language ID (2) gives one of the learned languages with a score of ``language_id.LEAST``
+    or more; null texts and texts without a letter (``und``) go."""
     return language_id.keep_known(docs)
 
 
@@ -25,12 +25,12 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix (4) takes it."""
+    """Each document as often as the mix (4) takes it; null and empty texts, which have no words, stay as they are."""
     return mixing.apply_mix(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids (5) of each row, with their digests."""
+    """Token ids (5) of each row, with their digests; a null text is an empty one, without ids."""
     return bpe.round_trip(docs)
 
 
