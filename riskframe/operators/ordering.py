@@ -67,9 +67,15 @@ def row_index(
     before = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_rf_off", F.coalesce(F.sum("_rf_n").over(before), F.lit(0)))
     stats = stats.select(_PID, *by, "_rf_first", "_rf_off")
-    out = s.join(stats if by else F.broadcast(stats), [_PID, *by])
+    # Null is a group like any other.
+    theirs = {c: f"_rf_b{i}" for i, c in enumerate(by)}
+    here = F.col(_PID) == F.col("_rf_p")
+    for c, t in theirs.items():
+        here = here & F.col(c).eqNullSafe(F.col(t))
+    stats = stats.withColumnsRenamed({_PID: "_rf_p", **theirs})
+    out = s.join(stats if by else F.broadcast(stats), here)
     return out.withColumn(name, F.col(_MID) - F.col("_rf_first") + F.col("_rf_off") + 1).drop(
-        _PID, _MID, "_rf_first", "_rf_off"
+        _PID, _MID, "_rf_p", "_rf_first", "_rf_off", *theirs.values()
     )
 
 

@@ -76,3 +76,9 @@ def test_bootstrap_reaches_every_row_of_a_huge_class(spark):
     picks = spark.range(4000).select(sampling.bootstrap_pick(F.lit(0), F.col("id"), F.lit(size)).alias("i"))
     lo, hi, over = picks.agg(F.min("i"), F.max("i"), F.count(F.when(F.col("i") > 2**32, 1))).first()
     assert 1 <= lo <= hi <= size and 1500 < over < 2500
+
+
+def test_null_groups_are_numbered_too(spark):
+    df = spark.createDataFrame([(None, i) for i in range(30)] + [("a", i) for i in range(20)], "g string, x int")
+    got = sorted((r.g or "", r.x, r.ROW_IDX) for r in row_index(df, ["x"], by=["g"], partitions=4).collect())
+    assert got == sorted([("", i, i + 1) for i in range(30)] + [("a", i, i + 1) for i in range(20)])
