@@ -80,5 +80,5 @@ def test_bootstrap_reaches_every_row_of_a_huge_class(spark):
 
 def test_null_groups_are_numbered_too(spark):
     df = spark.createDataFrame([(None, i) for i in range(30)] + [("a", i) for i in range(20)], "g string, x int")
-    got = sorted((r.g or "", r.x, r.ROW_IDX) for r in row_index(df, ["x"], by=["g"], partitions=4).collect())
+    got = sorted((r.g or "", r.x, r.ROW_IDX) for r in ordering.row_index(df, ["x"], by=["g"], partitions=4).collect())
     assert got == sorted([("", i, i + 1) for i in range(30)] + [("a", i, i + 1) for i in range(20)])
