@@ -52,6 +52,8 @@ LIFT = 8
 DECAY, REACH, STRETCH, CUT = 0.7, 7, 32, 0.3
 #: Units that a worker keeps the value of.
 KEPT = 700_000
+#: Units that are valued together.
+CELLS = 512
 SYMBOLS = 64
 #: Characters whose runs are valued together, and by which parts of a longer text overlap.
 LOT, LAP = 100_000, 400
@@ -90,14 +92,35 @@ def spelled(words: list[str]) -> list[str]:
     return out
 
 
-def stretches(unit: str) -> list[np.ndarray]:
+class _Codes(dict):
+    """For ``str.translate``: the character with the code of another one."""
+
+    def __missing__(self, o: int) -> str:
+        c = self[o] = chr(code(chr(o)))
+        return c
+
+
+_CODES = _Codes()
+
+
+def coded_letters(unit: str) -> bytes:
+    """One byte for each letter, its code."""
+    return unit.translate(_CODES).encode("latin-1")
+
+
+def cut(unit: str) -> list[bytes]:
     """Codes of a unit with its marks, in overlapping stretches of at most ``STRETCH``."""
-    c = np.array([START, *map(code, unit), END])
+    c = b"%c%b%c" % (START, coded_letters(unit), END)
     if len(c) <= STRETCH:
         return [c]
     return [c[i : i + STRETCH] for i in range(0, len(c) - STRETCH // 2, STRETCH // 2)]
 
 
+def stretches(unit: str) -> list[np.ndarray]:
+    """``cut`` as numbers."""
+    return [np.frombuffer(c, np.uint8).astype(np.int64) for c in cut(unit)]
+
+
 class Triples:
     """Places (i, j, k) and weights of the three-character subsequences of a stretch, by its length."""
 
@@ -137,20 +160,21 @@ class Machine:
         out = np.full(len(units), -np.inf)
         by_length: dict[int, tuple[list, list]] = {}
         for at, u in enumerate(units):
-            for c in stretches(u):
+            for c in cut(u):
                 own = by_length.setdefault(len(c), ([], []))
                 own[0].append(at)
                 own[1].append(c)
-        for at, codes in by_length.values():
-            for s in range(0, len(at), 20_000):
-                number, weight = features(np.array(codes[s : s + 20_000]), self.triples)
-                np.maximum.at(out, at[s : s + 20_000], self.w[number] @ weight + self.b)
+        for n, (at, codes) in by_length.items():
+            for s in range(0, len(at), CELLS):
+                some = np.frombuffer(b"".join(codes[s : s + CELLS]), np.uint8).reshape(-1, n).astype(np.intp)
+                number, weight = features(some, self.triples)
+                np.maximum.at(out, at[s : s + CELLS], self.w[number] @ weight + self.b)
         return out
 
     def coded(self, word: str) -> bytes:
         """Codes of a lower-case word and END, or nothing for one without letters; START where it ends a sentence."""
         unit = plain(word)
-        return bytes([*map(code, unit), END]) * bool(unit) + bytes([START]) * (word[-1] in ".!?")
+        return (b"%b%c" % (coded_letters(unit), END) if unit else b"") + bytes([START]) * (word[-1] in ".!?")
 
     def runs(self, texts: list[str]) -> Runs:
         """Values of the runs of the texts' sentences."""
@@ -172,26 +196,37 @@ class Machine:
             bound.append(n)
         return Runs(self, np.frombuffer(b"".join(lines), np.uint8), np.cumsum(bound))
 
-    def strongest(self, text: str | None) -> tuple[float, float]:
-        """The largest value of a text's words, and the sum of the positive ones (each once)."""
-        words = set((low := (text or "").lower().split()))
-        more = spelled(low) if sum(map((1).__eq__, map(len, low))) > 2 else ()
-        missing = [x for x in words.union(more) if x not in self.known]
-        if missing:
-            if len(self.known) + len(missing) > KEPT:
-                self.known = {}
-                missing = list(words.union(more))
-            units = [plain(x) for x in missing]
-            some = [(x, u) for x, u in zip(missing, units) if len(u) > 1]
-            self.known.update(dict.fromkeys(missing, -9.0))
-            self.known.update(zip([x for x, _ in some], self.values([u for _, u in some]).tolist()))
-        got = [self.known[x] for x in words]
-        got += [self.known[x] for x in more]
-        return max(got, default=-9.0), sum(v for v in got if v > 0)
+    def learn(self, words: set[str]) -> None:
+        """Values of the words that aren't known yet, all at once; ``KEPT`` are kept at most, but for those asked for."""
+        missing = [x for x in words if x not in self.known]
+        if not missing:
+            return
+        if len(self.known) + len(missing) > KEPT:
+            self.known, missing = {}, list(words)
+        units = [plain(x) for x in missing]
+        some = [(x, u) for x, u in zip(missing, units) if len(u) > 1]
+        self.known.update(dict.fromkeys(missing, -9.0))
+        self.known.update(zip([x for x, _ in some], self.values([u for _, u in some]).tolist()))
+
+    def strongest(self, texts: list[str | None]) -> list[tuple[float, float]]:
+        """For each text the largest value of its words, and the sum of the positive ones (each once)."""
+        out = []
+        for a, b in slices([t or "" for t in texts], LOT):
+            units = []
+            for t in texts[a:b]:
+                low = (t or "").lower().split()
+                more = spelled(low) if sum(map((1).__eq__, map(len, low))) > 2 else ()
+                units.append((set(low), more))
+            self.learn(set().union(*(w for w, _ in units), *(m for _, m in units)))
+            for words, more in units:
+                got = [self.known[x] for x in words]
+                got += [self.known[x] for x in more]
+                out.append((max(got, default=-9.0), sum([v for v in got if v > 0])))
+        return out
 
     def signs(self, texts: list[str | None]) -> np.ndarray:
         """For each text the largest value of its words and runs, and the sum of the positive ones (each once)."""
-        out = np.array([self.strongest(t) for t in texts], dtype=float).reshape(-1, 2)
+        out = np.array(self.strongest(texts), dtype=float).reshape(-1, 2)
         pieces = [(i, p) for i, t in enumerate(texts) for p in parts(t or "")]
         seen: set[tuple[int, bytes]] = set()
         for a, b in slices([p for _, p in pieces], LOT):
@@ -583,9 +618,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     total = max(1, sum(counts.values()))
     rates = (counts.get(1, 0) / total, counts.get(0, 0) / total)
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id")
-    # At most ``sample`` ids of each class.
-    ids = marked.withColumn("no", F.row_number().over(order)).where(F.col("no") <= sample).select("id", "toxic")
+    # At most ``sample`` ids of each class: first of each class and part, then of the class (parts times sample rows).
+    ids = marked.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64)))
+    for by in (["toxic", "part"], ["toxic"]):
+        order = Window.partitionBy(*by).orderBy(F.xxhash64("id"), "id")
+        ids = ids.withColumn("no", F.row_number().over(order)).where(F.col("no") <= sample).drop("no")
+    ids = ids.select("id", "toxic")
     texts = docs.select(ident.alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     got = texts.join(sized(ids, "toxicity-sample"), "id").select("id", "toxic", "text").sort("id", "text").collect()
     return fit([r["text"] for r in got], np.array([r["toxic"] == 1 for r in got], dtype=bool), rates)

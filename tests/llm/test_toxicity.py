@@ -102,7 +102,7 @@ def test_runs_have_the_values_of_their_joined_words():
         units = sorted({u for s in op.worded(t) for u in op.neighbours(s)})
         assert np.isclose(got, m.values(units).max() if units else -9.0, atol=1e-4)
     long = "some words here. " * 10_000 + "st up id"
-    assert len(list(op.parts(long))) > 1 and np.isclose(m.signs([long])[0, 0], max(m.strongest(long)[0], m.runs([long]).by_text()[0]), atol=1e-4)
+    assert len(list(op.parts(long))) > 1 and np.isclose(m.signs([long])[0, 0], max(m.strongest([long])[0][0], m.runs([long]).by_text()[0]), atol=1e-4)
 
 
 def test_gapped_insults_and_combinations():
