@@ -8,7 +8,7 @@ go through a second query that contracts all occurrences of the word's minimum-r
 round, so a piece of n bytes doesn't take n rounds. A piece that is a token itself needs no row. Decoding joins the ids
 with the vocabulary and concatenates by an ordered aggregation.
 
-Memory is bounded: texts pass in slices of about 4 million characters, pieces in lots of 20,000, the ids that a worker
+Memory is bounded: texts pass in slices of about a million characters, pieces in lots of 20,000, the ids that a worker
 keeps are limited in number. No shuffle.
 
 Defined results: null text is empty (no ids); null or repeated ids pass through as they are; an empty table gives an
@@ -33,6 +33,8 @@ from riskframe.llm.words import PartCoder, slices
 
 #: Bytes of a piece from which the second query encodes it; pieces of a query.
 LONG, LOT = 64, 20_000
+#: Characters of a slice, parts and pieces that a worker keeps: what stays in a Python worker between tasks.
+CHARS, PARTS, PIECES = 1_000_000, 300_000, 250_000
 
 ENCODE = """
 WITH RECURSIVE t(k, tok, done) AS (
@@ -84,7 +86,7 @@ class Codec:
 
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         self.con.execute("SET preserve_insertion_order = false")
         pairs, ids = [], []
         for token, rank in self.ranks.items():
@@ -98,7 +100,7 @@ class Codec:
         self.load("merges", pair=pa.array(pairs, pa.int64()), id=pa.array(ids, pa.int32()))
         self.load("vocabulary", tok=pa.array(self.ranks.values(), pa.int32()), txt=pa.array(text, pa.string()))
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.encode = PartCoder(pattern, self.pieces)
+        self.encode = PartCoder(pattern, self.pieces, PARTS, PIECES)
 
     def load(self, name: str, **columns: pa.Array) -> None:
         self.con.register("arriving", pa.table(columns))
@@ -156,7 +158,7 @@ def _coded(docs: DataFrame, ranks: tuple[str, str], schema: str, row, id_col: st
         c = codec(*ranks)
         for b in batches:
             ids, texts = b.column(0), b.column(1).to_pylist()
-            for i, j in slices(texts):
+            for i, j in slices(texts, CHARS):
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), *row(c, texts[i:j])], names)
 
     names = [x.split()[0] for x in schema.split(", ")]
