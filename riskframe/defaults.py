@@ -123,6 +123,8 @@ TUNE_SPACE = {
     "maxIter": (100, 500),
 }
 TUNE_TRIALS, TUNE_PARALLEL = 50, 10
+# Of so many trials of a rung one goes on.
+TUNE_KEEP = 4
 # Neighbours of a row of the smaller class that synthetic rows lie between.
 SMOTE_K = 5
 # Columns of small whole numbers (0 to n - 1) of the transactions: hours, and codes that fit 63 bits.

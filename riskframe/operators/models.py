@@ -8,6 +8,7 @@ Leaf counts of the original boosting setup map to depth (31-52 leaves ~ depth 5-
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.defaults import CV_ROUNDS, EARLY_FOLDS, EARLY_PATIENCE, EARLY_START, FOREST_DEPTH, GBT_PARAMS, N_FOLDS, SEED, THRESHOLD_DEFAULT, TUNE_PARALLEL, TUNE_SPACE, TUNE_TRIALS
+from riskframe.defaults import CV_ROUNDS, EARLY_FOLDS, EARLY_PATIENCE, EARLY_START, FOREST_DEPTH, GBT_PARAMS, N_FOLDS, SEED, THRESHOLD_DEFAULT, TUNE_KEEP, TUNE_PARALLEL, TUNE_SPACE, TUNE_TRIALS
 from riskframe.functions.bands import apply_threshold, risk_band_cut
 from riskframe.session import materialize
 
@@ -241,24 +242,45 @@ def random_param_maps(n: int = TUNE_TRIALS, space: Mapping[str, tuple[float, flo
     return maps
 
 
+def rungs_of(maps: Sequence[Mapping], keep: int = TUNE_KEEP) -> list[tuple[int, float]]:
+    """(trials, share of their full rounds) of each rung: one of ``keep`` goes on, until ``keep`` or fewer trials run their
+    full rounds."""
+    sizes = [len(maps)]
+    while sizes[-1] > keep:
+        sizes.append(math.ceil(sizes[-1] / keep))
+    return [(n, keep ** (i - len(sizes) + 1)) for i, n in enumerate(sizes)]
+
+
 def tune(train: DataFrame, valid: DataFrame, features: Sequence[str], maps: Sequence[Mapping] | None = None, label: str = "LABEL",
-         key: str = KEY, parallelism: int = TUNE_PARALLEL) -> DataFrame:
-    """K7: fit one model per parameter map (the full search by default), ``parallelism`` fits at a time, validation F1 at
-    0.5 as objective. Rows (TRIAL, PARAMS json, OBJECTIVE)."""
+         key: str = KEY, parallelism: int = TUNE_PARALLEL, keep: int = TUNE_KEEP) -> DataFrame:
+    """K7: all drawn settings (the full search by default) start with a share of their rounds; on each rung one of ``keep``
+    goes on (the best by validation F1 at 0.5, the first of equals) with ``keep`` times the rounds, the last ones with all of
+    them. ``parallelism`` fits at a time. Rows (TRIAL, RUNG, ROUNDS, PARAMS json, OBJECTIVE, GOES_ON), one for each trial and
+    rung that it reached; the last rung's GOES_ON is the winner.
+
+    A model of a later rung begins with the trees of the earlier one (a round's chance comes from the seed and its number),
+    so a setting is judged by the beginning of its own full model."""
     import json
     from concurrent.futures import ThreadPoolExecutor
 
     maps = random_param_maps() if maps is None else maps
+    full = [int({**GBT_PARAMS, **m}["maxIter"]) for m in maps]
     w = with_class_weight(train, label)
 
-    def run(i_m):
-        i, m = i_m
-        model = fit(w, features, gbt(m, label))
-        return (i, json.dumps(m, sort_keys=True), f1_at(score(model, valid, key, keep=[label]), label)["f1"])
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        rows = list(ex.map(run, list(enumerate(maps))))
-    return train.sparkSession.createDataFrame(rows, "TRIAL int, PARAMS string, OBJECTIVE double")
+    def run(trial: int, rounds: int) -> float:
+        return f1_at(score(fit(w, features, gbt({**maps[trial], "maxIter": rounds}, label)), valid, key, keep=[label]), label)["f1"]
+
+    rows, alive = [], list(range(len(maps)))
+    plan = rungs_of(maps, keep)
+    for rung, (n, part) in enumerate(plan):
+        rounds = [max(1, round(full[t] * part)) for t in alive]
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+            got = dict(zip(alive, ex.map(run, alive, rounds)))
+        after = plan[rung + 1][0] if rung + 1 < len(plan) else 1
+        on = sorted(alive, key=lambda t: (-got[t], t))[:after]
+        rows += [(t, rung, r, json.dumps(maps[t], sort_keys=True), got[t], t in on) for t, r in zip(alive, rounds)]
+        alive = sorted(on)
+    return train.sparkSession.createDataFrame(rows, "TRIAL int, RUNG int, ROUNDS int, PARAMS string, OBJECTIVE double, GOES_ON boolean")
 
 
 def save_load(model: PipelineModel, path: str) -> PipelineModel:

@@ -27,7 +27,7 @@ from riskframe.sources.fixtures import FIXTURE_CUTS, FIXTURE_TODAY, with_views
 
 KEY = "ACCT_NBR"
 #: Boosting rounds and search trials of these queries (the library's defaults: GBT_PARAMS, CV_ROUNDS, TUNE_TRIALS).
-ROUNDS, TRIALS = 10, 3
+ROUNDS, TRIALS = 10, 5
 #: Depth of the forests of these queries (the library's default is FOREST_DEPTH).
 FOREST_CUT = 8
 _BANDS = list(features.BAND_COUNT_COLS + features.BAND_RATIO_COLS)
@@ -210,21 +210,37 @@ def cross_validate(spark, sf):
     return rounded(j.select("FOLD", "ROWS", "POSITIVES", "WEIGHT", (same[0] & same[1] & same[2] & _rate("F1") & F.lit(once)).alias("METRICS_OK")))
 
 
-#: The full space but for depth and rounds, which are bounded by ``ROUNDS`` here.
-_SPACE = {**TUNE_SPACE, "maxDepth": (3, 5), "maxIter": (5, ROUNDS)}
+#: The full space but for the rounds, which are bounded by ``ROUNDS`` here.
+_SPACE = {**TUNE_SPACE, "maxIter": (5, ROUNDS)}
+#: Who goes on from a rung, from the trials' objectives alone.
+GOES_ON_SQL = """
+WITH n AS (SELECT RUNG, count(*) AS trials FROM {trials} GROUP BY RUNG),
+ a AS (SELECT n.RUNG, coalesce(m.trials, 1) AS after FROM n LEFT JOIN n m ON m.RUNG = n.RUNG + 1)
+SELECT t.TRIAL, t.RUNG, row_number() OVER (PARTITION BY t.RUNG ORDER BY t.OBJECTIVE DESC, t.TRIAL) <= a.after AS AGAIN
+FROM {trials} t JOIN a ON a.RUNG = t.RUNG
+"""
 
 
-@register("tune", f"SELECT CAST(t AS INT) AS TRIAL, TRUE AS PARAMS_OK, TRUE AS OBJECTIVE_OK FROM range({TRIALS}) v(t)")
+@register("tune", f"SELECT CAST(t AS INT) AS TRIAL, TRUE AS PARAMS_OK, TRUE AS OBJECTIVE_OK, TRUE AS RUNGS_OK FROM range({TRIALS}) v(t)")
 def tune(spark, sf):
-    """K7: seeded random search over step size, row and column sampling, depth and rounds; validation F1 as objective.
-    Cut: ``TRIALS`` trials, depth 3 to 5, 5 to ``ROUNDS`` rounds."""
+    """K7: seeded search over step size, row and column sampling, depth and rounds in rungs; validation F1 as objective.
+    RUNGS_OK: who goes on, and who has a row on the next rung, is what SQL finds in the objectives.
+    Cut: ``TRIALS`` trials, 5 to ``ROUNDS`` rounds."""
     ml, feats = _ml_table(spark, sf, "WAY")
     maps = models.random_param_maps(TRIALS, _SPACE)
     got = models.tune(ml.where("WAY = 'train'"), ml.where("WAY = 'validation'"), feats, maps, parallelism=2)
     inside = F.lit(True)
     for name, (lo, hi) in _SPACE.items():
         inside = inside & F.get_json_object("PARAMS", f"$.{name}").cast("double").between(lo, hi)
-    return got.select("TRIAL", inside.alias("PARAMS_OK"), _rate("OBJECTIVE").alias("OBJECTIVE_OK"))
+    again = spark.sql(GOES_ON_SQL, trials=got)
+    last = got.groupBy("TRIAL").agg(F.max("RUNG").alias("LAST"))
+    rungs = got.join(again, ["TRIAL", "RUNG"]).join(last, "TRIAL")
+    reached = (F.col("LAST") > F.col("RUNG")) | (F.col("RUNG") == F.lit(len(models.rungs_of(maps)) - 1))
+    return rungs.groupBy("TRIAL").agg(
+        F.bool_and(inside).alias("PARAMS_OK"),
+        F.bool_and(_rate("OBJECTIVE")).alias("OBJECTIVE_OK"),
+        F.bool_and((F.col("GOES_ON") == F.col("AGAIN")) & (~F.col("GOES_ON") | reached)).alias("RUNGS_OK"),
+    )
 
 
 _TRIALS_SQL = (

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import metrics, models
-from riskframe.plans.model_queries import CHOSEN_SQL
+from riskframe.plans.model_queries import CHOSEN_SQL, GOES_ON_SQL
 
 from .conftest import SF_SMALL
 
@@ -92,3 +92,27 @@ def test_search_draws_from_the_full_space():
     for m in maps:
         assert set(m) == set(TUNE_SPACE) and isinstance(m["maxDepth"], int) and isinstance(m["featureSubsetStrategy"], str)
         assert all(lo <= float(m[k]) <= hi for k, (lo, hi) in TUNE_SPACE.items())
+
+
+def test_rungs_halve_the_trials_up_to_the_full_rounds():
+    plan = models.rungs_of([{}] * 50)
+    assert [n for n, _ in plan] == [50, 13, 4] and [p for _, p in plan] == [1 / 16, 1 / 4, 1]
+    assert models.rungs_of([{}] * 3) == [(3, 1)] and models.rungs_of([{}]) == [(1, 1)]
+
+
+def test_search_in_rungs(spark, planted):
+    """Nine settings, most of them too weak to learn; who goes on follows from the objectives, also by SQL."""
+    maps = [{"maxIter": 4, "stepSize": 0.5, "maxDepth": d, "subsamplingRate": 1.0} for d in (1, 1, 2, 3, 1, 1, 2, 1, 3)]
+    noisy = planted.withColumn("LABEL", ((F.col("x1") > 0.5) & (F.col("x2") > 0.4)).cast("int"))
+    train, valid = noisy.where("ACCT_NBR % 4 <> 0"), noisy.where("ACCT_NBR % 4 = 0")
+    got = models.tune(train, valid, ["x1", "x2"], maps, parallelism=2, keep=3)
+    rows = got.collect()
+    assert [(r.RUNG, r.TRIAL) for r in rows if r.RUNG == 0] == [(0, i) for i in range(9)]
+    by_rung = {k: [r for r in rows if r.RUNG == k] for k in range(2)}
+    assert [len(v) for v in by_rung.values()] == [9, 3] and {r.ROUNDS for r in by_rung[0]} == {1} and {r.ROUNDS for r in by_rung[1]} == {4}
+    assert {r.TRIAL for r in by_rung[0] if r.GOES_ON} == {r.TRIAL for r in by_rung[1]} <= {2, 3, 6, 8}
+    assert sum(r.GOES_ON for r in by_rung[1]) == 1
+    con = duckdb.connect()
+    con.register("trials", got.toPandas())
+    again = {(t, k): on for t, k, on in con.execute(GOES_ON_SQL.format(trials="trials")).fetchall()}
+    assert all(again[r.TRIAL, r.RUNG] == r.GOES_ON for r in rows)
