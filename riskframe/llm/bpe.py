@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding by recursive DuckDB queries, one database per Python worker.
 
-Every task cuts its texts into the pieces of the public pattern and gives the pieces that its worker hasn't met to
+Every task cuts its texts into the pieces of the public pattern and gives the pieces that it hasn't met to
 DuckDB as token-position rows, one row for each byte. The recursive query joins neighbouring tokens with the merge table
 (every pair of tokens whose concatenation is a token), takes each word's pair of minimum rank, the leftmost of equals,
 contracts it, and goes on with the words that changed, until no word has a pair left. Pieces of more than ``LONG`` bytes
@@ -8,7 +8,7 @@ go through a second query that contracts all occurrences of the word's minimum-r
 round, so a piece of n bytes doesn't take n rounds. A piece that is a token itself needs no row. Decoding joins the ids
 with the vocabulary and concatenates by an ordered aggregation.
 
-Memory is bounded: texts pass in slices of about a million characters, pieces in lots of 20,000, the ids that a worker
+Memory is bounded: texts pass in slices of about a million characters, pieces in lots of 20,000, the ids that a task
 keeps are limited in number. No shuffle.
 
 Defined results: null text is empty (no ids); null or repeated ids pass through as they are; an empty table gives an
@@ -33,7 +33,7 @@ from riskframe.llm.words import PartCoder, slices
 
 #: Bytes of a piece from which the second query encodes it; pieces of a query.
 LONG, LOT = 64, 20_000
-#: Characters of a slice, parts and pieces that a worker keeps: what stays in a Python worker between tasks.
+#: Characters of a slice, parts and pieces that a task keeps.
 CHARS, PARTS, PIECES = 1_000_000, 300_000, 250_000
 
 ENCODE = """
@@ -156,10 +156,13 @@ def public_ranks(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
 def _coded(docs: DataFrame, ranks: tuple[str, str], schema: str, row, id_col: str, text_col: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(*ranks)
-        for b in batches:
-            ids, texts = b.column(0), b.column(1).to_pylist()
-            for i, j in slices(texts, CHARS):
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), *row(c, texts[i:j])], names)
+        try:
+            for b in batches:
+                ids, texts = b.column(0), b.column(1).to_pylist()
+                for i, j in slices(texts, CHARS):
+                    yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), *row(c, texts[i:j])], names)
+        finally:
+            c.encode.forget()
 
     names = [x.split()[0] for x in schema.split(", ")]
     return id_text(docs, id_col, text_col).mapInArrow(task, schema)

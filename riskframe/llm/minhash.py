@@ -46,8 +46,8 @@ from riskframe.session import materialize
 
 ROWS = 8
 MISS = 1e-6
-#: Elements of the sets that are sketched together.
-LOT = 400_000
+#: Elements of the sets that are sketched together; hashes of words that a task keeps.
+LOT, KEPT = 300_000, 200_000
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -81,7 +81,7 @@ def sketched(docs: DataFrame, words: int, t: int, rows: int, id_col: str = "doc_
     """doc_id, n_shingles, node (digest of the set; null: none), bands (array of hashes), text_hash."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = WordHashes(KEPT)
         for b in batches:
             column = b.column(1)
             start = 0
@@ -116,7 +116,7 @@ def full_sets(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str
     """node, elements: the sorted shingle hashes of every text that has any."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = WordHashes(KEPT)
         for b in batches:
             for start in range(0, len(b), 500):
                 sets = [shingle_set(t.as_py(), words, known) for t in b.column(1).slice(start, 500)]

@@ -13,10 +13,14 @@ _KEPT = 1_000_000
 
 
 class WordHashes(dict):
-    """64-bit hash of a word (bytes); at most ``_KEPT`` are kept between documents."""
+    """64-bit hash of a word (bytes); at most ``kept`` are kept between documents."""
+
+    def __init__(self, kept: int = _KEPT):
+        super().__init__()
+        self.kept = kept
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KEPT:
+        if len(self) >= self.kept:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h

@@ -31,6 +31,10 @@ class PartCoder:
         self.first: dict[str, bytes | None] = {}
         self.later: dict[str, bytes | None] = {}
 
+    def forget(self) -> None:
+        """Drops what is kept, so that a worker holds nothing of a task that has ended."""
+        self.pieces, self.first, self.later = {}, {}, {}
+
     def learn(self, first: set[str], later: set[str]) -> None:
         """Ids of parts not met before; None for a part that starts or ends in white space (the cut isn't safe there)."""
         if len(self.first) + len(self.later) > self.max_parts:
