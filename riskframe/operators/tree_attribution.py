@@ -15,9 +15,11 @@ The contributions of a row and ``base`` (the model's mean by cover) add up to th
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 
 from pyspark.ml import PipelineModel
@@ -29,8 +31,8 @@ from riskframe.operators.attribution import top_attributions
 from riskframe.session import scratch_path
 
 KEY = "ACCT_NBR"
-#: Features of one path: its table has two to this power entries. Paths that one projection adds up.
-LONGEST, LOT = 12, 400
+#: Features of one path: its table has two to this power entries.
+LONGEST = 12
 _INF = float("inf")
 
 
@@ -98,17 +100,9 @@ def paths_of(model: PipelineModel, features: Sequence[str], spark: SparkSession)
     return paths
 
 
-def _total(terms: list[Column]) -> Column:
-    """The sum as a balanced tree (a long chain would be a deep expression)."""
-    while len(terms) > 1:
-        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
-    return terms[0]
-
-
-def _holds(feature: str, above: float, upto: float) -> Column:
-    x = F.col(feature).cast("double")
-    parts = ([x > F.lit(above)] if above > -_INF else []) + ([x <= F.lit(upto)] if upto < _INF else [])
-    return parts[0] if len(parts) == 1 else parts[0] & parts[1]
+def _constant(value, schema: str) -> Column:
+    """A constant of a nested type; the optimizer reads the text once."""
+    return F.from_json(F.lit(json.dumps({"v": value})), f"v {schema}")["v"]
 
 
 @dataclass(frozen=True)
@@ -131,18 +125,32 @@ class TreeAttribution:
         return spark.createDataFrame(rows, "PATH int, VALUE double, FEATURE string, ABOVE double, UPTO double, SHARE double")
 
     def contributions(self, df: DataFrame, prefix: str = "SHAP_") -> DataFrame:
-        """``df`` with a column ``prefix + feature`` for every feature."""
-        out = df.withColumns({prefix + f: F.lit(0.0) for f in self.features})
+        """``df`` with a column ``prefix + feature`` for every feature. The paths and their tables are constants, walked by
+        array functions: the plan's size doesn't grow with the model."""
+        number = {f: i + 1 for i, f in enumerate(self.features)}
         long = [p for p in self.paths if p.bounds]
-        for lo in range(0, len(long), LOT):
-            masks, terms = {}, {f: [F.col(prefix + f)] for f in self.features}
-            for i, p in enumerate(long[lo : lo + LOT]):
-                masks[f"_rf_p{i}"] = _total([F.when(_holds(f, a, b), 1 << j).otherwise(0) for j, (f, a, b, _) in enumerate(p.bounds)])
-                for (f, *_), values in zip(p.bounds, p.table()):
-                    table = F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")  # folded to a constant
-                    terms[f].append(F.element_at(table, F.col(f"_rf_p{i}") + 1))
-            out = out.withColumns(masks).withColumns({prefix + f: _total(t) for f, t in terms.items() if len(t) > 1}).drop(*masks)
-        return out
+        bounds = [[{"f": number[f], "a": a if a > -_INF else None, "b": b if b < _INF else None, "bit": 1 << j} for j, (f, a, b, _) in enumerate(p.bounds)] for p in long]
+        tables: dict[str, list[dict]] = {f: [] for f in self.features}
+        for i, p in enumerate(long):
+            for (f, *_), values in zip(p.bounds, p.table()):
+                tables[f].append({"p": i + 1, "t": values})
+
+        def bit(c: Column) -> Column:
+            x = F.element_at("_rf_x", c["f"])
+            return F.when(F.coalesce(x > c["a"], F.lit(True)) & F.coalesce(x <= c["b"], F.lit(True)), c["bit"]).otherwise(0)
+
+        def pattern(path: Column) -> Column:
+            return F.aggregate(path, F.lit(0), lambda s, c: s + bit(c))
+
+        def total(f: str) -> Column:
+            if not tables[f]:
+                return F.lit(0.0)
+            refs = _constant(tables[f], "array<struct<p: int, t: array<double>>>")
+            return F.aggregate(refs, F.lit(0.0), lambda s, r: s + F.element_at(r["t"], F.element_at("_rf_p", r["p"]) + 1))
+
+        out = df.withColumn("_rf_x", F.array(*[F.col(f).cast("double") for f in self.features]))
+        out = out.withColumn("_rf_p", F.transform(_constant(bounds, "array<array<struct<f: int, a: double, b: double, bit: int>>>"), pattern))
+        return out.withColumns({prefix + f: total(f) for f in self.features}).drop("_rf_x", "_rf_p")
 
     def mean_abs(self, df: DataFrame) -> DataFrame:
         """(FEATURE, MEAN_ABS) of all features, one aggregate."""
@@ -164,4 +172,4 @@ def raw_prediction(model: PipelineModel, df: DataFrame, name: str = "RAW") -> Da
 
 def unexplained(fitted: TreeAttribution, raw: str = "RAW", prefix: str = "SHAP_") -> Column:
     """How far base plus contributions (columns ``prefix + feature``) are from the raw prediction (column ``raw``)."""
-    return F.abs(F.col(raw) - (F.lit(fitted.base) + _total([F.col(prefix + f) for f in fitted.features])))
+    return F.abs(F.col(raw) - reduce(Column.__add__, [F.col(prefix + f) for f in fitted.features], F.lit(fitted.base)))

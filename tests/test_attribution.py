@@ -57,17 +57,6 @@ def test_equals_the_definition(explained):
         assert [row[f"SHAP_{f}"] for f in FEATURES] == pytest.approx([want[f] for f in FEATURES], abs=1e-12)
 
 
-def test_sums_over_several_projections(explained, monkeypatch):
-    from riskframe.operators import tree_attribution
-
-    df, _, fitted = explained
-    names = [f"SHAP_{f}" for f in FEATURES]
-    want = [list(r) for r in fitted.contributions(df).orderBy("ACCT_NBR").select(names).limit(50).collect()]
-    monkeypatch.setattr(tree_attribution, "LOT", 5)
-    got = [list(r) for r in fitted.contributions(df).orderBy("ACCT_NBR").select(names).limit(50).collect()]
-    assert all(a == pytest.approx(b, abs=1e-12) for a, b in zip(got, want))
-
-
 def test_another_engine_evaluates_the_path_table(spark, explained):
     """The raw prediction and the worth of two sets of known features, from the path table in SQL."""
     df, model, fitted = explained
