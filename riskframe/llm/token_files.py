@@ -40,6 +40,8 @@ from riskframe.session import materialize, scratch_path
 
 MAGIC = b"IDPLANE1"
 BLOCK, LEVEL, END = 65_536, 3, 0
+#: Characters of a slice, parts and pieces that a task keeps.
+CHARS, PARTS, PIECES = 1_000_000, 300_000, 250_000
 
 
 def planes(ids: np.ndarray, bits: int) -> list[bytes]:
@@ -182,7 +184,7 @@ def tokenizer(path: str, pattern: str, added: bool = False) -> Callable[[list[st
             out += [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(pieces[i : i + 10_000], add_special_tokens=False)]
         return out
 
-    coder = PartCoder(pattern, encode)
+    coder = PartCoder(pattern, encode, PARTS, PIECES)
     tokens = {x.content: (i, x) for i, x in t.get_added_tokens_decoder().items()} if added else {}
     if not tokens:
         return coder
@@ -202,6 +204,7 @@ def tokenizer(path: str, pattern: str, added: bool = False) -> Callable[[list[st
         between = iter(coder([x for s in split for x in s[::2]]))
         return [b"".join([ids[x] if n % 2 else next(between) for n, x in enumerate(s)]) for s in split]
 
+    coded.forget = coder.forget
     return coded
 
 
@@ -221,18 +224,21 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: tuple[str, str] | None
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, out, no, n = tokenizer(where, pattern, added), None, 0, 0
         end = struct.pack("<I", END)
-        for b in batches:
-            if not len(b):
-                continue
-            if out is None:
-                no = b.column(2)[0].as_py()
-                name = f"{path}/ids-{no:06d}-{uuid.uuid4().hex[:8]}.bin"
-                out = IdWriter(name, bits)
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for i, j in slices(texts):
-                for doc_id, coded in zip(ids[i:j], coder(texts[i:j]), strict=True):
-                    out.add(doc_id, coded + end)
-            n += len(b)
+        try:
+            for b in batches:
+                if not len(b):
+                    continue
+                if out is None:
+                    no = b.column(2)[0].as_py()
+                    name = f"{path}/ids-{no:06d}-{uuid.uuid4().hex[:8]}.bin"
+                    out = IdWriter(name, bits)
+                ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+                for i, j in slices(texts, CHARS):
+                    for doc_id, coded in zip(ids[i:j], coder(texts[i:j]), strict=True):
+                        out.add(doc_id, coded + end)
+                n += len(b)
+        finally:
+            coder.forget()
         if out is not None:
             out.close()
             columns = {"file": [no], "path": [name], "n_docs": [n], "n_ids": [out.n_ids]}
