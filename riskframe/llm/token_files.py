@@ -41,7 +41,7 @@ from riskframe.session import materialize, scratch_path
 MAGIC = b"IDPLANE1"
 BLOCK, LEVEL, END = 65_536, 3, 0
 #: Characters of a slice, parts and pieces that a task keeps.
-CHARS, PARTS, PIECES = 1_000_000, 300_000, 250_000
+CHARS, PARTS, PIECES = 2_000_000, 400_000, 300_000
 
 
 def planes(ids: np.ndarray, bits: int) -> list[bytes]:
