@@ -27,6 +27,7 @@ from riskframe.defaults import (
     TOP_ATTRIBUTIONS,
 )
 from riskframe.operators import attribution, features, joins, metrics, models, sampling, scoring
+from riskframe.operators.tree_attribution import TreeAttribution
 from riskframe.operators.policy import ColumnPolicy, FittedPolicy, class_flags, in_list
 from riskframe.session import materialize
 from riskframe.sources import files, schemas
@@ -198,9 +199,15 @@ class FraudDetector:
         return {"roc": metrics.roc_points(s), "pr": metrics.pr_points(s), "threshold": evaluation["curve"], "scatter": s.select(KEY, "SCORE", "LABEL")}
 
     def attributions(self, data: DataFrame, k: int = TOP_ATTRIBUTIONS) -> DataFrame:
-        """The k features with the largest mean absolute contribution (linear surrogate, L13)."""
-        fitted = attribution.LinearAttribution.fit(data.where("SPLIT = 'train'"), self.feature_names, "LABEL")
-        return attribution.top_attributions(fitted.mean_abs(data), k)
+        """The k features with the largest mean absolute Shapley value of the trained model."""
+        return attribution.top_attributions(self._explained(data).mean_abs(data), k)
+
+    def attribution_pairs(self, data: DataFrame, k: int = TOP_ATTRIBUTIONS) -> DataFrame:
+        """(account, feature, value, contribution) of these features."""
+        return self._explained(data).dependence(data, k)
+
+    def _explained(self, data: DataFrame) -> TreeAttribution:
+        return TreeAttribution.of(self.model, self.feature_names, data.sparkSession)
 
     def run_pipeline(self, k: int = N_FOLDS) -> dict[str, object]:
         data = self.prepare_data()
