@@ -85,8 +85,9 @@ def _bucket(key: str) -> Column:
 
 
 def _write(df: DataFrame, path: str, key: str) -> None:
-    """One folder for each bucket of the key that occurs, so that a later batch reads back only the buckets it touches."""
-    df.withColumn(BUCKET, _bucket(key)).write.partitionBy(BUCKET).parquet(path)
+    """One folder for each bucket of the key that occurs, so that a later batch reads back only the buckets it touches. A
+    bucket's rows come together first (large ones are split), so there are as many files as the data need."""
+    df.withColumn(BUCKET, _bucket(key)).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
 
 
 def write_batch(changed: DataFrame, sink: str, batch_id: int, key: str = KEY) -> None:
