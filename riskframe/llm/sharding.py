@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import id_text, table
+from riskframe.llm.common import id_text, table, unused
 from riskframe.llm.registry import register
 from riskframe.operators.ordering import row_index
 from riskframe.session import materialize
@@ -92,8 +92,8 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
-def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
+def placed_rows(docs: DataFrame, id_col: str, text_col: str, shards: int) -> DataFrame:
+    """doc_id, size, text_crc32, g, shard, slot (from 1) of every row."""
     spark = docs.sparkSession
     rows = materialize(sized(docs, id_col, text_col), "shard-rows")
     groups = rows.groupBy("g").agg(F.sum("size").alias("total"))
@@ -112,8 +112,12 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return pd.Series(place(j.to_numpy(), size.to_numpy(), np.stack(at.to_numpy())).astype("int32"))
 
     placed = ranked.join(starts, "total").select("g", shard_of(F.col("pos") - F.col("first"), "total", "loads").alias("shard"))
-    out = row_index(rows.join(placed, "g"), ["doc_id", "g"], by=["shard"], name="slot")
-    return out.select(
+    return row_index(rows.join(placed, "g"), ["doc_id", "g"], by=["shard"], name="slot")
+
+
+def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
+    return placed_rows(docs, id_col, text_col, shards).select(
         "doc_id",
         "size",
         "text_crc32",
@@ -125,17 +129,27 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, files_per_shard: int = 8) -> DataFrame:
-    """Writes the rows of ``docs`` below ``path`` as shard=<n> folders of Parquet files and returns the assignment.
-
-    A shard's rows go to ``files_per_shard`` tasks by slot, so no task writes a whole shard."""
-    plan = materialize(assign_shards(docs, id_col, text_col, shards), "shard-plan")
-    by_id = plan.select(F.col("doc_id").alias("_p_id"), F.col("text_crc32").alias("_p_crc"), "shard", "slot").dropDuplicates(["_p_id", "_p_crc"])
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    here = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_p_id")) & (F.crc32(text.cast("binary")) == F.col("_p_crc"))
-    rows = docs.drop("shard", "slot").join(by_id, here).drop("_p_id", "_p_crc")
+    """Writes the rows of ``docs`` below ``path`` as shard=<n> folders of Parquet files, with their slot, and returns the
+    assignment (doc_id, size, text_crc32, shard, slot).
+
+    A row finds its place by id and SHA-256 of its text; rows that share both take the places of their kind in any order.
+    Columns of the input named shard or slot are written as shard_in and slot_in. A shard's rows go to ``files_per_shard``
+    tasks by slot, so no task writes a whole shard."""
+    plan = placed_rows(docs, id_col, text_col, shards).withColumn("slot", F.col("slot") - 1)
+    plan = materialize(plan.select("doc_id", "size", "text_crc32", "g", "shard", "slot"), "shard-plan")
+    docs = docs.withColumnsRenamed({c: f"{c}_in" for c in docs.columns if c.lower() in ("shard", "slot")})
+    p = unused(docs, "_p")
+    kinds = plan.groupBy(F.col("doc_id").alias(f"{p}_id"), F.col("g").alias(f"{p}_g")).agg(F.min("slot").alias(f"{p}_at"), F.count(F.lit(1)).alias(f"{p}_n"), F.min("shard").alias("shard"))
+    sha = F.sha2(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), 256)
+    rows = docs.join(kinds, F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col(f"{p}_id")) & (sha == F.col(f"{p}_g")))
+    one = rows.where(F.col(f"{p}_n") == 1).withColumn(f"{p}_no", F.lit(1).cast("bigint"))
+    more = rows.where(F.col(f"{p}_n") > 1)
+    if not plan.groupBy("doc_id", "g").count().where("count > 1").isEmpty():
+        one = one.unionByName(row_index(more, [F.rand(7)], [f"{p}_id", f"{p}_g"], f"{p}_no").select(one.columns))
+    rows = one.withColumn("slot", F.col(f"{p}_at") + F.col(f"{p}_no") - 1).drop(*[f"{p}_{c}" for c in ("id", "g", "at", "n", "no")])
     lane = F.col("slot") % files_per_shard
     rows.repartition(shards * files_per_shard, "shard", lane).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
-    return plan
+    return plan.drop("g")
 
 
 @register("op6_shard_documents")

@@ -70,3 +70,16 @@ def test_written_shards_hold_every_row(spark, tmp_path):
     plan = op.write_shards(docs(spark, rows).drop("shard", "slot"), str(tmp_path / "out"), shards=4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert rows_of(back, "doc_id", "shard") == rows_of(plan, "doc_id", "shard")
+
+
+def test_written_rows_have_slots_of_their_own(spark, tmp_path):
+    """Repeated rows, null ids, texts of one CRC-32 and columns named shard and slot."""
+    rows = [(None, "plumless", "en", "a"), (None, "buckeroo", "en", "a")] + [(7, "same", None, "s")] * 5 + [(None, "null", None, None)] * 4 + [(i, f"t{i % 3}", None, "s") for i in range(20, 40)]
+    df = docs(spark, rows)
+    plan = op.write_shards(df, str(tmp_path / "out"), shards=3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {"shard_in", "slot_in"} <= set(back.columns) and back.count() == len(rows)
+    assert rows_of(back, "doc_id", "shard", "slot") == rows_of(plan, "doc_id", "shard", "slot")
+    texts = {(r["shard"], r["slot"]): r["text"] for r in back.collect()}
+    assert len(texts) == len(rows) and sorted(map(str, texts.values())) == sorted(str(r[1]) for r in rows)
+    assert len({s for (s, _), t in texts.items() if t == "same"}) == 1
