@@ -88,3 +88,20 @@ def test_mean_and_dependence(explained):
     assert set(means) == set(FEATURES) and means["d"] < means["a"]
     pairs = fitted.dependence(df, 2).collect()
     assert len(pairs) == 1200 and {p.FEATURE for p in pairs} == set(sorted(means, key=means.get)[-2:])
+
+
+def test_nulls_and_nan_and_batches_of_rows(spark, explained):
+    """Contributions are computed on batches of rows, not by functions that walk the paths for each row; a null meets every
+    condition, NaN is above every bound."""
+    df, _, fitted = explained
+    odd = df.withColumn("a", F.when(F.col("ACCT_NBR") % 3 == 0, None).when(F.col("ACCT_NBR") % 3 == 1, F.lit(float("nan"))).otherwise(F.col("a")))
+    rows = fitted.contributions(odd.where("ACCT_NBR < 60"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "aggregate(" not in plan
+    for r in rows.collect():
+        got = {f: 0.0 for f in FEATURES}
+        for p in fitted.paths:
+            held = [r[f] is None or ((r[f] != r[f] or r[f] > lo) and (hi == float("inf") or r[f] <= hi)) for f, lo, hi, _ in p.bounds]
+            for (f, *_), values in zip(p.bounds, p.table()):
+                got[f] += values[sum(h << j for j, h in enumerate(held))]
+        assert [r[f"SHAP_{f}"] for f in FEATURES] == [got[f] for f in FEATURES]
