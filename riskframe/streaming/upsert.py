@@ -12,7 +12,8 @@ are cut into ``BUCKETS`` folders by the key's hash, of which it reads those that
 
 Reading combines the base and the changes of one version: the current table (M1) is the change with the largest row count
 of each account (the count only grows). The risk counts (M2) are in the version itself. ``compact`` folds the changes into
-a new base while the stream runs; readers go on with the version they have.
+a new base while the stream runs; readers go on with the version they have. A micro-batch folds them itself where there are
+``FOLD`` of them, so neither a batch nor a reader meets more tables the longer the stream runs.
 
 Failed rows (null or NaN score) count as processed but are never stored. The key has whatever type the schema gives it.
 """
@@ -32,6 +33,8 @@ LEVELS = ("high", "medium", "low")
 COUNT_NAMES = (*LEVELS, "stored", "flagged", "processed")
 #: Folders that a table is cut into by the key's hash.
 BUCKETS, BUCKET = 16, "rf_bucket"
+#: Change tables that a version may list; a micro-batch that makes as many folds them into a new base.
+FOLD = 8
 
 
 def latest_scored(rows: DataFrame, key: str = KEY) -> DataFrame:
@@ -112,7 +115,8 @@ def write_batch(changed: DataFrame, sink: str, batch_id: int, key: str = KEY) ->
         added = ((batch_id, folder),) if touched else ()  # a batch without rows has no table
         return commits.Version(0, at.base, at.changes + added, batch_id, {n: at.counts.get(n, 0) + delta[n] for n in COUNT_NAMES})
 
-    log.commit(change)
+    if len(log.commit(change).changes) >= FOLD:
+        compact(spark, sink, key)
 
 
 def _stored_schema(df: DataFrame, key: str) -> T.StructType:
@@ -141,9 +145,10 @@ def _state(spark: SparkSession, log: commits.Log, at: commits.Version, key: str
     folders = [log.full(f) for f in at.folders()]
     if not folders:
         return None
-    rows = None
+    rows, schema = None, None
     for f in folders:
-        part = spark.read.parquet(f)
+        part = (spark.read.schema(schema) if schema else spark.read).parquet(f)
+        schema = schema or part.schema  # all tables have the first one's: their files needn't be opened for it
         if buckets is not None:
             part = part.where(F.col(BUCKET).isin(buckets))
         part = part.select(key, "SEQ", "SCORE", "N_ROWS")

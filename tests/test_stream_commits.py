@@ -189,3 +189,18 @@ def test_a_stream_goes_on_after_a_compaction(spark):
     assert table(spark, sink) == scored(state_after(parts))
     assert counts(upsert.latest_counts(spark, sink)) == counts(upsert.recounted(spark, sink))
     assert upsert.current_table(spark, sink).where(F.col("LEVEL").isNull()).count() == 0
+
+
+def test_a_long_stream_lists_few_tables(spark):
+    """As many micro-batches as it takes: a version never lists more than FOLD change tables, counts and rows stay right."""
+    sink = scratch_path(spark, "sink")
+    for i in range(upsert.FOLD + 2):
+        rows = [(k, 10 * i + k, 0.1 * (k + 1) * (i % 2 + 1) / 2, i + 1) for k in range(4)]
+        upsert.write_batch(spark.createDataFrame(rows, "ACCT_NBR bigint, SEQ bigint, SCORE double, N_ROWS bigint"), sink, i)
+        assert len(commits.Log(spark, sink).latest().changes) < upsert.FOLD
+    at = commits.Log(spark, sink).latest()
+    assert at.base and len(at.changes) == 2 and at.last_batch == upsert.FOLD + 1
+    got = {r.ACCT_NBR: (r.SEQ, r.SCORE) for r in upsert.current_table(spark, sink).collect()}
+    assert got == {k: (s, v) for k, s, v, _ in rows}
+    name = lambda df: {r.NAME: r.N for r in df.collect()}
+    assert name(upsert.latest_counts(spark, sink)) == name(upsert.recounted(spark, sink))
