@@ -116,3 +116,16 @@ def test_search_in_rungs(spark, planted):
     con.register("trials", got.toPandas())
     again = {(t, k): on for t, k, on in con.execute(GOES_ON_SQL.format(trials="trials")).fetchall()}
     assert all(again[r.TRIAL, r.RUNG] == r.GOES_ON for r in rows)
+
+
+def test_training_rows_are_spread_by_their_number(spark, monkeypatch):
+    """A learner's partitions hold a bounded number of values, however few files the rows come from."""
+    monkeypatch.setattr(models, "PART_VALUES", 100)
+    df = spark.range(1000, numPartitions=1).select((F.col("id") % 2).cast("int").alias("LABEL"), F.col("id").cast("double").alias("x"))
+    assert models.spread(df, 5).rdd.getNumPartitions() == 50
+    monkeypatch.setattr(models, "PART_VALUES", 10**6)
+    assert models.spread(df, 5).rdd.getNumPartitions() == 1  # a few rows stay as they are
+    seen = []
+    monkeypatch.setattr(models, "spread", lambda train, width: seen.append(width) or train)
+    models.fit(df, ["x"], models.forest(3, 2))
+    assert seen == [4]
