@@ -129,3 +129,14 @@ def test_training_rows_are_spread_by_their_number(spark, monkeypatch):
     monkeypatch.setattr(models, "spread", lambda train, width: seen.append(width) or train)
     models.fit(df, ["x"], models.forest(3, 2))
     assert seen == [4]
+
+
+def test_six_places_are_the_formatters(spark):
+    """The text of assemble_features: as format_string gives it, on odd values and on ties too; whole numbers and numbers of
+    ordinary size don't go through it."""
+    from riskframe.plans.model_queries import _six_places
+
+    odd = [0.0, -0.0, 1.0, -7.0, 0.5, 1e-7, -1e-7, 5e-7, -4.9e-7, 1.0000005, -2.0000015, 0.0009999995, 99999999999.5, 1e11, 1e14 + 0.5, 1e15, 1e300, float("inf"), float("-inf"), float("nan")]
+    d = spark.createDataFrame([(x,) for x in odd], "x double").union(spark.range(2000).select(F.rand(3) * 1e5 - (F.col("id") % 32) / 64))
+    got = d.select("x", _six_places(F.col("x")).alias("a"), F.format_string("%.6f", "x").alias("b"))
+    assert got.where(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
