@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,20 @@ def test_equal_rows_and_few_rows(spark):
     assert neighbours.nearest(df.limit(0), cols, 5, "ACCT_NBR").count() == 0
 
 
+def test_only_the_nearest_of_a_cell_go_on_to_the_ranking():
+    r = np.random.default_rng(5)
+    x = np.round(r.normal(size=(128, 3)), 1)
+    d2 = neighbours.square_distances(x, x)
+    assert d2[7].tolist() == [square(x[7].tolist(), y) for y in x.tolist()]
+    a, b, found = neighbours._first(d2, np.ones(d2.shape, bool), 5)
+    for i in range(128):
+        assert sorted(found[a == i]) == sorted(v for v in d2[i] if v <= sorted(d2[i])[5])
+    assert len(a) < 128 * 10 and (d2[a, b] == found).all()
+    allowed = d2 < 0.2
+    a, b, _ = neighbours._first(d2, allowed, 5)
+    assert allowed[a, b].all() and all((a == i).sum() >= min(6, allowed[i].sum()) for i in range(128))
+
+
 def test_null_and_nan_count_as_zero(spark):
     df = spark.createDataFrame([(1, None, 1.0), (2, float("nan"), 1.0), (3, 0.0, 4.0)], "ACCT_NBR long, c0 double, c1 double")
     assert got(neighbours.nearest(df, ["c0", "c1"], 2, "ACCT_NBR")) == {1: [(0.0, 2), (9.0, 3)], 2: [(0.0, 1), (9.0, 3)], 3: [(9.0, 1), (9.0, 2)]}
