@@ -40,3 +40,24 @@ def test_scan_prunes_columns(spark):
     p = _plan(t)
     # the view's amount reads the part number as well; nothing else is scanned
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_extendedprice:double>" in p
+
+
+def test_equal_rows_meet_before_they_are_compared(spark):
+    """No map task keeps the rows of its split: all aggregates of the deduplication come after its one shuffle."""
+    from riskframe.operators import clean
+
+    df = spark.createDataFrame([(1, 0.0, "a"), (1, -0.0, "a"), (1, float("nan"), None), (1, float("nan"), None), (2, 0.0, "a")], "ACCT_NBR long, X double, C string")
+    out = clean.distinct_rows(df)
+    p = _plan(out)
+    assert p.count("Exchange ") == 1 and "Aggregate" not in p[p.index("Exchange ") :]
+    assert {(r.ACCT_NBR, str(abs(r.X)), r.C) for r in out.collect()} == {(1, "0.0", "a"), (1, "nan", None), (2, "0.0", "a")} and out.count() == 3
+
+
+def test_topk_slots_need_no_table_of_accounts(spark):
+    df = spark.createDataFrame([(1, 5, 3.0), (1, 4, 9.0), (None, 1, 1.0), (2, 1, None), (2, 2, None)], "ACCT_NBR long, TX_DATE int, TX_AMT double")
+    got = features.topk_wide(df, k=2)
+    p = _plan(got)
+    assert "Aggregate" not in p and p.count("Exchange ") == 1
+    rows = {r.ACCT_NBR: tuple(r)[1:] for r in got.collect()}
+    assert got.columns == ["ACCT_NBR", "TX_DATE_1", "TX_AMT_1", "TOP_N_1", "TX_DATE_2", "TX_AMT_2", "TOP_N_2"]
+    assert rows == {1: (4, 9.0, 1, 5, 3.0, 2), None: (1, 1.0, 1, None, None, None), 2: (1, None, 1, 2, None, 2)}
