@@ -12,6 +12,9 @@ the shared folder, under a name of its own that is moved into place when complet
 lists the files of the tasks that succeeded, so a repeated or lost task leaves no trace. A file's base is the sum of the
 ids in the files before it. Reading goes by file, block after block; memory holds one block.
 
+**Encoding.** Texts are cut where the library's pieces surely end; a task gives the library each different part once (up to
+``PARTS`` are kept), those that begin with a blank a thousand at a time as one text.
+
 Defined results: null text is empty (only the end id); documents in ascending id, null ids first, equal ids by text hash;
 an empty table gives no file and an empty result; other columns aren't read. The query reads the strings of the file's
 added tokens in a text as these tokens, like the library's plain call; ``write_tokens`` does so with ``added``.
@@ -19,6 +22,7 @@ added tokens in a text as these tokens, like the library's plain call; ``write_t
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -26,6 +30,8 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate, chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +46,8 @@ from riskframe.session import materialize, scratch_path
 
 MAGIC = b"IDPLANE1"
 BLOCK, LEVEL, END = 65_536, 3, 0
-#: Characters of a slice, parts and pieces that a task keeps.
-CHARS, PARTS, PIECES = 2_000_000, 400_000, 300_000
+#: Characters of a slice, parts and pieces that a task keeps, parts that the library takes at once.
+CHARS, PARTS, PIECES, JOINED = 4_000_000, 400_000, 300_000, 1000
 
 
 def planes(ids: np.ndarray, bits: int) -> list[bytes]:
@@ -168,6 +174,85 @@ class IdReader:
         self.file.close()
 
 
+def _bytes(*ranges: tuple[int, int]) -> np.ndarray:
+    out = np.zeros(256, bool)
+    for a, b in ranges:
+        out[a : b + 1] = True
+    return out
+
+
+#: Bytes of ASCII letters; of signs and digits, but for the apostrophe of "don't"; that surely are, or end, no white space.
+_LETTER = _bytes((0x41, 0x5A), (0x61, 0x7A))
+_SIGN = _bytes((0x21, 0x26), (0x28, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
+_INK = _bytes((0x21, 0x7E), (0x80, 0xFF))
+
+
+def cuts(raw: np.ndarray) -> np.ndarray:
+    """Places of UTF-8 bytes before which a byte-level pattern surely ends a piece: between an ASCII letter and a sign or
+    digit, and before a blank between two characters that aren't white space. White space beyond ASCII begins with C2,
+    E1 9A, E2 80, E2 81 or E3 80; beside characters that do so, also others, there is no cut."""
+    if len(raw) < 2:
+        return np.zeros(0, np.int64)
+    signs = np.flatnonzero(_LETTER[raw[:-1]] & _SIGN[raw[1:]]) + 1
+    at = np.flatnonzero(raw == 0x20)
+    at = at[(at > 0) & (at < len(raw) - 1)]
+    at = at[_INK[raw[at - 1]] & _INK[raw[at + 1]]]
+    doubtful = np.zeros(len(at), bool)
+    wide = np.flatnonzero((raw[at - 1] >= 0x80) | (raw[at + 1] >= 0x80))
+    near = at[wide]
+    two = lambda a, b: (a == 0xE2) & ((b == 0x80) | (b == 0x81)) | (a == 0xE3) & (b == 0x80) | (a == 0xE1) & (b == 0x9A)
+    byte = lambda i: np.where((i >= 0) & (i < len(raw)), raw[np.clip(i, 0, len(raw) - 1)], 0)
+    doubtful[wide] = (byte(near - 2) == 0xC2) | two(byte(near - 3), byte(near - 2)) | (byte(near + 1) == 0xC2) | two(byte(near + 1), byte(near + 2))
+    return np.concatenate([signs, at[~doubtful]])
+
+
+class JoinedCoder:
+    """Ids of texts as little-endian unsigned 32-bit integers. Texts are cut where the library's pieces end (``cuts``); Arrow
+    finds the different parts and puts the ids together. ``joined``: ids of parts that begin with their only blank, ``encode``
+    of any. Up to ``most`` parts are kept."""
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], joined: Callable[[list[str]], list[bytes]], most: int):
+        self.encode, self.joined, self.most = encode, joined, most
+        self.known: dict[str, bytes] = {}
+
+    def forget(self) -> None:
+        self.known = {}
+
+    def learn(self, parts: list[str]) -> None:
+        if len(self.known) > self.most:
+            self.known = {}
+        blank, other = [], []
+        for p in parts:
+            if p not in self.known:
+                (blank if p[0] == " " and len(p) > 1 and " " not in p[1:] and not p[1].isspace() and not p[-1].isspace() else other).append(p)
+        self.known.update(zip(blank, self.joined(blank), strict=True))
+        self.known.update(zip(other, self.encode(other), strict=True))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        gc.disable()  # many small objects, none in a cycle
+        try:
+            return self.coded(texts)
+        finally:
+            gc.enable()
+
+    def coded(self, texts: list[str]) -> list[bytes]:
+        whole = pa.array(texts, pa.large_string())
+        edge = np.frombuffer(whole.buffers()[1], np.int64)[: len(texts) + 1]
+        raw = np.frombuffer(whole.buffers()[2] or b"", np.uint8)[: edge[-1]]
+        begins = np.zeros(len(raw) + 1, bool)
+        begins[cuts(raw)] = begins[edge] = True
+        starts = np.flatnonzero(begins)  # the last one is the end of all
+        parts = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), whole.buffers()[2] or pa.py_buffer(b""))
+        met = parts.dictionary_encode()
+        different = met.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn(different)
+        laid = pa.array(list(map(self.known.__getitem__, different)), pa.large_binary()).take(met.indices)
+        _, ends, ids = laid.buffers()
+        at = np.frombuffer(ends, np.int64)[np.searchsorted(starts, edge)].tolist() if len(laid) else [0] * len(edge)
+        out = memoryview(ids or b"")
+        return [bytes(out[a:b]) for a, b in zip(at, at[1:])]
+
+
 @lru_cache(maxsize=2)
 def tokenizer(path: str, pattern: str, added: bool = False) -> Callable[[list[str]], list[bytes]]:
     """Ids of texts as the library gives them. ``added``: strings of the file's added tokens in a text are these tokens,
@@ -181,11 +266,35 @@ def tokenizer(path: str, pattern: str, added: bool = False) -> Callable[[list[st
     def encode(pieces: list[str]) -> list[bytes]:
         out = []
         for i in range(0, len(pieces), 10_000):
-            out += [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(pieces[i : i + 10_000], add_special_tokens=False)]
+            ids = [e.ids for e in t.encode_batch_fast(pieces[i : i + 10_000], add_special_tokens=False)]
+            raw = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+            ends = [0, *accumulate([4 * len(x) for x in ids])]
+            out += [raw[a:b] for a, b in zip(ends, ends[1:])]
+        return out
+
+    # Parts that begin with their only blank make one text for the library: as its pieces end before such a blank, the
+    # tokens that begin with a blank tell where the next part begins.
+    known, vocabulary = t.get_added_tokens_decoder(), t.get_vocab()
+    blank = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+    blank[[i for x, i in vocabulary.items() if x.startswith("\u0120") and i not in known]] = True
+
+    def joined(parts: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(parts), JOINED):
+            some = parts[i : i + JOINED]
+            ids = np.array(t.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = [*(4 * np.flatnonzero(blank[ids])).tolist(), ids.nbytes]
+            if len(ends) == len(some) + 1 and ends[0] == 0:
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in zip(ends, ends[1:])]
+            else:
+                out += encode(some)
         return out
 
-    coder = PartCoder(pattern, encode, PARTS, PIECES)
-    tokens = {x.content: (i, x) for i, x in t.get_added_tokens_decoder().items()} if added else {}
+    # Tokens that take in blanks or depend on their neighbours leave no cut that is sure.
+    sure = pattern == public_tokenizer()[1] and t.normalizer is None and not any(x.lstrip or x.rstrip or x.single_word or " " in x.content for x in known.values())
+    coder = JoinedCoder(encode, joined, PARTS) if sure else PartCoder(pattern, encode, PARTS, PIECES)
+    tokens = {x.content: (i, x) for i, x in known.items()} if added else {}
     if not tokens:
         return coder
     # The library cuts a text at its added tokens first, the longest where several start, and each stretch between them

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -77,3 +78,25 @@ def test_query_reads_added_tokens_as_the_unmodified_library(spark, tmp_path):
         at += len(ids)
     assert plain.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
     assert rows_of(op.op9_token_files(spark, str(tmp_path)), "doc_id", "start", "n_tokens", "ids_crc32") == want
+
+
+def test_cut_texts_have_the_ids_of_whole_ones():
+    r = random.Random(5)
+    some = [*"abZ9,.'!&#_-(\n\t\r\x1c\x00", *" " * 6, "'s", "don't", " é", "à ", "\u0085", "\u00a0", "\u2003", "\u2028", "\u3000", "\u1680", "\u200b", "’ ", "中", "😀", "²", "ⅷ", "Ω", "\u0301"]
+    texts = ["".join(r.choice(some) for _ in range(r.choice([0, 1, 2, 9, 60]))) for _ in range(3000)]
+    coder = op.tokenizer(*op.public_tokenizer())
+    for _ in range(2):
+        assert coder(texts) == [np.array(e.ids, "<u4").tobytes() for e in T.encode_batch(texts, add_special_tokens=False)]
+    assert coder([]) == [] and coder(["", ""]) == [b"", b""]
+
+
+def test_the_library_sees_a_word_once_whatever_sign_ends_it():
+    coder, asked = op.tokenizer(*op.public_tokenizer()), []
+    coder.forget()
+    joined = coder.joined
+    coder.joined = lambda parts: asked.append(parts) or joined(parts)
+    try:
+        coder([f"x {w}{sign} {w}" for w in ("queth", "sondra") for sign in (".&&&", "%%%", ",", "!")])
+    finally:
+        coder.joined = joined
+    assert sorted(p for parts in asked for p in parts) == [" queth", " sondra"]
