@@ -70,6 +70,17 @@ def test_small_corpora(spark, monkeypatch, task):
     assert rows_of(op.remove_repeats(docs(spark, rows), 40), *COLUMNS) == expected(rows, 40)
 
 
+def test_edges_of_a_common_passage_settle_in_a_few_runs(spark, monkeypatch):
+    monkeypatch.setattr(op, "TASK", 500)
+    r = random.Random(8)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage = text(700)
+    rows = [(i, text(r.randint(200, 400)) + passage + text(r.randint(200, 400)), None, None) for i in range(60)]
+    found, _ = op.repeated_intervals(op.keyed(docs(spark, rows)))
+    assert found.count() < 30 * len(rows)  # 301 windows of each are repeated
+    assert rows_of(op.remove_repeats(docs(spark, rows)), *COLUMNS) == expected(rows, op.LENGTH)
+
+
 def test_long_texts_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(op, "PIECE", 50)
     r = random.Random(7)
