@@ -159,3 +159,13 @@ def test_cross_validate_query_fits_every_round_of_every_fold(spark, planted, mon
     monkeypatch.setattr(models, "fit", lambda train, feats, learner: kept(train, feats, learner.copy({learner.maxDepth: 1})))
     rows = queries.cross_validate(spark, "").collect()
     assert rounds == [CV_ROUNDS] * N_FOLDS and sorted(r.FOLD for r in rows) == [-1, *range(N_FOLDS)] and all(r.METRICS_OK for r in rows)
+
+
+def test_early_stop_query_is_ended_by_the_curve_alone(spark, planted, monkeypatch):
+    """The folds' curve turns at round 20: the query reaches it, whatever number of rounds it begins with."""
+    queries, rounds, kept = _made(monkeypatch, planted, 3)
+    monkeypatch.setattr(models, "fit", kept)
+    curve = lambda most: [(f, r, abs(r - 20) + 1.0) for f in range(3) for r in range(1, most + 1)]
+    monkeypatch.setattr(models, "validation_curves", lambda df, feats, label, fold, k, params: spark.createDataFrame(curve(params["maxIter"]), "FOLD int, ROUND int, LOSS double"))
+    rows = queries.train_gbt_early_stop(spark, "").collect()
+    assert rounds == [20] and len(rows) == 400 and all(r.ROUNDS_OK and r.P_OK and r.PRED_OK for r in rows)
