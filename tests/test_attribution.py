@@ -105,3 +105,23 @@ def test_nulls_and_nan_and_batches_of_rows(spark, explained):
             for (f, *_), values in zip(p.bounds, p.table()):
                 got[f] += values[sum(h << j for j, h in enumerate(held))]
         assert [r[f"SHAP_{f}"] for f in FEATURES] == [got[f] for f in FEATURES]
+
+
+def test_dependence_query_adds_up_its_own_pairs(spark, monkeypatch):
+    """WHOLE comes from the contributions of the returned pairs, also of an account that repeats: one pair that is off shows."""
+    from riskframe.plans import eval_queries
+
+    names = eval_queries._ATTR_COLS
+    r = lambda i: F.pmod(F.hash(F.col("ACCT_NBR") * 31 + i), F.lit(1000)) / 100.0
+    df = spark.range(300).withColumnRenamed("id", "ACCT_NBR").withColumns({f: r(i) for i, f in enumerate(names)})
+    df = df.withColumn("LABEL", (F.col(names[0]) * F.col(names[1]) > 20).cast("int"))
+    model = models.fit(models.with_class_weight(df), names, models.gbt({"maxIter": 2}))
+    fitted = TreeAttribution.of(model, names, spark)
+    rows = fitted.contributions(raw_prediction(model, df.unionByName(df.where("ACCT_NBR = 7"))))
+    monkeypatch.setattr(eval_queries, "_explained", lambda *a: (fitted, rows))
+    good = eval_queries.attribution_dependence(spark, "")
+    assert good.columns == ["ACCT_NBR", "FEATURE", "VALUE", "WHOLE"] and good.where("WHOLE").count() == good.count() == (299 + 4) * len(names)
+    right = TreeAttribution.dependence
+    shift = F.when((F.col("ACCT_NBR") == 11) & (F.col("FEATURE") == names[0]), 1e-3).otherwise(0.0)
+    monkeypatch.setattr(TreeAttribution, "dependence", lambda self, *a: right(self, *a).withColumn("CONTRIBUTION", F.col("CONTRIBUTION") + shift))
+    assert {x.ACCT_NBR for x in eval_queries.attribution_dependence(spark, "").where("NOT WHOLE").collect()} == {11}
