@@ -83,3 +83,17 @@ def test_lots_of_accounts_make_the_same_table(spark, monkeypatch):
     cols = ["ACCT_NBR", "LABEL", "SPLIT", *[F.round(n, 6).alias(n) if t == "double" else n for n, t in whole.dtypes if n in names]]
     assert names == again and whole.count() == lots.count() == 1500
     assert whole.select(cols).exceptAll(lots.select(cols)).count() == 0
+
+
+def test_forest_rows_are_written_once_with_their_split(spark, monkeypatch):
+    from riskframe.plans import model_queries as queries
+
+    from .conftest import SF_SMALL
+
+    made = {}
+    monkeypatch.setattr(queries, "materialize", lambda df, name: made.setdefault(name, []).append(materialize(df, name)) or made[name][-1])
+    monkeypatch.setattr(models, "fit", lambda *a: (_ for _ in ()).throw(StopIteration))
+    with pytest.raises(StopIteration):
+        queries.train_forest_txn(spark, SF_SMALL)
+    (rows,), (labels,) = made["ml-transactions"], made["labels"]
+    assert rows.select("ACCT_NBR").distinct().count() == labels.count() > 0 and rows.where("SPLIT IS NULL OR LABEL IS NULL").count() == 0
